@@ -56,3 +56,23 @@ class Scratch:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends the package to the Python workers, once an application, where they have no shared install."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    import zipfile
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parent
+    out = Path(tempfile.mkdtemp(prefix="lettermill-ship-")) / "lettermill.zip"
+    with zipfile.ZipFile(out, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(out))
+    _shipped.add(app)
