@@ -19,5 +19,23 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return token_ids(table(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p1_found": p1_found, "p8_ids": p8_ids}
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    from lettermill.llm.groups import mail_groups
+
+    return mail_groups(table(spark, d, "thread_grouper"), table(spark, d, "edges"))
+
+
+def p9_mix_report(spark: SparkSession, d: str) -> DataFrame:
+    from lettermill.llm.mixing import mix
+
+    return mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))[1]
+
+
+def p9_mix_selection(spark: SparkSession, d: str) -> DataFrame:
+    from lettermill.llm.mixing import mix
+
+    return mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))[0]
+
+
+QUERIES = {"p1_found": p1_found, "p6_found": p6_found, "p8_ids": p8_ids, "p9_mix_report": p9_mix_report, "p9_mix_selection": p9_mix_selection}
 SQL: dict[str, str] = {}
