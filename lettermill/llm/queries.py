@@ -19,6 +19,12 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return token_ids(table(spark, d, "documents"), "doc_id", "text")
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    from lettermill.llm.similar import similar_pairs
+
+    return similar_pairs(table(spark, d, "thread_grouper"), "eid", "body_text")
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     from lettermill.llm.groups import mail_groups
 
@@ -37,5 +43,12 @@ def p9_mix_selection(spark: SparkSession, d: str) -> DataFrame:
     return mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))[0]
 
 
-QUERIES = {"p1_found": p1_found, "p6_found": p6_found, "p8_ids": p8_ids, "p9_mix_report": p9_mix_report, "p9_mix_selection": p9_mix_selection}
+QUERIES = {
+    "p1_found": p1_found,
+    "p2_found": p2_found,
+    "p6_found": p6_found,
+    "p8_ids": p8_ids,
+    "p9_mix_report": p9_mix_report,
+    "p9_mix_selection": p9_mix_selection,
+}
 SQL: dict[str, str] = {}
