@@ -43,6 +43,18 @@ def p9_mix_selection(spark: SparkSession, d: str) -> DataFrame:
     return mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))[0]
 
 
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    from lettermill.llm.quality import text_statistics
+
+    return text_statistics(table(spark, d, "documents"), table(spark, d, "common_words")).where("kind <> 'prose'").select("doc_id", "kind")
+
+
+def p10_statistics(spark: SparkSession, d: str) -> DataFrame:
+    from lettermill.llm.quality import text_statistics
+
+    return text_statistics(table(spark, d, "documents"), table(spark, d, "common_words"))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p2_found": p2_found,
@@ -50,5 +62,7 @@ QUERIES = {
     "p8_ids": p8_ids,
     "p9_mix_report": p9_mix_report,
     "p9_mix_selection": p9_mix_selection,
+    "p10_found": p10_found,
+    "p10_statistics": p10_statistics,
 }
 SQL: dict[str, str] = {}
