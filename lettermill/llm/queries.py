@@ -25,6 +25,19 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return similar_pairs(table(spark, d, "thread_grouper"), "eid", "body_text")
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    from lettermill.llm.boilerplate import directory_names, repeated_lines
+
+    return repeated_lines(table(spark, d, "armis_raw_email"), names=directory_names(table(spark, d, "staff_directory")))
+
+
+def p4_kept(spark: SparkSession, d: str) -> DataFrame:
+    from lettermill.llm.boilerplate import directory_names, repeated_lines, without_repeated_lines
+
+    raw = table(spark, d, "armis_raw_email").select("row_idx", "eid", "site", "raw_body")
+    return without_repeated_lines(raw, repeated_lines(raw, names=directory_names(table(spark, d, "staff_directory")))).select("row_idx", "kept_body")
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     from lettermill.llm.groups import mail_groups
 
@@ -58,6 +71,8 @@ def p10_statistics(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found,
     "p2_found": p2_found,
+    "p4_found": p4_found,
+    "p4_kept": p4_kept,
     "p6_found": p6_found,
     "p8_ids": p8_ids,
     "p9_mix_report": p9_mix_report,
