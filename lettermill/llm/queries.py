@@ -13,6 +13,18 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return same_look_pairs(table(spark, d, "armis_raw_email"), "row_idx", "raw_body")
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    from lettermill.llm.personal import personal_spans
+
+    return personal_spans(table(spark, d, "thread_grouper"), table(spark, d, "staff_directory"))
+
+
+def p7_redacted(spark: SparkSession, d: str) -> DataFrame:
+    from lettermill.llm.personal import redacted
+
+    return redacted(table(spark, d, "thread_grouper"), table(spark, d, "staff_directory"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     from lettermill.llm.encode import token_ids
 
@@ -74,6 +86,8 @@ QUERIES = {
     "p4_found": p4_found,
     "p4_kept": p4_kept,
     "p6_found": p6_found,
+    "p7_found": p7_found,
+    "p7_redacted": p7_redacted,
     "p8_ids": p8_ids,
     "p9_mix_report": p9_mix_report,
     "p9_mix_selection": p9_mix_selection,
