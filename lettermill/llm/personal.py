@@ -111,8 +111,9 @@ _STREET_EN = r"(?:street|st|road|rd|lane|ln|avenue|ave|boulevard|blvd|close|cres
 _W = r"[a-z][a-z'\-]*"
 _ADDRESS = re.compile(
     rf"(?<![\w.,\-/])\d{{1,5}} ?[a-z]?(?: bis)?,? (?:[nsew]\.? )?(?:{_W} ){{1,3}}?{_STREET_EN}\b\.?"
-    rf"|(?<![\w.,\-/])\d{{1,4}} ?[a-z]?(?: bis| ter| quater)?,? (?:rue|avenue|place|chemin|boulevard|allee|quai|impasse|route|cours|square) (?:(?:des|du|de la|de l'|de|d') ?)?{_W}(?: {_W}){{0,2}}"
-    rf"|(?<![\w\-])(?:(?:am|an der|an den|auf der|im|in der|zum|zur|unter den|hohe[rn]?|alte[rn]?|neue[rn]?|lange[rn]?|kleine[rn]?|grosse[rn]?|obere[rn]?|untere[rn]?) )?{_W}(?:strasse|str\.|weg|allee|gasse|platz|teich|ufer|ring|damm|hof|markt|steig|graben|stieg|tor) \d{{1,4}} ?[a-z]?(?![\w])"
+    rf"|(?<![\w.,\-/])\d{{1,4}} ?[a-z]?(?: bis| ter| quater)?,? (?:rue|avenue|place|chemin|boulevard|allee|quai|impasse|route|cours|square|bd\.?|boul\.?|av\.?|pl\.|ch\.) (?:(?:des|du|de la|de l'|de|d') ?)?{_W}(?: {_W}){{0,2}}"
+    rf"|(?<![\w\-])(?:(?:am|an der|an den|auf der|im|in der|zum|zur|unter den|hohe[rn]?|alte[rn]?|neue[rn]?|lange[rn]?|kleine[rn]?|grosse[rn]?|obere[rn]?|untere[rn]?) )?{_W}(?:strasse|str\.|weg|pfad|allee|gasse|platz|teich|ufer|ring|damm|hof|markt|steig|graben|stieg|tor|winkel|chaussee) \d{{1,4}} ?[a-z]?(?![\w])"
+    rf"|(?<![\w\-]){_W} (?:strasse|str\.|weg|pfad|allee|gasse|platz|ufer|ring|damm|markt|steig|stieg|chaussee) \d{{1,4}} ?[a-z]?(?![\w])"
     rf"|(?<![\w\-])(?:calle|avenida|rua|plaza|praca|paseo|travessa|alameda) (?:(?:de la|de los|del|de|da|do|dos|das|la) )?{_W}(?: {_W}){{0,2}},? \d{{1,4}} ?[a-z]?(?![\w])"
 )
 _WORDS = re.compile(r"[a-z]+(?:-[a-z]+)*")
@@ -237,7 +238,7 @@ def candidates(text: str, low: str, at: list[int] | None, names: Names) -> list[
                 continue
             got = m.group(0)
             number_first = got[0].isdigit()
-            rom = number_first and re.match(r"\d+ ?[a-z]?(?: bis| ter| quater)?,? (?:rue|avenue|place|chemin|boulevard|allee|quai|impasse|route|cours|square) ", got)
+            rom = number_first and re.match(r"\d+ ?[a-z]?(?: bis| ter| quater)?,? (?:rue|avenue|place|chemin|boulevard|allee|quai|impasse|route|cours|square|bd\.?|boul\.?|av\.?|pl\.|ch\.) ", got)
             real = _cut(text, at, a, b)
             feats = ["address"]
             words = re.findall(r"[^\W\d_][\w'’\-]*", real)
@@ -264,7 +265,8 @@ def candidates(text: str, low: str, at: list[int] | None, names: Names) -> list[
                 feats.append("address:closed" if nxt in ("", ",", ".", ";", "\n", "\r") else "address:open")
             else:
                 feats.append("address:german")
-                feats.append("address:capital" if real[:1].isupper() or not mixed else "address:small")
+                # name and kind of the street both begin with a capital
+                feats.append("address:capital" if all(w[:1].isupper() or w in ("der", "den") for w in words[:2] if len(w) > 1) or not mixed else "address:small")
             taken.append((a, b))
             out.append(Span(a, b, ("street_address",), feats, low[a:b]))
         for m in _NUMBER.finditer(low):
