@@ -1,17 +1,41 @@
 """Problem 5: the lines of a mail its sender wrote for it.
 
+Method: threads are reconstructed from reference headers, message lines are
+compared with those of their ancestors by rolling-hash shingles and sequence
+alignment, and inherited spans are removed.
+
 One pass over the texts reads each mail line by line: quote marks, quoting
 elements and header lines tell quoted history; closing formulas, names, titles,
 contact lines, device and list notes tell signatures; notices and site lines
-are told by their wording.
+are told by their wording. A header that is followed by neither marks nor a
+quoting element opens a span of unknown length. For such spans the header's
+address refers to the ancestors by that sender; span lines and the ancestors'
+own lines meet on equal shingles, one alignment (longest increasing run of
+positions) is made for each ancestor, and the best one tells where the
+inherited text ends: lines after the ancestor's last own line are the sender's
+again. Where no ancestor is at hand the span runs to the end of the text.
+
+Mails that merely resemble each other are no ancestors: without a reference
+nothing is removed.
+
+Defined results: null, empty and blank texts have no lines; lines are elements
+split at ``\\n`` and numbered from 0; rows with a null id are read, but have no
+ancestors by id; reloaded mails are read row by row.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+import unicodedata
+from bisect import bisect_left
+from collections.abc import Iterator, Sequence
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lettermill.llm.text import skeleton, strip_tags
+from lettermill.session import Scratch
 
 NEW, BLANK, QUOTED, HEADER, SIGNATURE, NOTICE = range(6)
 
@@ -34,6 +58,7 @@ _WROTE_HALF = re.compile(r"^(?:on|am|le|el|em)\b.{0,60}\b(?:\d{4}|\d{1,2}:\d{2})
 _SAID = re.compile(r"^[^\W\d_][^\n<>@:]{1,60} \(\d{1,2}[:.]\d{2}\):$")
 _FORWARD = re.compile(r"^[-_*=\s]{2,}\s*(?:original|forwarded|ursprüngliche|weitergeleitete|message|mensaje|mensagem|nachricht|begin forwarded)\b[^.]{0,40}[-_*=\s]{2,}$|^begin forwarded message:?$", re.I)
 _FIELD = re.compile(r"^\*{0,2}(from|sent|to|cc|bcc|subject|date|von|gesendet|an|betreff|datum|de|envoyé|à|objet|date|enviado|para|asunto|fecha|data|assunto|enviada em)\*{0,2}\s*:\*{0,2}(?:\s|$)", re.I)
+_TO = re.compile(r"^\*{0,2}(?:to|cc|bcc|an|à|para)\*{0,2}\s*:", re.I)
 _FROM = re.compile(r"^\*{0,2}(?:from|von|de|desde)\*{0,2}\s*:\*{0,2}\s*\S.*@", re.I)
 
 _CLOSE = re.compile(
@@ -81,8 +106,6 @@ class Roster:
 
     @staticmethod
     def form(s: str) -> str:
-        import unicodedata
-
         return "".join(c for c in unicodedata.normalize("NFD", skeleton(s)) if not unicodedata.combining(c)).casefold()
 
     def is_name(self, line: str) -> bool:
@@ -114,8 +137,6 @@ def _views(lines: list[str]) -> tuple[list[str], list[int], list[int], list[bool
                     in_sig = in_sig or kind == 2
         text = strip_tags(line) if ("<" in line or "&" in line) else line
         if not text.isascii():
-            import unicodedata
-
             text = unicodedata.normalize("NFC", skeleton(text))
         lead = _LEAD.match(text).group(0)
         marks.append(lead.count(">"))
@@ -160,29 +181,49 @@ def _header_lines(seen: list[str], marks: list[int]) -> list[bool]:
     return head
 
 
+_ADDR = re.compile(r"[a-z0-9._%+\-]+@[a-z0-9.\-]+\.[a-z]{2,}", re.I)
+
+
 def read_lines(text: str, roster: Roster) -> list[int]:
     """A class for each line of ``text`` (split at ``\\n``)."""
+    return analyse(text, roster)[0]
+
+
+def analyse(text: str, roster: Roster) -> tuple[list[int], list[str], list[tuple[int, str] | None]]:
+    """Classes, visible lines, and for lines of an unmarked span the number and address of its header."""
     lines = text.split("\n")
     n = len(lines)
     seen, marks, boxes, sig_box = _views(lines)
     out = [NEW] * n
+    spans: list[tuple[int, str] | None] = [None] * n
     head = _header_lines(seen, marks)
     # quoted: marks, quoting elements, and what follows a header that uses neither
-    rest = False
+    at: tuple[int, str] | None = None
+    last = -2
     for i in range(n):
-        if not _ALNUM.search(seen[i]) or _IMAGE.match(seen[i]):
+        s = seen[i]
+        if not s or _IMAGE.match(s) or not _ALNUM.search(s):
             out[i] = BLANK
         if head[i]:
             out[i] = HEADER
             if not marks[i] and not boxes[i]:
                 nxt = next((j for j in range(i + 1, n) if seen[j] and not head[j] and (_ALNUM.search(seen[j]) or marks[j])), None)
                 if nxt is not None and not marks[nxt] and not boxes[nxt]:
-                    rest = True
-        elif rest or marks[i] or boxes[i]:
+                    named = _ADDR.search(s)
+                    address = named.group(0).lower() if named and not _TO.match(s) else ""
+                    # the lines of one header block share one span
+                    if at is not None and last == i - 1:
+                        at = (at[0], at[1] or address)
+                    else:
+                        at = (0 if at is None else at[0] + 1, address)
+                    last = i
+        elif at is not None or marks[i] or boxes[i]:
+            if at is not None and not marks[i]:
+                spans[i] = at
             if out[i] == NEW:
                 out[i] = QUOTED
     _signatures(seen, out, sig_box, roster)
-    return out
+    return out, seen, spans
 
 
 def _sig_like(s: str, roster: Roster) -> bool:
@@ -245,3 +286,121 @@ def _tail(seen: list[str], out: list[int], i: int, roster: Roster) -> bool:
             if not (_sig_like(seen[j], roster) or _CLOSE.match(seen[j])):
                 return False
     return True
+
+
+# ---------------------------------------------------------------- shingles and alignment
+
+SHINGLE, _BASE, _MOD = 4, 1_000_003, (1 << 61) - 1
+
+
+def shingle(line: str) -> int | None:
+    """The least rolling hash of the line's windows of ``SHINGLE`` words, or of all words of a shorter line; None without words."""
+    import xxhash
+
+    words = re.findall(r"\w+", line.casefold())
+    if not words:
+        return None
+    h = [xxhash.xxh32_intdigest(w) for w in words]
+    top = pow(_BASE, SHINGLE - 1, _MOD)
+    roll = 0
+    for x in h[:SHINGLE]:
+        roll = (roll * _BASE + x) % _MOD
+    least = roll
+    for old, x in zip(h, h[SHINGLE:]):
+        roll = ((roll - old * top) * _BASE + x) % _MOD
+        least = min(least, roll)
+    return least
+
+
+def align(pairs: list[tuple[int, int]]) -> tuple[int, int, int]:
+    """Length, last line and last ancestor position of the longest run in which both positions increase."""
+    tails: list[int] = []
+    ends: list[tuple[int, int]] = []
+    for line, pos in sorted(pairs, key=lambda p: (p[0], -p[1])):
+        k = bisect_left(tails, pos)
+        if k == len(tails):
+            tails.append(pos)
+            ends.append((line, pos))
+        else:
+            tails[k] = pos
+            if k < len(ends) - 1 or pos < ends[k][1]:
+                ends[k] = (line, pos)
+    return len(tails), ends[-1][0], ends[-1][1]
+
+
+OWN, SPAN, TAIL = 0, 1, 2
+
+
+def _lines(people: list[tuple[str | None, str | None]]):  # noqa: ANN202
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        roster = Roster(people)
+        for b in batches:
+            take, no, kind, hashes, ref, address = [], [], [], [], [], []
+            for i, t in enumerate(b.column(2).to_pylist()):
+                out, seen, spans = analyse(t, roster)
+                for k, c in enumerate(out):
+                    span = spans[k]
+                    if c == NEW:
+                        row = (OWN, shingle(seen[k]), -1, None)
+                    elif c == SIGNATURE:
+                        continue
+                    elif span is not None and c == QUOTED and span[1]:
+                        plain = not (_NOTICE.search(seen[k]) or _CLOSE.match(seen[k]) or _DASHNAME.match(seen[k]) or _sig_like(seen[k], roster))
+                        row = (TAIL if plain else SPAN, shingle(seen[k]), span[0], span[1])
+                    else:
+                        continue
+                    take.append(i)
+                    no.append(k)
+                    kind.append(row[0])
+                    hashes.append(row[1])
+                    ref.append(row[2])
+                    address.append(row[3])
+            idx = pa.array(take, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(idx), b.column(1).take(idx), pa.array(no, pa.int32()), pa.array(kind, pa.int8()), pa.array(hashes, pa.int64()), pa.array(ref, pa.int32()), pa.array(address, pa.string())],
+                names=["row", "doc", "line_no", "kind", "h", "ref", "address"],
+            )
+
+    return run
+
+
+def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        got = [align([(p["line_no"], p["pos"]) for p in ps]) for ps in b.column(3).to_pylist()]
+        cols = list(zip(*got, strict=True)) if got else [(), (), ()]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), *[pa.array(c, pa.int32()) for c in cols]], names=["row", "ref", "anc", "n", "line", "pos"])
+
+
+DIRECTORY_BOUND = 200_000
+
+
+def new_lines(df: DataFrame, senders: DataFrame, directory: DataFrame, key: str, text: str, doc: str = "eid", ancestors: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(found, own)``: ``(key, line_no)`` of the new lines, and the table of own lines that later calls can take as ``ancestors``.
+
+    ``senders (eid, from_addr)`` tells who wrote a mail; ``directory`` holds the names that sign mails
+    (at most ``DIRECTORY_BOUND`` people: they are sent to every worker).
+    """
+    people = [(r[0], r[1]) for r in directory.select("given_name", "family_name").limit(DIRECTORY_BOUND + 1).collect()]
+    if len(people) > DIRECTORY_BOUND:
+        raise ValueError(f"the directory has over {DIRECTORY_BOUND} people")
+    scratch = Scratch(df.sparkSession, "new-lines")
+    rows = df.where(F.col(text).isNotNull() & (F.length(text) > 0)).select(F.col(key).cast("long").alias("row"), F.xxhash64(doc).alias("doc"), F.col(text).alias("t"))
+    lines = scratch.cut(rows.mapInArrow(_lines(people), "row long, doc long, line_no int, kind byte, h long, ref int, address string"))
+    own = lines.where(f"kind = {OWN} and h is not null").select("doc", F.col("line_no").alias("pos"), "h")
+    if ancestors is not None:
+        own = ancestors
+    open_ = lines.where(f"kind <> {OWN}")
+    # who wrote what: only senders that some open span refers to
+    asked = open_.select("address").distinct()
+    who = senders.where("eid is not null and from_addr is not null").select(F.xxhash64("eid").alias("doc"), F.lower("from_addr").alias("address")).distinct()
+    who = who.join(asked, "address", "left_semi")
+    theirs = own.join(who, "doc").select("address", "h", F.col("doc").alias("anc"), "pos").distinct()
+    met = open_.where("h is not null").select("row", "doc", "ref", "address", "h", "line_no").join(theirs, ["address", "h"]).where("doc <> anc")
+    # the lines of one span and one ancestor: bounded by the lines of a mail
+    runs = met.groupBy("row", "ref", "anc").agg(F.collect_list(F.struct("line_no", "pos")).alias("ps")).mapInArrow(_aligned, "row long, ref int, anc long, n int, line int, pos int")
+    best = runs.groupBy("row", "ref").agg(F.max(F.struct("n", "anc", "line", "pos")).alias("b")).select("row", "ref", "b.*")
+    ends = own.groupBy(F.col("doc").alias("anc")).agg(F.max("pos").alias("end"))
+    done = best.where("n >= 2").join(ends, "anc").where("pos = end").select("row", "ref", "line")
+    after = open_.where(f"kind = {TAIL}").join(done, ["row", "ref"]).where("line_no > line").select("row", "line_no")
+    found = lines.where(f"kind = {OWN}").select("row", "line_no").union(after)
+    return found.withColumnRenamed("row", key), own

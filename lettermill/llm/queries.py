@@ -50,6 +50,19 @@ def p4_kept(spark: SparkSession, d: str) -> DataFrame:
     return without_repeated_lines(raw, repeated_lines(raw, names=directory_names(table(spark, d, "staff_directory")))).select("row_idx", "kept_body")
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from lettermill.llm.newtext import new_lines
+
+    raw, mails, people = table(spark, d, "armis_raw_email"), table(spark, d, "thread_grouper"), table(spark, d, "staff_directory")
+    senders = mails.select("eid", "from_addr")
+    a, own = new_lines(raw, senders, people, "row_idx", "raw_body")
+    b, _ = new_lines(mails, senders, people, "row_idx", "cleaned_body", ancestors=own)
+    named = lambda x, t: x.select(F.lit(t).alias("src_table"), "row_idx", "line_no")
+    return named(a, "armis_raw_email").union(named(b, "thread_grouper"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     from lettermill.llm.groups import mail_groups
 
@@ -85,6 +98,7 @@ QUERIES = {
     "p2_found": p2_found,
     "p4_found": p4_found,
     "p4_kept": p4_kept,
+    "p5_found": p5_found,
     "p6_found": p6_found,
     "p7_found": p7_found,
     "p7_redacted": p7_redacted,
