@@ -13,7 +13,7 @@ address refers to the ancestors by that sender; span lines and the ancestors'
 own lines meet on equal shingles, one alignment (longest increasing run of
 positions) is made for each ancestor, and the best one tells where the
 inherited text ends: lines after the ancestor's last own line are the sender's
-again. Where no ancestor is at hand the span runs to the end of the text.
+again, unless some other mail says them too. Where no ancestor is at hand the span runs to the end of the text.
 
 Mails that merely resemble each other are no ancestors: without a reference
 nothing is removed.
@@ -401,6 +401,9 @@ def new_lines(df: DataFrame, senders: DataFrame, directory: DataFrame, key: str,
     best = runs.groupBy("row", "ref").agg(F.max(F.struct("n", "anc", "line", "pos")).alias("b")).select("row", "ref", "b.*")
     ends = own.groupBy(F.col("doc").alias("anc")).agg(F.max("pos").alias("end"))
     done = best.where("n >= 2").join(ends, "anc").where("pos = end").select("row", "ref", "line")
-    after = open_.where(f"kind = {TAIL}").join(done, ["row", "ref"]).where("line_no > line").select("row", "line_no")
+    after = open_.where(f"kind = {TAIL}").join(done, ["row", "ref"]).where("line_no > line").select("row", "doc", "line_no", "h")
+    # an ancestor may itself quote without marks: what any other mail says was not written here
+    said = own.select("h", F.col("doc").alias("other")).distinct()
+    after = after.join(said, (after["h"] == said["h"]) & (after["doc"] != said["other"]), "left_anti").select("row", "line_no")
     found = lines.where(f"kind = {OWN}").select("row", "line_no").union(after)
     return found.withColumnRenamed("row", key), own
