@@ -29,7 +29,7 @@ def stitch_headers(text: Column) -> Column:
 
 def finish(text: Column, min_length: int = DEFAULT.min_length) -> Column:
     t = L.strip(F.regexp_replace(L.collapse_blanks(text), '^"+|"+$', ""))
-    return F.when(F.length(t) >= min_length, t).otherwise("")
+    return L.let(t, lambda x: F.when(F.length(x) >= min_length, x).otherwise(""))
 
 
 def clean_text(text: Column, keep_history: bool = True) -> Column:

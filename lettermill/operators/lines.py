@@ -22,6 +22,11 @@ def has(c: Column, pattern: str, cased: bool = False) -> Column:
     return c.rlike("(?d)" + pattern if cased else rx.ci(pattern))
 
 
+def let(value: Column, body) -> Column:  # noqa: ANN001
+    """``body(value)`` with ``value`` evaluated once a row, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def split_lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
@@ -38,7 +43,7 @@ def checked(line: Column) -> Column:
 def is_contact(line: Column) -> Column:
     s = F.regexp_replace(strip(line), r"^\*{1,2}|\*{1,2}$", "")
     s = strip(F.regexp_replace(s, "^_{1,2}|_{1,2}$", ""))
-    return (s != "") & (has(s, rx.CONTACT_CASED, cased=True) | has(s, rx.CONTACT))
+    return let(s, lambda t: (t != "") & (has(t, rx.CONTACT_CASED, cased=True) | has(t, rx.CONTACT)))
 
 
 def is_header(line: Column) -> Column:
@@ -47,46 +52,40 @@ def is_header(line: Column) -> Column:
 
 def cut_reply_chain(lines: Column) -> Column:
     """Everything before the first line that opens a reply chain."""
-    first = F.array_position(F.transform(lines, lambda x: has(strip(x), rx.REPLY_TRIGGERS)), True)
-    return F.when(first > 0, F.slice(lines, 1, (first - 1).cast("int"))).otherwise(lines)
+    return _before_first(lines, lambda x: has(strip(x), rx.REPLY_TRIGGERS))
+
+
+def _before_first(lines: Column, test) -> Column:  # noqa: ANN001
+    cut = lambda ls: let(F.array_position(F.transform(ls, test), True), lambda k: F.when(k > 0, F.slice(ls, F.lit(1), (k - 1).cast("int"))).otherwise(ls))
+    return let(lines, cut)
 
 
-def _run(lines: Column, step) -> Column:  # noqa: ANN001
-    """Fold with one flag: ``step(line, flag) -> (drop, flag', line')``."""
+def _run(lines: Column, seed, go, blank=None) -> Column:  # noqa: ANN001
+    """Drops seed lines and the lines after them that go on; tests are made once a line, the fold reads flags only.
+
+    ``blank`` tells lines that come out empty when they end a run.
+    """
     zero = F.struct(F.lit(False).alias("on"), F.array().cast("array<string>").alias("out"))
+    tested = F.transform(lines, lambda x: F.struct(x.alias("x"), seed(x).alias("seed"), go(x).alias("go"), (blank(x) if blank else F.lit(False)).alias("blank")))
 
-    def merge(acc: Column, x: Column) -> Column:
-        drop, on, line = step(x, acc["on"])
-        return F.struct(on.alias("on"), F.when(drop, acc["out"]).otherwise(F.concat(acc["out"], F.array(line))).alias("out"))
+    def merge(acc: Column, v: Column) -> Column:
+        drop = v["seed"] | (acc["on"] & v["go"])
+        line = F.when(acc["on"] & v["blank"], F.lit("")).otherwise(v["x"])
+        return F.struct(drop.alias("on"), F.when(drop, acc["out"]).otherwise(F.concat(acc["out"], F.array(line))).alias("out"))
 
-    return F.aggregate(lines, zero, merge, lambda acc: acc["out"])
+    return F.aggregate(tested, zero, merge, lambda acc: acc["out"])
 
 
 def drop_disclaimers(lines: Column) -> Column:
     """A trigger opens a run; the run takes lines with legal words and ends at a blank line or any other."""
-
-    def step(x: Column, on: Column) -> tuple[Column, Column, Column]:
-        s = checked(x)
-        trigger = has(s, rx.DISCLAIMER_TRIGGERS)
-        go = trigger | has(s, rx.DISCLAIMER_VOCABULARY)
-        drop = F.when(on, (s != "") & go).otherwise(trigger)
-        return drop, drop, F.when(on & (s == ""), F.lit("")).otherwise(x)
-
-    return _run(lines, step)
+    return _run(lines, lambda x: has(checked(x), rx.DISCLAIMER_TRIGGERS), lambda x: has(checked(x), rx.DISCLAIMER_VOCABULARY), lambda x: checked(x) == "")
 
 
 def drop_signatures(lines: Column, keep_history: bool) -> Column:
     """A closing formula or footer opens a run of contact and blank lines; without history an inline closing cuts the rest."""
     if not keep_history:
-        first = F.array_position(F.transform(lines, lambda x: has(strip(x), rx.INLINE_SIGNATURE)), True)
-        lines = F.when(first > 0, F.slice(lines, 1, (first - 1).cast("int"))).otherwise(lines)
-
-    def step(x: Column, on: Column) -> tuple[Column, Column, Column]:
-        s = strip(x)
-        drop = has(s, rx.SALUTATIONS) | has(s, rx.FOOTERS) | (on & ((s == "") | is_contact(x)))
-        return drop, drop, x
-
-    return _run(lines, step)
+        lines = _before_first(lines, lambda x: has(strip(x), rx.INLINE_SIGNATURE))
+    return _run(lines, lambda x: let(strip(x), lambda s: has(s, rx.SALUTATIONS) | has(s, rx.FOOTERS)), lambda x: (strip(x) == "") | is_contact(x))
 
 
 def drop_noise(lines: Column) -> Column:
@@ -103,17 +102,18 @@ def drop_noise(lines: Column) -> Column:
 
 def header_flags(lines: Column) -> Column:
     """True for header lines and for blank lines between them (three lines to either side, filled left to right)."""
-    heads = F.transform(lines, is_header)
-    idx = F.sequence(F.lit(0), F.greatest(F.size(lines) - 1, F.lit(0)))
-    zero = F.array().cast("array<boolean>")
 
-    def merge(acc: Column, i: Column) -> Column:
-        before = lambda k: F.coalesce(F.get(acc, i - k), F.lit(False))
-        after = lambda k: F.coalesce(F.get(heads, i + k), F.lit(False))
-        gap = (i > 0) & (i < F.size(lines) - 1) & (strip(F.get(lines, i)) == "") & (before(1) | before(2) | before(3)) & (after(1) | after(2) | after(3))
-        return F.concat(acc, F.array(F.get(heads, i) | gap))
+    def flags(ls: Column, heads: Column) -> Column:
+        def merge(acc: Column, i: Column) -> Column:
+            before = lambda k: F.coalesce(F.get(acc, i - k), F.lit(False))
+            after = lambda k: F.coalesce(F.get(heads, i + k), F.lit(False))
+            near = (before(1) | before(2) | before(3)) & (after(1) | after(2) | after(3))
+            gap = (i > 0) & (i < F.size(ls) - 1) & near & (strip(F.get(ls, i)) == "")
+            return F.concat(acc, F.array(F.get(heads, i) | gap))
+
+        return F.aggregate(F.sequence(F.lit(0), F.greatest(F.size(ls) - 1, F.lit(0))), F.array().cast("array<boolean>"), merge)
 
-    return F.aggregate(idx, zero, merge)
+    return let(lines, lambda ls: let(F.transform(ls, is_header), lambda heads: flags(ls, heads)))
 
 
 PLACEHOLDER = "﷐"  # a noncharacter: no text holds it
@@ -121,26 +121,30 @@ PLACEHOLDER = "﷐"  # a noncharacter: no text holds it
 
 def replace_headers(lines: Column) -> Column:
     """Each block of header lines becomes one placeholder."""
-    flags = header_flags(lines)
-    tagged = F.transform(lines, lambda x, i: F.when(F.get(flags, i), F.when((i > 0) & F.get(flags, i - 1), F.lit(None).cast("string")).otherwise(PLACEHOLDER)).otherwise(x))
-    return F.filter(tagged, lambda x: x.isNotNull())
+
+    def tagged(ls: Column, flags: Column) -> Column:
+        inner = lambda i: (i > 0) & F.get(flags, i - 1)
+        return F.transform(ls, lambda x, i: F.when(F.get(flags, i), F.when(inner(i), F.lit(None).cast("string")).otherwise(PLACEHOLDER)).otherwise(x))
+
+    return let(lines, lambda ls: let(header_flags(ls), lambda flags: F.filter(tagged(ls, flags), lambda x: x.isNotNull())))
 
 
 def line_class(line: Column) -> Column:
-    s = checked(line)
-    n = F.length(s)
-    last = F.substring(s, -1, 1)
-    return (
-        F.when(line == PLACEHOLDER, "PLACEHOLDER")
-        .when(s == "", "EMPTY")
-        .when(s.startswith("-") & (n < 30), "SIGN_OFF")
-        .when(has(s, rx.SALUTATIONS), "SALUTATION")
-        .when(is_contact(line), "CONTACT")
-        .when(n >= 80, "OTHER")
-        .when(s.rlike(r"^\p{Ll}"), "OTHER")
-        .when(last.isin("!", "?") | ((last == ".") & (n >= 15)), "OTHER")
-        .otherwise("NAME_TITLE")
-    )
+    def of(s: Column) -> Column:
+        n, last = F.length(s), F.substring(s, -1, 1)
+        return (
+            F.when(line == PLACEHOLDER, "PLACEHOLDER")
+            .when(s == "", "EMPTY")
+            .when(s.startswith("-") & (n < 30), "SIGN_OFF")
+            .when(has(s, rx.SALUTATIONS), "SALUTATION")
+            .when(is_contact(line), "CONTACT")
+            .when(n >= 80, "OTHER")
+            .when(s.rlike(r"^\p{Ll}"), "OTHER")
+            .when(last.isin("!", "?") | ((last == ".") & (n >= 15)), "OTHER")
+            .otherwise("NAME_TITLE")
+        )
+
+    return let(checked(line), of)
 
 
 def drop_inline_signatures(lines: Column) -> Column:
@@ -148,24 +152,29 @@ def drop_inline_signatures(lines: Column) -> Column:
 
     Read by position among the lines that are not empty, so there is no walk.
     """
-    full = F.filter(F.transform(lines, lambda x, i: F.struct(i.alias("i"), line_class(x).alias("c"))), lambda v: v["c"] != "EMPTY")
     up, down = ("NAME_TITLE", "SALUTATION", "CONTACT", "SIGN_OFF"), ("CONTACT", "NAME_TITLE", "SIGN_OFF")
+    at = lambda f, k: F.coalesce(F.get(f, k)["c"], F.lit("NONE"))
 
     def first(f: Column, k: Column) -> Column:
-        c = lambda d: F.coalesce(F.get(f, k + d)["c"], F.lit("NONE"))
-        above = c(1) == "CONTACT"
-        above = above | (c(1).isin(*up) & ((c(2) == "CONTACT") | (c(2).isin(*up) & (c(3) == "CONTACT"))))
+        c = lambda d: at(f, k + d)
+        above = (c(1) == "CONTACT") | (c(1).isin(*up) & ((c(2) == "CONTACT") | (c(2).isin(*up) & (c(3) == "CONTACT"))))
         below = (c(-1) == "CONTACT") | (c(-1).isin(*down) & (c(-2) == "CONTACT"))
         return (c(0) == "CONTACT") | (c(0).isin(*up) & above) | (c(0).isin(*down) & below)
 
-    def gone(f: Column, k: Column) -> Column:
-        c = lambda d: F.coalesce(F.get(f, k + d)["c"], F.lit("NONE"))
-        closing = (c(0) == "SALUTATION") & ~first(f, k) & (c(1) == "NAME_TITLE")
-        name = (c(0) == "NAME_TITLE") & (((c(-1) == "SALUTATION") & ~first(f, k - 1)) | ((c(-1) == "NAME_TITLE") & (c(-2) == "SALUTATION") & ~first(f, k - 2)))
-        return first(f, k) | closing | name | (c(0) == "SIGN_OFF")
+    def gone(f: Column, r: Column, k: Column) -> Column:
+        c = lambda d: at(f, k + d)
+        stays = lambda d: ~F.coalesce(F.get(r, k + d), F.lit(False))
+        closing = (c(0) == "SALUTATION") & (c(1) == "NAME_TITLE")
+        name = (c(0) == "NAME_TITLE") & (((c(-1) == "SALUTATION") & stays(-1)) | ((c(-1) == "NAME_TITLE") & (c(-2) == "SALUTATION") & stays(-2)))
+        return F.get(r, k) | closing | name | (c(0) == "SIGN_OFF")
+
+    def kept(ls: Column) -> Column:
+        full = F.filter(F.transform(ls, lambda x, i: F.struct(i.alias("i"), line_class(x).alias("c"))), lambda v: v["c"] != "EMPTY")
+        flagged = lambda f, r: F.transform(f, lambda v, k: F.when(gone(f, r, k), v["i"]))
+        out = let(full, lambda f: let(F.transform(f, lambda _, k: first(f, k)), lambda r: flagged(f, r)))
+        return let(out, lambda o: F.filter(ls, lambda _, i: ~F.coalesce(F.array_contains(o, i), F.lit(False))))
 
-    out = F.transform(F.filter(F.transform(full, lambda v, k: F.struct(v["i"].alias("i"), gone(full, k).alias("g"))), lambda v: v["g"]), lambda v: v["i"])
-    return F.filter(lines, lambda _, i: ~F.array_contains(out, i))
+    return let(lines, kept)
 
 
 def strip_quotes(lines: Column) -> Column:
