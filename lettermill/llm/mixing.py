@@ -52,13 +52,14 @@ def _parts(docs: DataFrame, targets: DataFrame, blocks: int, size: int | None, s
     counted = token_counts(mine, "doc_id", "text", path).where("n_tokens > 0")
     sized = scratch.cut(counted.join(docs.select("doc_id", "source"), "doc_id"))
     have = sized.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("docs"))
-    plan = t.join(have, "source", "left").na.fill(0, ["tokens", "docs"])
-    w = Window.partitionBy()
+    plan = scratch.cut(t.join(have, "source", "left").na.fill(0, ["tokens", "docs"]))
     living = F.when((F.col("tokens") > 0) & (F.col("target_share") > 0) & (F.col("max_repeats") > 0), F.col("target_share"))
-    total = F.min(F.col("tokens") * F.col("max_repeats") / living).over(w) if size is None else F.lit(float(size))
+    if size is None:
+        # one number: the largest size that no source with tokens falls short of
+        size = int(plan.agg(F.min(F.col("tokens") * F.col("max_repeats") / living)).first()[0] or 0)
     # a block is a whole number of tokens
-    plan = plan.withColumn("block", F.greatest(F.lit(1), F.floor(F.coalesce(total, F.lit(0.0)) / blocks)).cast("long"))
-    plan = plan.join(apportion(t, blocks), "source", "left").na.fill(0, ["seats"])
+    blocks = max(1, min(blocks, size))
+    plan = plan.withColumn("block", F.lit(size // blocks).cast("long")).join(apportion(t, blocks), "source", "left").na.fill(0, ["seats"])
     plan = plan.withColumn("quota", F.least(F.col("seats") * F.col("block"), F.col("tokens") * F.col("max_repeats")))
     return sized, scratch.cut(plan)
 

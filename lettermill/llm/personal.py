@@ -366,6 +366,8 @@ _TRAIN: list[tuple[str, dict[str, str]]] = [
 ]
 #: agreement of spans with an equal surface, of similar surfaces, and of neighbours; in nats
 SKIP_EQUAL, SKIP_SIMILAR, CHAIN = 4.0, 0.8, 0.3
+#: the least unary potential of a number without a label before it
+UNLABELLED = -1.5
 _ROUNDS = 4
 
 
@@ -397,6 +399,9 @@ def decide(spans: list[Span]) -> list[str | None]:
     """The label of each span, or None: loopy sum-product over chain and skip edges."""
     w = weights()
     unary = [[0.0, *[sum(w.get((f, lb), 0.0) for f in s.feats) for lb in s.labels]] for s in spans]
+    for u, s in zip(unary, spans, strict=True):
+        if "left:none" in s.feats:  # a missing label says little against a number
+            u[1:] = [max(x, UNLABELLED) for x in u[1:]]
     n = len(spans)
     edges: list[tuple[int, int, float]] = []
     if n > 1:

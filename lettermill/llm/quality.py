@@ -148,7 +148,7 @@ def kind(s: dict[str, float]) -> str:
         return "table"
     if s["symbol_ratio"] > 0.5:
         return "junk"
-    if s["n_words"] >= 8 and s["top_word_share"] > 0.4:
+    if s["n_words"] >= 8 and s["top_word_share"] > 0.4 and s["bullet_share"] < 0.6:
         return "junk"
     if s["common_share"] < 0.1 and s["mid_punct_share"] > (0.12 if s["common_share"] > 0.03 else 0.04):
         return "junk"
