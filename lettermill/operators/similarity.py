@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lettermill.config import DEFAULT
 from lettermill.functions.stopwords import STOP_WORDS
+from lettermill.operators.lines import let
 from lettermill.session import Scratch
 
 
@@ -70,10 +71,12 @@ def edges_between(pairs: DataFrame, threshold: float = DEFAULT.jaccard_threshold
 def _terms(text: Column) -> Column:
     words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}_]{2,}"), F.lit(0))
     kept = F.filter(words, lambda w: ~w.isin(*STOP_WORDS))
-    pairs = F.when(F.size(kept) > 1, F.transform(F.sequence(F.lit(0), F.size(kept) - 2), lambda i: F.concat(F.get(kept, i), F.lit(" "), F.get(kept, i + 1)))).otherwise(
-        F.array().cast("array<string>")
-    )
-    return F.concat(kept, pairs)
+
+    def with_pairs(k: Column) -> Column:
+        pairs = F.transform(F.sequence(F.lit(0), F.size(k) - 2), lambda i: F.concat(F.get(k, i), F.lit(" "), F.get(k, i + 1)))
+        return F.when(F.size(k) > 1, F.concat(k, pairs)).otherwise(k)
+
+    return let(kept, with_pairs)
 
 
 def tfidf(df: DataFrame, key: str, text: str, vocabulary: int = DEFAULT.thread_vocabulary, max_df: float = DEFAULT.max_df, min_df: int = 1, sublinear: bool = False) -> DataFrame:
