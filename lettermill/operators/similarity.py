@@ -8,6 +8,10 @@ until the very end.
 from __future__ import annotations
 
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -111,9 +115,23 @@ def cosine_join(weights: DataFrame, threshold: float = DEFAULT.tfidf_threshold)
     ranked = w.join(freq, "term").withColumn("rest", F.sum(F.col("w") * F.col("w")).over(order))
     prefix = scratch.cut(ranked.where(F.col("rest") >= threshold * threshold - 1e-9).select("k", "term"))
     met = prefix.select(F.col("k").alias("i"), "term").join(prefix.select(F.col("k").alias("j"), "term"), "term").where("i < j").select("i", "j").distinct()
-    vec = w.groupBy("k").agg(F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("v"))
-    both = met.join(vec.select(F.col("k").alias("i"), F.col("v").alias("a")), "i").join(vec.select(F.col("k").alias("j"), F.col("v").alias("b")), "j")
-    dot = F.aggregate(F.map_entries("a"), F.lit(0.0), lambda acc, e: acc + e["value"] * F.coalesce(F.try_element_at(F.col("b"), e["key"]), F.lit(0.0)))
-    return both.select("i", "j", dot.alias("sim")).where(F.col("sim") >= threshold)
-
-
+    packed = F.array_sort(F.collect_list(F.struct(F.xxhash64("term").alias("t"), "w")))
+    vec = scratch.cut(w.groupBy("k").agg(packed.alias("v")).select("k", F.col("v.t").alias("t"), F.col("v.w").alias("w")))
+    both = met.join(vec.select(F.col("k").alias("i"), F.col("t").alias("ti"), F.col("w").alias("wi")), "i").join(vec.select(F.col("k").alias("j"), F.col("t").alias("tj"), F.col("w").alias("wj")), "j")
+    return both.select("i", "j", "ti", "wi", "tj", "wj").mapInArrow(_dots, "i long, j long, sim double").where(F.col("sim") >= threshold)
+
+
+def _dots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Dot products of sorted sparse rows; one search a pair on views of the batch's arrays."""
+    for b in batches:
+        flat = [(c.flatten().to_numpy(), c.offsets.to_numpy()) for c in b.columns[2:]]
+        (ti, oi), (wi, _), (tj, oj), (wj, _) = flat
+        oi, oj = oi - oi[0], oj - oj[0]
+        sim = np.empty(b.num_rows)
+        for r in range(b.num_rows):
+            a, x = ti[oi[r] : oi[r + 1]], wi[oi[r] : oi[r + 1]]
+            c, y = tj[oj[r] : oj[r + 1]], wj[oj[r] : oj[r + 1]]
+            at = np.minimum(np.searchsorted(c, a), len(c) - 1)
+            hit = c[at] == a
+            sim[r] = float(x[hit] @ y[at[hit]])
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sim)], names=["i", "j", "sim"])
