@@ -128,7 +128,8 @@ def metrics(comps: DataFrame, pairs: DataFrame, method: str, threshold: float, k
     )
     c = cohesion(comps, pairs, key).agg(F.coalesce(F.avg("cohesion"), F.lit(0.0)).alias("c"))
     share = lambda x: F.bround(F.coalesce(F.try_divide(F.col(x) * 100, F.col("emails")), F.lit(0.0)), 1)
-    return s.crossJoin(c).select(  # two one-row tables
+    one = s.withColumn("one", F.lit(1)).join(c.withColumn("one", F.lit(1)), "one")  # two one-row tables
+    return one.select(
         F.lit(method).alias("method"), F.lit(threshold).alias("threshold"), "total_threads", "multi_email_threads", "singletons", share("singletons").alias("singleton_pct"),
         F.bround(F.coalesce(F.try_divide("emails", "total_threads"), F.lit(0.0)), 2).alias("avg_thread_size"), "max_thread_size", F.bround("c", 4).alias("avg_cohesion"),
         "emails_in_threads", share("emails_in_threads").alias("emails_in_threads_pct"),
