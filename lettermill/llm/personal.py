@@ -3,9 +3,10 @@
 Method: a skip-chain conditional random field over candidate spans. Patterns
 and a name index propose spans; each span is a variable with the labels its
 kind allows; unary potentials come from weights fitted here on labelled lines;
-spans with an equal or similar surface in one document share a skip edge,
-neighbours a chain edge; loopy sum-product message passing decides. So a
-number that a label explains in one place is read alike where it stands alone.
+spans with an equal surface in one document share a variable of that surface,
+similar ones a skip edge, neighbours a chain edge; loopy sum-product messages
+are passed until they stand still. So a number that a label explains in one
+place is read alike wherever it stands alone, however often and however far.
 
 Surfaces are cut from the text as it stands: patterns run over a folded form
 (no accents, one case, one form of each character) with a map of positions.
@@ -368,7 +369,9 @@ _TRAIN: list[tuple[str, dict[str, str]]] = [
 SKIP_EQUAL, SKIP_SIMILAR, CHAIN = 4.0, 0.8, 0.3
 #: the least unary potential of a number without a label before it
 UNLABELLED = -1.5
-_ROUNDS = 4
+_UNTOLD = frozenset({"left:none", "left:reach"})
+#: messages go on until none moves by more than ``_STILL``, halved steps from round ``_DAMPED`` on, ``_ROUNDS`` at most
+_STILL, _DAMPED, _ROUNDS = 1e-3, 20, 500
 
 
 @lru_cache(maxsize=1)
@@ -395,15 +398,33 @@ def weights() -> dict[tuple[str, str], float]:
     return {k: float(w[i]) for k, i in index.items()}
 
 
+def _message(pre: list[float], size: int, same: bool, c: float) -> list[float]:
+    """What a variable with the potentials ``pre`` says to a neighbour with ``size`` states, relative to nothing."""
+    top = max(pre)
+    e = [math.exp(p - top) for p in pre]
+    whole, some, gain = sum(e), sum(e[1:]), math.exp(c) - 1
+    # agreement: both nothing, both something, and for equal kinds the same label
+    res = [math.log(whole + gain * (e[b] if same else some if b else e[0])) for b in range(size)]
+    return [r - res[0] for r in res]
+
+
 def decide(spans: list[Span]) -> list[str | None]:
-    """The label of each span, or None: loopy sum-product over chain and skip edges."""
+    """The label of each span, or None: loopy sum-product over chain and skip edges.
+
+    Two equal spans share an edge; three or more share a variable of their surface. Places of one
+    surface after one kind of label say one thing together: their messages to the surface are
+    averaged, and places without a label speak only where no place has one. So a label in one place
+    is not outvoted by repeats, however many.
+    """
     w = weights()
     unary = [[0.0, *[sum(w.get((f, lb), 0.0) for f in s.feats) for lb in s.labels]] for s in spans]
     for u, s in zip(unary, spans, strict=True):
-        if "left:none" in s.feats:  # a missing label says little against a number
+        if _UNTOLD.intersection(s.feats):  # a missing label says little against a number
             u[1:] = [max(x, UNLABELLED) for x in u[1:]]
     n = len(spans)
+    labels = [s.labels for s in spans]
     edges: list[tuple[int, int, float]] = []
+    part: dict[int, str | None] = {}  # the label by which a span speaks to the variable of its surface; None if it only listens
     if n > 1:
         by: dict[tuple, list[int]] = defaultdict(list)
         like: dict[tuple, list[int]] = defaultdict(list)
@@ -411,51 +432,69 @@ def decide(spans: list[Span]) -> list[str | None]:
             by[s.labels, s.key].append(i)
             if s.labels[0] == "phone":
                 like[s.key[:5], len(s.key)].append(i)
-        for group in by.values():
-            # a chain through equal spans carries the same agreement as all their pairs
-            edges += [(i, j, SKIP_EQUAL) for i, j in zip(group, group[1:])]
+        for (kinds, _), group in by.items():
+            if len(group) == 2:
+                edges.append((*group, SKIP_EQUAL))
+            elif len(group) > 2:
+                labels.append(kinds)
+                unary.append([0.0] * (len(kinds) + 1))
+                told = {i: next((f for f in spans[i].feats if f.startswith("left:") and f not in _UNTOLD), None) for i in group}
+                for i in group:
+                    part[i] = told[i] if any(told.values()) else ""
+                    # over two such edges the agreement is that of one skip edge
+                    edges.append((i, len(labels) - 1, SKIP_EQUAL + math.log(2)))
         for group in like.values():
             edges += [(i, j, SKIP_SIMILAR) for i, j in zip(group, group[1:]) if spans[i].key != spans[j].key]
         edges += [(i, i + 1, CHAIN) for i in range(n - 1) if spans[i + 1].a - spans[i].b < 80]
-    if not edges:
-        belief = unary
-    else:
-        links: dict[int, list[tuple[int, int, float]]] = defaultdict(list)
-        for e, (i, j, c) in enumerate(edges):
-            links[i].append((2 * e, 2 * e + 1, c))
-            links[j].append((2 * e + 1, 2 * e, c))
-        # message 2e goes from i to j, 2e + 1 from j to i
-        ends = {2 * e: (i, j) for e, (i, j, _) in enumerate(edges)} | {2 * e + 1: (j, i) for e, (i, j, _) in enumerate(edges)}
-        msg = {m: [0.0] * len(unary[to]) for m, (_, to) in ends.items()}
-        for _ in range(_ROUNDS):
-            new = {}
-            for m, (src, to) in ends.items():
-                back = m ^ 1
-                c = edges[m // 2][2]
-                pre = list(unary[src])
-                for out_m, in_m, _c in links[src]:
-                    if in_m != back:
-                        pre = [p + q for p, q in zip(pre, msg[in_m], strict=True)]
-                top = max(pre)
-                same = spans[src].labels == spans[to].labels
-                res = []
-                for b in range(len(unary[to])):
-                    # agreement: both nothing, both something, and for equal kinds the same label
-                    res.append(math.log(sum(math.exp(p - top + (c if ((a == b) if same else ((a > 0) == (b > 0))) else 0.0)) for a, p in enumerate(pre))))
-                zero = res[0]
-                new[m] = [r - zero for r in res]
-            msg = new
+    belief = unary
+    # message 2e goes from i to j, 2e + 1 from j to i
+    ends = [p for i, j, _ in edges for p in ((i, j), (j, i))]
+    msg = [[0.0] * len(unary[to]) for _, to in ends]
+    alike = [labels[i] == labels[j] for i, j, _ in edges]
+    for k in range(_ROUNDS if edges else 0):
+        new, moved = [], 0.0
+        means = _means(ends, msg, n, part)
+        for m, (src, to) in enumerate(ends):
+            back = msg[m ^ 1]
+            if src < n:
+                pre = [p - q for p, q in zip(belief[src], back, strict=True)]
+            elif part[to] is None:
+                pre = belief[src]
+            else:
+                size, total = means[src, part[to]]
+                rest = [(t - q) / (size - 1) if size > 1 else 0.0 for t, q in zip(total, back, strict=True)]
+                pre = [p - t / size + r for p, t, r in zip(belief[src], total, rest, strict=True)]
+            got = _message(pre, len(unary[to]), alike[m // 2], edges[m // 2][2])
+            if k >= _DAMPED:
+                got = [(p + q) / 2 for p, q in zip(got, msg[m], strict=True)]
+            moved = max(moved, *[abs(p - q) for p, q in zip(got, msg[m], strict=True)])
+            new.append(got)
+        msg = new
         belief = [list(u) for u in unary]
-        for i in range(n):
-            for _, in_m, _c in links[i]:
-                belief[i] = [p + q for p, q in zip(belief[i], msg[in_m], strict=True)]
+        for (_, to), x in zip(ends, msg, strict=True):
+            if to < n:
+                belief[to] = [p + q for p, q in zip(belief[to], x, strict=True)]
+        for (to, _), (size, total) in _means(ends, msg, n, part).items():
+            belief[to] = [p + t / size for p, t in zip(belief[to], total, strict=True)]
+        if moved < _STILL:
+            break
     out: list[str | None] = []
-    for s, b in zip(spans, belief, strict=True):
+    for s, b in zip(spans, belief, strict=False):  # without the variables of surfaces
         k = max(range(len(b)), key=b.__getitem__)
         out.append(s.labels[k - 1] if k else None)
     return out
 
 
+def _means(ends: list[tuple[int, int]], msg: list[list[float]], n: int, part: dict[int, str | None]) -> dict[tuple[int, str], tuple[int, list[float]]]:
+    """Number and sum of the messages to the variable of a surface, by the label before the place."""
+    got: dict[tuple[int, str], tuple[int, list[float]]] = {}
+    for (src, to), x in zip(ends, msg, strict=True):
+        if to >= n and part[src] is not None:
+            size, total = got.get((to, part[src]), (0, [0.0] * len(x)))
+            got[to, part[src]] = (size + 1, [p + q for p, q in zip(total, x, strict=True)])
+    return got
+
+
 def find(text: str, names: Names) -> list[tuple[str, int, int]]:
     """``(kind, begin, end)`` in ``text``, in order of place."""
     low, at = fold(text)

@@ -174,6 +174,16 @@ def test_personal_spans(spark):
     assert clean[1].startswith("Write to [EMAIL] or [EMAIL], phone [PHONE].\n[PERSON_NAME] and") and clean[1].endswith("[ID_NUMBER]") and clean[2] is None
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 10, 200])
+def test_repeats_of_a_labelled_number(n):
+    names = personal.Names([])
+    for again in ("911 02 1838", "He wrote 911 02 1838 again.", "so, 911021838 it is", "It was 911-02-1838 " + "far away " * 20):
+        text = "\n".join(["The SSN 911-02-1838 is old.", *[again] * n])
+        assert personal.redact(text, names).count("[ID_NUMBER]") == n + 1
+    row = "\n".join(["article no. 490-93-5278", *["the 490-93-5278 one"] * n])
+    assert personal.redact(row, names) == row
+
+
 def test_block_directory(spark, monkeypatch):
     monkeypatch.setattr(personal, "DIRECTORY_BLOCK", 1)
     df = spark.createDataFrame([(1, TEXT)], "row_idx long, cleaned_body string")
