@@ -1,8 +1,8 @@
 """Problem 10: text quality statistics of a document, and lists, tables and junk told from prose.
 
 Method: tables and lists are found from the vertical alignment of delimiters,
-from the periodicity of indentation and markers, and from the autocorrelation
-of line lengths; junk from word, symbol and punctuation ratios. The decision
+from the periodicity of indentation, markers and keys, and from the
+autocorrelation of line lengths; junk from word, symbol and punctuation ratios. The decision
 reads the statistics only, so it can be repeated from the table of them.
 
 Defined results: null, empty and blank texts have zero counts, ratio 0.0 and
@@ -16,6 +16,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +37,9 @@ _HEX = re.compile(r"^(?:[0-9a-f]{2}|[0-9A-F]{2})$")
 _BASE64 = re.compile(r"[A-Za-z0-9+/=_\-]{25,}")
 _MIDPUNCT = re.compile(r"[^\W\d_][,;.!?:][^\W\d_]")
 _GAP = re.compile(r" {2,}|\t")
+#: indentation with a marker, a number or the key of a value
+_BEGIN = re.compile(r"\s*(?:[^\w\s]+|\d+[.):]?|[^\W\d_][\w \-]{0,30}:(?=\s|$))?")
+_DIGITS = re.compile(r"\d+")
 _SPACE = re.compile(r"\s")
 #: leftovers of a wrong decoding, arrows and drawing characters
 _STRANGE = re.compile(r"[¢-©¬®¯±´-¶¸¼-¾×÷ÂÃâï€œ™\u2190-\u2BFF\uFFFD\x00-\x08\x0b\x0c\x0e-\x1f]")
@@ -69,24 +73,45 @@ def _columns(lines: list[str]) -> tuple[float, int]:
 
 
 def _autocorrelation(lengths: list[int]) -> float:
-    """Of line lengths at lag one, or 1.0 where all lines are about as long."""
+    """Of line lengths, at the lag up to a third of the lines where it is highest; 1.0 where all lines are about as long."""
     n = len(lengths)
     if n < 3:
         return 0.0
-    mean = sum(lengths) / n
-    var = sum((x - mean) ** 2 for x in lengths)
+    x = np.array(lengths, float)
+    x -= (mean := x.mean())
+    var = float(x @ x)
     if var <= n * (0.05 * mean) ** 2:
         return 1.0
-    return sum((a - mean) * (b - mean) for a, b in zip(lengths, lengths[1:])) / var
+    return float(_lags(x)[1 : n // 3 + 1].max() / var)
+
+
+def _lags(x: np.ndarray) -> np.ndarray:
+    """Sums of the products of ``x`` with itself at every distance."""
+    f = np.fft.rfft(x, 2 * len(x))
+    return np.fft.irfft(f * f.conj(), 2 * len(x))[: len(x)]
 
 
 def _period(lines: list[str]) -> int:
-    """The smallest period of up to 4 at which the kinds of line beginnings repeat; 0 without one."""
-    kinds = [re.sub(r"\d+", "9", re.match(r"\s*(?:[^\w\s]+|\d+[.):]?)?", ln).group(0)) for ln in lines]
-    n = len(kinds)
-    if n < 4:
+    """The smallest period, seen three times or more, at which indentation, markers and keys repeat; 0 without one or without any of them."""
+    n = len(lines)
+    kinds = [_DIGITS.sub("9", _BEGIN.match(ln).group(0)) for ln in lines]
+    if n < 4 or not any(kinds):
         return 0
-    return next((p for p in (1, 2, 3, 4) if sum(a == b for a, b in zip(kinds, kinds[p:])) >= 0.85 * (n - p)), 0)
+    places: dict[str, list[int]] = {}
+    for i, k in enumerate(kinds):
+        places.setdefault(k, []).append(i)
+    equal = np.zeros(n)
+    for at in places.values():
+        if len(at) ** 2 <= 4 * n:
+            away = np.subtract.outer(at, at)
+            equal += np.bincount(away[away > 0], minlength=n)
+        else:
+            x = np.zeros(n)
+            x[at] = 1
+            equal += np.rint(_lags(x))
+    top = n // 3
+    good = equal[1 : top + 1] >= 0.85 * (n - np.arange(1, top + 1))
+    return int(good.argmax()) + 1 if good.any() else 0
 
 
 def statistics(text: str | None, common: dict[str, frozenset[str]], lang: str | None = None) -> dict[str, float]:
@@ -155,6 +180,9 @@ def kind(s: dict[str, float]) -> str:
     if s["n_lines"] >= 3 and s["sentence_count"] <= 0.15 * s["n_lines"] and s["prose_line_share"] < 0.2:
         if s["bullet_share"] >= 0.6 or (s["short_line_share"] >= 0.8 and s["common_share"] < 0.3 and s["n_lines"] >= 5):
             return "list"
+        # neither bullets nor delimiters nor short lines: indentation or line lengths that repeat
+        if s["common_share"] < 0.4 and ((s["indent_period"] and s["n_lines"] >= 4) or (s["line_autocorrelation"] >= 0.5 and s["n_lines"] >= 5)):
+            return "table" if s["digit_ratio"] >= 0.25 else "list"
     if s["n_words"] >= 12 and s["common_share"] < 0.02 and s["sentence_count"] == 0 and s["n_lines"] <= 3:
         return "junk"
     return "prose"

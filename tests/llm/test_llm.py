@@ -269,6 +269,37 @@ def test_kinds(text, kind):
     assert quality.kind(quality.statistics(text, COMMON)) == kind
 
 
+RECORD = "{} of the northern store\n    made of brass and glass with {} handles\n    kept on the upper shelf beside number {}"
+
+
+@pytest.mark.parametrize(
+    ("text", "kind", "period"),
+    [
+        # indented blocks; entries of six lines; keys that come again; rows without a delimiter; lines of long and short
+        ("\n".join(RECORD.format(x, y, i) for i, (x, y) in enumerate([("Lamp", "two"), ("Chair", "eleven"), ("Old table", "no")])), "list", 3),
+        ("\n".join(f"{x} from the catalogue\n  first owner was an unknown person abroad\n    second owner lived near our old harbour\n  third owner never told anyone about it\n      fourth owner sold every part again\n  fifth owner keeps it since last winter" for x in "abcd"), "list", 6),
+        ("\n".join(f"Name: {x} lamp made by hand in Oldtown works\nUse: every large hall with high walls and windows" for x in ("red", "blue", "dark green")), "list", 2),
+        ("lamp 1209 3881 2271 9910 8812 19\nbench 109 3281 4271 8910 7812 23\nchair 169 3481 2371 1910 3812 31\ntable 229 3981 2871 6910 4812 47\nshelf 119 3081 2171 5910 6812 53", "table", 0),
+        ("\n".join(f"Large brass lamp {x} with long green cord plus switch\nsold {x}" for x in ("one", "two", "six", "ten", "four")), "list", 0),
+        # wrapped prose and paragraphs with an indented first line stay prose
+        ("The lamp is in the room of the house and it has to be moved to\nthe other side of the hall in the morning as it is in the way. It\nis to be taken down and to be put in the box of the old chair. The\nbox is in the cellar.", "prose", 0),
+        ("    The lamp is in the room.\nIt was moved there.\n    The chair is in the hall.\nIt is to be moved.\n    The box is in the cellar.\nIt is old.", "prose", 2),
+    ],
+)
+def test_structure_without_bullets(text, kind, period):
+    s = quality.statistics(text, COMMON)
+    assert (quality.kind(s), s["indent_period"]) == (kind, period)
+
+
+def test_periods_like_brute_force():
+    rng = random.Random(10)
+    for n in (4, 9, 40, 300):
+        for p in (1, 2, 5, n // 3):
+            kinds = [" " * (i % p) if rng.random() < 0.95 else "-" for i in range(n)]
+            want = next((q for q in range(1, n // 3 + 1) if sum(a == b for a, b in zip(kinds, kinds[q:])) >= 0.85 * (n - q)), 0) if any(kinds) else 0
+            assert quality._period([k + " x" if k == "-" else k + "x" for k in kinds]) == want
+
+
 def test_statistics_frame(spark):
     df = spark.createDataFrame([(1, "The lamp."), (2, None)], "doc_id long, text string")
     words = spark.createDataFrame([("en", "the"), (None, "x")], "lang string, word string")
