@@ -13,7 +13,9 @@ address refers to the ancestors by that sender; span lines and the ancestors'
 own lines meet on equal shingles, one alignment (longest increasing run of
 positions) is made for each ancestor, and the best one tells where the
 inherited text ends: lines after the ancestor's last own line are the sender's
-again, unless some other mail says them too. Where no ancestor is at hand the span runs to the end of the text.
+again, unless they stand, as whole lines in order, in another mail of a sender
+whom a header of the mail or of the ancestor cites: two lines at least, or all
+of a mail of one. What mails outside the thread say does not count. Where no ancestor is at hand the span runs to the end of the text.
 
 Mails that merely resemble each other are no ancestors: without a reference
 nothing is removed.
@@ -295,11 +297,16 @@ SHINGLE, _BASE, _MOD = 4, 1_000_003, (1 << 61) - 1
 
 def shingle(line: str) -> int | None:
     """The least rolling hash of the line's windows of ``SHINGLE`` words, or of all words of a shorter line; None without words."""
+    return _hashes(line)[0]
+
+
+def _hashes(line: str) -> tuple[int | None, int | None]:
+    """The shingle of a line and the hash of all its words."""
     import xxhash
 
     words = re.findall(r"\w+", line.casefold())
     if not words:
-        return None
+        return None, None
     h = [xxhash.xxh32_intdigest(w) for w in words]
     top = pow(_BASE, SHINGLE - 1, _MOD)
     roll = 0
@@ -309,7 +316,10 @@ def shingle(line: str) -> int | None:
     for old, x in zip(h, h[SHINGLE:]):
         roll = ((roll - old * top) * _BASE + x) % _MOD
         least = min(least, roll)
-    return least
+    whole = len(h)
+    for x in h:
+        whole = (whole * _BASE + x) % _MOD
+    return least, whole
 
 
 def align(pairs: list[tuple[int, int]]) -> tuple[int, int, int]:
@@ -328,37 +338,57 @@ def align(pairs: list[tuple[int, int]]) -> tuple[int, int, int]:
     return len(tails), ends[-1][0], ends[-1][1]
 
 
-OWN, SPAN, TAIL = 0, 1, 2
+def longest_run(pairs: list[tuple[int, int]]) -> list[int]:
+    """The lines of the longest run in which lines and ancestor positions increase."""
+    tails: list[int] = []
+    nodes: list[tuple[int, int]] = []  # line and the node before it
+    at: list[int] = []
+    for line, pos in sorted(pairs, key=lambda p: (p[0], -p[1])):
+        k = bisect_left(tails, pos)
+        nodes.append((line, at[k - 1] if k else -1))
+        tails[k : k + 1] = [pos]
+        at[k : k + 1] = [len(nodes) - 1]
+    out, i = [], at[-1] if at else -1
+    while i >= 0:
+        line, i = nodes[i]
+        out.append(line)
+    return out[::-1]
+
+
+OWN, SPAN, TAIL, NAMED = 0, 1, 2, 3
 
 
 def _lines(people: list[tuple[str | None, str | None]]):  # noqa: ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roster = Roster(people)
         for b in batches:
-            take, no, kind, hashes, ref, address = [], [], [], [], [], []
+            take, no, kind, hashes, wholes, ref, address = [], [], [], [], [], [], []
             for i, t in enumerate(b.column(2).to_pylist()):
                 out, seen, spans = analyse(t, roster)
                 for k, c in enumerate(out):
                     span = spans[k]
                     if c == NEW:
-                        row = (OWN, shingle(seen[k]), -1, None)
+                        row = (OWN, *_hashes(seen[k]), -1, None)
                     elif c == SIGNATURE:
                         continue
                     elif span is not None and c == QUOTED and span[1]:
                         plain = not (_NOTICE.search(seen[k]) or _CLOSE.match(seen[k]) or _DASHNAME.match(seen[k]) or _sig_like(seen[k], roster))
-                        row = (TAIL if plain else SPAN, shingle(seen[k]), span[0], span[1])
+                        row = (TAIL if plain else SPAN, *_hashes(seen[k]), span[0], span[1])
+                    elif c == HEADER and (named := _ADDR.search(seen[k])) and not _TO.match(seen[k]):
+                        row = (NAMED, None, None, -1, named.group(0).lower())
                     else:
                         continue
                     take.append(i)
                     no.append(k)
                     kind.append(row[0])
                     hashes.append(row[1])
-                    ref.append(row[2])
-                    address.append(row[3])
+                    wholes.append(row[2])
+                    ref.append(row[3])
+                    address.append(row[4])
             idx = pa.array(take, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(idx), b.column(1).take(idx), pa.array(no, pa.int32()), pa.array(kind, pa.int8()), pa.array(hashes, pa.int64()), pa.array(ref, pa.int32()), pa.array(address, pa.string())],
-                names=["row", "doc", "line_no", "kind", "h", "ref", "address"],
+                [b.column(0).take(idx), b.column(1).take(idx), pa.array(no, pa.int32()), pa.array(kind, pa.int8()), pa.array(hashes, pa.int64()), pa.array(wholes, pa.int64()), pa.array(ref, pa.int32()), pa.array(address, pa.string())],
+                names=["row", "doc", "line_no", "kind", "h", "whole", "ref", "address"],
             )
 
     return run
@@ -366,16 +396,22 @@ def _lines(people: list[tuple[str | None, str | None]]):  # noqa: ANN202
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        got = [align([(p["line_no"], p["pos"]) for p in ps]) for ps in b.column(3).to_pylist()]
+        got = [align([(p["line_no"], p["pos"]) for p in ps]) for ps in b.column(4).to_pylist()]
         cols = list(zip(*got, strict=True)) if got else [(), (), ()]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), *[pa.array(c, pa.int32()) for c in cols]], names=["row", "ref", "anc", "n", "line", "pos"])
+        yield pa.RecordBatch.from_arrays([*b.columns[:4], *[pa.array(c, pa.int32()) for c in cols]], names=["row", "doc", "ref", "anc", "n", "line", "pos"])
+
+
+def _inherited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        got = [longest_run([(p["line_no"], p["pos"]) for p in ps]) for ps in b.column(3).to_pylist()]
+        yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(got, pa.list_(pa.int32()))], names=["row", "ref", "elder", "lines"])
 
 
 DIRECTORY_BOUND = 200_000
 
 
-def new_lines(df: DataFrame, senders: DataFrame, directory: DataFrame, key: str, text: str, doc: str = "eid", ancestors: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """``(found, own)``: ``(key, line_no)`` of the new lines, and the table of own lines that later calls can take as ``ancestors``.
+def new_lines(df: DataFrame, senders: DataFrame, directory: DataFrame, key: str, text: str, doc: str = "eid", ancestors: tuple[DataFrame, DataFrame] | None = None) -> tuple[DataFrame, tuple[DataFrame, DataFrame]]:
+    """``(found, known)``: ``(key, line_no)`` of the new lines, and the tables of own lines and of the senders each mail cites, which later calls can take as ``ancestors``.
 
     ``senders (eid, from_addr)`` tells who wrote a mail; ``directory`` holds the names that sign mails
     (at most ``DIRECTORY_BOUND`` people: they are sent to every worker).
@@ -385,11 +421,13 @@ def new_lines(df: DataFrame, senders: DataFrame, directory: DataFrame, key: str,
         raise ValueError(f"the directory has over {DIRECTORY_BOUND} people")
     scratch = Scratch(df.sparkSession, "new-lines")
     rows = df.where(F.col(text).isNotNull() & (F.length(text) > 0)).select(F.col(key).cast("long").alias("row"), F.xxhash64(doc).alias("doc"), F.col(text).alias("t"))
-    lines = scratch.cut(rows.mapInArrow(_lines(people), "row long, doc long, line_no int, kind byte, h long, ref int, address string"))
-    own = lines.where(f"kind = {OWN} and h is not null").select("doc", F.col("line_no").alias("pos"), "h")
+    lines = scratch.cut(rows.mapInArrow(_lines(people), "row long, doc long, line_no int, kind byte, h long, whole long, ref int, address string"))
+    own = lines.where(f"kind = {OWN} and h is not null").select("doc", F.col("line_no").alias("pos"), "h", "whole")
+    cited = lines.where(f"kind = {NAMED}").select("doc", "address").distinct()
     if ancestors is not None:
-        own = ancestors
-    open_ = lines.where(f"kind <> {OWN}")
+        own = ancestors[0]
+        cited = cited.union(ancestors[1]).distinct()
+    open_ = lines.where(f"kind in ({SPAN}, {TAIL})")
     # who wrote what: only senders that some open span refers to
     asked = open_.select("address").distinct()
     who = senders.where("eid is not null and from_addr is not null").select(F.xxhash64("eid").alias("doc"), F.lower("from_addr").alias("address")).distinct()
@@ -397,13 +435,21 @@ def new_lines(df: DataFrame, senders: DataFrame, directory: DataFrame, key: str,
     theirs = own.join(who, "doc").select("address", "h", F.col("doc").alias("anc"), "pos").distinct()
     met = open_.where("h is not null").select("row", "doc", "ref", "address", "h", "line_no").join(theirs, ["address", "h"]).where("doc <> anc")
     # the lines of one span and one ancestor: bounded by the lines of a mail
-    runs = met.groupBy("row", "ref", "anc").agg(F.collect_list(F.struct("line_no", "pos")).alias("ps")).mapInArrow(_aligned, "row long, ref int, anc long, n int, line int, pos int")
-    best = runs.groupBy("row", "ref").agg(F.max(F.struct("n", "anc", "line", "pos")).alias("b")).select("row", "ref", "b.*")
+    runs = met.groupBy("row", "doc", "ref", "anc").agg(F.collect_list(F.struct("line_no", "pos")).alias("ps")).mapInArrow(_aligned, "row long, doc long, ref int, anc long, n int, line int, pos int")
+    best = runs.groupBy("row", "doc", "ref").agg(F.max(F.struct("n", "anc", "line", "pos")).alias("b")).select("row", "doc", "ref", "b.*").where("n >= 2")
     ends = own.groupBy(F.col("doc").alias("anc")).agg(F.max("pos").alias("end"))
-    done = best.where("n >= 2").join(ends, "anc").where("pos = end").select("row", "ref", "line")
-    after = open_.where(f"kind = {TAIL}").join(done, ["row", "ref"]).where("line_no > line").select("row", "doc", "line_no", "h")
-    # an ancestor may itself quote without marks: what any other mail says was not written here
-    said = own.select("h", F.col("doc").alias("other")).distinct()
-    after = after.join(said, (after["h"] == said["h"]) & (after["doc"] != said["other"]), "left_anti").select("row", "line_no")
+    done = best.join(ends, "anc").where("pos = end").select("row", "ref", "anc", "line")
+    after = scratch.cut(open_.where(f"kind = {TAIL}").join(done, ["row", "ref"]).where("line_no > line").select("row", "doc", "ref", "line_no", "whole", "anc"))
+    # an ancestor may itself quote without marks: whole lines of the senders whom it or the mail cites, in their order, were not written here
+    pairs = after.select("doc", "anc").distinct()
+    elders = pairs.join(cited, "doc").union(pairs.join(cited.withColumnRenamed("doc", "anc"), "anc").select("doc", "anc", "address")).distinct()
+    by = senders.where("eid is not null and from_addr is not null").select(F.xxhash64("eid").alias("elder"), F.lower("from_addr").alias("address")).distinct()
+    by = by.join(elders.select("address").distinct(), "address", "left_semi")
+    theirs = own.where("whole is not null").withColumnRenamed("doc", "elder").join(by, "elder").select("elder", "address", "pos", "whole").distinct()
+    met = after.join(elders, ["doc", "anc"]).join(theirs, ["address", "whole"]).where("doc <> elder and anc <> elder")
+    runs = met.groupBy("row", "ref", "elder").agg(F.collect_set(F.struct("line_no", "pos")).alias("ps")).mapInArrow(_inherited, "row long, ref int, elder long, lines array<int>")
+    size = theirs.groupBy("elder").agg(F.countDistinct("pos").alias("size"))
+    told = runs.join(size, "elder").where("size(lines) >= least(2, size)").select("row", F.explode("lines").alias("line_no")).distinct()
+    after = after.select("row", "line_no").join(told, ["row", "line_no"], "left_anti")
     found = lines.where(f"kind = {OWN}").select("row", "line_no").union(after)
-    return found.withColumnRenamed("row", key), own
+    return found.withColumnRenamed("row", key), (own, cited)

@@ -118,8 +118,23 @@ def test_unmarked_span_ends_with_the_ancestor(spark):
     assert got == {(1, 0), (1, 1), (1, 2), (2, 0), (2, 1), (2, 8)}
 
 
+def test_tail_that_strangers_say_too(spark):
+    wrote = "On Mon, Mar 30, 2026 at 4:37 PM Bruno Tessel <b@tessel.example> wrote:"
+    old = "the first mail of this thread speaks of lamps\nand it has a second line of its own"
+    parent = "the red lamp must be moved tomorrow\nplease tell the others about it"
+    tail = "Guten Tag,\nThanks for the update of the lamp"
+    rows = [(1, "g", old), (2, "p", f"{parent}\n\n{wrote}\n{old}"), (3, "c", f"my answer\n\n{wrote}\n{parent}\n{old}\n{tail}"), (4, "x", "Guten Tag,\nThanks for the update and nothing else")]
+    df = spark.createDataFrame(rows, "row_idx long, eid string, raw_body string")
+    senders = spark.createDataFrame([("g", "b@tessel.example"), ("p", "b@tessel.example"), ("c", "ada@quill.example"), ("x", "z@else.example")], "eid string, from_addr string")
+    people = spark.createDataFrame(PEOPLE, "given_name string, family_name string")
+    got = {tuple(r) for r in newtext.new_lines(df, senders, people, "row_idx", "raw_body")[0].where("row_idx in (2, 3)").collect()}
+    # the greeting stands in a stranger's mail too; the lines of the grandparent are inherited
+    assert got == {(2, 0), (2, 1), (3, 0), (3, 7), (3, 8)}
+
+
 def test_alignment():
     assert newtext.align([(1, 5), (2, 1), (3, 2), (4, 9), (4, 3)])[0] == 3
+    assert newtext.longest_run([(1, 5), (2, 1), (3, 2), (4, 9), (4, 3)]) == [2, 3, 4] and newtext.longest_run([]) == []
     assert newtext.shingle("a b c d e") is not None and newtext.shingle("...") is None
 
 
