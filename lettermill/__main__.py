@@ -37,7 +37,8 @@ def main(argv: list[str] | None = None) -> int:
     out = Path(a.output) if a.output else Path(a.input).with_name(Path(a.input).stem + "_clean.json")
     print(f"{io.write_single_json(done.orderBy('row_idx'), str(out))} mails: {out}")
     if not a.no_md:
-        out.with_suffix(".md").write_text(io.cleaning_report(done, Path(a.input).name), encoding="utf-8")
+        with out.with_suffix(".md").open("w", encoding="utf-8") as f:
+            f.writelines(io.report_lines(done, Path(a.input).name))
         io.write_markdown_files(done, str(out.with_name(out.stem + "_emails")))
     for r in done.orderBy("row_idx").limit(a.sample).collect() if a.sample else ():
         print(f"{r['eid'][:55]} ({len(r['body_text'])}): {r['body_text'][:500].encode('ascii', 'replace').decode()}")

@@ -122,18 +122,25 @@ def write_markdown_files(df: DataFrame, folder: str, eid: str = "eid", text: str
     named.foreachPartition(write)
 
 
-def cleaning_report(df: DataFrame, source: str, eid: str = "eid", text: str = "body_text", now: datetime | None = None, entries: int = 1_000) -> str:
-    """Markdown with counts and lengths of all rows, and a table of contents of the first ``entries`` ids."""
+def cleaning_report(df: DataFrame, source: str, eid: str = "eid", text: str = "body_text", now: datetime | None = None, entries: int | None = None) -> str:
+    """The lines of ``report_lines`` as one text."""
+    return "".join(report_lines(df, source, eid, text, now, entries))
+
+
+def report_lines(df: DataFrame, source: str, eid: str = "eid", text: str = "body_text", now: datetime | None = None, entries: int | None = None):  # noqa: ANN201
+    """Markdown with counts and lengths of all rows, and a table of contents of all ids, or of the first ``entries``, in the order of ``row_idx``; streamed."""
     full = F.length(text) > 0
     s = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(full).alias("full"), F.floor(F.avg(F.when(full, F.length(text)))).alias("mean"), F.min(F.when(full, F.length(text))).alias("lo"), F.max(F.when(full, F.length(text))).alias("hi")).first()
     out = ["# Cleaning report", "", f"> **Source**: `{source}`  ", f"> **Generated**: {(now or datetime.now()):%Y-%m-%d %H:%M}  ", f"> **Total**: {s['n']} | **Non-empty**: {s['full']} | **Skipped**: {s['n'] - s['full']}", ""]
     if s["full"]:
         out += ["| Metric | Value |", "|---|---|", f"| Average length | {s['mean']} |", f"| Shortest | {s['lo']} |", f"| Longest | {s['hi']} |", ""]
     out += ["## Contents", ""]
-    for i, r in enumerate(df.select(eid, (~full).alias("blank")).limit(entries).collect(), 1):
+    yield "".join(x + "\n" for x in out)
+    listed = (df.orderBy("row_idx") if "row_idx" in df.columns else df).select(eid, (~full).alias("blank"))
+    listed = listed if entries is None else listed.limit(entries)
+    for i, r in enumerate(listed.toLocalIterator(), 1):
         e = r[0] or ""
-        out.append(f"{i}. {e[:55] + ('...' if len(e) > 55 else '')}{' *(empty)*' if r['blank'] else ''}")
-    return "\n".join(out) + "\n"
+        yield f"{i}. {e[:55] + ('...' if len(e) > 55 else '')}{' *(empty)*' if r['blank'] else ''}\n"
 
 
 def thread_report(metrics: list[DataFrame], summary: DataFrame, chosen: str, stats: DataFrame, now: datetime | None = None) -> str:

@@ -61,3 +61,9 @@ def test_command_line(spark, tmp_path, capsys):
     f.write_text(json.dumps({"a": "Hello there, all.\n\nThanks,\nBob", "b": ""}))
     assert main([str(f), "--sample", "1"]) == 0 and json.loads((tmp_path / "c_clean.json").read_text())["a"] == "Hello there, all.\n\nBob"
     assert main([str(f), "--single", "zz"]) == 1
+
+
+def test_report_lists_every_mail(spark):
+    df = spark.range(1_200).selectExpr("1200 - id as row_idx", "concat('m', 1200 - id) as eid", "'x' as body_text")
+    lines = io.cleaning_report(df, "x").splitlines()
+    assert lines[-1] == "1200. m1200" and lines[-1200] == "1. m1" and len(io.cleaning_report(df, "x", entries=5).splitlines()) == len(lines) - 1_195
