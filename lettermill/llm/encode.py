@@ -16,11 +16,13 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterator
+import os
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: where the public vocabularies lie unless the caller names another file
@@ -120,11 +122,19 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def shipped(spark: SparkSession, path: str) -> Callable[[], Encoder]:
+    """Sends the vocabulary file to the workers, which need no folder in common; what it returns is called there."""
+    spark.sparkContext.addFile(path)
+    name = os.path.basename(path)
+    return lambda: encoder(SparkFiles.get(name))
+
+
 def token_ids(df: DataFrame, key: str, text: str, path: str = VOCABULARY) -> DataFrame:
     """``(key, ids)`` for every row; the key is kept as it is."""
+    here = shipped(df.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc = here()
         for b in batches:
             for at in range(0, b.num_rows, 256):  # bounds the lists held at once
                 s = b.slice(at, 256)
@@ -135,14 +145,17 @@ def token_ids(df: DataFrame, key: str, text: str, path: str = VOCABULARY) -> Dat
     return df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, ids array<int>").withColumnRenamed("key", key)
 
 
-def token_counts(df: DataFrame, key: str, text: str, path: str = VOCABULARY, out: str = "n_tokens") -> DataFrame:
-    """``(key, n_tokens)``; only the count leaves the Python worker."""
+def token_counts(df: DataFrame, key: str, text: str, path: str = VOCABULARY, out: str = "n_tokens", keep: Sequence[str] = ()) -> DataFrame:
+    """``(key, *keep, n_tokens)``; only the count leaves the Python worker."""
+    here = shipped(df.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc = here()
         for b in batches:
-            n = pa.array([len(enc.encode(t)) for t in b.column(1).to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), n], names=["key", "n"])
+            n = pa.array([len(enc.encode(t)) for t in b.column(b.num_columns - 1).to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], n], names=[*b.schema.names[:-1], "n"])
 
-    kind = df.schema[key].dataType.simpleString()
-    return df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, n long").select(F.col("key").alias(key), F.col("n").alias(out))
+    taken = [F.col(c).alias(f"k{i}") for i, c in enumerate((key, *keep))]
+    shape = ", ".join(f"k{i} {df.schema[c].dataType.simpleString()}" for i, c in enumerate((key, *keep)))
+    got = df.select(*taken, F.col(text).alias("text")).mapInArrow(run, f"{shape}, n long")
+    return got.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate((key, *keep))], F.col("n").alias(out))

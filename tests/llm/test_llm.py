@@ -250,11 +250,35 @@ def test_apportionment_like_one_seat_at_a_time(spark):
 def test_mix(spark):
     docs = [(i, "a", "word " * 40) for i in range(50)] + [(100 + i, "b", "word " * 40) for i in range(5)] + [(200, "x", "unlisted"), (201, None, "none"), (202, "a", None), (203, "a", "")]
     targets = [("a", 0.5, 1), ("b", 0.4, 3), ("gone", 0.1, 2)]
-    sel, rep = mixing.mix(spark.createDataFrame(docs, "doc_id long, source string, text string"), spark.createDataFrame(targets, "source string, target_share double, max_repeats int"))
+    d, t = spark.createDataFrame(docs, "doc_id long, source string, text string"), spark.createDataFrame(targets, "source string, target_share double, max_repeats int")
+    sel, rep = mixing.mix(d, t, block_tokens=40)
     s, r = sel.collect(), {x["source"]: x for x in rep.collect()}
     assert all(x["repeats"] <= {"a": 1, "b": 3}[x["source"]] for x in s)
-    assert r["gone"]["mixed_tokens"] == 0 and r["b"]["most_repeats"] == 3
-    assert abs(r["a"]["actual_share"] - 5 / 9) < 0.02 and sum(x["n_tokens"] * x["repeats"] for x in s) == sum(x["mixed_tokens"] for x in r.values())
+    # of all 2,255 tokens b should give 902; three passes over it give 615
+    assert r["gone"]["mixed_tokens"] == 0 and r["gone"]["shortfall_tokens"] > 0 and r["b"]["most_repeats"] == 3
+    assert r["b"]["mixed_tokens"] == 3 * r["b"]["available_tokens"] == r["b"]["quota_tokens"] - r["b"]["shortfall_tokens"]
+    assert abs(r["a"]["mixed_tokens"] - r["a"]["quota_tokens"]) <= 41 and sum(x["n_tokens"] * x["repeats"] for x in s) == sum(x["mixed_tokens"] for x in r.values())
+    # at the largest exact size the shares of the sources that have something keep their proportion
+    size = mixing.largest_exact(rep)
+    r = {x["source"]: x for x in mixing.mix(d, t, block_tokens=40, size=size)[1].collect()}
+    assert r["b"]["shortfall_tokens"] <= 40 and abs(r["a"]["mixed_tokens"] / r["b"]["mixed_tokens"] - 1.25) < 0.15
+    none = mixing.mix(d.limit(0), t)[1].collect()
+    assert len(none) == 3 and all(x["mixed_tokens"] == 0 and x["actual_share"] == 0.0 for x in none)
+
+
+def test_quotas_of_shards_are_met(spark):
+    rng = random.Random(4)
+    docs = [(i, "abc"[i % 3], "word " * rng.randrange(1, 60)) for i in range(900)]
+    targets = [("a", 0.2, 3), ("b", 0.5, 3), ("c", 0.3, 3)]
+    d, t = spark.createDataFrame(docs, "doc_id long, source string, text string"), spark.createDataFrame(targets, "source string, target_share double, max_repeats int")
+    sel, rep = mixing.mix(d, t, block_tokens=100, shard_tokens=2_000)
+    r = {x["source"]: x for x in rep.collect()}
+    total = sum(x["mixed_tokens"] for x in r.values())
+    for x in r.values():
+        # each of about five shards misses its quota by half a block (of 100 tokens and a document) at most
+        assert x["shortfall_tokens"] == 0 and abs(x["mixed_tokens"] - x["quota_tokens"]) <= 5 * 80
+        assert abs(x["mixed_tokens"] / total - x["target_share"]) < 0.015
+    assert {x["repeats"] for x in sel.where("source = 'b'").collect()} == {1, 2}
 
 
 # ---------------------------------------------------------------- 10
