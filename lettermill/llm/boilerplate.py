@@ -1,15 +1,19 @@
 """Problem 4: lines repeated across one source's documents.
 
 Method: numbers, dates and names of a line are masked, and the masked lines of
-one source are clustered by locality-sensitive hashing (min-hash of words and
-word pairs, ``BANDS`` bands). Clusters that occur in many documents are kept;
-an exact check of each line's own document frequency follows.
+one source are clustered by locality-sensitive hashing (min-hash of the words,
+``BANDS`` bands of ``ROWS``). A bucket's most frequent masked line leads it;
+lines that share ``similarity`` of their words with a leader join its cluster.
+Clusters that occur in many documents of their source are removed
+(``repeated_clusters``). ``repeated_lines`` is the case of lines whose own text
+is that frequent: it takes the lines of such clusters and an exact document
+frequency of each line follows, which no line outside them can reach.
 
 How it is laid out: one pass over the texts writes a narrow table of hashes.
-Cluster sizes come from a map-side combined count of line occurrences, an upper
-bound of their documents, so nothing is lost; only the lines of heavy clusters,
-a small part, reach the exact distinct count. A hot source is split by its
-lines; sizes of sources come from a two-step distinct count.
+Everything that follows works on the distinct masked lines of a source, combined
+map-side; buckets whose occurrences, an upper bound of their documents, do not
+reach the limit go no further. A hot source is split by its lines; sizes of
+sources come from a two-step distinct count.
 
 Defined results: rows with a null source are left out; null, empty and blank
 bodies have no lines but count as documents of their source; a null id counts
@@ -20,111 +24,190 @@ elements split at ``\\n`` and numbered from 0.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Container, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lettermill.llm.names import Field, field
 from lettermill.llm.text import visible_line
 from lettermill.session import Scratch
 
-BANDS, ROWS = 2, 2
+BANDS, ROWS, SIMILARITY = 4, 2, 0.8
 _KEPT = 200_000
 _DATE = re.compile(r"\b(?:\d{1,4}[./-]\d{1,2}(?:[./-]\d{1,4})?|(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?)\b")
 _NUMBER = re.compile(r"\d[\d.,:]*")
 _WORD = re.compile(r"\w+")
-_LAWS = [(0x9E3779B97F4A7C15 ^ (k * 0xD6E8FEB86659FD93) | 1) & ((1 << 64) - 1) for k in range(1, BANDS * ROWS + 1)]
-_M64 = (1 << 64) - 1
+_LAWS = np.array([(0x9E3779B97F4A7C15 ^ (k * 0xD6E8FEB86659FD93) | 1) & ((1 << 64) - 1) for k in range(1, BANDS * ROWS + 1)], np.uint64)
 
 
-def mask(seen: str, names: frozenset[str] = frozenset()) -> list[str]:
+def mask(seen: str, names: Container[str] = frozenset()) -> list[str]:
     """Words of one visible line (in one case), with dates, numbers and known names replaced by marks.
 
     It reads the visible text, not the raw line: lines that look alike fall into one cluster.
     """
-    words = _WORD.findall(_NUMBER.sub("0", _DATE.sub("0", seen)))
-    return ["n'" if w in names else w for w in words] if names else words
+    words = _WORD.findall(_NUMBER.sub("0", _DATE.sub("0", seen)) if any(map(str.isdigit, seen)) or _DATE.search(seen) else seen)
+    return ["n'" if w in names else w for w in words]
+
+
+class _Words(dict):
+    """32-bit hash of a word, with the mark of a name where it is one; kept (bounded)."""
+
+    def __init__(self, names: Container[str]) -> None:
+        import xxhash
+
+        self.names, self.h = names, xxhash.xxh32_intdigest
+
+    def __missing__(self, w: str) -> int:
+        if len(self) >= _KEPT:
+            self.clear()
+        got = self[w] = self.h("n'" if w in self.names else w)
+        return got
 
 
 class _Prints:
-    """Hashes of lines: of the visible text, and of its cluster in each band; repeated lines are kept (bounded)."""
+    """Hash of the visible text of a line and the distinct word hashes of its masked text; repeated lines are kept (bounded)."""
 
-    def __init__(self, least: int, names: frozenset[str]) -> None:
+    def __init__(self, least: int, names: Container[str]) -> None:
         import xxhash
 
-        self.least, self.names, self.kept = least, names, {}
+        self.least, self.words, self.kept = least, _Words(names), {}
         self.h64 = xxhash.xxh3_64_intdigest
 
-    def __call__(self, line: str) -> tuple[int, ...] | None:
+    def __call__(self, line: str) -> tuple[int, list[int]] | None:
         got = self.kept.get(line, 0)
         if got != 0:
             return got
         seen = visible_line(line)
         got = None
         if len(seen) >= self.least and sum(map(str.isalnum, seen)) >= self.least:
-            words = mask(seen, self.names) or [seen]
-            prints = {hash_ for hash_ in map(self.h64, words)} | {self.h64(a + " " + b) for a, b in zip(words, words[1:])}
-            sym = [min([(p * m & _M64) >> 20 for p in prints]) for m in _LAWS]
-            bands = [self.h64(repr((k, sym[k * ROWS : (k + 1) * ROWS]))) - (1 << 63) for k in range(BANDS)]
-            got = (self.h64(seen.encode("utf-8", "surrogatepass")) - (1 << 63), *bands)
+            words = mask(seen) or [seen]
+            got = (self.h64(seen.encode("utf-8", "surrogatepass")) - (1 << 63), sorted({self.words[w] for w in words}))
         if len(self.kept) >= _KEPT:
             self.kept.clear()
         self.kept[line] = got
         return got
 
 
-def directory_names(directory: DataFrame, bound: int = 100_000) -> frozenset[str]:
-    """Name words to mask, from a directory of checked size; a larger one masks nothing, which only makes clusters finer."""
-    rows = directory.select("given_name", "family_name").limit(bound + 1).collect()
-    if len(rows) > bound:
-        return frozenset()
-    return frozenset(w for r in rows for x in r if x for w in _WORD.findall(visible_line(x)))
+def _bands(sets: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each set, and of its min-hash symbols band by band."""
+    size = np.fromiter(map(len, sets), np.int64, len(sets))
+    at = np.concatenate(([0], np.cumsum(size)[:-1]))
+    x = np.fromiter((w for s in sets for w in s), np.uint64, int(size.sum())) * np.uint64(0x9E3779B97F4A7C15)
+    x ^= x >> np.uint64(29)
+    sym = np.stack([np.minimum.reduceat((x * m) >> np.uint64(20), at) for m in _LAWS])
+    key = np.zeros((BANDS, len(sets)), np.uint64)
+    for k in range(BANDS):
+        for r in range(ROWS):
+            key[k] = (key[k] ^ sym[k * ROWS + r]) * np.uint64(0xD6E8FEB86659FD93)
+            key[k] ^= key[k] >> np.uint64(31)
+    whole = np.add.reduceat(x * (x >> np.uint64(7) | np.uint64(1)), at)
+    return whole.view(np.int64), key.view(np.int64)
+
+
+def name_words(given: str | None, family: str | None) -> Iterable[str]:
+    """Words of a person's name as they stand in a visible line."""
+    return (w for x in (given, family) if x for w in _WORD.findall(visible_line(x)))
 
 
-def line_prints(df: DataFrame, key: str, source: str, text: str, doc: str, least: int = 20, names: frozenset[str] = frozenset()) -> DataFrame:
-    """``(row, src, doc, line_no, line, b0, b1)`` for each line with at least ``least`` letters or digits."""
+def directory_names(directory: DataFrame) -> Field:
+    """Name words to mask; of fixed size, whatever the directory."""
+    return field(directory, name_words)
+
+
+def line_prints(df: DataFrame, key: str, source: str, text: str, doc: str, least: int = 20, names: Container[str] = frozenset()) -> DataFrame:
+    """``(row, src, doc, line_no, line, form, b0.., words)`` for each line with at least ``least`` letters or digits.
+
+    ``words`` stands beside a masked form where a batch meets it first only.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prints = _Prints(least, names)
         for b in batches:
-            take, no, got = [], [], []
+            take, no, line, forms, place = [], [], [], [], {}
+            which = []
             for i, t in enumerate(b.column(3).to_pylist()):
-                for k, line in enumerate(t.split("\n")):
+                for k, ln in enumerate(t.split("\n")):
                     # joined letters may stand for two
-                    if (len(line) >= least or not line.isascii()) and (p := prints(line)) is not None:
+                    if (len(ln) >= least or not ln.isascii()) and (p := prints(ln)) is not None:
                         take.append(i)
                         no.append(k)
-                        got.append(p)
+                        line.append(p[0])
+                        at = place.get(id(p[1]))
+                        if at is None:
+                            at = place[id(p[1])] = len(forms)
+                            forms.append(p[1])
+                        which.append(at)
+            which_ = np.array(which, np.int64)
             idx = pa.array(take, pa.int64())
-            cols = list(zip(*got, strict=True)) if got else [[]] * (1 + BANDS)
+            if forms:
+                whole, keys = _bands(forms)
+                first = np.zeros(len(which), bool)
+                first[np.unique(which_, return_index=True)[1]] = True
+                words = pa.array([np.array(forms[w], np.uint32).view(np.int32) if f else None for w, f in zip(which, first)], pa.list_(pa.int32()))
+                cols = [pa.array(whole[which_]), *[pa.array(k[which_]) for k in keys], words]
+            else:
+                cols = [pa.array([], pa.int64())] * (1 + BANDS) + [pa.array([], pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(idx), b.column(1).take(idx), b.column(2).take(idx), pa.array(no, pa.int32()), *[pa.array(c, pa.int64()) for c in cols]],
-                names=["row", "src", "doc", "line_no", "line", *[f"b{k}" for k in range(BANDS)]],
+                [b.column(0).take(idx), b.column(1).take(idx), b.column(2).take(idx), pa.array(no, pa.int32()), pa.array(line, pa.int64()), *cols],
+                names=["row", "src", "doc", "line_no", "line", "form", *[f"b{k}" for k in range(BANDS)], "words"],
             )
 
     rows = df.where(F.col(source).isNotNull() & F.col(text).isNotNull())
     rows = rows.select(F.col(key).cast("long").alias("row"), F.col(source).cast("string").alias("src"), F.when(F.col(doc).isNotNull(), F.xxhash64(doc)).alias("doc"), F.col(text).alias("t"))
-    return rows.mapInArrow(run, "row long, src string, doc long, line_no int, line long, " + ", ".join(f"b{k} long" for k in range(BANDS)))
+    return rows.mapInArrow(run, "row long, src string, doc long, line_no int, line long, form long, " + ", ".join(f"b{k} long" for k in range(BANDS)) + ", words array<int>")
 
 
-def repeated_lines(df: DataFrame, key: str = "row_idx", source: str = "site", text: str = "raw_body", doc: str = "eid", least_docs: int = 10, share: float = 0.1, least: int = 20, names: frozenset[str] = frozenset()) -> DataFrame:
-    """``(key, line_no)`` of each occurrence of a line that at least ``least_docs`` documents and ``share`` of all documents of its source hold."""
-    scratch = Scratch(df.sparkSession, "repeated-lines")
-    lines = scratch.cut(line_prints(df, key, source, text, doc, least, names))
+def needed(df: DataFrame, source: str, doc: str, least_docs: int, share: float) -> DataFrame:
+    """``(src, need)``: the documents a line must occur in."""
     docs = df.where(F.col(source).isNotNull() & F.col(doc).isNotNull()).select(F.col(source).cast("string").alias("src"), F.col(doc)).distinct()
     sizes = docs.groupBy("src").agg(F.count(F.lit(1)).alias("docs"))
-    need = sizes.select("src", F.greatest(F.lit(float(least_docs)), F.lit(share) * F.col("docs") - 1e-9).alias("need"))
-    need = scratch.cut(need)
-    # clusters by band; occurrences bound the documents from above
-    heavy = []
-    for k in range(BANDS):
-        c = lines.groupBy("src", f"b{k}").agg(F.count(F.lit(1)).alias("n")).join(need, "src").where("n >= need").select("src", f"b{k}")
-        heavy.append(lines.join(c, ["src", f"b{k}"], "left_semi").select("row", "src", "doc", "line_no", "line"))
-    inside = heavy[0]
-    for h in heavy[1:]:
-        inside = inside.union(h)
-    inside = scratch.cut(inside.distinct())
+    return sizes.select("src", F.greatest(F.lit(float(least_docs)), F.lit(share) * F.col("docs") - 1e-9).alias("need"))
+
+
+def _clusters(lines: DataFrame, need: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """``(src, form, cluster)`` of the masked lines in clusters whose occurrences reach the limit."""
+    bands = [f"b{k}" for k in range(BANDS)]
+    forms = scratch.cut(lines.groupBy("src", "form").agg(F.count(F.lit(1)).alias("n"), *[F.first(b).alias(b) for b in bands]))
+    keyed = forms.select("src", "form", "n", F.posexplode(F.array(*bands)).alias("band", "key"))
+    lead = keyed.groupBy("src", "band", "key").agg(F.sum("n").alias("all"), F.max(F.struct("n", "form")).alias("lead"))
+    lead = lead.join(need, "src").where(F.col("all") >= F.col("need")).select("src", "band", "key", F.col("lead.form").alias("lead"))
+    near = scratch.cut(keyed.join(lead, ["src", "band", "key"]).select("src", "form", "n", "lead").distinct())
+    # the words of forms in heavy buckets only
+    asked = near.select("form").union(near.select("lead")).distinct()
+    words = scratch.cut(lines.where("words is not null").select("form", "words").join(asked, "form", "left_semi").groupBy("form").agg(F.first("words").alias("words")))
+    both = near.where("form <> lead").join(words.select("form", F.col("words").alias("w")), "form").join(words.select(F.col("form").alias("lead"), F.col("words").alias("lw")), "lead")
+    common = F.size(F.array_intersect("w", "lw"))
+    joined = both.where(common >= similarity * (F.size("w") + F.size("lw") - common) - 1e-9).select("src", "form", "lead")
+    # the most frequent leader counts; a leader may itself have joined a larger one
+    rank = forms.select("src", F.col("form").alias("lead"), F.col("n").alias("ln"))
+    best = joined.union(near.select("src", "form", F.col("form").alias("lead"))).join(rank, ["src", "lead"]).groupBy("src", "form").agg(F.max(F.struct("ln", "lead")).alias("b"))
+    best = scratch.cut(best.select("src", "form", F.col("b.lead").alias("lead")))
+    up = best.select("src", F.col("form").alias("lead"), F.col("lead").alias("upper"))
+    return best.join(up, ["src", "lead"], "left").select("src", "form", F.coalesce("upper", "lead").alias("cluster"))
+
+
+def repeated_clusters(
+    df: DataFrame, key: str = "row_idx", source: str = "site", text: str = "raw_body", doc: str = "eid", least_docs: int = 10, share: float = 0.1, least: int = 20, names: Container[str] = frozenset(), similarity: float = SIMILARITY
+) -> tuple[DataFrame, DataFrame]:
+    """``(found, need)``: ``(row, line_no, src, doc, line, cluster)`` of the lines in clusters that at least ``least_docs`` documents and ``share`` of all documents of their source hold, and the limit of each source."""
+    scratch = Scratch(df.sparkSession, "repeated-lines")
+    lines = scratch.cut(line_prints(df, key, source, text, doc, least, names))
+    need = scratch.cut(needed(df, source, doc, least_docs, share))
+    forms = _clusters(lines, need, similarity, scratch)
+    inside = scratch.cut(lines.select("row", "line_no", "src", "doc", "line", "form").join(forms, ["src", "form"]).drop("form"))
+    heavy = inside.where("doc is not null").select("src", "cluster", "doc").distinct().groupBy("src", "cluster").agg(F.count(F.lit(1)).alias("n"))
+    heavy = heavy.join(need, "src").where("n >= need").select("src", "cluster")
+    found = scratch.cut(inside.join(heavy, ["src", "cluster"], "left_semi"))
+    scratch.keep_only(found, need)
+    return found, need
+
+
+def repeated_lines(df: DataFrame, key: str = "row_idx", source: str = "site", text: str = "raw_body", doc: str = "eid", least_docs: int = 10, share: float = 0.1, least: int = 20, names: Container[str] = frozenset()) -> DataFrame:
+    """``(key, line_no)`` of each occurrence of a line whose own text at least ``least_docs`` documents and ``share`` of all documents of its source hold."""
+    inside, need = repeated_clusters(df, key, source, text, doc, least_docs, share, least, names)
     exact = inside.where("doc is not null").select("src", "line", "doc").distinct().groupBy("src", "line").agg(F.count(F.lit(1)).alias("n"))
     exact = exact.join(need, "src").where("n >= need").select("src", "line")
     return inside.join(exact, ["src", "line"], "left_semi").select(F.col("row").alias(key), "line_no")

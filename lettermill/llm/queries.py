@@ -43,11 +43,22 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return repeated_lines(table(spark, d, "armis_raw_email"), names=directory_names(table(spark, d, "staff_directory")))
 
 
+def _clusters(spark: SparkSession, d: str) -> DataFrame:
+    from lettermill.llm.boilerplate import directory_names, repeated_clusters
+
+    return repeated_clusters(table(spark, d, "armis_raw_email"), names=directory_names(table(spark, d, "staff_directory")))[0]
+
+
+def p4_clusters(spark: SparkSession, d: str) -> DataFrame:
+    return _clusters(spark, d).selectExpr("row as row_idx", "line_no", "cluster")
+
+
 def p4_kept(spark: SparkSession, d: str) -> DataFrame:
-    from lettermill.llm.boilerplate import directory_names, repeated_lines, without_repeated_lines
+    """Bodies without the lines of frequent near-duplicate clusters."""
+    from lettermill.llm.boilerplate import without_repeated_lines
 
-    raw = table(spark, d, "armis_raw_email").select("row_idx", "eid", "site", "raw_body")
-    return without_repeated_lines(raw, repeated_lines(raw, names=directory_names(table(spark, d, "staff_directory")))).select("row_idx", "kept_body")
+    raw = table(spark, d, "armis_raw_email").select("row_idx", "raw_body")
+    return without_repeated_lines(raw, _clusters(spark, d).selectExpr("row as row_idx", "line_no")).select("row_idx", "kept_body")
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -97,6 +108,7 @@ QUERIES = {
     "p1_found": p1_found,
     "p2_found": p2_found,
     "p4_found": p4_found,
+    "p4_clusters": p4_clusters,
     "p4_kept": p4_kept,
     "p5_found": p5_found,
     "p6_found": p6_found,

@@ -73,6 +73,30 @@ def test_repeated_lines(spark):
     assert got == {(i, 1) for i in range(30)} | {(103, 0)}
     kept = {r["row_idx"]: r["kept_body"] for r in boilerplate.without_repeated_lines(df, boilerplate.repeated_lines(df)).collect()}
     assert kept[3] == "unique words of mail number 3 are here\nshort" and kept[101] is None and kept[103] == ""
+    assert boilerplate.repeated_lines(df.limit(0)).count() == 0
+    assert boilerplate.repeated_lines(df.withColumn("line", F.lit(1)).withColumn("src", F.lit(1))).count() == 31
+
+
+def test_clusters_of_lines_that_differ_in_masked_or_few_words(spark):
+    rng = random.Random(5)
+    other = lambda: " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(9))
+    rows = [(i, f"e{i}", "site", f"{other()}\nThis copy {i} of {i % 28 + 1}.05.2024 was kept for {'Ada Quill' if i % 2 else 'Bo Varga'} by the northern office archive") for i in range(40)]
+    rows += [(100 + i, f"w{i}", "site", f"Every {w} of the main hall is open to all visitors until the end of this month") for i, w in enumerate("window door gate stair room lift desk shelf lamp chair box".split())]
+    rows += [(200 + i, f"s{i}", "site", "Only nine documents of this site hold this very line") for i in range(9)]
+    df = spark.createDataFrame(rows, "row_idx long, eid string, site string, raw_body string")
+    people = spark.createDataFrame([("Ada", "Quill"), ("Bo", "Varga"), (None, "X")], "given_name string, family_name string")
+    found, _ = boilerplate.repeated_clusters(df, names=boilerplate.directory_names(people), share=0.05)
+    got = found.collect()
+    assert {(r["row"], r["line_no"]) for r in got} == {(i, 1) for i in range(40)} | {(100 + i, 0) for i in range(11)}
+    assert len({r["cluster"] for r in got}) == 2
+    # no line of these clusters is frequent by its own text
+    assert boilerplate.repeated_lines(df, names=boilerplate.directory_names(people), share=0.05).count() == 0
+
+
+def test_field_of_names(spark):
+    df = spark.createDataFrame([(f"g{i}", f"f{i}") for i in range(3000)] + [(None, None)], "given_name string, family_name string")
+    f = boilerplate.directory_names(df)
+    assert all(f"g{i}" in f and f"f{i}" in f for i in range(3000)) and not any(f"x{i}" in f for i in range(3000))
 
 
 def test_visible_line():
