@@ -27,7 +27,7 @@ STATS = (
     "n_chars", "n_words", "n_lines", "mean_word_length", "symbol_ratio", "digit_ratio", "upper_ratio", "common_share",
     "end_punct_share", "bullet_share", "short_line_share", "column_share", "column_count", "line_autocorrelation", "indent_period",
     "repeat_share", "top_word_share", "sentence_count", "odd_token_share", "mid_punct_share", "strange_char_share", "structure_share",
-    "long_token_share", "same_start_share", "prose_line_share",
+    "long_token_share", "same_start_share", "prose_line_share", "period_share", "comma_end_share",
 )
 COUNTS = {"n_chars", "n_words", "n_lines", "column_count", "indent_period", "sentence_count"}
 _WORD = re.compile(r"[^\W\d_]+(?:['’\-][^\W\d_]+)*")
@@ -40,47 +40,66 @@ _GAP = re.compile(r" {2,}|\t")
 #: indentation with a marker, a number or the key of a value
 _BEGIN = re.compile(r"\s*(?:[^\w\s]+|\d+[.):]?|[^\W\d_][\w \-]{0,30}:(?=\s|$))?")
 _DIGITS = re.compile(r"\d+")
+_KEY = re.compile(r"[^\W\d_][\w \-]*:")
 _SPACE = re.compile(r"\s")
 #: leftovers of a wrong decoding, arrows and drawing characters
 _STRANGE = re.compile(r"[¢-©¬®¯±´-¶¸¼-¾×÷ÂÃâï€œ™\u2190-\u2BFF\uFFFD\x00-\x08\x0b\x0c\x0e-\x1f]")
 
 
+def _typed(rows: list[list[str]]) -> tuple[float, bool]:
+    """Share of cells that are of the usual type of their column (number, words, nothing), and whether a column is of numbers."""
+    fit, cells, numbers = 0, 0, False
+    for column in zip(*rows):
+        kinds = Counter("" if not (c := cell.strip()) else "9" if any(map(str.isdigit, c)) else "w" for cell in column)
+        kind, n = kinds.most_common(1)[0]
+        fit += n
+        cells += len(column)
+        numbers = numbers or (kind == "9" and len(column) > 1)
+    return fit / cells, numbers
+
+
 def _columns(lines: list[str]) -> tuple[float, int]:
-    """Share of lines with the usual number of delimiters, and the columns they make; the best delimiter counts."""
+    """Vertical alignment: the share of lines that are cut into the same columns, by the share of cells that fit their column, and the columns; the best delimiter counts.
+
+    One line has nothing to align with.
+    """
     best = (0.0, 0)
     n = len(lines)
+    if n < 2:
+        return best
     for delim in ("|", "\t", ";", ","):
         got = [ln.count(delim) for ln in lines]
         k, m = Counter(got).most_common(1)[0]
-        if k == 0 or n < 3:
+        if k == 0:
             continue
+        rows = [ln.split(delim) for ln, g in zip(lines, got) if g == k]
+        fit, numbers = _typed(rows)
         if delim in ",;":
-            # in prose a comma is followed by a small word: cells are short and few words long
-            cells = [len(c.split()) for ln in lines if ln.count(delim) == k for c in ln.split(delim)]
-            if sum(c <= 3 for c in cells) < 0.9 * len(cells):
+            # in prose a comma is followed by a small word: cells are short and few words long; two columns of words are a list with a remark
+            cells = [len(c.split()) for r in rows for c in r]
+            if sum(c <= 3 for c in cells) < 0.9 * len(cells) or not (k > 1 or numbers):
                 continue
-        best = max(best, (m / n, k + 1))
-    if n >= 3:
-        # blanks as delimiter: columns begin at the same places
-        starts = Counter()
-        for ln in lines:
-            starts.update({m.end() for m in _GAP.finditer(ln.rstrip())} - {0})
-        common = [p for p, c in starts.items() if c >= 0.6 * n]
-        if common:
-            aligned = sum(any(ln[p - 2 : p].isspace() and ln[p : p + 1].strip() for p in common) for ln in lines)
-            best = max(best, (aligned / n, len(common) + 1))
+        best = max(best, (m / n * max(fit, 0.8), k + 1))
+    # blanks as delimiter: columns begin at the same places
+    starts: Counter = Counter()
+    for ln in lines:
+        starts.update({m.end() for m in _GAP.finditer(ln.rstrip())} - {0})
+    common = [p for p, c in starts.items() if c >= 0.6 * n and c > 1]
+    if common:
+        aligned = sum(any(ln[p - 2 : p].isspace() and ln[p : p + 1].strip() for p in common) for ln in lines)
+        best = max(best, (aligned / n, len(common) + 1))
     return best
 
 
-def _autocorrelation(lengths: list[int]) -> float:
-    """Of line lengths, at the lag up to a third of the lines where it is highest; 1.0 where all lines are about as long."""
+def _autocorrelation(lengths: list[int], alike: float = 0.05) -> float:
+    """Of line lengths, at the lag up to a third of the lines where it is highest; 1.0 where all differ from the mean by about ``alike`` of it at most."""
     n = len(lengths)
     if n < 3:
         return 0.0
     x = np.array(lengths, float)
     x -= (mean := x.mean())
     var = float(x @ x)
-    if var <= n * (0.05 * mean) ** 2:
+    if var <= n * (alike * mean) ** 2:
         return 1.0
     return float(_lags(x)[1 : n // 3 + 1].max() / var)
 
@@ -91,27 +110,35 @@ def _lags(x: np.ndarray) -> np.ndarray:
     return np.fft.irfft(f * f.conj(), 2 * len(x))[: len(x)]
 
 
-def _period(lines: list[str]) -> int:
-    """The smallest period, seen three times or more, at which indentation, markers and keys repeat; 0 without one or without any of them."""
+def _period(lines: list[str]) -> tuple[int, float]:
+    """The smallest period up to a third of the lines at which most beginnings (indentation, marker, key) repeat, and the share of lines whose own beginning repeats; (0, 0.0) without one."""
     n = len(lines)
-    kinds = [_DIGITS.sub("9", _BEGIN.match(ln).group(0)) for ln in lines]
-    if n < 4 or not any(kinds):
-        return 0
+    kinds = [_KEY.sub("key:", _DIGITS.sub("9", _BEGIN.match(ln).group(0))) for ln in lines]
+    if n < 2 or not any(kinds):
+        return 0, 0.0
     places: dict[str, list[int]] = {}
     for i, k in enumerate(kinds):
         places.setdefault(k, []).append(i)
     equal = np.zeros(n)
-    for at in places.values():
+    marked = np.zeros(n)
+    for kind, at in places.items():
         if len(at) ** 2 <= 4 * n:
             away = np.subtract.outer(at, at)
-            equal += np.bincount(away[away > 0], minlength=n)
+            got = np.bincount(away[away > 0], minlength=n).astype(float)
         else:
             x = np.zeros(n)
             x[at] = 1
-            equal += np.rint(_lags(x))
-    top = n // 3
-    good = equal[1 : top + 1] >= 0.85 * (n - np.arange(1, top + 1))
-    return int(good.argmax()) + 1 if good.any() else 0
+            got = np.rint(_lags(x))
+        equal += got
+        if kind:
+            marked += got
+    top = max(1, n // 3)
+    pairs = n - np.arange(1, top + 1)
+    good = (equal[1 : top + 1] >= 0.7 * pairs) & (marked[1 : top + 1] >= 0.25 * pairs)
+    if not good.any():
+        return 0, 0.0
+    p = int(good.argmax())
+    return p + 1, float(marked[p + 1] / pairs[p])
 
 
 def statistics(text: str | None, common: dict[str, frozenset[str]], lang: str | None = None) -> dict[str, float]:
@@ -147,8 +174,9 @@ def statistics(text: str | None, common: dict[str, frozenset[str]], lang: str |
     s["bullet_share"] = sum(bool(_BULLET.match(ln)) for ln in lines) / n
     s["short_line_share"] = sum(len(ln.split()) <= 6 for ln in lines) / n
     s["column_share"], s["column_count"] = _columns(lines)
-    s["line_autocorrelation"] = _autocorrelation([len(ln) for ln in lines])
-    s["indent_period"] = _period(lines)
+    items = [ln for ln in lines if not ln.rstrip().endswith(":")]  # a heading is no entry
+    s["line_autocorrelation"] = max(_autocorrelation([len(ln) for ln in items]), _autocorrelation([len(ln.split()) for ln in items], 0.15))
+    s["indent_period"], s["period_share"] = _period(lines)
     s["sentence_count"] = len(_SENTENCE.findall(text))
     s["odd_token_share"] = sum(len(t) if _HEX.match(t) or (_BASE64.fullmatch(t) and not t.isalpha()) else 0 for t in tokens) / ns
     s["long_token_share"] = sum(len(t) for t in tokens if len(t) >= 25 and t.isalpha()) / ns
@@ -156,34 +184,43 @@ def statistics(text: str | None, common: dict[str, frozenset[str]], lang: str |
     s["strange_char_share"] = len(_STRANGE.findall(text)) / ns
     s["structure_share"] = sum(ln.lstrip()[:1] in "{[<" and ln.rstrip()[-1:] in "}]>," for ln in lines) / n
     s["prose_line_share"] = sum(len(ln) for ln in lines if len(ln.split()) >= 5 and ln.rstrip()[-1:] in ".!?…:,") / sum(map(len, lines))
+    s["comma_end_share"] = sum(ln.rstrip().endswith(",") for ln in lines) / n
     first = Counter(ln.split()[0].lower() for ln in lines)
     s["same_start_share"] = first.most_common(1)[0][1] / n
     return s
 
 
+def regularity(s: dict[str, float]) -> float:
+    """How much the lines look like entries: repeated beginnings, repeated or equal line lengths, few words a line, few common words; some lines with a comma at the end look like a letter."""
+    repeats = s["period_share"] if s["indent_period"] else 0.0
+    letter = s["comma_end_share"] if s["comma_end_share"] < 0.8 else 0.0
+    return 1.2 * repeats + 0.6 * max(0.0, s["line_autocorrelation"]) + 0.5 * s["short_line_share"] + 0.6 * max(0.0, 1 - s["common_share"] / 0.35) - letter
+
+
 def kind(s: dict[str, float]) -> str:
-    """prose, list, table or junk, from the statistics."""
+    """prose, list, table or junk, from the statistics.
+
+    Structure needs two lines; besides that no size decides.
+    """
     if not s["n_lines"]:
         return "prose"
     if s["odd_token_share"] > 0.5 or s["long_token_share"] > 0.5 or s["strange_char_share"] > 0.08:
         return "junk"
     if s["structure_share"] > 0.6 and s["symbol_ratio"] > 0.2:
         return "junk"
-    if s["column_count"] >= 2 and s["column_share"] >= 0.75 and s["n_lines"] >= 3 and s["prose_line_share"] < 0.3 and s["bullet_share"] < 0.8:
+    repeats = s["period_share"] if s["indent_period"] else 0.0
+    if s["column_count"] >= 2 and s["column_share"] >= 0.6 and s["prose_line_share"] < 0.3 and (repeats < 0.8 or s["digit_ratio"] >= 0.25):
         return "table"
     if s["symbol_ratio"] > 0.5:
         return "junk"
-    if s["n_words"] >= 8 and s["top_word_share"] > 0.4 and s["bullet_share"] < 0.6:
+    if s["n_words"] >= 8 and s["top_word_share"] > 0.4 and repeats < 0.6:
         return "junk"
     if s["common_share"] < 0.1 and s["mid_punct_share"] > (0.12 if s["common_share"] > 0.03 else 0.04):
         return "junk"
-    if s["n_lines"] >= 3 and s["sentence_count"] <= 0.15 * s["n_lines"] and s["prose_line_share"] < 0.2:
-        if s["bullet_share"] >= 0.6 or (s["short_line_share"] >= 0.8 and s["common_share"] < 0.3 and s["n_lines"] >= 5):
-            return "list"
-        # neither bullets nor delimiters nor short lines: indentation or line lengths that repeat
-        if s["common_share"] < 0.4 and ((s["indent_period"] and s["n_lines"] >= 4) or (s["line_autocorrelation"] >= 0.5 and s["n_lines"] >= 5)):
-            return "table" if s["digit_ratio"] >= 0.25 else "list"
-    if s["n_words"] >= 12 and s["common_share"] < 0.02 and s["sentence_count"] == 0 and s["n_lines"] <= 3:
+    if s["n_lines"] >= 2 and s["sentence_count"] <= 0.15 * s["n_lines"] and s["prose_line_share"] < 0.2 and regularity(s) >= 1.0:
+        # rows without a delimiter are of numbers
+        return "table" if s["digit_ratio"] >= 0.25 and repeats < 0.6 else "list"
+    if s["n_words"] >= 12 and s["common_share"] < 0.02 and s["sentence_count"] == 0:
         return "junk"
     return "prose"
 
