@@ -83,7 +83,7 @@ def _columns(lines: list[str]) -> tuple[float, int]:
     # blanks as delimiter: columns begin at the same places
     starts: Counter = Counter()
     for ln in lines:
-        starts.update({m.end() for m in _GAP.finditer(ln.rstrip())} - {0})
+        starts.update({m.end() for m in _GAP.finditer(ln.rstrip()) if m.start()})  # indentation begins no column
     common = [p for p, c in starts.items() if c >= 0.6 * n and c > 1]
     if common:
         aligned = sum(any(ln[p - 2 : p].isspace() and ln[p : p + 1].strip() for p in common) for ln in lines)

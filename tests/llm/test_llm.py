@@ -341,7 +341,7 @@ RECORD = "{} of the northern store\n    made of brass and glass with {} handles\
         # indented blocks; entries of six lines; keys that come again; rows without a delimiter; lines of long and short
         ("\n".join(RECORD.format(x, y, i) for i, (x, y) in enumerate([("Lamp", "two"), ("Chair", "eleven"), ("Old table", "no")])), "list", 3),
         ("\n".join(f"{x} from the catalogue\n  first owner was an unknown person abroad\n    second owner lived near our old harbour\n  third owner never told anyone about it\n      fourth owner sold every part again\n  fifth owner keeps it since last winter" for x in "abcd"), "list", 6),
-        ("\n".join(f"Name: {x} lamp made by hand in Oldtown works\nUse: every large hall with high walls and windows" for x in ("red", "blue", "dark green")), "list", 2),
+        ("\n".join(f"Name: {x} lamp made by hand in Oldtown works\nUse: every large hall with high walls and windows" for x in ("red", "blue", "dark green")), "list", 1),
         ("lamp 1209 3881 2271 9910 8812 19\nbench 109 3281 4271 8910 7812 23\nchair 169 3481 2371 1910 3812 31\ntable 229 3981 2871 6910 4812 47\nshelf 119 3081 2171 5910 6812 53", "table", 0),
         ("\n".join(f"Large brass lamp {x} with long green cord plus switch\nsold {x}" for x in ("one", "two", "six", "ten", "four")), "list", 0),
         # wrapped prose and paragraphs with an indented first line stay prose
@@ -359,8 +359,41 @@ def test_periods_like_brute_force():
     for n in (4, 9, 40, 300):
         for p in (1, 2, 5, n // 3):
             kinds = [" " * (i % p) if rng.random() < 0.95 else "-" for i in range(n)]
-            want = next((q for q in range(1, n // 3 + 1) if sum(a == b for a, b in zip(kinds, kinds[q:])) >= 0.85 * (n - q)), 0) if any(kinds) else 0
-            assert quality._period([k + " x" if k == "-" else k + "x" for k in kinds]) == want
+            good = lambda q: sum(a == b for a, b in zip(kinds, kinds[q:])) >= 0.7 * (n - q) and sum(a == b != "" for a, b in zip(kinds, kinds[q:])) >= 0.25 * (n - q)  # noqa: E731, B023
+            want = next((q for q in range(1, max(1, n // 3) + 1) if good(q)), 0)
+            share = sum(a == b != "" for a, b in zip(kinds, kinds[want:])) / (n - want) if want else 0.0
+            assert quality._period([k + " x" if k == "-" else k + "x" for k in kinds]) == (want, pytest.approx(share))
+
+
+@pytest.mark.parametrize(
+    ("text", "kind"),
+    [
+        ("milk\nbread\neggs", "list"),
+        ("Name: Ada\nAge: 30\nCity: Rome", "list"),
+        ("lamp, red\nchair, blue\ntable, green", "list"),
+        ("a\tb\n1\t2", "table"),
+        ("name   size\nlamp   12", "table"),
+        ("x,1\ny,2\nz,3", "table"),
+        ("Hi all,\nsee below\nBob", "prose"),
+        ("Thanks,\nBob", "prose"),
+        ("word", "prose"),
+    ],
+)
+def test_kinds_of_few_lines(text, kind):
+    assert quality.kind(quality.statistics(text, COMMON)) == kind
+
+
+@pytest.mark.parametrize(
+    ("text", "off"),
+    [
+        ("- the lamp of the hall in the room to the north and to the south of it\n- the chair\n- the old box is in the way of the door to the hall and to the stairs\n- the ink of the pens in the room", {"indent_period": 0}),
+        ("\n".join(f"take the {w} of the hall" for w in "lamp chair table".split()), {"line_autocorrelation": 0.0}),
+        ("a;b\n1;2\n3;4", {"column_share": 0.0}),
+    ],
+)
+def test_each_signal_decides(text, off):
+    s = quality.statistics(text, COMMON)
+    assert quality.kind(s) != "prose" and quality.kind(s | off) != quality.kind(s)
 
 
 def test_statistics_frame(spark):
