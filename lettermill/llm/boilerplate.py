@@ -37,6 +37,8 @@ from lettermill.session import Scratch
 
 BANDS, ROWS, SIMILARITY = 4, 2, 0.8
 _KEPT = 200_000
+#: hashes of masked lines have so many bits, so that a frequency fits above them
+_FORM_BITS = 56
 _DATE = re.compile(r"\b(?:\d{1,4}[./-]\d{1,2}(?:[./-]\d{1,4})?|(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?)\b")
 _NUMBER = re.compile(r"\d[\d.,:]*")
 _WORD = re.compile(r"\w+")
@@ -103,8 +105,8 @@ def _bands(sets: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
         for r in range(ROWS):
             key[k] = (key[k] ^ sym[k * ROWS + r]) * np.uint64(0xD6E8FEB86659FD93)
             key[k] ^= key[k] >> np.uint64(31)
-    whole = np.add.reduceat(x * (x >> np.uint64(7) | np.uint64(1)), at)
-    return whole.view(np.int64), key.view(np.int64)
+    whole = np.add.reduceat(x * (x >> np.uint64(7) | np.uint64(1)), at) * np.uint64(0x9FB21C651E98DF25)
+    return (whole >> np.uint64(64 - _FORM_BITS)).view(np.int64), key.view(np.int64)
 
 
 def name_words(given: str | None, family: str | None) -> Iterable[str]:
@@ -156,35 +158,41 @@ def line_prints(df: DataFrame, key: str, source: str, text: str, doc: str, least
             )
 
     rows = df.where(F.col(source).isNotNull() & F.col(text).isNotNull())
-    rows = rows.select(F.col(key).cast("long").alias("row"), F.col(source).cast("string").alias("src"), F.when(F.col(doc).isNotNull(), F.xxhash64(doc)).alias("doc"), F.col(text).alias("t"))
-    return rows.mapInArrow(run, "row long, src string, doc long, line_no int, line long, form long, " + ", ".join(f"b{k} long" for k in range(BANDS)) + ", words array<int>")
+    rows = rows.select(F.col(key).cast("long").alias("row"), F.xxhash64(F.col(source).cast("string")).alias("src"), F.when(F.col(doc).isNotNull(), F.xxhash64(doc)).alias("doc"), F.col(text).alias("t"))
+    return rows.mapInArrow(run, "row long, src long, doc long, line_no int, line long, form long, " + ", ".join(f"b{k} long" for k in range(BANDS)) + ", words array<int>")
 
 
 def needed(df: DataFrame, source: str, doc: str, least_docs: int, share: float) -> DataFrame:
-    """``(src, need)``: the documents a line must occur in."""
-    docs = df.where(F.col(source).isNotNull() & F.col(doc).isNotNull()).select(F.col(source).cast("string").alias("src"), F.col(doc)).distinct()
+    """``(src, need)``: hash of a source and the documents a line must occur in there."""
+    docs = df.where(F.col(source).isNotNull() & F.col(doc).isNotNull()).select(F.xxhash64(F.col(source).cast("string")).alias("src"), F.xxhash64(doc).alias("doc")).distinct()
     sizes = docs.groupBy("src").agg(F.count(F.lit(1)).alias("docs"))
     return sizes.select("src", F.greatest(F.lit(float(least_docs)), F.lit(share) * F.col("docs") - 1e-9).alias("need"))
 
 
 def _clusters(lines: DataFrame, need: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
-    """``(src, form, cluster)`` of the masked lines in clusters whose occurrences reach the limit."""
+    """``(src, form, cluster)`` of the masked lines in clusters whose occurrences reach the limit.
+
+    A form's rank is its frequency (in powers of two) above its own bits, one long, so that the leader
+    of a bucket and the best leader of a form come from a hashed maximum.
+    """
     bands = [f"b{k}" for k in range(BANDS)]
-    forms = scratch.cut(lines.groupBy("src", "form").agg(F.count(F.lit(1)).alias("n"), *[F.first(b).alias(b) for b in bands]))
-    keyed = forms.select("src", "form", "n", F.posexplode(F.array(*bands)).alias("band", "key"))
-    lead = keyed.groupBy("src", "band", "key").agg(F.sum("n").alias("all"), F.max(F.struct("n", "form")).alias("lead"))
-    lead = lead.join(need, "src").where(F.col("all") >= F.col("need")).select("src", "band", "key", F.col("lead.form").alias("lead"))
-    near = scratch.cut(keyed.join(lead, ["src", "band", "key"]).select("src", "form", "n", "lead").distinct())
+    forms = lines.groupBy("src", "form").agg(F.count(F.lit(1)).alias("n"), *[F.min(b).alias(b) for b in bands])
+    forms = scratch.cut(forms.withColumn("rank", F.shiftleft(F.floor(F.log2("n")), _FORM_BITS) + F.col("form")))
+    keyed = forms.select("src", "form", "rank", "n", F.posexplode(F.array(*bands)).alias("band", "key"))
+    lead = keyed.groupBy("src", "band", "key").agg(F.sum("n").alias("all"), F.max("rank").alias("lead"))
+    lead = lead.join(need, "src").where(F.col("all") >= F.col("need")).select("src", "band", "key", "lead")
+    near = scratch.cut(keyed.select("src", "form", "rank", "band", "key").join(lead, ["src", "band", "key"]).select("src", "form", "rank", "lead").distinct())
+    of = lambda c: F.col(c).bitwiseAND(F.lit((1 << _FORM_BITS) - 1))
     # the words of forms in heavy buckets only
-    asked = near.select("form").union(near.select("lead")).distinct()
-    words = scratch.cut(lines.where("words is not null").select("form", "words").join(asked, "form", "left_semi").groupBy("form").agg(F.first("words").alias("words")))
-    both = near.where("form <> lead").join(words.select("form", F.col("words").alias("w")), "form").join(words.select(F.col("form").alias("lead"), F.col("words").alias("lw")), "lead")
+    other = near.where("rank <> lead").select("src", "form", "lead", of("lead").alias("lead_form"))
+    asked = other.select("form").union(other.select("lead_form")).distinct()
+    words = scratch.cut(lines.where("words is not null").select("form", "words").join(asked, "form", "left_semi").dropDuplicates(["form"]))
+    both = other.join(words.select("form", F.col("words").alias("w")), "form").join(words.select(F.col("form").alias("lead_form"), F.col("words").alias("lw")), "lead_form")
     common = F.size(F.array_intersect("w", "lw"))
     joined = both.where(common >= similarity * (F.size("w") + F.size("lw") - common) - 1e-9).select("src", "form", "lead")
     # the most frequent leader counts; a leader may itself have joined a larger one
-    rank = forms.select("src", F.col("form").alias("lead"), F.col("n").alias("ln"))
-    best = joined.union(near.select("src", "form", F.col("form").alias("lead"))).join(rank, ["src", "lead"]).groupBy("src", "form").agg(F.max(F.struct("ln", "lead")).alias("b"))
-    best = scratch.cut(best.select("src", "form", F.col("b.lead").alias("lead")))
+    best = joined.union(near.select("src", "form", F.col("rank").alias("lead"))).groupBy("src", "form").agg(F.max("lead").alias("lead"))
+    best = scratch.cut(best.select("src", "form", of("lead").alias("lead")))
     up = best.select("src", F.col("form").alias("lead"), F.col("lead").alias("upper"))
     return best.join(up, ["src", "lead"], "left").select("src", "form", F.coalesce("upper", "lead").alias("cluster"))
 
