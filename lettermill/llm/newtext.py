@@ -4,25 +4,35 @@ Method: threads are reconstructed from reference headers, message lines are
 compared with those of their ancestors by rolling-hash shingles and sequence
 alignment, and inherited spans are removed.
 
-One pass over the texts reads each mail line by line: quote marks, quoting
-elements and header lines tell quoted history; closing formulas, names, titles,
-contact lines, device and list notes tell signatures; notices and site lines
-are told by their wording. A header that is followed by neither marks nor a
-quoting element opens a span of unknown length. For such spans the header's
-address refers to the ancestors by that sender; span lines and the ancestors'
-own lines meet on equal shingles, one alignment (longest increasing run of
-positions) is made for each ancestor, and the best one tells where the
-inherited text ends: lines after the ancestor's last own line are the sender's
-again, unless they stand, as whole lines in order, in another mail of a sender
-whom a header of the mail or of the ancestor cites: two lines at least, or all
-of a mail of one. What mails outside the thread say does not count. Where no ancestor is at hand the span runs to the end of the text.
-
-Mails that merely resemble each other are no ancestors: without a reference
-nothing is removed.
+1. One pass over the texts reads each mail line by line into small flags and one
+   hash a line: quote marks and quoting elements, header lines, and what may be
+   a closing formula, name, contact line, note or notice.
+2. A reference header without marks names the sender of the quoted mail. The
+   shingles (rolling hashes of two lines on end) below it are looked up among
+   those of that sender's mails; the rarest one that is known there picks the
+   candidates. Lines below the header and lines of a candidate, quoted history
+   of its own included, are aligned; a quote begins where its mail begins; the
+   candidate with most aligned lines is the ancestor. Aligned lines, and edited
+   ones between them, are inherited.
+3. Lines that a tenth of a site's mails hold (the rule of problem 4) are
+   notices; others are told by two general marks of such lines (``CUES``).
+4. One pass over the flags of each mail decides: marked lines, inherited lines
+   and headers are history; signature blocks run from a closing formula, a name
+   or a delimiter to the first line that belongs to none.
+
+So below an unmarked header a line is history because it aligns with an
+ancestor, and a reply below or inside the quote stays. Only below a header
+whose sender has no mail in the collection (or that names no address) nothing
+can be aligned, and its span runs to the next header.
+
+Hot keys: mails of one sender with equal lines are one candidate; a shingle
+shared by many of them is taken only where no rarer one is known; notices are
+counted map-side by line. Mails that merely resemble each other are no
+ancestors: without a reference nothing is removed.
 
 Defined results: null, empty and blank texts have no lines; lines are elements
-split at ``\\n`` and numbered from 0; rows with a null id are read, but have no
-ancestors by id; reloaded mails are read row by row.
+split at ``\\n`` and numbered from 0; rows with a null id are read, but are no
+ancestors; reloaded mails are read row by row; a null site has no site lines.
 """
 
 from __future__ import annotations
@@ -30,12 +40,16 @@ from __future__ import annotations
 import re
 import unicodedata
 from bisect import bisect_left
-from collections.abc import Iterator, Sequence
+from collections import defaultdict
+from collections.abc import Container, Iterable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lettermill.llm.boilerplate import needed
+from lettermill.llm.names import field
 from lettermill.llm.text import skeleton, strip_tags
 from lettermill.session import Scratch
 
@@ -51,13 +65,13 @@ _MAIL = r"[^\s<>@]+@[^\s<>@]+"
 #: "On <date>, <name> <address> wrote:" in the languages of the mail programs; the address may stand on the next line
 _WROTE_END = re.compile(r"(?:\bwrote|\bschrieb\b.*|\ba écrit|\bescribió|\bescreveu)\s*:\s*$", re.I)
 _WROTE_ONE = re.compile(
-    rf"^<{_MAIL}>:$|^(?:(?:on\b.{{5,180}}\bwrote)|(?:am\b.{{5,120}}\bschrieb\b.{{2,120}})|(?:le\b.{{5,180}}\ba écrit)|(?:el\b.{{5,180}}\bescribió)|(?:em\b.{{5,180}}\bescreveu))\s*:$|^<?{_MAIL}>?\s+(?:wrote|schrieb|a écrit|escribió|escreveu)\s*:$",
+    rf"^<{_MAIL}>:$|^(?:(?:on\b.{{5,}}\bwrote)|(?:am\b.{{5,}}\bschrieb\b.{{2,}})|(?:le\b.{{5,}}\ba écrit)|(?:el\b.{{5,}}\bescribió)|(?:em\b.{{5,}}\bescreveu))\s*:$|^<?{_MAIL}>?\s+(?:wrote|schrieb|a écrit|escribió|escreveu)\s*:$",
     re.I,
 )
 #: the first half of a header that was broken before the address
-_WROTE_HALF = re.compile(r"^(?:on|am|le|el|em)\b.{0,60}\b(?:\d{4}|\d{1,2}:\d{2})\b.{0,80}[^.!?:]$", re.I)
+_WROTE_HALF = re.compile(r"^(?:on|am|le|el|em)\b.*\b(?:\d{4}|\d{1,2}:\d{2})\b.*[^.!?:]$", re.I)
 #: a chat-like header: name and time
-_SAID = re.compile(r"^[^\W\d_][^\n<>@:]{1,60} \(\d{1,2}[:.]\d{2}\):$")
+_SAID = re.compile(r"^[^\W\d_][^\n<>@:]+ \(\d{1,2}[:.]\d{2}\):$")
 _FORWARD = re.compile(r"^[-_*=\s]{2,}\s*(?:original|forwarded|ursprüngliche|weitergeleitete|message|mensaje|mensagem|nachricht|begin forwarded)\b[^.]{0,40}[-_*=\s]{2,}$|^begin forwarded message:?$", re.I)
 _FIELD = re.compile(r"^\*{0,2}(from|sent|to|cc|bcc|subject|date|von|gesendet|an|betreff|datum|de|envoyé|à|objet|date|enviado|para|asunto|fecha|data|assunto|enviada em)\*{0,2}\s*:\*{0,2}(?:\s|$)", re.I)
 _TO = re.compile(r"^\*{0,2}(?:to|cc|bcc|an|à|para)\*{0,2}\s*:", re.I)
@@ -77,13 +91,43 @@ _DEVICE = re.compile(
     re.I,
 )
 _LISTNOTE = re.compile(r"^(?:unsubscribe|view (?:in|it in your) browser|manage (?:your )?preferences|abmelden|im browser ansehen|se désabonner|darse de baja|cancelar inscrição)(?:\s*[|·-]\s*.{0,40})?\.?$", re.I)
-_NOTICE = re.compile(
-    r"(?:^caution: |originated outside \w+|^confidentiality notice|^disclaimer:|^legal notice:|is available to all staff\.?$|^brought to you by the .* desk|^(?:like|enjoyed) what you read\?"
-    r"|^you receive this because|manage preferences or unsubscribe|^follow .* on the .* and share|^please (?:consider|think of) .* before (?:printing|you print)|^this (?:mail|e-?mail|message) and its (?:annexes|attachments)"
-    r"|accepts no liability|^copies are kept by|registered office .*\||\| registered office|^if you are not the intended recipient|not the intended recipient,|^die übermittlung per e-mail|^diese nachricht ist vertraulich|^ce message est confidentiel"
-    r"|^este mensaje es confidencial|^esta mensagem é confidencial|^this (?:e-?mail|message|mail) (?:is|may be) (?:confidential|privileged|intended)|^the information in this (?:e-?mail|message))",
+#: marks of notices in general; a line with one of the first, or a sentence with two kinds of the second, is one
+_SURE = re.compile(
+    r"^(?:disclaimer|legal notice|confidentiality (?:notice|note)|haftungsausschluss|rechtlicher hinweis|avis (?:légal|de confidentialité)|aviso (?:legal|de confidencialidade?))\b"
+    r"|originated (?:from )?outside|external (?:sender|e-?mail)\b|\byou (?:are )?receiv(?:e|ed|ing) this\b|\bregistered office\b|\bsitz der gesellschaft\b|\bsiège social\b|\bdomicilio social\b"
+    r"|\bunsubscribe\b|\bbrought to you by\b|intended recipient",
     re.I,
 )
+CUES: tuple[re.Pattern, ...] = tuple(
+    re.compile(p, re.I)
+    for p in (
+        r"\bthis (?:e-?mail|mail|message|communication|transmission)\b|\bdiese (?:e-?mail|nachricht)\b|\bce (?:message|courriel|mail)\b|\beste (?:mensaje|correo)\b|\besta mensagem\b|\bper e-?mail\b",
+        r"confiden[tc]|privileg|vertraulich|proprietary",
+        r"\baddressee|\brecipient|\bdestin(?:é|ad|at)|\bbestimmt\b|\bmeant for\b|\bintended for\b|\bwritten for\b",
+        r"\bby mistake\b|\bin error\b|irrtümlich|\bpar erreur\b|\bpor error\b|\bpor engano\b",
+        r"\bdelete\b|\bremove it\b|\bdestroy\b|\bnotify\b|\blet (?!me\b|us\b)\w+ know\b|\btell \w+|\blöschen\b|\bsupprimer\b|\bborrar\b|\bapagar\b",
+        r"\bliab|\baccepts? no\b|\bunverbindlich\b|\bbinds? (?:no|not)\b|\bresponsab|\bhaftung\b",
+        r"\bunauthori[sz]ed\b|\bprohibited\b|\bcopying\b|\bdisclosure\b|\bdissemination\b",
+        r"\bbefore (?:you )?print|\bprint(?:ing)? this\b",
+        r"\b(?:consider|think of)\b.*\bbefore\b|\benvironment\b|\bumwelt\b",
+        r"\bpreferences\b|\bsubscri|\bnewsletter\b|\bbrowser\b",
+        r"\ball (?:staff|employees|members)\b|\bshare this\b|\bwith a colleague\b",
+        r"^(?:tip|note|notice|reminder|new|hint|announcement|hinweis|neu|nota|rappel|lembrete)\s*:",
+        r"\b(?:like|liked|enjoy|enjoyed) what you\b|^follow\b",
+        r"\bcopies are\b|\bkept by\b",
+        r"^(?:caution|warning|attention|achtung)\b|\bdo not open\b|\bunless you (?:expect|know|recogni)",
+        r"^(?:if you are not|unless you are)\b|\bnot the\b.{1,30}\brecipient",
+    )
+)
+
+
+_SENTENCE_END = re.compile(r"(?<=[.!?])\s+")
+
+
+def is_notice(s: str) -> bool:
+    return bool(_SURE.search(s)) or any(sum(bool(p.search(x)) for p in CUES) >= 2 for x in _SENTENCE_END.split(s))
+
+
 _PHONEISH = re.compile(r"^(?:(?:t|m|f|p|tel|phone|mobile|mob|cell|fax|telefon|tél|office|direct|handy|mobil)\.?\s*[:.]?\s*)?[+(]?\d[\d\s().\-/]{6,}\d$", re.I)
 _MAILISH = re.compile(rf"^(?:e-?mail:?\s*)?{_MAIL}(?:\s*[|,·]\s*(?:https?://|www\.)\S+)?$|^(?:https?://|www\.)\S+$", re.I)
 _TITLE = re.compile(
@@ -100,21 +144,26 @@ _REF = re.compile(r"^(?:id|ref|reference|ticket|case)\b", re.I)
 _BULLET = re.compile(r"^(?:[-*•+]{1,2}\s|\d{1,3}[.)]\s|\[[ x]?\]\s)")
 
 
+def name_entries(given: str | None, family: str | None) -> Iterable[str]:
+    """Words of a person's name, in one form and case."""
+    return (w for x in (given, family) if x for w in re.findall(r"[^\W\d_]+", Roster.form(x)))
+
+
 class Roster:
-    """Words of the names of a directory, in one form and case, for lines that hold a name only."""
+    """Tells lines that hold a name only, by the words of the names of a directory."""
 
-    def __init__(self, people: Sequence[tuple[str | None, str | None]]) -> None:
-        self.words = {w for p in people for x in p if x for w in re.findall(r"[^\W\d_]+", self.form(x))}
+    def __init__(self, words: Container[str]) -> None:
+        self.words = words
 
     @staticmethod
     def form(s: str) -> str:
         return "".join(c for c in unicodedata.normalize("NFD", skeleton(s)) if not unicodedata.combining(c)).casefold()
 
     def is_name(self, line: str) -> bool:
-        w = re.findall(r"[^\W\d_]+", self.form(line))
-        if not 1 <= len(w) <= 4 or not re.fullmatch(r"[^\W\d_]+(?:[ \-.,]{1,2}[^\W\d_]+){0,3}\.?", line):
+        if len(line) > 80 or not re.fullmatch(r"[^\W\d_]+(?:[ \-.,]{1,2}[^\W\d_]+){0,3}\.?", line):
             return False
-        return all(x in self.words or len(x) == 1 for x in w) and any(len(x) > 1 for x in w)
+        w = re.findall(r"[^\W\d_]+", self.form(line))
+        return 1 <= len(w) <= 4 and all(x in self.words or len(x) == 1 for x in w) and any(len(x) > 1 for x in w)
 
 
 def _views(lines: list[str]) -> tuple[list[str], list[int], list[int], list[bool]]:
@@ -186,270 +235,323 @@ def _header_lines(seen: list[str], marks: list[int]) -> list[bool]:
 _ADDR = re.compile(r"[a-z0-9._%+\-]+@[a-z0-9.\-]+\.[a-z]{2,}", re.I)
 
 
-def read_lines(text: str, roster: Roster) -> list[int]:
-    """A class for each line of ``text`` (split at ``\\n``)."""
-    return analyse(text, roster)[0]
+# ---------------------------------------------------------------- flags of lines
 
+BLANK_, HEAD, MARKED, SIGBOX, CLOSE, DASH, NAME, COMMA, SIGLIKE, PS, OWN, NOTE, CUE, DELIM, LONG, OPENS, HELLO = (1 << k for k in range(17))
+SHINGLE_BASE = 0x5851F42D4C957F2D
+_M64, _START = (1 << 64) - 1, 0x9E3779B97F4A7C15
 
-def analyse(text: str, roster: Roster) -> tuple[list[int], list[str], list[tuple[int, str] | None]]:
-    """Classes, visible lines, and for lines of an unmarked span the number and address of its header."""
-    lines = text.split("\n")
-    n = len(lines)
-    seen, marks, boxes, sig_box = _views(lines)
-    out = [NEW] * n
-    spans: list[tuple[int, str] | None] = [None] * n
-    head = _header_lines(seen, marks)
-    # quoted: marks, quoting elements, and what follows a header that uses neither
-    at: tuple[int, str] | None = None
-    last = -2
-    for i in range(n):
-        s = seen[i]
-        if not s or _IMAGE.match(s) or not _ALNUM.search(s):
-            out[i] = BLANK
-        if head[i]:
-            out[i] = HEADER
-            if not marks[i] and not boxes[i]:
-                nxt = next((j for j in range(i + 1, n) if seen[j] and not head[j] and (_ALNUM.search(seen[j]) or marks[j])), None)
-                if nxt is not None and not marks[nxt] and not boxes[nxt]:
-                    named = _ADDR.search(s)
-                    address = named.group(0).lower() if named and not _TO.match(s) else ""
-                    # the lines of one header block share one span
-                    if at is not None and last == i - 1:
-                        at = (at[0], at[1] or address)
-                    else:
-                        at = (0 if at is None else at[0] + 1, address)
-                    last = i
-        elif at is not None or marks[i] or boxes[i]:
-            if at is not None and not marks[i]:
-                spans[i] = at
-            if out[i] == NEW:
-                out[i] = QUOTED
-    _signatures(seen, out, sig_box, roster)
-    return out, seen, spans
 
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
 
-def _sig_like(s: str, roster: Roster) -> bool:
-    return bool(
-        _PHONEISH.match(s) or _MAILISH.match(s) or _DEVICE.match(s) or _LISTNOTE.match(s) or roster.is_name(s) or (len(s) <= 70 and (_TITLE.match(s) or _COMPANY.search(s))) or (len(s) <= 90 and s[-1:] not in ".!?" and _ADDRESS.match(s))
-    )
 
+def roll(a: int, b: int) -> int:
+    """Rolling hash of two lines on end."""
+    return _signed((a * SHINGLE_BASE + b) & _M64)
 
-def _signatures(seen: list[str], out: list[int], sig_box: list[bool], roster: Roster) -> None:
-    """Marks notices, device and list notes, and signature blocks among the lines that are still new."""
-    n = len(seen)
-    for i in range(n):
-        if out[i] != NEW:
-            continue
-        s = seen[i]
-        if sig_box[i]:
+
+class Lines:
+    """Reads a text into flags, hashes and reference headers; a line's own flags are kept (bounded)."""
+
+    def __init__(self, roster: Roster) -> None:
+        import xxhash
+
+        self.roster, self.h64 = roster, xxhash.xxh3_64_intdigest
+        self.kept: dict[str, tuple[int, int]] = {}
+
+    def line(self, s: str) -> tuple[int, int]:
+        """Flags that a visible line has by itself, and the hash of its words (0 without any)."""
+        got = self.kept.get(s)
+        if got is not None:
+            return got
+        words = " ".join(re.findall(r"\w+", s.casefold()))
+        if not words or _IMAGE.match(s) or not _ALNUM.search(s):
+            f = BLANK_ | (DELIM if s in ("--", "—", "____________________") else 0)
+            got = (f, 0)
+        else:
+            r, f = self.roster, 0
+            close = _CLOSE.match(s)
+            name = r.is_name(s)
+            note = _DEVICE.match(s) or _LISTNOTE.match(s)
+            if close:
+                f |= CLOSE
+            if name:
+                f |= NAME
+            if _DASHNAME.match(s) and r.is_name(s.lstrip("-–— ")):
+                f |= DASH
+            if s.endswith(","):
+                f |= COMMA
+            if note:
+                f |= NOTE | SIGLIKE
+            elif name or _PHONEISH.match(s) or _MAILISH.match(s) or (len(s) <= 70 and (_TITLE.match(s) or _COMPANY.search(s))) or (len(s) <= 90 and s[-1:] not in ".!?" and _ADDRESS.match(s)):
+                f |= SIGLIKE
+            if _PS.match(s):
+                f |= PS
+            if _REF.match(s) or _BULLET.match(s):
+                f |= OWN
+            if not (close or name) and is_notice(s):
+                f |= CUE
+            if sum(map(str.isalnum, s)) >= 20:
+                f |= LONG
+            elif _GREETING.match(s):
+                f |= HELLO
+            got = (f, self.h64(words.encode("utf-8", "surrogatepass")) or 1)
+        if len(self.kept) >= 200_000:
+            self.kept.clear()
+        self.kept[s] = got
+        return got
+
+    def read(self, text: str) -> tuple[list[int], list[int], list[tuple[int, str]]]:
+        """Flags and hashes of the lines, and ``(last line, address)`` of each reference header without marks."""
+        lines = text.split("\n")
+        n = len(lines)
+        seen, marks, boxes, sig_box = _views(lines)
+        head = _header_lines(seen, marks)
+        flags, hashes = [0] * n, [0] * n
+        refs: list[tuple[int, str]] = []
+        last = -2
+        for i in range(n):
+            s = seen[i]
+            f, h = self.line(s) if s else (BLANK_, 0)
+            if marks[i] or boxes[i]:
+                f |= MARKED
+            if sig_box[i]:
+                f |= SIGBOX
+            if head[i]:
+                f |= HEAD
+                if not f & MARKED:
+                    nxt = next((j for j in range(i + 1, n) if seen[j] and not head[j] and (_ALNUM.search(seen[j]) or marks[j])), None)
+                    if nxt is not None and not marks[nxt] and not boxes[nxt]:
+                        named = _ADDR.search(s)
+                        address = named.group(0).lower() if named and not _TO.match(s) else ""
+                        # the lines of one header block are one reference
+                        if refs and last == i - 1:
+                            flags[refs[-1][0]] &= ~OPENS
+                            refs[-1] = (i, refs[-1][1] or address)
+                        else:
+                            refs.append((i, address))
+                        f |= OPENS
+                        last = i
+            flags[i], hashes[i] = f, h
+        return flags, hashes, refs
+
+
+# ---------------------------------------------------------------- alignment
+
+
+def align(mine: Sequence[tuple[int, int]], theirs: Sequence[int]) -> tuple[int, int, list[int]]:
+    """Number of aligned lines, first position met, and the inherited lines: aligned ones and edited ones between them.
+
+    ``mine`` holds ``(line_no, hash)``, ``theirs`` hashes. The alignment is the longest run in which both
+    increase. A line that either side repeats meets in order of occurrence, from the front and from the
+    back, so repeats make no product.
+    """
+    places: dict[int, list[int]] = defaultdict(list)
+    for p, h in enumerate(theirs):
+        places[h].append(p)
+    mine_at: dict[int, list[int]] = defaultdict(list)
+    for k, (_, h) in enumerate(mine):
+        if h in places:
+            mine_at[h].append(k)
+    pairs: set[tuple[int, int]] = set()
+    for h, ks in mine_at.items():
+        ps = places[h]
+        pairs.update(zip(ks, ps))
+        pairs.update(zip(reversed(ks), reversed(ps)))
+    tails: list[int] = []
+    at: list[int] = []
+    nodes: list[tuple[int, int, int]] = []
+    for k, p in sorted(pairs, key=lambda x: (x[0], -x[1])):
+        j = bisect_left(tails, p)
+        nodes.append((k, p, at[j - 1] if j else -1))
+        tails[j : j + 1] = [p]
+        at[j : j + 1] = [len(nodes) - 1]
+    run: list[tuple[int, int]] = []
+    i = at[-1] if at else -1
+    while i >= 0:
+        k, p, i = nodes[i]
+        run.append((k, p))
+    run.reverse()
+    if not run:
+        return 0, -1, []
+    told: list[int] = []
+    for (k, p), (k2, p2) in zip(run, [*run[1:], (len(mine), len(theirs))]):
+        told.append(mine[k][0])
+        # lines on both sides that do not match are an edit, lines on this side only are new; so is what follows the end
+        if k2 < len(mine) and p2 - p > 1:
+            told += [mine[x][0] for x in range(k + 1, k2)]
+    return len(run), run[0][1], told
+
+
+def decide(flags: Sequence[int], inherited: Container[int], open_heads: Container[int], site_lines: Container[int]) -> list[int]:
+    """The class of each line of a mail."""
+    n = len(flags)
+    out = [NEW] * n
+    below = to_end = False
+    for i, f in enumerate(flags):
+        if f & HEAD:
+            out[i] = HEADER
+            if f & OPENS:
+                below, to_end = True, i in open_heads
+        elif f & BLANK_:
+            out[i] = BLANK
+        elif f & MARKED or (below and (to_end or i in inherited)):
+            out[i] = QUOTED
+        elif f & SIGBOX:
             out[i] = SIGNATURE
-        elif _NOTICE.search(s):
-            out[i] = NOTICE
-        elif _DEVICE.match(s) or _LISTNOTE.match(s):
+        elif i in site_lines or f & (CUE | NOTE):
             out[i] = NOTICE
     # blocks: from an opener on, until text that belongs to no signature
+    tail = [True] * (n + 1)  # whether only signature lines, notices, quotes or a postscript follow
+    for i in range(n - 1, -1, -1):
+        f = flags[i]
+        tail[i] = True if out[i] in (QUOTED, HEADER) else tail[i + 1] if out[i] != NEW else bool(f & PS) or (bool(f & (SIGLIKE | CLOSE)) and tail[i + 1])
     i = 0
     while i < n:
-        s = seen[i]
-        opener = False
-        if out[i] == NEW:
-            if _CLOSE.match(s) or (_DASHNAME.match(s) and roster.is_name(s.lstrip("-–— "))):
-                opener = True
-            elif roster.is_name(s) and i and not s.endswith(",") and _tail(seen, out, i + 1, roster):
-                opener = True
-        elif out[i] == BLANK and _DELIM.match(s) and s in ("--", "—", "____________________") and _tail(seen, out, i + 1, roster):
-            opener = True
+        f = flags[i]
+        opener = bool(f & (CLOSE | DASH)) or (bool(f & NAME) and i > 0 and not f & COMMA and tail[i + 1]) if out[i] == NEW else out[i] == BLANK and bool(f & DELIM) and tail[i + 1]
         if not opener:
             i += 1
             continue
         if out[i] == NEW:
             out[i] = SIGNATURE
-        j = i + 1
-        while j < n:
-            if out[j] == NEW:
-                t = seen[j]
-                if _PS.match(t) or _REF.match(t) or _BULLET.match(t) or not (_CLOSE.match(t) or _sig_like(t, roster)):
+        i += 1
+        while i < n and out[i] not in (QUOTED, HEADER):
+            if out[i] == NEW:
+                if flags[i] & (PS | OWN) or not flags[i] & (CLOSE | SIGLIKE):
                     break
-                out[j] = SIGNATURE
-            elif out[j] in (QUOTED, HEADER):
-                break
-            j += 1
-        i = j
-
-
-def _tail(seen: list[str], out: list[int], i: int, roster: Roster) -> bool:
-    """Whether only signature lines, notices, quotes or a postscript follow."""
-    for j in range(i, len(seen)):
-        if out[j] in (QUOTED, HEADER):
-            return True
-        if out[j] == NEW:
-            if _PS.match(seen[j]):
-                return True
-            if not (_sig_like(seen[j], roster) or _CLOSE.match(seen[j])):
-                return False
-    return True
-
-
-# ---------------------------------------------------------------- shingles and alignment
-
-SHINGLE, _BASE, _MOD = 4, 1_000_003, (1 << 61) - 1
-
-
-def shingle(line: str) -> int | None:
-    """The least rolling hash of the line's windows of ``SHINGLE`` words, or of all words of a shorter line; None without words."""
-    return _hashes(line)[0]
-
-
-def _hashes(line: str) -> tuple[int | None, int | None]:
-    """The shingle of a line and the hash of all its words."""
-    import xxhash
-
-    words = re.findall(r"\w+", line.casefold())
-    if not words:
-        return None, None
-    h = [xxhash.xxh32_intdigest(w) for w in words]
-    top = pow(_BASE, SHINGLE - 1, _MOD)
-    roll = 0
-    for x in h[:SHINGLE]:
-        roll = (roll * _BASE + x) % _MOD
-    least = roll
-    for old, x in zip(h, h[SHINGLE:]):
-        roll = ((roll - old * top) * _BASE + x) % _MOD
-        least = min(least, roll)
-    whole = len(h)
-    for x in h:
-        whole = (whole * _BASE + x) % _MOD
-    return least, whole
-
+                out[i] = SIGNATURE
+            i += 1
+    return out
 
-def align(pairs: list[tuple[int, int]]) -> tuple[int, int, int]:
-    """Length, last line and last ancestor position of the longest run in which both positions increase."""
-    tails: list[int] = []
-    ends: list[tuple[int, int]] = []
-    for line, pos in sorted(pairs, key=lambda p: (p[0], -p[1])):
-        k = bisect_left(tails, pos)
-        if k == len(tails):
-            tails.append(pos)
-            ends.append((line, pos))
-        else:
-            tails[k] = pos
-            if k < len(ends) - 1 or pos < ends[k][1]:
-                ends[k] = (line, pos)
-    return len(tails), ends[-1][0], ends[-1][1]
 
+# ---------------------------------------------------------------- operator
 
-def longest_run(pairs: list[tuple[int, int]]) -> list[int]:
-    """The lines of the longest run in which lines and ancestor positions increase."""
-    tails: list[int] = []
-    nodes: list[tuple[int, int]] = []  # line and the node before it
-    at: list[int] = []
-    for line, pos in sorted(pairs, key=lambda p: (p[0], -p[1])):
-        k = bisect_left(tails, pos)
-        nodes.append((line, at[k - 1] if k else -1))
-        tails[k : k + 1] = [pos]
-        at[k : k + 1] = [len(nodes) - 1]
-    out, i = [], at[-1] if at else -1
-    while i >= 0:
-        line, i = nodes[i]
-        out.append(line)
-    return out[::-1]
+_SHAPE = "id long, doc long, src long, flags array<int>, h array<long>, said array<long>, sh array<long>, refs array<struct<line:int,address:string,sh:array<long>>>"
 
 
-OWN, SPAN, TAIL, NAMED = 0, 1, 2, 3
-
-
-def _lines(people: list[tuple[str | None, str | None]]):  # noqa: ANN202
+def _read(words: Container[str]):  # noqa: ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        roster = Roster(people)
+        lines = Lines(Roster(words))
         for b in batches:
-            take, no, kind, hashes, wholes, ref, address = [], [], [], [], [], [], []
-            for i, t in enumerate(b.column(2).to_pylist()):
-                out, seen, spans = analyse(t, roster)
-                for k, c in enumerate(out):
-                    span = spans[k]
-                    if c == NEW:
-                        row = (OWN, *_hashes(seen[k]), -1, None)
-                    elif c == SIGNATURE:
-                        continue
-                    elif span is not None and c == QUOTED and span[1]:
-                        plain = not (_NOTICE.search(seen[k]) or _CLOSE.match(seen[k]) or _DASHNAME.match(seen[k]) or _sig_like(seen[k], roster))
-                        row = (TAIL if plain else SPAN, *_hashes(seen[k]), span[0], span[1])
-                    elif c == HEADER and (named := _ADDR.search(seen[k])) and not _TO.match(seen[k]):
-                        row = (NAMED, None, None, -1, named.group(0).lower())
-                    else:
-                        continue
-                    take.append(i)
-                    no.append(k)
-                    kind.append(row[0])
-                    hashes.append(row[1])
-                    wholes.append(row[2])
-                    ref.append(row[3])
-                    address.append(row[4])
-            idx = pa.array(take, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(idx), b.column(1).take(idx), pa.array(no, pa.int32()), pa.array(kind, pa.int8()), pa.array(hashes, pa.int64()), pa.array(wholes, pa.int64()), pa.array(ref, pa.int32()), pa.array(address, pa.string())],
-                names=["row", "doc", "line_no", "kind", "h", "whole", "ref", "address"],
-            )
+            cols: list[list] = [[], [], [], [], []]
+            for t in b.column(3).to_pylist():
+                flags, hashes, refs = lines.read(t)
+                at = [i for i, h in enumerate(hashes) if h and not flags[i] & HEAD]
+                said = [hashes[i] for i in at]
+                # pairs that end in a line of content: closings, names, contacts and greetings say little
+                full = [not flags[i] & (CLOSE | DASH | NAME | SIGLIKE | NOTE | CUE | HELLO) for i in at]
+                pairs = [roll(a, c) if f else 0 for a, c, f in zip([_START, *said], said, full)]
+                spans = []
+                for k, (line, address) in enumerate(refs):
+                    lo = bisect_left(at, line)
+                    hi = bisect_left(at, refs[k + 1][0]) if k + 1 < len(refs) else len(at)
+                    first = [roll(_START, said[lo])] if hi > lo and full[lo] else []
+                    spans.append({"line": line, "address": address, "sh": first + [p for p in pairs[lo + 1 : hi] if p]})
+                for c, x in zip(cols, (flags, [_signed(h) for h in hashes], [_signed(h) for h in said], [p for p in pairs if p], spans), strict=True):
+                    c.append(x)
+            longs = pa.list_(pa.int64())
+            arrays = [pa.array(cols[0], pa.list_(pa.int32())), pa.array(cols[1], longs), pa.array(cols[2], longs), pa.array(cols[3], longs)]
+            refs_ = pa.array(cols[4], pa.list_(pa.struct([("line", pa.int32()), ("address", pa.string()), ("sh", longs)])))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), *arrays, refs_], names=["id", "doc", "src", "flags", "h", "said", "sh", "refs"])
 
     return run
 
 
-def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        got = [align([(p["line_no"], p["pos"]) for p in ps]) for ps in b.column(4).to_pylist()]
-        cols = list(zip(*got, strict=True)) if got else [(), (), ()]
-        yield pa.RecordBatch.from_arrays([*b.columns[:4], *[pa.array(c, pa.int32()) for c in cols]], names=["row", "doc", "ref", "anc", "n", "line", "pos"])
+#: an ancestor's text is met within its first lines: a banner or greeting may be left out
+BEGIN = 3
 
 
-def _inherited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        got = [longest_run([(p["line_no"], p["pos"]) for p in ps]) for ps in b.column(3).to_pylist()]
-        yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(got, pa.list_(pa.int32()))], names=["row", "ref", "elder", "lines"])
-
+        n, begin, told = [], [], []
+        for line, flags, h, said in zip(*(b.column(k).to_pylist() for k in (1, 3, 4, 5)), strict=True):
+            mine = [(i, h[i]) for i in range(line + 1, len(h)) if h[i] and not flags[i] & HEAD]
+            got = align(mine, said)
+            n.append(got[0] if 0 <= got[1] <= BEGIN else 0)
+            begin.append(got[1])
+            told.append(got[2])
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(n, pa.int32()), pa.array(begin, pa.int32()), pa.array(told, pa.list_(pa.int32()))], names=["id", "line", "anc", "n", "begin", "told"])
 
-DIRECTORY_BOUND = 200_000
 
+_INHERITED, _OPEN, _SITE = 0, 1, 2
 
-def new_lines(df: DataFrame, senders: DataFrame, directory: DataFrame, key: str, text: str, doc: str = "eid", ancestors: tuple[DataFrame, DataFrame] | None = None) -> tuple[DataFrame, tuple[DataFrame, DataFrame]]:
-    """``(found, known)``: ``(key, line_no)`` of the new lines, and the tables of own lines and of the senders each mail cites, which later calls can take as ``ancestors``.
 
-    ``senders (eid, from_addr)`` tells who wrote a mail; ``directory`` holds the names that sign mails
-    (at most ``DIRECTORY_BOUND`` people: they are sent to every worker).
+def _decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        ids, no = [], []
+        for i, flags, marks in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+            sets: list[set[int]] = [set(), set(), set()]
+            for m in marks or ():
+                sets[m & 3].add(m >> 2)
+            new = [k for k, c in enumerate(decide(flags, *sets)) if c == NEW]
+            ids += [i] * len(new)
+            no += new
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(no, pa.int32())], names=["id", "line_no"])
+
+
+def new_lines(texts: Sequence[tuple[DataFrame, str, str]], senders: DataFrame, directory: DataFrame, doc: str = "eid", source: str = "site", least_docs: int = 10, share: float = 0.1) -> list[DataFrame]:
+    """For each ``(table, key, text)`` the frame ``(key, line_no)`` of its new lines.
+
+    ``senders (eid, from_addr)`` tells who wrote a mail; ``directory`` holds the names that sign mails.
+    Mails of all tables are ancestors to each other; a table without the column ``source`` has no site
+    lines of its own, but those of the others count in it.
     """
-    people = [(r[0], r[1]) for r in directory.select("given_name", "family_name").limit(DIRECTORY_BOUND + 1).collect()]
-    if len(people) > DIRECTORY_BOUND:
-        raise ValueError(f"the directory has over {DIRECTORY_BOUND} people")
-    scratch = Scratch(df.sparkSession, "new-lines")
-    rows = df.where(F.col(text).isNotNull() & (F.length(text) > 0)).select(F.col(key).cast("long").alias("row"), F.xxhash64(doc).alias("doc"), F.col(text).alias("t"))
-    lines = scratch.cut(rows.mapInArrow(_lines(people), "row long, doc long, line_no int, kind byte, h long, whole long, ref int, address string"))
-    own = lines.where(f"kind = {OWN} and h is not null").select("doc", F.col("line_no").alias("pos"), "h", "whole")
-    cited = lines.where(f"kind = {NAMED}").select("doc", "address").distinct()
-    if ancestors is not None:
-        own = ancestors[0]
-        cited = cited.union(ancestors[1]).distinct()
-    open_ = lines.where(f"kind in ({SPAN}, {TAIL})")
-    # who wrote what: only senders that some open span refers to
-    asked = open_.select("address").distinct()
-    who = senders.where("eid is not null and from_addr is not null").select(F.xxhash64("eid").alias("doc"), F.lower("from_addr").alias("address")).distinct()
-    who = who.join(asked, "address", "left_semi")
-    theirs = own.join(who, "doc").select("address", "h", F.col("doc").alias("anc"), "pos").distinct()
-    met = open_.where("h is not null").select("row", "doc", "ref", "address", "h", "line_no").join(theirs, ["address", "h"]).where("doc <> anc")
-    # the lines of one span and one ancestor: bounded by the lines of a mail
-    runs = met.groupBy("row", "doc", "ref", "anc").agg(F.collect_list(F.struct("line_no", "pos")).alias("ps")).mapInArrow(_aligned, "row long, doc long, ref int, anc long, n int, line int, pos int")
-    best = runs.groupBy("row", "doc", "ref").agg(F.max(F.struct("n", "anc", "line", "pos")).alias("b")).select("row", "doc", "ref", "b.*").where("n >= 2")
-    ends = own.groupBy(F.col("doc").alias("anc")).agg(F.max("pos").alias("end"))
-    done = best.join(ends, "anc").where("pos = end").select("row", "ref", "anc", "line")
-    after = scratch.cut(open_.where(f"kind = {TAIL}").join(done, ["row", "ref"]).where("line_no > line").select("row", "doc", "ref", "line_no", "whole", "anc"))
-    # an ancestor may itself quote without marks: whole lines of the senders whom it or the mail cites, in their order, were not written here
-    pairs = after.select("doc", "anc").distinct()
-    elders = pairs.join(cited, "doc").union(pairs.join(cited.withColumnRenamed("doc", "anc"), "anc").select("doc", "anc", "address")).distinct()
-    by = senders.where("eid is not null and from_addr is not null").select(F.xxhash64("eid").alias("elder"), F.lower("from_addr").alias("address")).distinct()
-    by = by.join(elders.select("address").distinct(), "address", "left_semi")
-    theirs = own.where("whole is not null").withColumnRenamed("doc", "elder").join(by, "elder").select("elder", "address", "pos", "whole").distinct()
-    met = after.join(elders, ["doc", "anc"]).join(theirs, ["address", "whole"]).where("doc <> elder and anc <> elder")
-    runs = met.groupBy("row", "ref", "elder").agg(F.collect_set(F.struct("line_no", "pos")).alias("ps")).mapInArrow(_inherited, "row long, ref int, elder long, lines array<int>")
-    size = theirs.groupBy("elder").agg(F.countDistinct("pos").alias("size"))
-    told = runs.join(size, "elder").where("size(lines) >= least(2, size)").select("row", F.explode("lines").alias("line_no")).distinct()
-    after = after.select("row", "line_no").join(told, ["row", "line_no"], "left_anti")
-    found = lines.where(f"kind = {OWN}").select("row", "line_no").union(after)
-    return found.withColumnRenamed("row", key), (own, cited)
+    spark = texts[0][0].sparkSession
+    scratch = Scratch(spark, "new-lines")
+    words = field(directory, name_entries)
+    rows, need = None, None
+    for k, (df, key, text) in enumerate(texts):
+        src = F.when(F.col(source).isNotNull(), F.xxhash64(F.col(source).cast("string"))) if source in df.columns else F.lit(None).cast("long")
+        part = df.where(F.col(text).isNotNull() & (F.length(text) > 0)).select((F.col(key).cast("long") * len(texts) + k).alias("id"), F.when(F.col(doc).isNotNull(), F.xxhash64(doc)).alias("doc"), src.alias("src"), F.col(text).alias("t"))
+        rows = part if rows is None else rows.union(part)
+        if source in df.columns:
+            limit = needed(df, source, doc, least_docs, share)
+            need = limit if need is None else need.union(limit)
+    mails = scratch.cut(rows.mapInArrow(_read(words), _SHAPE))
+
+    # who wrote what: only senders that some reference names
+    refs = mails.where("size(refs) > 0").select("id", F.xxhash64("said").alias("ah"), F.explode("refs").alias("r")).select("id", "ah", "r.*")
+    refs = scratch.cut(refs)
+    asked = refs.where("address <> ''").select("address").distinct()
+    who = senders.where("eid is not null and from_addr is not null").select(F.xxhash64("eid").alias("doc"), F.lower("from_addr").alias("address")).distinct().join(asked, "address", "left_semi")
+    # mails of one sender with equal lines are one
+    elders = mails.where("doc is not null and size(said) > 0").select("doc", "said", "sh").join(who, "doc").withColumn("ah", F.xxhash64("said"))
+    elders = scratch.cut(elders.select("address", "ah", "said", "sh").dropDuplicates(["address", "ah"]).withColumn("anc", F.xxhash64("address", "ah")))
+
+    # the rarest shingle below a header that the sender's mails know
+    posted = elders.select("address", "anc", F.explode(F.array_distinct("sh")).alias("sh"))
+    wanted = refs.where("address <> ''").select("id", "line", "ah", "address", F.explode(F.array_distinct("sh")).alias("sh"))
+    keys = wanted.select("address", "sh").distinct()
+    posted = scratch.cut(posted.join(keys, ["address", "sh"], "left_semi"))
+    often = posted.groupBy("address", "sh").agg(F.count(F.lit(1)).alias("n"))
+    best = scratch.cut(wanted.join(often, ["address", "sh"]).groupBy("id", "line", "ah", "address").agg(F.min(F.struct("n", "sh")).alias("b")))
+    met = best.select("id", "line", "ah", "address", F.col("b.sh").alias("sh")).join(posted, ["address", "sh"])
+    met = met.where(F.col("anc") != F.xxhash64("address", "ah")).select("id", "line", "anc")
+    both = met.join(elders.select("anc", "said"), "anc").join(mails.select("id", "flags", "h"), "id").select("id", "line", "anc", "flags", "h", "said")
+    runs = both.mapInArrow(_aligned, "id long, line int, anc long, n int, begin int, told array<int>").where("n > 0")
+    told = runs.groupBy("id", "line").agg(F.max(F.struct("n", (-F.col("begin")).alias("b"), "anc", "told")).alias("r"))
+    told = told.select("id", F.explode("r.told").alias("k"), F.lit(_INHERITED).alias("what"))
+    # no mail of that sender says any of it: nothing to align with
+    opened = refs.join(best.select("id", "line"), ["id", "line"], "left_anti").select("id", F.col("line").alias("k"), F.lit(_OPEN).alias("what"))
+    marks = told.union(opened)
+
+    # lines that many mails of one site hold
+    if need is not None:
+        z = F.arrays_zip("flags", "h")
+        lines = mails.select("id", "src", "doc", F.posexplode(z).alias("k", "z")).where(F.col("z.flags").bitwiseAND(LONG) != 0)
+        lines = lines.select("id", "src", "doc", "k", F.col("z.h").alias("h"), (F.col("z.flags").bitwiseAND(MARKED | HEAD) == 0).alias("open"))
+        need = scratch.cut(need.groupBy("src").agg(F.max("need").alias("need")))
+        sited = lines.where("src is not null and doc is not null")
+        # occurrences bound the documents from above
+        often = scratch.cut(sited.groupBy("src", "h").agg(F.count(F.lit(1)).alias("n")).join(need, "src").where("n >= need").select("src", "h"))
+        heavy = sited.join(often, ["src", "h"], "left_semi").select("src", "h", "doc").distinct().groupBy("src", "h").agg(F.count(F.lit(1)).alias("n"))
+        heavy = scratch.cut(heavy.join(need, "src").where("n >= need").select("h").distinct())
+        marks = marks.union(lines.where("open").join(heavy, "h", "left_semi").select("id", "k", F.lit(_SITE).alias("what")))
+
+    of = marks.groupBy("id").agg(F.collect_set((F.col("k") * 4 + F.col("what")).cast("int")).alias("marks"))
+    found = scratch.cut(mails.select("id", "flags").join(of, "id", "left").mapInArrow(_decided, "id long, line_no int"))
+    scratch.keep_only(found)
+    part = lambda k: F.pmod("id", F.lit(len(texts))) == k
+    return [found.where(part(k)).select(((F.col("id") - k) / len(texts)).cast("long").alias(key), "line_no") for k, (_, key, _) in enumerate(texts)]

@@ -67,9 +67,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     from lettermill.llm.newtext import new_lines
 
     raw, mails, people = table(spark, d, "armis_raw_email"), table(spark, d, "thread_grouper"), table(spark, d, "staff_directory")
-    senders = mails.select("eid", "from_addr")
-    a, own = new_lines(raw, senders, people, "row_idx", "raw_body")
-    b, _ = new_lines(mails, senders, people, "row_idx", "cleaned_body", ancestors=own)
+    a, b = new_lines([(raw, "row_idx", "raw_body"), (mails, "row_idx", "cleaned_body")], mails.select("eid", "from_addr"), people)
     named = lambda x, t: x.select(F.lit(t).alias("src_table"), "row_idx", "line_no")
     return named(a, "armis_raw_email").union(named(b, "thread_grouper"))
 
