@@ -9,8 +9,8 @@ alignment, and inherited spans are removed.
    a closing formula, name, contact line, note or notice.
 2. A reference header without marks names the sender of the quoted mail. The
    shingles (rolling hashes of two lines on end) below it are looked up among
-   those of that sender's mails; the rarest one that is known there picks the
-   candidates. Lines below the header and lines of a candidate, quoted history
+   those of that sender's mails; of those known there the rarest and the first
+   pick the candidates. Lines below the header and lines of a candidate, quoted history
    of its own included, are aligned; a quote begins where its mail begins; the
    candidate with most aligned lines is the ancestor. Aligned lines, and edited
    ones between them, are inherited.
@@ -26,7 +26,7 @@ whose sender has no mail in the collection (or that names no address) nothing
 can be aligned, and its span runs to the next header.
 
 Hot keys: mails of one sender with equal lines are one candidate; a shingle
-shared by many of them is taken only where no rarer one is known; notices are
+shared by many of them is taken only where it comes first or no rarer one is known; notices are
 counted map-side by line. Mails that merely resemble each other are no
 ancestors: without a reference nothing is removed.
 
@@ -114,14 +114,15 @@ CUES: tuple[re.Pattern, ...] = tuple(
         r"\ball (?:staff|employees|members)\b|\bshare this\b|\bwith a colleague\b",
         r"^(?:tip|note|notice|reminder|new|hint|announcement|hinweis|neu|nota|rappel|lembrete)\s*:",
         r"\b(?:like|liked|enjoy|enjoyed) what you\b|^follow\b",
-        r"\bcopies are\b|\bkept by\b",
+        r"\bcopies (?:are|of)\b",
+        r"\b(?:kept|retained) by\b",
         r"^(?:caution|warning|attention|achtung)\b|\bdo not open\b|\bunless you (?:expect|know|recogni)",
         r"^(?:if you are not|unless you are)\b|\bnot the\b.{1,30}\brecipient",
     )
 )
 
 
-_SENTENCE_END = re.compile(r"(?<=[.!?])\s+")
+_SENTENCE_END = re.compile(r"(?<=[.!])\s+")
 
 
 def is_notice(s: str) -> bool:
@@ -340,12 +341,31 @@ class Lines:
 # ---------------------------------------------------------------- alignment
 
 
+def longest_run(pairs: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The longest run of pairs in which both places increase."""
+    tails: list[int] = []
+    at: list[int] = []
+    nodes: list[tuple[int, int, int]] = []
+    for k, p in sorted(pairs, key=lambda x: (x[0], -x[1])):
+        j = bisect_left(tails, p)
+        nodes.append((k, p, at[j - 1] if j else -1))
+        tails[j : j + 1] = [p]
+        at[j : j + 1] = [len(nodes) - 1]
+    run: list[tuple[int, int]] = []
+    i = at[-1] if at else -1
+    while i >= 0:
+        k, p, i = nodes[i]
+        run.append((k, p))
+    return run[::-1]
+
+
 def align(mine: Sequence[tuple[int, int]], theirs: Sequence[int]) -> tuple[int, int, list[int]]:
     """Number of aligned lines, first position met, and the inherited lines: aligned ones and edited ones between them.
 
-    ``mine`` holds ``(line_no, hash)``, ``theirs`` hashes. The alignment is the longest run in which both
-    increase. A line that either side repeats meets in order of occurrence, from the front and from the
-    back, so repeats make no product.
+    ``mine`` holds ``(line_no, hash)``, ``theirs`` hashes. An alignment is the longest run in which both
+    increase; what it leaves is aligned again while a run of two lines or more is found, for mail
+    programs put the reply before or after what it quotes. A line that either side repeats meets in
+    order of occurrence, from the front and from the back, so repeats make no product.
     """
     places: dict[int, list[int]] = defaultdict(list)
     for p, h in enumerate(theirs):
@@ -359,29 +379,19 @@ def align(mine: Sequence[tuple[int, int]], theirs: Sequence[int]) -> tuple[int,
         ps = places[h]
         pairs.update(zip(ks, ps))
         pairs.update(zip(reversed(ks), reversed(ps)))
-    tails: list[int] = []
-    at: list[int] = []
-    nodes: list[tuple[int, int, int]] = []
-    for k, p in sorted(pairs, key=lambda x: (x[0], -x[1])):
-        j = bisect_left(tails, p)
-        nodes.append((k, p, at[j - 1] if j else -1))
-        tails[j : j + 1] = [p]
-        at[j : j + 1] = [len(nodes) - 1]
-    run: list[tuple[int, int]] = []
-    i = at[-1] if at else -1
-    while i >= 0:
-        k, p, i = nodes[i]
-        run.append((k, p))
-    run.reverse()
-    if not run:
-        return 0, -1, []
+    met: dict[int, int] = {}
+    while len(run := longest_run(pairs)) >= (2 if met else 1):
+        met.update(run)
+        done = set(met.values())
+        pairs = {(k, p) for k, p in pairs if k not in met and p not in done}
     told: list[int] = []
-    for (k, p), (k2, p2) in zip(run, [*run[1:], (len(mine), len(theirs))]):
+    order = sorted(met)
+    for k, k2 in zip(order, [*order[1:], len(mine)]):
         told.append(mine[k][0])
         # lines on both sides that do not match are an edit, lines on this side only are new; so is what follows the end
-        if k2 < len(mine) and p2 - p > 1:
+        if k2 < len(mine) and met[k2] - met[k] > 1:
             told += [mine[x][0] for x in range(k + 1, k2)]
-    return len(run), run[0][1], told
+    return len(met), min(met.values(), default=-1), told
 
 
 def decide(flags: Sequence[int], inherited: Container[int], open_heads: Container[int], site_lines: Container[int]) -> list[int]:
@@ -520,15 +530,15 @@ def new_lines(texts: Sequence[tuple[DataFrame, str, str]], senders: DataFrame, d
     elders = mails.where("doc is not null and size(said) > 0").select("doc", "said", "sh").join(who, "doc").withColumn("ah", F.xxhash64("said"))
     elders = scratch.cut(elders.select("address", "ah", "said", "sh").dropDuplicates(["address", "ah"]).withColumn("anc", F.xxhash64("address", "ah")))
 
-    # the rarest shingle below a header that the sender's mails know
+    # of the shingles below a header that the sender's mails know, the rarest and the first
     posted = elders.select("address", "anc", F.explode(F.array_distinct("sh")).alias("sh"))
-    wanted = refs.where("address <> ''").select("id", "line", "ah", "address", F.explode(F.array_distinct("sh")).alias("sh"))
+    wanted = refs.where("address <> ''").select("id", "line", "ah", "address", F.posexplode(F.array_distinct("sh")).alias("pos", "sh"))
     keys = wanted.select("address", "sh").distinct()
     posted = scratch.cut(posted.join(keys, ["address", "sh"], "left_semi"))
     often = posted.groupBy("address", "sh").agg(F.count(F.lit(1)).alias("n"))
-    best = scratch.cut(wanted.join(often, ["address", "sh"]).groupBy("id", "line", "ah", "address").agg(F.min(F.struct("n", "sh")).alias("b")))
-    met = best.select("id", "line", "ah", "address", F.col("b.sh").alias("sh")).join(posted, ["address", "sh"])
-    met = met.where(F.col("anc") != F.xxhash64("address", "ah")).select("id", "line", "anc")
+    best = scratch.cut(wanted.join(often, ["address", "sh"]).groupBy("id", "line", "ah", "address").agg(F.min(F.struct("n", "sh")).alias("b"), F.min(F.struct("pos", "sh")).alias("f")))
+    met = best.select("id", "line", "ah", "address", F.explode(F.array_distinct(F.array("b.sh", "f.sh"))).alias("sh")).join(posted, ["address", "sh"])
+    met = met.where(F.col("anc") != F.xxhash64("address", "ah")).select("id", "line", "anc").distinct()
     both = met.join(elders.select("anc", "said"), "anc").join(mails.select("id", "flags", "h"), "id").select("id", "line", "anc", "flags", "h", "said")
     runs = both.mapInArrow(_aligned, "id long, line int, anc long, n int, begin int, told array<int>").where("n > 0")
     told = runs.groupBy("id", "line").agg(F.max(F.struct("n", (-F.col("begin")).alias("b"), "anc", "told")).alias("r"))

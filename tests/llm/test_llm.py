@@ -126,40 +126,76 @@ It is blue.
 > Bruno"""
 
 
+ROSTER = newtext.Roster({w for p in PEOPLE for w in newtext.name_entries(*p)})
+WROTE = "On Mon, Mar 30, 2026 at 4:37 PM Bruno Tessel <b@tessel.example> wrote:"
+
+
 def test_new_lines_of_one_mail():
     lines = MAIL.split("\n")
-    new = [lines[i] for i, c in enumerate(newtext.read_lines(MAIL, newtext.Roster(PEOPLE))) if c == newtext.NEW]
+    flags, _, _ = newtext.Lines(ROSTER).read(MAIL)
+    new = [lines[i] for i, c in enumerate(newtext.decide(flags, (), (), ())) if c == newtext.NEW]
     assert new == [lines[0], lines[1], lines[2], "PS: The lamp is blue.", "It is blue."]
 
 
+def found(spark, rows, senders, **more):
+    df = spark.createDataFrame(rows, "row_idx long, eid string, raw_body string" + (", site string" if len(rows[0]) > 3 else ""))
+    who = spark.createDataFrame(senders, "eid string, from_addr string")
+    people = spark.createDataFrame(PEOPLE, "given_name string, family_name string")
+    return {tuple(r) for r in newtext.new_lines([(df, "row_idx", "raw_body")], who, people, **more)[0].collect()}
+
+
 def test_unmarked_span_ends_with_the_ancestor(spark):
     parent = "Dear Ada,\nthe red lamp must be moved tomorrow\nplease tell the others about it"
-    child = f"{MAIL.split(chr(10))[0]}\nmy answer comes first\n\nOn Mon, Mar 30, 2026 at 4:37 PM Bruno Tessel <b@tessel.example> wrote:\n{parent}\n\nand this comes after the quoted text"
-    df = spark.createDataFrame([(1, "p", parent), (2, "c", child), (3, "n", None), (4, None, "  ")], "row_idx long, eid string, raw_body string")
-    senders = spark.createDataFrame([("p", "B@tessel.example"), ("c", "ada@quill.example")], "eid string, from_addr string")
-    people = spark.createDataFrame(PEOPLE, "given_name string, family_name string")
-    got = {tuple(r) for r in newtext.new_lines(df, senders, people, "row_idx", "raw_body")[0].collect()}
-    assert got == {(1, 0), (1, 1), (1, 2), (2, 0), (2, 1), (2, 8)}
+    child = f"Hello Bruno,\nmy answer comes first\n\n{WROTE}\n{parent}\n\nand this comes after the quoted text"
+    rows = [(1, "p", parent), (2, "c", child), (3, "n", None), (4, None, "  ")]
+    senders = [("p", "B@tessel.example"), ("c", "ada@quill.example")]
+    assert found(spark, rows, senders) == {(1, 0), (1, 1), (1, 2), (2, 0), (2, 1), (2, 8)}
+    # without the ancestor nothing can be aligned: the span runs to the end
+    assert found(spark, rows[1:], senders) == {(2, 0), (2, 1)}
+    assert found(spark, [(1, "p", None)], senders) == set()
+
 
+def test_replies_between_and_edited_lines(spark):
+    parent = "Dear Ada,\nis the red lamp in the hall?\nis the blue lamp there too?\nwho moved the lamps of the north wing\nand when were they moved there"
+    child = f"{WROTE}\nDear Ada,\nis the red lamp in the hall?\nYes it is.\nis the blue lamp there too?\nwho moved the lamps of the noth wing?\nand when were they moved there\nI do not know."
+    rows = [(1, "p", parent), (2, "c", child)]
+    got = found(spark, rows, [("p", "b@tessel.example"), ("c", "ada@quill.example")])
+    # replies between and below quoted lines stay, the edited line is inherited
+    assert {x for x in got if x[0] == 2} == {(2, 3), (2, 7)}
 
-def test_tail_that_strangers_say_too(spark):
-    wrote = "On Mon, Mar 30, 2026 at 4:37 PM Bruno Tessel <b@tessel.example> wrote:"
+
+def test_history_of_the_ancestor_and_strangers(spark):
     old = "the first mail of this thread speaks of lamps\nand it has a second line of its own"
     parent = "the red lamp must be moved tomorrow\nplease tell the others about it"
     tail = "Guten Tag,\nThanks for the update of the lamp"
-    rows = [(1, "g", old), (2, "p", f"{parent}\n\n{wrote}\n{old}"), (3, "c", f"my answer\n\n{wrote}\n{parent}\n{old}\n{tail}"), (4, "x", "Guten Tag,\nThanks for the update and nothing else")]
-    df = spark.createDataFrame(rows, "row_idx long, eid string, raw_body string")
-    senders = spark.createDataFrame([("g", "b@tessel.example"), ("p", "b@tessel.example"), ("c", "ada@quill.example"), ("x", "z@else.example")], "eid string, from_addr string")
-    people = spark.createDataFrame(PEOPLE, "given_name string, family_name string")
-    got = {tuple(r) for r in newtext.new_lines(df, senders, people, "row_idx", "raw_body")[0].where("row_idx in (2, 3)").collect()}
-    # the greeting stands in a stranger's mail too; the lines of the grandparent are inherited
-    assert got == {(2, 0), (2, 1), (3, 0), (3, 7), (3, 8)}
+    rows = [(1, "g", old), (2, "p", f"{WROTE}\n{old}\n\n{parent}"), (3, "c", f"my answer\n\n{WROTE}\n{parent}\n{old}\n{tail}"), (4, "x", "Guten Tag,\nThanks for the update of the lamp")]
+    got = found(spark, rows, [("g", "b@tessel.example"), ("p", "b@tessel.example"), ("c", "ada@quill.example"), ("x", "z@else.example")])
+    # p answers below its quote, the program of c puts that answer first: both parts align; what a stranger says too is new
+    assert {x for x in got if x[0] in (2, 3)} == {(2, 4), (2, 5), (3, 0), (3, 7), (3, 8)}
+
+
+def test_site_lines_and_names(spark):
+    rows = [(i, f"e{i}", f"this mail number {i} speaks of its own lamp\n--\nBruno\nEvery lamp of the northern hall shines at night", "north") for i in range(12)]
+    rows += [(50, "o", "Every lamp of the northern hall shines at night", None)]
+    got = found(spark, rows, [("none", None)])
+    assert got == {(i, 0) for i in range(12)}
+
+
+def test_notices():
+    said = ["This e-mail is confidential.", "If you are not the intended recipient, tell us.", "Registered office: 1 Hall Street", "Tip: the new lamp is open to all staff", "You receive this because you asked for it."]
+    own = ["Please treat the lamp as confidential until it is sold.", "The lamps were switched off by mistake.", "Let me know whether you can print the list.", "Tell me what you think before Monday."]
+    assert all(map(newtext.is_notice, said)) and not any(map(newtext.is_notice, own))
 
 
 def test_alignment():
-    assert newtext.align([(1, 5), (2, 1), (3, 2), (4, 9), (4, 3)])[0] == 3
-    assert newtext.longest_run([(1, 5), (2, 1), (3, 2), (4, 9), (4, 3)]) == [2, 3, 4] and newtext.longest_run([]) == []
-    assert newtext.shingle("a b c d e") is not None and newtext.shingle("...") is None
+    mine = list(enumerate([1, 2, 3, 9, 4, 7, 7, 8]))
+    assert newtext.align(mine, [1, 2, 3, 5, 4]) == (4, 0, [0, 1, 2, 3, 4])  # 9 stands for 5
+    assert newtext.align(mine, [1, 2, 3, 4]) == (4, 0, [0, 1, 2, 4])  # 9 was put in
+    assert newtext.align(mine, [4, 7, 7, 8, 1, 2, 3]) == (7, 0, [0, 1, 2, 4, 5, 6, 7])
+    assert newtext.align(mine, [6]) == (0, -1, []) and newtext.align([], [1]) == (0, -1, [])
+    many = [(i, 5) for i in range(5000)]
+    assert newtext.align(many, [5] * 5000)[0] == 5000
+    assert newtext.longest_run([(1, 5), (2, 1), (3, 2), (4, 9), (4, 3)]) == [(2, 1), (3, 2), (4, 3)]
 
 
 # ---------------------------------------------------------------- 6
