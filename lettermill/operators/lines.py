@@ -1,9 +1,9 @@
 """Line operators of the cleaner: ``Column -> Column`` over arrays of lines, inside the JVM.
 
 A text is split at newlines into an array; order is the array's order, so no
-shuffle or sort is needed. Runs with a memory (disclaimers, signatures) are one
-fold that carries a flag; windows around a line (inline signatures) are read by
-position. Null texts stay null.
+shuffle or sort is needed. Runs with a memory (disclaimers, signatures, header
+blocks) are patterns over one letter a line; windows around a line (inline
+signatures) are read by position. Null texts stay null.
 """
 
 from __future__ import annotations
@@ -60,20 +60,36 @@ def _before_first(lines: Column, test) -> Column:  # noqa: ANN001
     return let(lines, cut)
 
 
+def _flags(lines: Column, letter) -> Column:  # noqa: ANN001
+    """One letter a line, as one text: runs of lines become runs of letters, which a pattern reads in one pass."""
+    return F.array_join(F.transform(lines, letter), "")
+
+
+def _letters(flags: Column) -> Column:
+    """The letters by position."""
+    return F.split(flags, "")
+
+
 def _run(lines: Column, seed, go, blank=None) -> Column:  # noqa: ANN001
-    """Drops seed lines and the lines after them that go on; tests are made once a line, the fold reads flags only.
+    """Drops seed lines and the lines after them that go on.
 
-    ``blank`` tells lines that come out empty when they end a run.
+    Letters: ``S`` opens, ``G`` goes on, ``B`` is a blank line that goes on with nothing (after a dropped
+    line it comes out empty), ``X`` is any other line. A match that begins where the last one ended
+    carries the run on, so the pass is linear in the lines.
     """
-    zero = F.struct(F.lit(False).alias("on"), F.array().cast("array<string>").alias("out"))
-    tested = F.transform(lines, lambda x: F.struct(x.alias("x"), seed(x).alias("seed"), go(x).alias("go"), (blank(x) if blank else F.lit(False)).alias("blank")))
 
-    def merge(acc: Column, v: Column) -> Column:
-        drop = v["seed"] | (acc["on"] & v["go"])
-        line = F.when(acc["on"] & v["blank"], F.lit("")).otherwise(v["x"])
-        return F.struct(drop.alias("on"), F.when(drop, acc["out"]).otherwise(F.concat(acc["out"], F.array(line))).alias("out"))
+    def letter(x: Column) -> Column:
+        out = F.when(seed(x), "S").when(go(x), "G")
+        return (out.when(blank(x), "B") if blank else out).otherwise("X")
+
+    def kept(ls: Column) -> Column:
+        gone = F.regexp_replace(_flags(ls, letter), r"S|(?!^)\G[SG]", "D")
+        if blank is None:
+            return let(_letters(gone), lambda f: F.filter(ls, lambda _, i: F.get(f, i) != "D"))
+        emptied = let(_letters(F.regexp_replace(gone, "(?<=D)B", "E")), lambda f: F.transform(ls, lambda x, i: F.when(F.get(f, i) == "E", "").when(F.get(f, i) != "D", x)))
+        return F.filter(emptied, lambda x: x.isNotNull())
 
-    return F.aggregate(tested, zero, merge, lambda acc: acc["out"])
+    return let(lines, kept)
 
 
 def drop_disclaimers(lines: Column) -> Column:
@@ -101,19 +117,15 @@ def drop_noise(lines: Column) -> Column:
 
 
 def header_flags(lines: Column) -> Column:
-    """True for header lines and for blank lines between them (three lines to either side, filled left to right)."""
-
-    def flags(ls: Column, heads: Column) -> Column:
-        def merge(acc: Column, i: Column) -> Column:
-            before = lambda k: F.coalesce(F.get(acc, i - k), F.lit(False))
-            after = lambda k: F.coalesce(F.get(heads, i + k), F.lit(False))
-            near = (before(1) | before(2) | before(3)) & (after(1) | after(2) | after(3))
-            gap = (i > 0) & (i < F.size(ls) - 1) & near & (strip(F.get(ls, i)) == "")
-            return F.concat(acc, F.array(F.get(heads, i) | gap))
+    """True for header lines and for blank lines between them (three lines to either side, filled left to right).
 
-        return F.aggregate(F.sequence(F.lit(0), F.greatest(F.size(ls) - 1, F.lit(0))), F.array().cast("array<boolean>"), merge)
-
-    return let(lines, lambda ls: let(F.transform(ls, is_header), lambda heads: flags(ls, heads)))
+    A blank line can be filled by one filled before it, but only within three lines of the next header:
+    three passes over the letters reach all of them.
+    """
+    f = _flags(lines, lambda x: F.when(is_header(x), "H").when(strip(x) == "", "b").otherwise("x"))
+    for _ in range(3):
+        f = F.regexp_replace(f, "(?<=[Hf].{0,2})b(?=.{0,2}H)", "f")
+    return F.transform(_letters(f), lambda c: c.isin("H", "f"))
 
 
 PLACEHOLDER = "﷐"  # a noncharacter: no text holds it
