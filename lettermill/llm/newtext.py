@@ -91,42 +91,44 @@ _DEVICE = re.compile(
     re.I,
 )
 _LISTNOTE = re.compile(r"^(?:unsubscribe|view (?:in|it in your) browser|manage (?:your )?preferences|abmelden|im browser ansehen|se désabonner|darse de baja|cancelar inscrição)(?:\s*[|·-]\s*.{0,40})?\.?$", re.I)
-#: marks of notices in general; a line with one of the first, or a sentence with two kinds of the second, is one
+#: marks of notices in general, each with parts of words one of which it needs; a line with one of the first, or a sentence with two kinds of the second, is one
+_SURE_PARTS = ("disclaimer", "legal", "confiden", "haftungs", "rechtlicher", "avis ", "aviso", "outside", "external", "receiv", "registered", "sitz der", "siège", "domicilio", "unsubscribe", "brought to", "recipient")
 _SURE = re.compile(
     r"^(?:disclaimer|legal notice|confidentiality (?:notice|note)|haftungsausschluss|rechtlicher hinweis|avis (?:légal|de confidentialité)|aviso (?:legal|de confidencialidade?))\b"
     r"|originated (?:from )?outside|external (?:sender|e-?mail)\b|\byou (?:are )?receiv(?:e|ed|ing) this\b|\bregistered office\b|\bsitz der gesellschaft\b|\bsiège social\b|\bdomicilio social\b"
-    r"|\bunsubscribe\b|\bbrought to you by\b|intended recipient",
-    re.I,
+    r"|\bunsubscribe\b|\bbrought to you by\b|intended recipient"
 )
-CUES: tuple[re.Pattern, ...] = tuple(
-    re.compile(p, re.I)
-    for p in (
-        r"\bthis (?:e-?mail|mail|message|communication|transmission)\b|\bdiese (?:e-?mail|nachricht)\b|\bce (?:message|courriel|mail)\b|\beste (?:mensaje|correo)\b|\besta mensagem\b|\bper e-?mail\b",
-        r"confiden[tc]|privileg|vertraulich|proprietary",
-        r"\baddressee|\brecipient|\bdestin(?:é|ad|at)|\bbestimmt\b|\bmeant for\b|\bintended for\b|\bwritten for\b",
-        r"\bby mistake\b|\bin error\b|irrtümlich|\bpar erreur\b|\bpor error\b|\bpor engano\b",
-        r"\bdelete\b|\bremove it\b|\bdestroy\b|\bnotify\b|\blet (?!me\b|us\b)\w+ know\b|\btell \w+|\blöschen\b|\bsupprimer\b|\bborrar\b|\bapagar\b",
-        r"\bliab|\baccepts? no\b|\bunverbindlich\b|\bbinds? (?:no|not)\b|\bresponsab|\bhaftung\b",
-        r"\bunauthori[sz]ed\b|\bprohibited\b|\bcopying\b|\bdisclosure\b|\bdissemination\b",
-        r"\bbefore (?:you )?print|\bprint(?:ing)? this\b",
-        r"\b(?:consider|think of)\b.*\bbefore\b|\benvironment\b|\bumwelt\b",
-        r"\bpreferences\b|\bsubscri|\bnewsletter\b|\bbrowser\b",
-        r"\ball (?:staff|employees|members)\b|\bshare this\b|\bwith a colleague\b",
-        r"^(?:tip|note|notice|reminder|new|hint|announcement|hinweis|neu|nota|rappel|lembrete)\s*:",
-        r"\b(?:like|liked|enjoy|enjoyed) what you\b|^follow\b",
-        r"\bcopies (?:are|of)\b",
-        r"\b(?:kept|retained) by\b",
-        r"^(?:caution|warning|attention|achtung)\b|\bdo not open\b|\bunless you (?:expect|know|recogni)",
-        r"^(?:if you are not|unless you are)\b|\bnot the\b.{1,30}\brecipient",
+CUES: tuple[tuple[tuple[str, ...], re.Pattern], ...] = tuple(
+    (tuple(parts.split("/")), re.compile(p))
+    for parts, p in (
+        ("mail/message/communication/transmission/nachricht/courriel/correo/mensa", r"\bthis (?:e-?mail|mail|message|communication|transmission)\b|\bdiese (?:e-?mail|nachricht)\b|\bce (?:message|courriel|mail)\b|\beste (?:mensaje|correo)\b|\besta mensagem\b|\bper e-?mail\b"),
+        ("confiden/privileg/vertraulich/proprietary", r"confiden[tc]|privileg|vertraulich|proprietary"),
+        ("address/recipient/destin/bestimmt/ for", r"\baddressee|\brecipient|\bdestin(?:é|ad|at)|\bbestimmt\b|\bmeant for\b|\bintended for\b|\bwritten for\b"),
+        ("mistake/error/irrtümlich/erreur/engano", r"\bby mistake\b|\bin error\b|irrtümlich|\bpar erreur\b|\bpor error\b|\bpor engano\b"),
+        ("delete/remove it/destroy/notify/know/tell /löschen/supprimer/borrar/apagar", r"\bdelete\b|\bremove it\b|\bdestroy\b|\bnotify\b|\blet (?!me\b|us\b)\w+ know\b|\btell \w+|\blöschen\b|\bsupprimer\b|\bborrar\b|\bapagar\b"),
+        ("liab/accept/unverbindlich/bind/responsab/haftung", r"\bliab|\baccepts? no\b|\bunverbindlich\b|\bbinds? (?:no|not)\b|\bresponsab|\bhaftung\b"),
+        ("unauthor/prohibit/copying/disclosure/disseminat", r"\bunauthori[sz]ed\b|\bprohibited\b|\bcopying\b|\bdisclosure\b|\bdissemination\b"),
+        ("print", r"\bbefore (?:you )?print|\bprint(?:ing)? this\b"),
+        ("before/environment/umwelt", r"\b(?:consider|think of)\b.*\bbefore\b|\benvironment\b|\bumwelt\b"),
+        ("preferences/subscri/newsletter/browser", r"\bpreferences\b|\bsubscri|\bnewsletter\b|\bbrowser\b"),
+        ("all /share this/colleague", r"\ball (?:staff|employees|members)\b|\bshare this\b|\bwith a colleague\b"),
+        (":", r"^(?:tip|note|notice|reminder|new|hint|announcement|hinweis|neu|nota|rappel|lembrete)\s*:"),
+        ("what you/follow", r"\b(?:like|liked|enjoy|enjoyed) what you\b|^follow\b"),
+        ("copies", r"\bcopies (?:are|of)\b"),
+        ("kept by/retained by", r"\b(?:kept|retained) by\b"),
+        ("caution/warning/attention/achtung/not open/unless you", r"^(?:caution|warning|attention|achtung)\b|\bdo not open\b|\bunless you (?:expect|know|recogni)"),
+        ("if you are not/unless you are/recipient", r"^(?:if you are not|unless you are)\b|\bnot the\b.{1,30}\brecipient"),
     )
 )
-
-
 _SENTENCE_END = re.compile(r"(?<=[.!])\s+")
 
 
 def is_notice(s: str) -> bool:
-    return bool(_SURE.search(s)) or any(sum(bool(p.search(x)) for p in CUES) >= 2 for x in _SENTENCE_END.split(s))
+    s = s.casefold()
+    if any([p in s for p in _SURE_PARTS]) and _SURE.search(s):
+        return True
+    may = [rx for parts, rx in CUES if any([p in s for p in parts])]
+    return len(may) > 1 and any(sum(bool(rx.search(x)) for rx in may) >= 2 for x in _SENTENCE_END.split(s))
 
 
 _PHONEISH = re.compile(r"^(?:(?:t|m|f|p|tel|phone|mobile|mob|cell|fax|telefon|tél|office|direct|handy|mobil)\.?\s*[:.]?\s*)?[+(]?\d[\d\s().\-/]{6,}\d$", re.I)
@@ -171,28 +173,36 @@ def _views(lines: list[str]) -> tuple[list[str], list[int], list[int], list[bool
     """For each line: what a reader sees, its depth of quote marks, of quoting elements, and whether it lies in a signature element."""
     seen, marks, boxes, sig = [], [], [], []
     stack: list[tuple[str, int]] = []  # element and what it is: 0 plain, 1 quoting, 2 signature
+    depth = [0, 0, 0]  # open elements of each kind
     for line in lines:
-        before = sum(k == 1 for _, k in stack)
-        in_sig = any(k == 2 for _, k in stack)
-        if "<" in line:
+        before, in_sig = depth[1], depth[2] > 0
+        tagged = "<" in line
+        if tagged:
             for m in _STRUCT.finditer(line):
                 tag = m.group(2).lower()
                 if m.group(1):
                     for i in range(len(stack) - 1, -1, -1):
                         if stack[i][0] == tag:
+                            for _, k in stack[i:]:
+                                depth[k] -= 1
                             del stack[i:]
                             break
                 elif not m.group(3).endswith("/"):
                     kind = 1 if tag == "blockquote" or _QUOTE_CLASS.search(m.group(0)) else 2 if _SIG_CLASS.search(m.group(0)) else 0
                     stack.append((tag, kind))
-                    before = max(before, sum(k == 1 for _, k in stack))
+                    depth[kind] += 1
+                    before = max(before, depth[1])
                     in_sig = in_sig or kind == 2
-        text = strip_tags(line) if ("<" in line or "&" in line) else line
+        text = strip_tags(line) if tagged or "&" in line else line
         if not text.isascii():
             text = unicodedata.normalize("NFC", skeleton(text))
-        lead = _LEAD.match(text).group(0)
-        marks.append(lead.count(">"))
-        seen.append(text[len(lead) :].strip())
+        if text[:1] > ">" and text[:1] < "\x7f":  # a letter: no quote marks before it
+            marks.append(0)
+            seen.append(text.strip())
+        else:
+            lead = _LEAD.match(text).group(0)
+            marks.append(lead.count(">"))
+            seen.append(text[len(lead) :].strip())
         boxes.append(before)
         sig.append(in_sig)
     return seen, marks, boxes, sig
@@ -263,7 +273,7 @@ class Lines:
 
     def line(self, s: str) -> tuple[int, int]:
         """Flags that a visible line has by itself, and the hash of its words (0 without any)."""
-        got = self.kept.get(s)
+        got = self.kept.get(s)  # quoted lines are mostly met again
         if got is not None:
             return got
         words = " ".join(re.findall(r"\w+", s.casefold()))
