@@ -1,4 +1,4 @@
-"""Command line of the cleaner: ``python -m lettermill corpus.json [-o OUT] [--truncate] [--sample N] [--single ID] [--no-md]``."""
+"""Command line: the cleaner ``python -m lettermill corpus.json [-o OUT] [--truncate] [--sample N] [--single ID] [--no-md]``; ``--threads OUT`` and ``--filter OUT`` run the other two programs."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from lettermill import programs
 from lettermill.operators.clean import clean_bodies
 from lettermill.session import ship
 from lettermill.sources import io
@@ -22,9 +23,18 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--truncate", action="store_true", help="latest reply only")
     p.add_argument("--sample", type=int, default=0)
     p.add_argument("--single")
+    p.add_argument("--threads", metavar="OUT", help="group the mails into threads")
+    p.add_argument("--filter", metavar="OUT", help="tell automated mails from genuine ones")
+    p.add_argument("--model", help="a saved model for --filter")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("lettermill").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     ship(spark)
+    if a.threads:
+        print(f"threads by {programs.group_corpus(spark, a.input, a.threads)}: {a.threads}")
+    if a.filter:
+        print(f"{programs.filter_corpus(spark, a.input, a.filter, model=a.model)}: {a.filter}")
+    if a.threads or a.filter:
+        return 0
     rows = io.read_corpus(spark, a.input)
     if a.single is not None:
         rows = rows.where(F.col("eid") == a.single)  # before the cleaner: one row is cleaned

@@ -1,22 +1,26 @@
-"""Bulk filter: weak labels, features, TF-IDF logistic regression, two-gate decision."""
+"""Bulk filter: weak labels, features, TF-IDF logistic regression, two-gate decision, saved models."""
 
 from __future__ import annotations
 
+import math
+from collections import Counter
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml import Pipeline, PipelineModel
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, CountVectorizer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from lettermill import rx
 from lettermill.config import DEFAULT, Config
 from lettermill.operators.clean import clean_text
 from lettermill.operators.html import readable
 from lettermill.operators.lines import strip
-from lettermill.operators.similarity import _terms
+from lettermill.operators.similarity import _terms, fit_vocabulary, term_counts, unit_weights
+from lettermill.session import Scratch
 
 
 def weak_category(text: Column) -> Column:
@@ -68,44 +72,107 @@ def stratified_split(df: DataFrame, key: str, label: str, share: float = DEFAULT
     return d.join(F.broadcast(cut), label).withColumn("is_test", F.col("__h") <= F.col("__cut")).drop("__h", "__cut")  # two labels
 
 
-def train(df: DataFrame, config: Config = DEFAULT) -> PipelineModel:
-    """Fits TF-IDF, features and a class-balanced logistic regression on ``clean_text`` and ``label``.
+@dataclass
+class BulkModel:
+    """A fitted filter: ``terms (term, idf, coef)`` of a bounded vocabulary, the coefficients of ``FEATURES``, the intercept."""
 
-    With one label only, or no rows, there is nothing to separate: a ``ValueError`` says so.
+    terms: DataFrame
+    features: tuple[float, ...]
+    intercept: float
+
+    def save(self, path: str) -> None:
+        self.terms.coalesce(1).write.mode("overwrite").parquet(f"{path}/terms")
+        rest = self.terms.sparkSession.createDataFrame([(list(self.features), self.intercept)], "features array<double>, intercept double")
+        rest.coalesce(1).write.mode("overwrite").json(f"{path}/rest")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> BulkModel:
+        rest = spark.read.schema("features array<double>, intercept double").json(f"{path}/rest").first()
+        return BulkModel(spark.read.schema("term string, idf double, coef double").parquet(f"{path}/terms"), tuple(rest["features"]), rest["intercept"])
+
+
+def train(df: DataFrame, config: Config = DEFAULT, key: str = "row_idx", fit_on: DataFrame | None = None) -> BulkModel:
+    """Class-balanced logistic regression on the unit TF-IDF weights (sublinear counts) and features of ``clean_text``.
+
+    The vocabulary is fitted on ``fit_on`` (default: ``df``): all rows, before the split. Vectors go to
+    the learner as sparse text lines, so no row passes Python. With one label only, or no rows, there is
+    nothing to separate: a ``ValueError`` says so.
     """
     n = {r["label"]: r["count"] for r in df.groupBy("label").count().collect()}
     if len(n) < 2:
         raise ValueError("training needs rows of both labels")
     total = sum(n.values())
-    weighted = df.withColumn("__w", F.when(F.col("label") == 1, total / (2.0 * n[1])).otherwise(total / (2.0 * n[0])))
-    weighted = with_features(weighted).withColumn("__terms", _terms(F.col("clean_text")))
-    stages = [
-        CountVectorizer(inputCol="__terms", outputCol="__tf", vocabSize=config.bulk_vocabulary, minDF=float(config.bulk_min_df), maxDF=config.max_df),
-        IDF(inputCol="__tf", outputCol="__idf"),
-        VectorAssembler(inputCols=["__idf", *FEATURES], outputCol="features"),
-        LogisticRegression(labelCol="label", weightCol="__w", maxIter=config.max_iter, regParam=1.0 / total, standardization=False),
-    ]
-    return Pipeline(stages=stages).fit(weighted)
-
-
-def score(df: DataFrame, model: PipelineModel) -> DataFrame:
-    """Adds ``automation_probability``; the label column is not read."""
-    d = with_features(df).withColumn("__terms", _terms(F.col("clean_text"))).withColumn("__w", F.lit(1.0))
-    out = model.transform(d).withColumn("automation_probability", vector_to_array("probability")[1])
-    return out.drop("__terms", "__tf", "__idf", "features", "rawPrediction", "probability", "prediction", "__w", *FEATURES)
+    spark, every = df.sparkSession, df if fit_on is None else fit_on
+    scratch = Scratch(spark, "train")
+    counts = scratch.cut(term_counts(every, key, "clean_text"))
+    vocab = fit_vocabulary(counts, every.select(key).count(), config.bulk_vocabulary, config.max_df, config.bulk_min_df)
+    # the vocabulary is bounded by its size: one window over it numbers the terms
+    vocab = scratch.cut(vocab.withColumn("at", F.row_number().over(Window.orderBy("term"))))
+    size = vocab.count()
+    rows = with_features(df.select(F.col(key).cast("long").alias("k"), "label", "clean_text"))
+    mine = unit_weights(counts.join(rows.select("k"), "k", "left_semi"), vocab, sublinear=True).join(vocab.select("term", "at"), "term")
+    pair = lambda at, w: F.concat(at.cast("string"), F.lit(":"), w.cast("string"))
+    sparse = mine.groupBy("k").agg(F.array_sort(F.collect_list(F.struct("at", "w"))).alias("v"))
+    words = F.coalesce(F.array_join(F.transform("v", lambda x: pair(x["at"], x["w"])), " "), F.lit(""))
+    line = F.concat_ws(" ", F.col("label").cast("string"), words, *[pair(F.lit(size + 1 + i), F.col(c)) for i, c in enumerate(FEATURES)])
+    path = f"{scratch.root}/vectors"
+    rows.join(sparse, "k", "left").select(F.regexp_replace(line, " +", " ").alias("value")).write.text(path)
+    vectors = spark.read.format("libsvm").option("numFeatures", size + len(FEATURES)).load(path)
+    weighted = vectors.withColumn("w", F.when(F.col("label") == 1, total / (2.0 * n[1])).otherwise(total / (2.0 * n[0])))
+    fitted = LogisticRegression(weightCol="w", maxIter=config.max_iter, regParam=1.0 / total, standardization=False).fit(weighted)
+    coef = [float(x) for x in fitted.coefficients.toArray()]
+    at = spark.createDataFrame(list(enumerate(coef[:size], 1)), "at int, coef double")
+    terms = scratch.cut(vocab.join(at, "at").select("term", "idf", "coef"))
+    scratch.keep_only(terms)
+    return BulkModel(terms, tuple(coef[size:]), float(fitted.intercept))
+
+
+def score(df: DataFrame, model: BulkModel) -> DataFrame:
+    """Adds ``automation_probability``; the label column is not read.
+
+    Row by row, so it runs on streams too and shuffles nothing: the terms of a row meet the model's
+    vocabulary, whose size is bounded by the configuration, in an Arrow batch.
+    """
+    table = {r["term"]: (r["idf"], r["coef"]) for r in model.terms.collect()}
+    weights, intercept = model.features, model.intercept
+
+    def one(terms: Sequence[str], features: Sequence[float]) -> float:
+        norm = total = 0.0
+        for t, n in Counter(terms).items():
+            if (got := table.get(t)) is not None:
+                w = (1 + math.log(n)) * got[0]
+                norm += w * w
+                total += w * got[1]
+        z = intercept + sum(a * b for a, b in zip(weights, features, strict=True)) + (total / math.sqrt(norm) if norm else 0.0)
+        return 1 / (1 + math.exp(-z)) if z > -700 else 0.0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = [one(t, f) for t, f in zip(b.column(b.num_columns - 2).to_pylist(), b.column(b.num_columns - 1).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-2], pa.array(got, pa.float64())], names=[*b.schema.names[:-2], "automation_probability"])
+
+    own = [c for c in df.columns if c != "automation_probability"]
+    counted = with_features(df.withColumn("__terms", _terms(F.col("clean_text"))))
+    d = counted.select(*own, "__terms", F.array(*[F.col(c).cast("double") for c in FEATURES]).alias("__features"))
+    return d.mapInArrow(run, StructType([*[df.schema[c] for c in own], StructField("automation_probability", DoubleType())]))
 
 
 def two_gates(heuristic: Column, probability: Column, threshold: float = DEFAULT.automation_threshold) -> Column:
     return F.when(heuristic == 1, 1).when(probability >= threshold, 1).otherwise(0)
 
 
-def classify(df: DataFrame, model: PipelineModel, threshold: float = DEFAULT.automation_threshold) -> DataFrame:
+def classify(df: DataFrame, model: BulkModel, threshold: float = DEFAULT.automation_threshold) -> DataFrame:
     """Adds ``is_filtered``: a phrase in the clean text decides, else the probability."""
     scored = score(df, model)
     gate = (weak_category(F.col("clean_text")) != "genuine").cast("int")
     return scored.withColumn("is_filtered", two_gates(gate, F.col("automation_probability"), threshold))
 
 
+def split_filtered(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(genuine, filtered)`` rows."""
+    return df.where("is_filtered = 0"), df.where("is_filtered = 1")
+
+
 def confusion(df: DataFrame, label: str = "label", predicted: str = "is_filtered") -> DataFrame:
     return df.groupBy(F.col(label).cast("int").alias("label"), F.col(predicted).cast("int").alias("predicted")).agg(F.count(F.lit(1)).alias("n"))
 

@@ -180,18 +180,20 @@ def without_escapes(text: str) -> str:
     return _ESCAPE.sub(_decoded, text)
 
 
-def readable(text: Column, keep_history: bool) -> Column:
+def readable_text(t: str | None, keep_history: bool) -> str:
     """HTML rendered, characters repaired, escape literals resolved; blank and null give an empty text."""
+    if t is None or not t.strip():
+        return ""
+    if "<" in t and _IS_HTML.search(t):
+        t = html_to_text(t, keep_history)
+    return without_escapes(plain_unicode(t))
+
+
+def readable(text: Column, keep_history: bool) -> Column:
+    """``readable_text`` of a column."""
 
     @F.pandas_udf("string")
     def run(s: pd.Series) -> pd.Series:
-        def one(t: str | None) -> str:
-            if t is None or not t.strip():
-                return ""
-            if "<" in t and _IS_HTML.search(t):
-                t = html_to_text(t, keep_history)
-            return without_escapes(plain_unicode(t))
-
-        return s.map(one)
+        return s.map(lambda t: readable_text(t, keep_history))
 
     return run(text)

@@ -50,6 +50,21 @@ def is_header(line: Column) -> Column:
     return has(strip(line), rx.HEADER_LINE)
 
 
+def drop_header_lines(lines: Column) -> Column:
+    """Lines without the header lines."""
+    return F.filter(lines, lambda x: ~is_header(x))
+
+
+def is_signature_part(line: Column) -> Column:
+    """Whether a line may stand in a signature: contact, name of up to four words, team, separator, bold text, ``Name | Company``."""
+    name = r"^\p{Lu}[\p{L}'.\-]*(?: \p{Lu}[\p{L}'.\-]*){0,3}$"
+    return let(
+        strip(line),
+        lambda s: (s != "")
+        & (is_contact(s) | s.rlike(name) | has(s, rf"^{rx.W}{rx.A}{{0,40}}{rx.S}team$") | s.rlike(r"^[-_=*~|]{2,}$") | s.rlike(r"^\*\*[^*]+\*\*$") | s.rlike(r"^\p{Lu}[^|\n]*\|[^|\n]+$")),
+    )
+
+
 def cut_reply_chain(lines: Column) -> Column:
     """Everything before the first line that opens a reply chain."""
     return _before_first(lines, lambda x: has(strip(x), rx.REPLY_TRIGGERS))

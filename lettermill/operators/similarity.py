@@ -83,22 +83,35 @@ def _terms(text: Column) -> Column:
     return let(kept, with_pairs)
 
 
+def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
+    """``(k, term, tf)``: words and word pairs of each row."""
+    rows = df.select(F.col(key).cast("long").alias("k"), F.explode(_terms(F.col(text))).alias("term"))
+    return rows.groupBy("k", "term").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def fit_vocabulary(counts: DataFrame, n: int, vocabulary: int, max_df: float, min_df: int) -> DataFrame:
+    """``(term, df, idf)`` of the ``vocabulary`` most frequent terms (ties: by term) that are in at most ``max_df`` of the ``n`` rows and in ``min_df`` rows."""
+    freq = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
+    top = freq.where((F.col("df") <= max_df * n) & (F.col("df") >= min_df)).orderBy(F.desc("total"), F.asc("term")).limit(vocabulary)
+    return top.select("term", "df", (F.log((1.0 + n) / (1 + F.col("df"))) + 1).alias("idf"))
+
+
+def unit_weights(counts: DataFrame, vocabulary: DataFrame, sublinear: bool) -> DataFrame:
+    """``(k, term, w)``: weights of the terms of ``vocabulary``, rows of unit length."""
+    tf = 1 + F.log("tf") if sublinear else F.col("tf").cast("double")
+    raw = counts.join(vocabulary.select("term", "idf"), "term").select("k", "term", (tf * F.col("idf")).alias("w"))
+    norm = raw.groupBy("k").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    return raw.join(norm, "k").select("k", "term", (F.col("w") / F.col("norm")).alias("w"))
+
+
 def tfidf(df: DataFrame, key: str, text: str, vocabulary: int = DEFAULT.thread_vocabulary, max_df: float = DEFAULT.max_df, min_df: int = 1, sublinear: bool = False) -> DataFrame:
     """``(k, term, w)``: weights of words and word pairs, rows of unit length.
 
     Terms in over ``max_df`` of the rows or under ``min_df`` rows are left out, then the ``vocabulary``
     most frequent stay (ties: by term). An empty vocabulary gives no rows.
     """
-    scratch = Scratch(df.sparkSession, "tfidf")
-    rows = df.select(F.col(key).cast("long").alias("k"), _terms(F.col(text)).alias("t"))
-    n = rows.count()
-    counts = scratch.cut(rows.select("k", F.explode("t").alias("term")).groupBy("k", "term").agg(F.count(F.lit(1)).alias("tf")))
-    freq = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
-    vocab = freq.where((F.col("df") <= max_df * n) & (F.col("df") >= min_df)).orderBy(F.desc("total"), F.asc("term")).limit(vocabulary).select("term", "df")
-    tf = 1 + F.log("tf") if sublinear else F.col("tf").cast("double")
-    raw = counts.join(vocab, "term").select("k", "term", (tf * (F.log((1.0 + n) / (1 + F.col("df"))) + 1)).alias("w"))
-    norm = raw.groupBy("k").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return raw.join(norm, "k").select("k", "term", (F.col("w") / F.col("norm")).alias("w"))
+    counts = Scratch(df.sparkSession, "tfidf").cut(term_counts(df, key, text))
+    return unit_weights(counts, fit_vocabulary(counts, df.select(key).count(), vocabulary, max_df, min_df), sublinear)
 
 
 def cosine_join(weights: DataFrame, threshold: float = DEFAULT.tfidf_threshold) -> DataFrame:

@@ -2,53 +2,42 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lettermill.config import DEFAULT
+from lettermill.config import DEFAULT, Config
 from lettermill.operators.components import connected_components
 
 #: ids of the shape ``<local@host>``: a text that contains one shows it to this pattern whole
 _SHAPE = r"<[^<>\s]+@[^<>\s]+>"
-#: other ids are looked up with one automaton a block of so many ids
-_ID_BLOCK = 100_000
+#: other ids are found by a piece of so many characters
+_PIECE = 8
 
 
 def id_links(df: DataFrame, key: str = "row_idx", eid: str = "eid", body: str = "raw_body") -> DataFrame:
     """``(i, j)``, ``i < j``: rows of which one's body contains the other's id. Empty and null ids link nothing.
 
-    Ids of the usual shape are cut from the bodies and joined by equality. Ids of any other shape are
-    searched for with an automaton over blocks of ids of bounded size; no pair is tried in vain.
+    Ids of the usual shape are cut from the bodies and joined by equality. An id of any other shape
+    (rare) is met by its rarest piece of ``_PIECE`` characters (all of it, if shorter), joined by
+    equality with the pieces of the bodies that some id has, and then looked for in the body.
     """
     rows = df.select(F.col(key).cast("long").alias("k"), F.col(eid).alias("e"), F.col(body).alias("b"))
     ids = rows.where("e is not null and e <> ''").select(F.col("k").alias("j"), "e")
     usual = F.col("e").rlike(rf"\A{_SHAPE}\z")
     seen = rows.where("b is not null").select(F.col("k").alias("i"), F.explode(F.array_distinct(F.regexp_extract_all("b", F.lit(_SHAPE), F.lit(0)))).alias("e"))
     links = seen.join(ids.where(usual), "e").select("i", "j")
-    odd = ids.where(~usual)
-    n = odd.count()
-    blocks = -(-n // _ID_BLOCK)
-    for k in range(blocks):
-        part = [(r["e"], r["j"]) for r in odd.where(F.pmod(F.xxhash64("e"), F.lit(blocks)) == k).select("e", "j").collect()]
-
-        def find(batches: Iterator[pa.RecordBatch], part: list = part) -> Iterator[pa.RecordBatch]:
-            import ahocorasick
-
-            trie = ahocorasick.Automaton()
-            by: dict[str, list[int]] = {}
-            for e, j in part:
-                by.setdefault(e, []).append(j)
-            for e, js in by.items():
-                trie.add_word(e, js)
-            trie.make_automaton()
-            for b in batches:
-                hits = [(i, j) for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for j in {j for _, js in trie.iter(t) for j in js}]
-                yield pa.RecordBatch.from_arrays([pa.array([h[0] for h in hits], pa.int64()), pa.array([h[1] for h in hits], pa.int64())], names=["i", "j"])
-
-        links = links.union(rows.where("b is not null").select("k", "b").mapInArrow(find, "i long, j long"))
+    # every length of piece that an id has: one for long ids, one for each shorter length
+    odd = ids.where(~usual).withColumn("n", F.least(F.length("e"), F.lit(_PIECE)))
+    lengths = [r["n"] for r in odd.select("n").distinct().collect()]  # at most _PIECE numbers
+    spans = rows.where("b is not null").select(F.col("k").alias("i"), F.col("b"))
+    for n in lengths:
+        grams = lambda text, n=n: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda p: F.substr(text, p, F.lit(n))))  # noqa: E731, B023
+        own = odd.where(F.col("n") == n).select("j", "e", F.explode(grams(F.col("e"))).alias("g"))
+        often = own.groupBy("g").agg(F.count(F.lit(1)).alias("c"))
+        rarest = own.join(often, "g").groupBy("j", "e").agg(F.min(F.struct("c", "g")).alias("m")).select("j", "e", F.col("m.g").alias("g"))
+        said = spans.where(F.length("b") >= n).select("i", F.explode(grams(F.col("b"))).alias("g"))
+        met = said.join(rarest.select("g").distinct(), "g", "left_semi").join(rarest, "g").select("i", "j", "e").distinct()
+        links = links.union(met.join(spans, "i").where(F.col("b").contains(F.col("e"))).select("i", "j"))
     return links.where("i <> j").select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")).distinct()
 
 
@@ -81,15 +70,27 @@ def with_grouping(threaded: DataFrame, method: str) -> DataFrame:
 
 
 def thread_summary(threaded: DataFrame, method: str, people: str = "participants") -> DataFrame:
-    """One row a thread: sorted ids and participants, first and last timestamp, size, method."""
-    flat = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.col(people)))))
-    return threaded.groupBy("thread_id").agg(
+    """One row a thread: sorted ids and participants, first and last timestamp, size, method.
+
+    Participants are made distinct before they are collected: a thread's row holds each once, not once a mail.
+    """
+    who = threaded.select("thread_id", F.explode(people).alias("p")).distinct().groupBy("thread_id").agg(F.array_sort(F.collect_list("p")).alias("participant_list"))
+    s = threaded.groupBy("thread_id").agg(
         F.array_sort(F.collect_list("eid")).alias("constituent_eids"),
-        flat.alias("participant_list"),
-        F.struct(F.min("timestamp").alias("earliest"), F.max("timestamp").alias("latest")).alias("timestamp_range"),
+        F.min("timestamp").alias("earliest"),
+        F.max("timestamp").alias("latest"),
         F.count(F.lit(1)).alias("email_count"),
-        grouping_method(F.count(F.lit(1)), method).alias("grouping_method"),
     )
+    return s.join(who, "thread_id", "left").select(
+        "thread_id", "constituent_eids", F.coalesce("participant_list", F.array().cast("array<string>")).alias("participant_list"),
+        F.struct("earliest", "latest").alias("timestamp_range"), "email_count", grouping_method(F.col("email_count"), method).alias("grouping_method"),
+    )
+
+
+def size_stats(summary: DataFrame) -> DataFrame:
+    """``threads, multi, largest, smallest, mean_size``."""
+    n = F.col("email_count")
+    return summary.agg(F.count(F.lit(1)).alias("threads"), F.count_if(n > 1).alias("multi"), F.max(n).alias("largest"), F.min(n).alias("smallest"), F.bround(F.avg(n), 2).alias("mean_size"))
 
 
 def cohesion(comps: DataFrame, pairs: DataFrame, key: str = "row_idx") -> DataFrame:
@@ -105,13 +106,26 @@ def cohesion(comps: DataFrame, pairs: DataFrame, key: str = "row_idx") -> DataFr
 
 
 def pairs_inside(rows: DataFrame, comps: DataFrame, tokens: str, key: str = "row_idx") -> DataFrame:
-    """``(i, j, sim)`` Jaccard of all pairs of one cluster: bounded by the clusters, not by the corpus."""
-    from lettermill.operators.similarity import jaccard
+    """``(i, j, sim)`` Jaccard of the pairs of one cluster that share a token.
 
+    Token by token within a cluster: no row carries a token set, and pairs that share nothing, which
+    ``cohesion`` counts by the cluster's size, are never made.
+    """
     many = comps.groupBy("comp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("comp")
     r = rows.select(key, tokens).join(comps, key).join(many, "comp", "left_semi")
-    a, b = r.select("comp", F.col(key).alias("i"), F.col(tokens).alias("a")), r.select("comp", F.col(key).alias("j"), F.col(tokens).alias("b"))
-    return a.join(b, "comp").where("i < j").select("i", "j", jaccard(F.col("a"), F.col("b")).alias("sim"))
+    sizes = r.select(F.col(key).alias("k"), F.size(tokens).alias("size"))
+    t = r.select("comp", F.col(key).alias("k"), F.explode(tokens).alias("w"))
+    met = t.select("comp", "w", F.col("k").alias("i")).join(t.select("comp", "w", F.col("k").alias("j")), ["comp", "w"]).where("i < j").groupBy("i", "j").agg(F.count(F.lit(1)).alias("c"))
+    met = met.join(sizes.select(F.col("k").alias("i"), F.col("size").alias("si")), "i").join(sizes.select(F.col("k").alias("j"), F.col("size").alias("sj")), "j")
+    return met.select("i", "j", (F.col("c") / (F.col("si") + F.col("sj") - F.col("c"))).alias("sim"))
+
+
+def cosine_inside(weights: DataFrame, comps: DataFrame, key: str = "row_idx") -> DataFrame:
+    """``(i, j, sim)`` cosine of the pairs of one cluster that share a term; ``weights (k, term, w)`` are unit rows."""
+    many = comps.groupBy("comp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("comp")
+    r = weights.join(comps.join(many, "comp", "left_semi").withColumnRenamed(key, "k"), "k")
+    a, b = r.select("comp", "term", F.col("k").alias("i"), F.col("w").alias("a")), r.select("comp", "term", F.col("k").alias("j"), F.col("w").alias("b"))
+    return a.join(b, ["comp", "term"]).where("i < j").groupBy("i", "j").agg(F.sum(F.col("a") * F.col("b")).alias("sim"))
 
 
 def metrics(comps: DataFrame, pairs: DataFrame, method: str, threshold: float, key: str = "row_idx") -> DataFrame:
@@ -138,3 +152,37 @@ def metrics(comps: DataFrame, pairs: DataFrame, method: str, threshold: float, k
 
 def chosen_method(jaccard_cohesion: float, tfidf_cohesion: float, ratio: float = DEFAULT.cohesion_ratio) -> str:
     return "jaccard" if tfidf_cohesion < jaccard_cohesion * ratio else "tfidf"
+
+
+def evaluate(rows: DataFrame, links: DataFrame | None = None, config: Config = DEFAULT, key: str = "row_idx", text: str = "body_text") -> dict[str, tuple[DataFrame, DataFrame]]:
+    """``{method: (clusters, metrics)}`` of both methods over ``rows``; ``links (i, j)`` merge whatever the method says."""
+    from lettermill.operators import similarity
+    from lettermill.session import Scratch
+
+    scratch = Scratch(rows.sparkSession, "evaluate")
+    rows = scratch.cut(rows.select(key, text))
+    weights = scratch.cut(similarity.tfidf(rows, key, text, config.thread_vocabulary, config.max_df))
+    toks = scratch.cut(rows.select(key, similarity.tokens(F.col(text)).alias("toks")))
+    out = {}
+    for method, threshold in (("tfidf", config.tfidf_threshold), ("jaccard", config.jaccard_threshold)):
+        pairs = similarity.cosine_join(weights, threshold) if method == "tfidf" else similarity.jaccard_join(rows, key, text, threshold)
+        edges = similarity.edges_between(pairs, threshold, config.near_identical).select("i", "j")
+        comps = scratch.cut(clusters(rows, edges if links is None else edges.union(links).distinct(), key, text))
+        inside = cosine_inside(weights, comps, key) if method == "tfidf" else pairs_inside(toks, comps, "toks", key)
+        out[method] = comps, scratch.cut(metrics(comps, inside, "TF-IDF" if method == "tfidf" else "Jaccard", threshold, key))
+    return out
+
+
+def choose(evaluated: dict[str, tuple[DataFrame, DataFrame]], ratio: float = DEFAULT.cohesion_ratio) -> str:
+    """The method with the better rounded cohesion; two one-row tables are read."""
+    c = {k: m.first()["avg_cohesion"] for k, (_, m) in evaluated.items()}
+    return chosen_method(c["jaccard"], c["tfidf"], ratio)
+
+
+def validate(threaded: DataFrame) -> None:
+    """A null or empty thread id, or an id on two rows, is a ``ValueError``."""
+    bad = threaded.agg(F.count_if(F.coalesce("thread_id", F.lit("")) == "").alias("blank")).first()["blank"]
+    if bad:
+        raise ValueError(f"{bad} rows have no thread id")
+    if not threaded.groupBy("eid").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        raise ValueError("ids repeat")

@@ -93,6 +93,42 @@ def header_blocks(spark: SparkSession, d: str) -> DataFrame:
     return raw.select("row_idx", F.explode(starts).alias("pos"))
 
 
+def header_block_metadata(spark: SparkSession, d: str) -> DataFrame:
+    return meta.header_block_metadata(_raw(spark, d), "row_idx", "raw_body")
+
+
+def header_lines_dropped(spark: SparkSession, d: str) -> DataFrame:
+    return _on_lines(lines.drop_header_lines)(spark, d)
+
+
+def stitched_headers(spark: SparkSession, d: str) -> DataFrame:
+    return _raw(spark, d).where("raw_body is not null").select("row_idx", clean.stitch_headers(F.col("raw_body")).alias("text"))
+
+
+def finished_text(spark: SparkSession, d: str) -> DataFrame:
+    """The last layer: blanks, outer quotes, shortest length."""
+    return _raw(spark, d).where("raw_body is not null").select("row_idx", clean.finish(F.col("raw_body")).alias("text"))
+
+
+def layers_truncate(spark: SparkSession, d: str) -> DataFrame:
+    """All layers after rendering, latest reply only."""
+    m = table(spark, d, "thread_grouper").where("body_text is not null")
+    return m.select("row_idx", clean.clean_text(F.col("body_text"), keep_history=False).alias("text"))
+
+
+def first_address(spark: SparkSession, d: str) -> DataFrame:
+    return _raw(spark, d).select("row_idx", meta.first_address(F.col("raw_body")).alias("address"))
+
+
+def field_counts(spark: SparkSession, d: str) -> DataFrame:
+    return meta.field_counts(table(spark, d, "thread_grouper"))
+
+
+def extract_timestamp(spark: SparkSession, d: str) -> DataFrame:
+    """The instant of each mail's own date text, in the metadata."""
+    return meta.with_metadata(_raw(spark, d)).select("row_idx", "date", "timestamp", "participants_str")
+
+
 def line_classes(spark: SparkSession, d: str) -> DataFrame:
     raw = _raw(spark, d).where("raw_body is not null").select("row_idx", F.posexplode(lines.split_lines(F.col("raw_body"))).alias("pos", "line"))
     return raw.select("row_idx", "pos", lines.line_class(F.col("line")).alias("class"))
@@ -185,7 +221,14 @@ def cosine_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def message_id_links(spark: SparkSession, d: str) -> DataFrame:
-    return threads.id_links(dedup.keep_first(_raw(spark, d)))
+    """Links by ids in bodies: each mail's body with a reply field for every mail that the edge table says it answers."""
+    rows = _raw(spark, d).where("eid is not null and raw_body is not null")
+    by = table(spark, d, "thread_grouper").select("row_idx", "eid")
+    e = table(spark, d, "edges").where("match_method = 'message_id' and i <> j").select("i", "j").distinct()
+    said = e.join(by.select(F.col("row_idx").alias("i"), F.col("eid").alias("eid")), "i").join(by.select(F.col("row_idx").alias("j"), F.col("eid").alias("other")), "j")
+    said = said.where("eid <> other").groupBy("eid").agg(F.array_join(F.array_sort(F.collect_set(F.concat(F.lit("\nIn-Reply-To: "), F.col("other")))), "").alias("fields"))
+    full = dedup.keep_first(rows).join(said, "eid", "left").withColumn("raw_body", F.concat("raw_body", F.coalesce("fields", F.lit(""))))
+    return threads.id_links(full)
 
 
 def _edges(spark: SparkSession, d: str) -> DataFrame:
@@ -198,9 +241,10 @@ def _edges(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _threaded(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "thread_grouper").drop("thread_id", "grouping_method")
+    """``row_idx, eid, thread_id`` by the links of the edge table; narrow."""
+    rows = table(spark, d, "thread_grouper").select("row_idx", "eid", "body_text")
     comps = threads.clusters(rows, _edges(spark, d))
-    return Scratch(spark, "threaded").cut(threads.thread_ids(rows, comps))
+    return Scratch(spark, "threaded").cut(threads.thread_ids(rows.select("row_idx", "eid"), comps))
 
 
 def thread_components(spark: SparkSession, d: str) -> DataFrame:
@@ -222,14 +266,28 @@ def grouping_method(spark: SparkSession, d: str) -> DataFrame:
 
 
 def thread_summary(spark: SparkSession, d: str) -> DataFrame:
-    t = _threaded(spark, d).withColumn("participants", F.filter(F.split(F.coalesce("participants_str", F.lit("")), "; "), lambda x: x != ""))
-    s = threads.thread_summary(t, "jaccard")
+    more = table(spark, d, "thread_grouper").select("row_idx", "timestamp", F.filter(F.split(F.coalesce("participants_str", F.lit("")), "; "), lambda x: x != "").alias("participants"))
+    s = threads.thread_summary(_threaded(spark, d).join(more, "row_idx"), "jaccard")
     return s.select(
         "thread_id", F.array_join("constituent_eids", "|").alias("eids"), F.array_join("participant_list", "|").alias("people"),
         F.col("timestamp_range.earliest").alias("earliest"), F.col("timestamp_range.latest").alias("latest"), "email_count", "grouping_method",
     )
 
 
+def thread_size_stats(spark: SparkSession, d: str) -> DataFrame:
+    return threads.size_stats(_threaded(spark, d).groupBy("thread_id").agg(F.count(F.lit(1)).alias("email_count")))
+
+
+def thread_export(spark: SparkSession, d: str) -> DataFrame:
+    """The export: fourteen columns, line breaks of bodies squeezed, ordered by thread."""
+    from lettermill import schemas
+    from lettermill.sources.io import squeezed
+
+    rest = table(spark, d, "thread_grouper").drop("eid", "thread_id", "grouping_method", "mailbox_id")
+    out = threads.with_grouping(_threaded(spark, d), "jaccard").join(rest, "row_idx").orderBy("thread_id", "row_idx")
+    return squeezed(out.select("row_idx", *schemas.EXPORT), "cleaned_body", "body_text")
+
+
 def thread_top10(spark: SparkSession, d: str) -> DataFrame:
     s = _threaded(spark, d).groupBy("thread_id").agg(F.count(F.lit(1)).alias("n"))
     return s.orderBy(F.desc("n"), F.asc("thread_id")).limit(10)
@@ -241,14 +299,28 @@ def thread_metrics(spark: SparkSession, d: str) -> DataFrame:
     return threads.metrics(comps, threads.pairs_inside(rows, comps, "toks"), "Jaccard", DEFAULT.jaccard_threshold)
 
 
+def _both(spark: SparkSession, d: str) -> dict[str, tuple[DataFrame, DataFrame]]:
+    """Both methods over the first row of each mail, with the id links of the edge table."""
+    rows = Scratch(spark, "both").cut(_mails(spark, d).select("row_idx", "eid", "body_text"))
+    e = table(spark, d, "edges").where("match_method = 'message_id' and i <> j").select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")).distinct()
+    have = rows.select("row_idx")
+    links = e.join(have.withColumnRenamed("row_idx", "i"), "i", "left_semi").join(have.withColumnRenamed("row_idx", "j"), "j", "left_semi")
+    return {"rows": (rows, rows), **threads.evaluate(rows, Scratch(spark, "both").cut(links.select("i", "j")))}
+
+
+def thread_method_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """The eleven metrics of both methods."""
+    both = _both(spark, d)
+    return both["tfidf"][1].union(both["jaccard"][1])
+
+
 def thread_flagship(spark: SparkSession, d: str) -> DataFrame:
-    """Metadata-free end to end: exact Jaccard links and id links to clusters, ids and sizes."""
-    rows = Scratch(spark, "flagship").cut(_mails(spark, d).select("row_idx", "eid", "body_text"))
-    pairs = similarity.edges_between(similarity.jaccard_join(rows, "row_idx", "body_text")).select("i", "j")
-    raw = dedup.keep_first(_raw(spark, d)).select("eid", "raw_body")
-    links = threads.id_links(rows.select("eid", "row_idx").join(raw, "eid"))
-    comps = threads.clusters(rows, pairs.union(links).distinct())
-    return threads.thread_ids(rows, comps).groupBy("thread_id").agg(F.count(F.lit(1)).alias("n"))
+    """End to end: both methods are run, the one with the better cohesion names the threads."""
+    both = _both(spark, d)
+    rows = both.pop("rows")[0]
+    method = threads.choose(both)
+    sizes = threads.thread_ids(rows, both[method][0]).groupBy("thread_id").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.select("thread_id", "n", threads.grouping_method(F.col("n"), method).alias("grouping_method"))
 
 
 # ---------------------------------------------------------------- bulk filter
@@ -271,25 +343,48 @@ def ml_text_normalize(spark: SparkSession, d: str) -> DataFrame:
     return _raw(spark, d).where("raw_body is not null").select("row_idx", bulk.normalized(F.col("raw_body")).alias("text"))
 
 
-def two_gate_filter(spark: SparkSession, d: str) -> DataFrame:
-    """Trained on the weak labels of every mail, applied to every mail."""
+def _bulk_data(spark: SparkSession, d: str) -> DataFrame:
     raw = _raw(spark, d).withColumn("raw_body", F.coalesce("raw_body", F.lit("")))
-    data = Scratch(spark, "bulk").cut(bulk.clean_for_model(bulk.with_labels(raw, "raw_body"), "raw_body").select("row_idx", "label", "clean_text"))
-    split = bulk.stratified_split(data, "row_idx", "label")
-    model = bulk.train(split.where("not is_test"))
-    return bulk.classify(data, model).select("row_idx", "is_filtered")
+    return Scratch(spark, "bulk").cut(bulk.clean_for_model(bulk.with_labels(raw, "raw_body"), "raw_body").select("row_idx", "label", "clean_text"))
+
+
+def two_gate_filter(spark: SparkSession, d: str) -> DataFrame:
+    """Trained on the weak labels of four fifths of the mails, applied to every mail."""
+    data = _bulk_data(spark, d)
+    split = Scratch(spark, "bulk-split").cut(bulk.stratified_split(data, "row_idx", "label"))
+    return bulk.classify(data, bulk.train(split.where("not is_test"), fit_on=data)).select("row_idx", "is_filtered")
 
 
 def bulk_report(spark: SparkSession, d: str) -> DataFrame:
     """Held-out precision, recall and F1 of the model."""
-    raw = _raw(spark, d).withColumn("raw_body", F.coalesce("raw_body", F.lit("")))
-    data = Scratch(spark, "bulk-report").cut(bulk.clean_for_model(bulk.with_labels(raw, "raw_body"), "raw_body").select("row_idx", "label", "clean_text"))
+    data = _bulk_data(spark, d)
     split = Scratch(spark, "bulk-report").cut(bulk.stratified_split(data, "row_idx", "label"))
-    model = bulk.train(split.where("not is_test"))
+    model = bulk.train(split.where("not is_test"), fit_on=data)
     scored = bulk.score(split.where("is_test"), model).withColumn("predicted", (F.col("automation_probability") >= 0.5).cast("int"))
     return bulk.class_report(bulk.confusion(scored, "label", "predicted"))
 
 
+#: a model whose coefficients follow a rule, so that SQL can score with it too
+FIXED_FEATURES, FIXED_INTERCEPT = (0.9, 0.8, 0.7, 0.6, 0.5, -0.001, 0.05, -0.02), -0.25
+
+
+def bulk_fixed_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Weights, scores and both gates with stored coefficients over the first row of each mail."""
+    rows = Scratch(spark, "fixed").cut(_mails(spark, d).select("row_idx", bulk.normalized(F.coalesce("cleaned_body", F.lit(""))).alias("clean_text")))
+    counts = similarity.term_counts(rows, "row_idx", "clean_text")
+    terms = similarity.fit_vocabulary(counts, rows.count(), DEFAULT.bulk_vocabulary, DEFAULT.max_df, DEFAULT.bulk_min_df)
+    model = bulk.BulkModel(terms.select("term", "idf", (F.length("term") % 7 - 3).cast("double").alias("coef")), FIXED_FEATURES, FIXED_INTERCEPT)
+    return bulk.classify(rows, model).select("row_idx", F.round("automation_probability", 6).alias("p"), "is_filtered")
+
+
+def filtered_split(spark: SparkSession, d: str) -> DataFrame:
+    """Sizes of the genuine and the filtered part under the phrase gate."""
+    rows = _raw(spark, d).withColumn("is_filtered", (bulk.weak_category(F.col("raw_body")) != "genuine").cast("int"))
+    genuine, filtered = bulk.split_filtered(rows)
+    n = lambda x, name: x.agg(F.lit(name).alias("part"), F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("raw_body")), F.lit(0)).alias("chars"))
+    return n(genuine, "genuine").union(n(filtered, "filtered"))
+
+
 def label_confusion(spark: SparkSession, d: str) -> DataFrame:
     lab = table(spark, d, "labeled").where("label is not null")
     return bulk.confusion(lab.withColumn("predicted", (bulk.weak_category(F.col("text")) != "genuine").cast("int")), "label", "predicted")
@@ -300,7 +395,8 @@ _NAMES = (
     "inline_signatures blank_collapse link_cleanup html_sniff header_lines header_blocks line_classes clean_body_keep clean_body_truncate html_to_text clean_length_stats body_length_counts "
     "extract_sender extract_recipients extract_cc extract_addresses extract_subject extract_date reply_depth token_sets token_doc_freq jaccard_pairs jaccard_near_identical tfidf_weights "
     "tfidf_bulk_terms cosine_pairs message_id_links thread_components thread_duplicate_split thread_ids grouping_method thread_summary thread_top10 thread_metrics thread_flagship "
-    "weak_label_rows weak_label_counts bulk_features ml_text_normalize two_gate_filter bulk_report label_confusion"
+    "thread_size_stats thread_export thread_method_metrics header_block_metadata header_lines_dropped stitched_headers finished_text layers_truncate first_address field_counts extract_timestamp "
+    "bulk_fixed_scores filtered_split weak_label_rows weak_label_counts bulk_features ml_text_normalize two_gate_filter bulk_report label_confusion"
 )
 QUERIES = {n: globals()[n] for n in _NAMES.split()}
 

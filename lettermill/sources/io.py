@@ -12,7 +12,7 @@ import json
 from datetime import datetime
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lettermill import schemas
@@ -108,18 +108,35 @@ def safe_name(eid: str = "eid"):  # noqa: ANN201
     return F.substring(F.regexp_replace(F.col(eid), r'[<>:"/\\|?*@+]', "_"), 1, 100)
 
 
-def write_markdown_files(df: DataFrame, folder: str, eid: str = "eid", text: str = "body_text") -> None:
-    """One Markdown file for each non-empty text, written by the executors; colliding names get a digest."""
+def write_records_json(df: DataFrame, path: str, indent: int = 2) -> int:
+    """One JSON array of objects, streamed; returns the number of entries."""
+    n = 0
+    pad = " " * indent
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("[")
+        for r in df.toLocalIterator():
+            text = json.dumps(r.asDict(recursive=True), ensure_ascii=False, indent=indent, default=str)
+            f.write((",\n" if n else "\n") + "\n".join(pad + x for x in text.split("\n")))
+            n += 1
+        f.write("\n]" if n else "]")
+    return n
+
+
+def named_texts(df: DataFrame, eid: str = "eid", text: str = "body_text") -> DataFrame:
+    """``(e, t, name)`` of each non-empty text, with a file name; colliding names get a digest."""
     named = df.where(F.length(text) > 0).select(F.col(eid).alias("e"), F.col(text).alias("t"), safe_name(eid).alias("name"))
-    n = F.count(F.lit(1)).over(Window.partitionBy("name"))
-    named = named.withColumn("name", F.when(n > 1, F.concat(F.col("name"), F.lit("-"), F.substring(F.sha2("e", 256), 1, 8))).otherwise(F.col("name")))
+    shared = named.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name", F.lit(True).alias("shared"))
+    return named.join(shared, "name", "left").select("e", "t", F.when(F.col("shared"), F.concat("name", F.lit("-"), F.substring(F.sha2("e", 256), 1, 8))).otherwise(F.col("name")).alias("name"))
 
-    def write(rows):  # noqa: ANN001, ANN202
-        Path(folder).mkdir(parents=True, exist_ok=True)
-        for r in rows:
-            (Path(folder) / f"{r['name']}.md").write_text(f"# Email: {r['e']}\n\n{r['t']}\n", encoding="utf-8")
 
-    named.foreachPartition(write)
+def write_markdown_files(df: DataFrame, folder: str, eid: str = "eid", text: str = "body_text") -> int:
+    """One Markdown file for each non-empty text, on the caller's disk, streamed; returns their number."""
+    Path(folder).mkdir(parents=True, exist_ok=True)
+    n = 0
+    for r in named_texts(df, eid, text).toLocalIterator():
+        (Path(folder) / f"{r['name']}.md").write_text(f"# Email: {r['e']}\n\n{r['t']}\n", encoding="utf-8")
+        n += 1
+    return n
 
 
 def cleaning_report(df: DataFrame, source: str, eid: str = "eid", text: str = "body_text", now: datetime | None = None, entries: int | None = None) -> str:
@@ -128,7 +145,7 @@ def cleaning_report(df: DataFrame, source: str, eid: str = "eid", text: str = "b
 
 
 def report_lines(df: DataFrame, source: str, eid: str = "eid", text: str = "body_text", now: datetime | None = None, entries: int | None = None):  # noqa: ANN201
-    """Markdown with counts and lengths of all rows, and a table of contents of all ids, or of the first ``entries``, in the order of ``row_idx``; streamed."""
+    """Markdown with counts and lengths of all rows, a table of contents of all ids and all bodies, or of the first ``entries``, in the order of ``row_idx``; streamed."""
     full = F.length(text) > 0
     s = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(full).alias("full"), F.floor(F.avg(F.when(full, F.length(text)))).alias("mean"), F.min(F.when(full, F.length(text))).alias("lo"), F.max(F.when(full, F.length(text))).alias("hi")).first()
     out = ["# Cleaning report", "", f"> **Source**: `{source}`  ", f"> **Generated**: {(now or datetime.now()):%Y-%m-%d %H:%M}  ", f"> **Total**: {s['n']} | **Non-empty**: {s['full']} | **Skipped**: {s['n'] - s['full']}", ""]
@@ -136,22 +153,30 @@ def report_lines(df: DataFrame, source: str, eid: str = "eid", text: str = "body
         out += ["| Metric | Value |", "|---|---|", f"| Average length | {s['mean']} |", f"| Shortest | {s['lo']} |", f"| Longest | {s['hi']} |", ""]
     out += ["## Contents", ""]
     yield "".join(x + "\n" for x in out)
-    listed = (df.orderBy("row_idx") if "row_idx" in df.columns else df).select(eid, (~full).alias("blank"))
+    listed = (df.orderBy("row_idx") if "row_idx" in df.columns else df).select(eid, text)
     listed = listed if entries is None else listed.limit(entries)
-    for i, r in enumerate(listed.toLocalIterator(), 1):
+    for i, r in enumerate(listed.select(eid, (~full).alias("blank")).toLocalIterator(), 1):
         e = r[0] or ""
-        yield f"{i}. {e[:55] + ('...' if len(e) > 55 else '')}{' *(empty)*' if r['blank'] else ''}\n"
+        yield f"{i}. {e[:55] + ('...' if len(e) > 55 else '')}{' *(empty)*' if r['blank'] is not False else ''}\n"
+    yield "\n## Emails\n"
+    for r in listed.where(full).toLocalIterator():
+        yield f"\n### {r[0] or ''}\n\n{r[1]}\n\n---\n"
 
 
-def thread_report(metrics: list[DataFrame], summary: DataFrame, chosen: str, stats: DataFrame, now: datetime | None = None) -> str:
-    """Markdown: records, both methods side by side, the choice, thread sizes, the ten largest threads."""
+def thread_report(metrics: list[DataFrame], summary: DataFrame, chosen: str, stats: DataFrame, exported: DataFrame | None = None, now: datetime | None = None) -> str:
+    """Markdown: records, both methods side by side, the choice, grouping, thread sizes, the ten largest threads, the schema of the export and its validation."""
     d = stats.first()
     rows = [m.first().asDict() for m in metrics]
     sizes = summary.agg(F.count(F.lit(1)).alias("n"), F.avg("email_count").alias("mean"), F.max("email_count").alias("hi"), F.min("email_count").alias("lo")).first()
+    split = summary.groupBy("grouping_method").agg(F.count(F.lit(1)).alias("threads"), F.sum("email_count").alias("mails")).orderBy("grouping_method").collect()
     top = summary.orderBy(F.desc("email_count"), F.asc("thread_id")).limit(10).select("thread_id", "email_count").collect()
     out = ["# Thread report", "", f"Generated {(now or datetime.now()):%Y-%m-%d %H:%M}", "", "## Records", "", f"{d['before']} read, {d['dupes']} repeated ids removed, {d['after']} grouped.", "", "## Methods", ""]
     out += ["| Metric | " + " | ".join(r["method"] for r in rows) + " |", "|---|" + "---|" * len(rows)]
     out += [f"| {k} | " + " | ".join(str(r[k]) for r in rows) + " |" for k in rows[0] if k != "method"]
-    out += ["", "## Choice", "", f"`{chosen}`", "", "## Sizes", "", f"{sizes['n']} threads; mean {sizes['mean'] or 0:.2f}, largest {sizes['hi'] or 0}, smallest {sizes['lo'] or 0}.", "", "## Largest threads", "", "| Thread | Mails |", "|---|---|"]
+    out += ["", "## Choice", "", f"`{chosen}`", "", "## Grouping", "", "| Method | Threads | Mails |", "|---|---|---|"]
+    out += [f"| {r['grouping_method']} | {r['threads']} | {r['mails']} |" for r in split]
+    out += ["", "## Sizes", "", f"{sizes['n']} threads; mean {sizes['mean'] or 0:.2f}, largest {sizes['hi'] or 0}, smallest {sizes['lo'] or 0}.", "", "## Largest threads", "", "| Thread | Mails |", "|---|---|"]
     out += [f"| {r['thread_id']} | {r['email_count']} |" for r in top]
+    if exported is not None:
+        out += ["", "## Export", "", "| Column | Type |", "|---|---|", *[f"| {f.name} | {f.dataType.simpleString()} |" for f in exported.schema], "", "Validated: every mail has one non-empty thread id, no id repeats."]
     return "\n".join(out) + "\n"

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -21,7 +20,7 @@ def clean_stream(mails: DataFrame, body: str = "raw_body") -> DataFrame:
     return clean_bodies(mails, body)
 
 
-def filter_stream(mails: DataFrame, model: PipelineModel, text: str = "raw_body", threshold: float = DEFAULT.automation_threshold) -> DataFrame:
+def filter_stream(mails: DataFrame, model: bulk.BulkModel, text: str = "raw_body", threshold: float = DEFAULT.automation_threshold) -> DataFrame:
     return bulk.classify(bulk.clean_for_model(mails, text), model, threshold)
 
 
