@@ -217,3 +217,124 @@ _N = "lower(raw_body)"
 for _p, _r in ((f"http{rx.NS}+", " url "), (f"{rx.NS}+@{rx.NS}+", " email "), ("_+", " "), (f"{rx.S}+", " ")):
     _N = f"regexp_replace({_N}, {q(_p)}, {q(_r)}, 'g')"
 SQL["ml_text_normalize"] = f"SELECT row_idx, {strip(_N)} AS text FROM armis_raw_email WHERE raw_body IS NOT NULL"
+
+# ---------------------------------------------------------------- layers after rendering
+_HEADS = f"""{LINES}, h0 AS (SELECT row_idx, pos, line, {m(strip('line'), rx.HEADER_LINE)} AS head, {strip('line')} = '' AS blank FROM l)"""
+
+
+def _fill(src: str, out: str, have: str) -> str:
+    near = " OR ".join(f"coalesce(lag({have}, {k}) OVER o, false)" for k in (1, 2, 3))
+    after = " OR ".join(f"coalesce(lead(head, {k}) OVER o, false)" for k in (1, 2, 3))
+    return f", {out} AS (SELECT *, {have} OR (blank AND ({near}) AND ({after})) AS f{out} FROM {src} WINDOW o AS (PARTITION BY row_idx ORDER BY pos))"
+
+
+_FILLED = f"{_HEADS}{_fill('h0', 'h1', 'head')}{_fill('h1', 'h2', 'fh1')}{_fill('h2', 'h3', 'fh2')}"
+SQL["header_blocks"] = f"""WITH {_FILLED} SELECT row_idx, CAST(pos AS INT) AS pos FROM (SELECT row_idx, pos, fh3, coalesce(lag(fh3) OVER (PARTITION BY row_idx ORDER BY pos), false) AS b FROM h3) WHERE fh3 AND NOT b"""
+SQL["header_lines_dropped"] = _text(f", d AS (SELECT *, {m(strip('line'), rx.HEADER_LINE)} AS head FROM l)", "NOT head")
+
+
+def _first_mail(x: str) -> str:
+    found = f"regexp_extract(coalesce({x}, ''), {q(r'[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+')}, 0)"
+    return f"lower({strip(found, r'<>(): \t_')})"
+
+
+SQL["first_address"] = f"SELECT row_idx, {_first_mail('raw_body')} AS address FROM armis_raw_email"
+_WORDED = lambda ws: f"regexp_matches(line, {q(rx.ci2(rx.LB + '(?:' + ws + ')' + rx.RB))})"
+SQL["header_block_metadata"] = f"""WITH {_FILLED}, b AS (SELECT *, pos - row_number() OVER (PARTITION BY row_idx ORDER BY pos) AS block FROM h3 WHERE fh3),
+ c AS (SELECT *, {_first_mail('line')} AS mail, {_WORDED('from|von|de|envoyé|enviado')} AS sends, {_WORDED('to|an|à|para')} AS gets,
+  length(regexp_replace(regexp_extract(line, {q(f'^[{rx.WS}>]*')}, 0), '[^>]', '', 'g')) AS marks FROM b),
+ n AS (SELECT *, coalesce(nullif(mail, ''), nullif(lead(mail) OVER (PARTITION BY row_idx, block ORDER BY pos), '')) AS near FROM c)
+ SELECT row_idx, CAST(min(pos) AS INT) AS pos, count(*) AS n_lines, coalesce(max_by(near, pos) FILTER (WHERE sends AND near IS NOT NULL), min_by(mail, pos) FILTER (WHERE mail <> ''), '') AS sender,
+ coalesce(max_by(near, pos) FILTER (WHERE gets AND NOT sends AND near IS NOT NULL), '') AS recipient, CAST(max(marks) AS INT) AS depth FROM n GROUP BY row_idx, block"""
+
+
+def _stitch(x: str) -> str:
+    return f"regexp_replace({x}, {q(rf'(?im)(^[{rx.WS}>]*On{rx.S}+[^\n]{{5,180}})\n([{rx.WS}>]*wrote{rx.S}*:)')}, '\\1 \\2', 'g')"
+
+
+SQL["stitched_headers"] = f"SELECT row_idx, {_stitch('raw_body')} AS text FROM armis_raw_email WHERE raw_body IS NOT NULL"
+
+
+def _finish(x: str) -> str:
+    tails = f"regexp_replace({x}, '[{_TAILS}]+(\\n|$)', '\\1', 'g')"
+    blanks = f"regexp_replace({tails}, '\\n{{4,}}', chr(10) || chr(10) || chr(10), 'g')"
+    quotes = f"regexp_replace({strip(blanks)}, '^\"+|\"+$', '', 'g')"
+    return strip(quotes)
+
+
+SQL["finished_text"] = f"SELECT row_idx, CASE WHEN length(t) >= 10 THEN t ELSE '' END AS text FROM (SELECT row_idx, {_finish('raw_body')} AS t FROM armis_raw_email WHERE raw_body IS NOT NULL)"
+_DIS = _run(m("s", rx.DISCLAIMER_TRIGGERS), f"s <> '' AND ({m('s', rx.DISCLAIMER_TRIGGERS)} OR {m('s', rx.DISCLAIMER_VOCABULARY)})", f"(SELECT row_idx, pos, line, {_C} AS s FROM l1)").lstrip(", ")
+_SGN = _run(f"({m('s', rx.SALUTATIONS)} OR {m('s', rx.FOOTERS)})", f"(s = '' OR {contact('line')})", f"(SELECT row_idx, pos, line, {strip('line')} AS s FROM l3)").lstrip(", ")
+for _a in ("f", "g", "r", "d"):
+    _SGN = _SGN.replace(f"{_a} AS (", f"{_a}2 AS (").replace(f"FROM {_a})", f"FROM {_a}2)")
+_NOISE = f"regexp_matches(line, {q(rf'^[|{rx.WS}\-:=]+$')})"
+SQL["layers_truncate"] = f"""WITH l AS (SELECT row_idx, pos - 1 AS pos, ls[pos] AS line FROM (SELECT row_idx, ls, unnest(range(1, len(ls) + 1)) AS pos
+  FROM (SELECT row_idx, string_split({_stitch(_LINK.replace('raw_body', 'body_text'))}, chr(10)) AS ls FROM thread_grouper WHERE body_text IS NOT NULL))),
+ c AS (SELECT *, coalesce(min(CASE WHEN {m(strip('line'), rx.REPLY_TRIGGERS)} THEN pos END) OVER (PARTITION BY row_idx), 1000000000) AS cut FROM l),
+ l1 AS (SELECT row_idx, pos, line FROM c WHERE pos < cut), {_DIS},
+ l2 AS (SELECT row_idx, pos, CASE WHEN after_gone AND s = '' THEN '' ELSE line END AS line FROM d WHERE NOT gone),
+ c2 AS (SELECT *, coalesce(min(CASE WHEN {m(strip('line'), rx.INLINE_SIGNATURE)} THEN pos END) OVER (PARTITION BY row_idx), 1000000000) AS cut FROM l2),
+ l3 AS (SELECT row_idx, pos, line FROM c2 WHERE pos < cut), {_SGN},
+ l4 AS (SELECT row_idx, pos, {_TIDY} AS line FROM d2 WHERE NOT gone),
+ l5 AS (SELECT row_idx, pos, regexp_replace(line, {q(f'^{rx.S}*>[{rx.WS}>]*')}, '') AS line FROM l4 WHERE NOT {_NOISE}),
+ j AS (SELECT row_idx, string_agg(line, chr(10) ORDER BY pos) AS text FROM l5 GROUP BY row_idx)
+ SELECT row_idx, CASE WHEN length(t) >= 10 THEN t ELSE '' END AS text FROM (SELECT row_idx, coalesce({_finish('text')}, '') AS t FROM (SELECT row_idx FROM thread_grouper WHERE body_text IS NOT NULL) LEFT JOIN j USING (row_idx))"""
+
+# ---------------------------------------------------------------- programs
+SQL["field_counts"] = "SELECT count(*) AS mails, count(*) FILTER (WHERE from_addr <> '') AS with_from, count(*) FILTER (WHERE date <> '') AS with_date, count(*) FILTER (WHERE subject <> '') AS with_subject FROM thread_grouper"
+SQL["filtered_split"] = f"""WITH x AS (SELECT raw_body, {_category('raw_body')} <> 'genuine' AS f FROM armis_raw_email)
+ SELECT 'genuine' AS part, count(*) AS n, CAST(coalesce(sum(length(raw_body)), 0) AS BIGINT) AS chars FROM x WHERE NOT f UNION ALL SELECT 'filtered', count(*), CAST(coalesce(sum(length(raw_body)), 0) AS BIGINT) FROM x WHERE f"""
+SQL["message_id_links"] = """WITH e AS (SELECT DISTINCT i, j FROM edges WHERE match_method = 'message_id' AND i <> j),
+ s AS (SELECT a.eid, string_agg(DISTINCT chr(10) || 'In-Reply-To: ' || b.eid, '') AS fields FROM e JOIN thread_grouper a ON a.row_idx = e.i JOIN thread_grouper b ON b.row_idx = e.j WHERE a.eid <> b.eid GROUP BY a.eid),
+ f AS (SELECT * FROM armis_raw_email WHERE eid IS NOT NULL AND raw_body IS NOT NULL QUALIFY row_number() OVER (PARTITION BY eid ORDER BY row_idx) = 1),
+ t AS (SELECT f.row_idx, f.eid, f.raw_body || coalesce(s.fields, '') AS body FROM f LEFT JOIN s USING (eid))
+ SELECT DISTINCT least(a.row_idx, b.row_idx) AS i, greatest(a.row_idx, b.row_idx) AS j FROM t a JOIN t b ON a.row_idx <> b.row_idx AND b.eid <> '' AND contains(a.body, b.eid)"""
+SQL["thread_size_stats"] = f"{_ALL} SELECT count(*) AS threads, count(*) FILTER (WHERE n > 1) AS multi, max(n) AS largest, min(n) AS smallest, round_even(avg(n), 2) AS mean_size FROM ({_SIZED})"
+
+
+def _squeeze(c: str) -> str:
+    return f"regexp_replace({c}, '[\\r\\n]+', ' ', 'g') AS {c}"
+
+
+SQL["thread_export"] = f"""{_ALL}, z AS ({_SIZED}) SELECT row_idx, eid, thread_id, CASE WHEN n > 1 THEN 'body_jaccard' ELSE 'singleton' END AS grouping_method, from_addr, to_addr, cc_addr, subject, date, timestamp, reply_depth, participant_count,
+ participants_str, {_squeeze('cleaned_body')}, {_squeeze('body_text')} FROM th JOIN z USING (thread_id)"""
+
+
+def _clustered(name: str, edges: str) -> str:
+    """Components of one method's edges and the links, equal bodies split off."""
+    both = f"{edges} UNION SELECT i, j FROM ml"
+    return f"""{name}_u AS (SELECT i AS v, j AS w FROM ({both}) UNION SELECT j, i FROM ({both})),
+ {name}_r AS (SELECT v, v AS c FROM {name}_u UNION SELECT {name}_u.w, {name}_r.c FROM {name}_r JOIN {name}_u ON {name}_u.v = {name}_r.v),
+ {name}_x AS (SELECT f.row_idx, coalesce(c, f.row_idx) AS comp, md5(coalesce(body_text, '')) AS h FROM mails f LEFT JOIN (SELECT v, min(c) AS c FROM {name}_r GROUP BY v) ON v = f.row_idx),
+ {name} AS (SELECT row_idx, CASE WHEN row_idx = min(row_idx) OVER (PARTITION BY comp, h) THEN comp ELSE -1 - row_idx END AS comp FROM {name}_x)"""
+
+
+_BOTH = f"""WITH RECURSIVE mails AS (SELECT * FROM {MAILS}), ml AS (SELECT DISTINCT least(i, j) AS i, greatest(i, j) AS j FROM edges WHERE match_method = 'message_id' AND i <> j AND i IN (SELECT row_idx FROM mails) AND j IN (SELECT row_idx FROM mails)),
+ {_JACCARD}, {_tfidf('body_text', 5000, 1, 'tf')}, co AS (SELECT a.k AS i, b.k AS j, sum(a.w * b.w) AS sim FROM wt a JOIN wt b ON a.term = b.term AND a.k < b.k GROUP BY a.k, b.k),
+ {_clustered('cj', 'SELECT i, j FROM j WHERE sim >= 0.35 AND sim < 0.99')}, {_clustered('ct', 'SELECT i, j FROM co WHERE sim >= 0.59 AND sim < 0.99')}"""
+
+
+def _metrics_of(c: str, pairs: str, method: str, t: float) -> str:
+    return f"""SELECT '{method}' AS method, CAST({t} AS DOUBLE) AS threshold, count(*) AS total_threads, count(*) FILTER (WHERE n > 1) AS multi_email_threads, count(*) FILTER (WHERE n = 1) AS singletons,
+ round_even(count(*) FILTER (WHERE n = 1) * 100 / sum(n), 1) AS singleton_pct, round_even(sum(n) / count(*), 2) AS avg_thread_size, max(n) AS max_thread_size,
+ round_even(coalesce(avg(coalesce(s, 0) / (n * (n - 1) / 2)) FILTER (WHERE n > 1), 0), 4) AS avg_cohesion, CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS emails_in_threads, round_even(coalesce(sum(n) FILTER (WHERE n > 1), 0) * 100 / sum(n), 1) AS emails_in_threads_pct
+ FROM (SELECT comp, count(*) AS n FROM {c} GROUP BY comp) LEFT JOIN (SELECT a.comp, sum(p.sim) AS s FROM {pairs} p JOIN {c} a ON a.row_idx = p.i JOIN {c} b ON b.row_idx = p.j WHERE a.comp = b.comp GROUP BY a.comp) USING (comp)"""
+
+
+_MT, _MJ = _metrics_of("ct", "co", "TF-IDF", 0.59), _metrics_of("cj", "j", "Jaccard", 0.35)
+SQL["thread_method_metrics"] = f"{_BOTH} {_MT} UNION ALL {_MJ}"
+SQL["thread_flagship"] = f"""{_BOTH}, mt AS ({_MT}), mj AS ({_MJ}), pick AS (SELECT (SELECT avg_cohesion FROM mt) < 0.8 * (SELECT avg_cohesion FROM mj) AS jac),
+ cc AS (SELECT row_idx, comp FROM cj WHERE (SELECT jac FROM pick) UNION ALL SELECT row_idx, comp FROM ct WHERE NOT (SELECT jac FROM pick))
+ SELECT thread_id, CAST(sum(n) AS BIGINT) AS n, CASE WHEN sum(n) = 1 THEN 'singleton' WHEN (SELECT jac FROM pick) THEN 'body_jaccard' ELSE 'body_tfidf' END AS grouping_method
+ FROM (SELECT 'thread_' || left(sha256(string_agg(coalesce(eid, ''), '|' ORDER BY coalesce(eid, ''))), 12) AS thread_id, count(*) AS n FROM cc JOIN mails USING (row_idx) GROUP BY comp) GROUP BY thread_id"""
+
+_NB = "lower(coalesce(cleaned_body, ''))"
+for _p, _r in ((f"http{rx.NS}+", " url "), (f"{rx.NS}+@{rx.NS}+", " email "), ("_+", " "), (f"{rx.S}+", " ")):
+    _NB = f"regexp_replace({_NB}, {q(_p)}, {q(_r)}, 'g')"
+_FIXED_TF = _tfidf("clean_text", 15000, 2, "(1 + ln(tf))").replace(f"FROM {MAILS}", "FROM texts")
+_FLAGS = [f"CAST(contains(clean_text, '{p}') AS INT)" for p in ("unsubscribe", "out of office", "do not reply", "generated by ai", "meeting notes")]
+_SCORED = zip((0.9, 0.8, 0.7, 0.6, 0.5, -0.001, 0.05, -0.02), [*_FLAGS, "length(clean_text)", "len(regexp_extract_all(clean_text, 'url'))", "len(regexp_extract_all(clean_text, 'reply'))"])
+SQL["bulk_fixed_scores"] = f"""WITH texts AS (SELECT row_idx, {strip(_NB)} AS clean_text FROM {MAILS}), {_FIXED_TF},
+ dots AS (SELECT k, sum(w * (length(term) % 7 - 3)) AS dot FROM wt GROUP BY k),
+ z AS (SELECT row_idx, clean_text, -0.25 + coalesce(dot, 0) + {' + '.join(f'{w} * {x}' for w, x in _SCORED)} AS z FROM texts LEFT JOIN dots ON k = row_idx)
+ SELECT row_idx, round(1 / (1 + exp(-z)), 6) AS p, CASE WHEN {_category('clean_text')} <> 'genuine' OR 1 / (1 + exp(-z)) >= 0.95 THEN 1 ELSE 0 END AS is_filtered FROM z"""
