@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lettermill.llm.names import Field, field
-from lettermill.llm.text import visible_line
+from lettermill.llm.text import share_look_alikes, visible_line
 from lettermill.session import Scratch
 
 BANDS, ROWS, SIMILARITY = 4, 2, 0.8
@@ -157,6 +157,7 @@ def line_prints(df: DataFrame, key: str, source: str, text: str, doc: str, least
                 names=["row", "src", "doc", "line_no", "line", "form", *[f"b{k}" for k in range(BANDS)], "words"],
             )
 
+    share_look_alikes(df.sparkSession)
     rows = df.where(F.col(source).isNotNull() & F.col(text).isNotNull())
     rows = rows.select(F.col(key).cast("long").alias("row"), F.xxhash64(F.col(source).cast("string")).alias("src"), F.when(F.col(doc).isNotNull(), F.xxhash64(doc)).alias("doc"), F.col(text).alias("t"))
     return rows.mapInArrow(run, "row long, src long, doc long, line_no int, line long, form long, " + ", ".join(f"b{k} long" for k in range(BANDS)) + ", words array<int>")

@@ -50,7 +50,7 @@ from pyspark.sql import functions as F
 
 from lettermill.llm.boilerplate import needed
 from lettermill.llm.names import field
-from lettermill.llm.text import skeleton, strip_tags
+from lettermill.llm.text import share_look_alikes, skeleton, strip_tags
 from lettermill.session import Scratch
 
 NEW, BLANK, QUOTED, HEADER, SIGNATURE, NOTICE = range(6)
@@ -519,6 +519,7 @@ def new_lines(texts: Sequence[tuple[DataFrame, str, str]], senders: DataFrame, d
     lines of its own, but those of the others count in it.
     """
     spark = texts[0][0].sparkSession
+    share_look_alikes(spark)
     scratch = Scratch(spark, "new-lines")
     words = field(directory, name_entries)
     rows, need = None, None

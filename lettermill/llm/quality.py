@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lettermill.llm.text import skeleton
+from lettermill.llm.text import share_look_alikes, skeleton
 
 STATS = (
     "n_chars", "n_words", "n_lines", "mean_word_length", "symbol_ratio", "digit_ratio", "upper_ratio", "common_share",
@@ -230,6 +230,7 @@ def text_statistics(df: DataFrame, common_words: DataFrame, key: str = "doc_id",
 
     ``common_words`` is a word list by language of a bounded size (checked: at most 100,000 words).
     """
+    share_look_alikes(df.sparkSession)
     bound = 100_000
     rows = common_words.where("lang is not null and word is not null").limit(bound + 1).collect()
     if len(rows) > bound:

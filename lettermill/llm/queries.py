@@ -13,6 +13,12 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return same_look_pairs(table(spark, d, "armis_raw_email"), "row_idx", "raw_body")
 
 
+def p1_groups(spark: SparkSession, d: str) -> DataFrame:
+    from lettermill.llm.forms import same_look_groups
+
+    return same_look_groups(table(spark, d, "armis_raw_email"), "row_idx", "raw_body")
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     from lettermill.llm.personal import personal_spans
 
@@ -104,6 +110,7 @@ def p10_statistics(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found,
+    "p1_groups": p1_groups,
     "p2_found": p2_found,
     "p4_found": p4_found,
     "p4_clusters": p4_clusters,

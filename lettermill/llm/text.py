@@ -3,10 +3,17 @@
 from __future__ import annotations
 
 import html
+import json
+import os
 import re
+import string
+import tempfile
 import unicodedata
 
-# fixed values: letters of other scripts that look like a Latin letter, and that letter
+from pyspark import SparkFiles
+from pyspark.sql import SparkSession
+
+# fixed values: letters of other scripts that look like a Latin letter, and that letter; ``share_look_alikes`` adds those of the public confusables data
 LOOKALIKES: dict[str, str] = dict(
     zip(
         "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧοϲϳАВЕКМНОРСТХЅІЈԚԜԌҮаеорсухѕіјһԁԛԝɡ",
@@ -22,10 +29,64 @@ LINE_ENDS = {0x2028, 0x2029, 0x0085}
 _FORMS = ("<wide>", "<narrow>", "<initial>", "<medial>", "<final>", "<isolated>")
 
 
+#: scripts whose letters are compared with Latin ones, and families of Latin letters in another style
+_SCRIPTS = ("GREEK", "CYRILLIC", "ARMENIAN", "CHEROKEE", "COPTIC", "LISU", "MATHEMATICAL", "DOUBLE-STRUCK", "SCRIPT", "BLACK-LETTER", "PLANCK", "KELVIN", "ROMAN", "SMALL ROMAN", "LATIN LETTER SMALL CAPITAL", "LATIN SMALL LETTER ALPHA")
+_FILE = "lettermill-look-alikes.json"
+_shared: set[str] = set()
+
+
+def look_alikes(spark: SparkSession) -> dict[str, str]:
+    """Letters that have the skeleton of one ASCII letter in the confusables data of the ICU library on Spark's class path.
+
+    Capitals take the capital where two letters share a skeleton (I and l). Letters of the Latin script
+    itself, such as the dotless i, stay what they are.
+    """
+    checker = spark._jvm.com.ibm.icu.text.SpoofChecker.Builder().build()
+    plain = string.ascii_uppercase + string.ascii_lowercase
+    odd = [ch for ch in map(chr, range(0x80, 0x20000)) if unicodedata.category(ch)[0] in "LN" and unicodedata.name(ch, "").startswith(_SCRIPTS) and not ch.isdigit()]
+    # one call: a line end is its own skeleton, so it parts the letters
+    got = checker.getSkeleton("\n".join([*plain, *odd])).split("\n")
+    of: dict[str, list[str]] = {}
+    for ch, k in zip(plain, got):
+        of.setdefault(k, []).append(ch)
+    pick = lambda ch, same: same[-1] if "SMALL" in unicodedata.name(ch) else same[0]
+    return {ch: pick(ch, of[k]) for ch, k in zip(odd, got[len(plain) :], strict=True) if k in of}
+
+
+def share_look_alikes(spark: SparkSession) -> None:
+    """Gives this process and the workers the larger table, once an application; without the library the fixed one stays."""
+    app = spark.sparkContext.applicationId
+    if app in _shared:
+        return
+    _shared.add(app)
+    try:
+        LOOKALIKES.update({k: v for k, v in look_alikes(spark).items() if k not in LOOKALIKES})
+    except TypeError:  # no such class
+        return
+    PROTOTYPES.clear()
+    path = os.path.join(tempfile.mkdtemp(prefix="lettermill-"), _FILE)
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(LOOKALIKES, f)
+    spark.sparkContext.addFile(path)
+
+
 class _Prototypes(dict):
     """Code point to prototype, worked out at first use of a character."""
 
+    read = False
+
+    def _read(self) -> None:
+        """In a worker: the table that the driver sent, if it sent one."""
+        self.read = True
+        try:
+            with open(SparkFiles.get(_FILE), encoding="utf-8") as f:
+                LOOKALIKES.update(json.load(f))
+        except Exception:  # noqa: BLE001  no session here, or no file
+            pass
+
     def __missing__(self, cp: int) -> str | None:
+        if not self.read:
+            self._read()
         ch = chr(cp)
         out: str | None = ch
         if cp in LINE_ENDS:
@@ -39,10 +100,10 @@ class _Prototypes(dict):
         elif cp > 127:
             form = unicodedata.decomposition(ch).split(" ")
             joined = form[0] == "<compat>" and len(form) > 2 and unicodedata.category(ch)[0] == "L"
-            if form[0] in _FORMS or joined:
+            if ch in LOOKALIKES:
+                out = LOOKALIKES[ch]
+            elif form[0] in _FORMS or joined:
                 out = "".join(self[ord(x)] or "" for x in unicodedata.normalize("NFKD", ch))
-            else:
-                out = LOOKALIKES.get(ch, ch)
         self[cp] = out
         return out
 

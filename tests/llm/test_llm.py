@@ -30,6 +30,20 @@ def test_same_look_pairs(spark):
     assert [r["one_form"] for r in forms.one_form(df, "raw_body").orderBy("row_idx").limit(2).collect()] == ["Hi Anna", "Hi Anna"]
 
 
+def test_public_look_alikes(spark):
+    from lettermill.llm import text
+
+    t = text.look_alikes(spark)
+    assert len(t) > 300 and all(ord(k) > 127 and v.isascii() and v.isalpha() for k, v in t.items())
+    assert "".join(t[c] for c in "ӀνιօսհᎪꓮⲟɑѵүᴏℓⅼⅰⅠ𝐀") == "IviouhAAoavyolliIA"
+    assert not {"ı", "ſ", "ø", "ß", "²", "é"} & set(t)
+    rows = [(1, "Alpha vial"), (2, "Ꭺlphɑ νιal"), (3, "𝐀lpha vial"), (4, "alpha vial")]
+    df = spark.createDataFrame(rows, "row_idx long, raw_body string")
+    assert {tuple(r) for r in forms.same_look_pairs(df, "row_idx", "raw_body").collect()} == {(1, 2), (1, 3), (2, 3)}
+    g = forms.same_look_groups(df, "row_idx", "raw_body").collect()
+    assert {r["row_idx"] for r in g} == {1, 2, 3} and {r["variants"] for r in g} == {3} and len({r["look"] for r in g}) == 1
+
+
 # ---------------------------------------------------------------- 2
 
 
