@@ -1,28 +1,36 @@
-"""Problem 7: personal information inside free text.
-
-Method: a skip-chain conditional random field over candidate spans. Patterns
-and a name index propose spans; each span is a variable with the labels its
-kind allows; unary potentials come from weights fitted here on labelled lines;
-spans with an equal surface in one document share a variable of that surface,
-similar ones a skip edge, neighbours a chain edge; loopy sum-product messages
-are passed until they stand still. So a number that a label explains in one
-place is read alike wherever it stands alone, however often and however far.
+"""Personal information inside free text (problem 7).
+
+Method: a skip-chain conditional random field over tokens. Each token of a line
+has one of eleven labels (begin and inside of five kinds, and none). Its unary
+potentials come from the classes of the tokens around it, from the last label
+word on its line, and from what a pattern or the name index proposes at its
+place (shape, capitals, street word, label before it); neighbours are tied by
+trained transitions. Tokens that begin equal or similar surfaces anywhere in a
+document share a potential: loopy messages go between the chains of its lines
+until they stand still, so a number that a label explains in one place is read
+alike wherever it stands alone, however often and however far. The best
+labelling then gives the spans, so a span may be shorter, longer or another
+than what a pattern proposed.
+
+Unary and transition weights maximise the conditional likelihood of sentences
+made by ``llm/samples.py`` (invented words, ``SAMPLES`` of them); the weight of
+the skip edges is the one under which repeats of those sentences are likeliest.
 
 Surfaces are cut from the text as it stands: patterns run over a folded form
 (no accents, one case, one form of each character) with a map of positions.
 
 Defined results: null, empty and blank texts give nothing; a surface counts
 once a row and kind; whole texts are read. Names are those of the directory:
-family name together with given name or its initial.
+family name together with given name or its initial. A line on which nothing
+is proposed has no label. Directories of any size are read (``llm/names.py``).
 """
 
 from __future__ import annotations
 
-import math
 import re
 import unicodedata
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -30,11 +38,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lettermill.llm.text import PROTOTYPES
+from lettermill.llm.names import field
+from lettermill.llm.samples import PEOPLE, repeated, samples
+from lettermill.llm.text import PROTOTYPES, share_look_alikes
 
 KINDS = ("email", "phone", "id_number", "street_address", "person_name")
-#: a directory over this size is matched in blocks of it
-DIRECTORY_BLOCK = 100_000
+#: sentences the weights are fitted on
+SAMPLES = 4_000
 
 # ---------------------------------------------------------------- folded text
 
@@ -88,7 +98,7 @@ _EMAIL = re.compile(
 )
 _NUMBER = re.compile(
     r"(?<![\w@])(?:"
-    r"[a-z]{2} ?\d{2} ?\d{2} ?\d{2} ?[a-d]|[a-z]{1,2}\d{6,9}"
+    r"[a-z]{2} ?\d{2} ?\d{2} ?\d{2} ?[a-d]|[a-z]{1,2}\d{6,9}|\d{7,8}[a-z]"
     r"|(?:\+|\()?\d(?:[\d]|[ .\-/()]{1,2}(?=[\d(]))*\d"
     r")(?![\w@])"
 )
@@ -99,11 +109,14 @@ _SHAPES: tuple[tuple[str, re.Pattern], ...] = tuple(
         ("idd", r"00[1-9]\d(?:[ .\-/]\d{1,5}){2,5}"),
         ("area", r"\(0?\d{2,4}\)[ .\-/]?\d{3,5}(?:[ .\-]\d{2,5}){0,3}"),
         ("nanp", r"\d{3}([ .\-])\d{3}\1\d{4}"),
+        ("nanp1", r"1([ .\-])\d{3}\1\d{3}\1\d{4}"),
         ("pairs", r"0\d([ .\-])\d\d\1\d\d\1\d\d\1\d\d"),
         ("trunk", r"0\d{2,4}[ /\-]\d{3,4}[ \-]?\d{3,4}"),
         ("threetwofour", r"\d{3}([ \-])\d{2}\1\d{4}|\d{9}"),
         ("taxid", r"\d{2} ?\d{3} ?\d{3} ?\d{3}"),
         ("fours", r"\d{4}([ \-]?)\d{4}\1\d{4}"),
+        ("cpf", r"\d{3}\.\d{3}\.\d{3}-\d{2}"),
+        ("checked", r"\d{7,8}[a-z]"),
         ("passport", r"[a-z]{1,2}\d{6,9}"),
         ("insurance", r"[a-z]{2} ?\d{2} ?\d{2} ?\d{2} ?[a-d]"),
     )
@@ -115,13 +128,15 @@ _ADDRESS = re.compile(
     rf"|(?<![\w.,\-/])\d{{1,4}} ?[a-z]?(?: bis| ter| quater)?,? (?:rue|avenue|place|chemin|boulevard|allee|quai|impasse|route|cours|square|bd\.?|boul\.?|av\.?|pl\.|ch\.) (?:(?:des|du|de la|de l'|de|d') ?)?{_W}(?: {_W}){{0,2}}"
     rf"|(?<![\w\-])(?:(?:am|an der|an den|auf der|im|in der|zum|zur|unter den|hohe[rn]?|alte[rn]?|neue[rn]?|lange[rn]?|kleine[rn]?|grosse[rn]?|obere[rn]?|untere[rn]?) )?{_W}(?:strasse|str\.|weg|pfad|allee|gasse|platz|teich|ufer|ring|damm|hof|markt|steig|graben|stieg|tor|winkel|chaussee) \d{{1,4}} ?[a-z]?(?![\w])"
     rf"|(?<![\w\-]){_W} (?:strasse|str\.|weg|pfad|allee|gasse|platz|ufer|ring|damm|markt|steig|stieg|chaussee) \d{{1,4}} ?[a-z]?(?![\w])"
-    rf"|(?<![\w\-])(?:calle|avenida|rua|plaza|praca|paseo|travessa|alameda) (?:(?:de la|de los|del|de|da|do|dos|das|la) )?{_W}(?: {_W}){{0,2}},? \d{{1,4}} ?[a-z]?(?![\w])"
+    rf"|(?<![\w\-])(?:calle|avenida|av\.|rua|plaza|praca|paseo|travessa|alameda|via|viale|piazza|corso|largo) (?:(?:de la|de los|del|della|dei|delle|de|da|do|dos|das|la) )?{_W}(?: {_W}){{0,2}},? \d{{1,4}} ?[a-z]?(?![\w])"
+    rf"|(?<![\w\-])(?:unter den|hinter den|an den|auf dem|vor dem) {_W} \d{{1,3}} ?[a-z]?(?![\w])"
 )
 _WORDS = re.compile(r"[a-z]+(?:-[a-z]+)*")
 _SMALL = frozenset(
     "a an and are as at be by came can close day days dear for from had has have he hi i if in into is it items left many more no nobody of on or our parts per she "
     "so than that the there they this to us was we were who will with you your were week weeks hours minutes pages units".split()
 )
+_OF = frozenset("der den dem del della dei delle de da do dos das la los".split())
 _GAP_BEFORE = re.compile(r"[ ]+(?:[a-z]\.? ?)?[ ]*|[ ]+(?:[a-z]\. ?)+")
 _GAP_AFTER = re.compile(r",?[ ]+(?:[a-z]\. )*")
 
@@ -143,34 +158,53 @@ class Span:
         self.a, self.b, self.labels, self.feats, self.key = a, b, labels, feats, key
 
 
+def name_entries(given: str | None, family: str | None) -> Iterator[str]:
+    """What the field of a directory holds of a person: the family name, and it with the given name or its initial."""
+    if given and family and given.strip() and family.strip():
+        g, f = " ".join(fold(given)[0].split()), " ".join(fold(family)[0].split())
+        if g and f:
+            yield f"f:{f}"
+            yield f"g:{f}:{g}"
+            yield f"i:{f}:{g[0]}"
+
+
+class _Given:
+    """Given names that go with one family name."""
+
+    def __init__(self, people: Container[str], family: str) -> None:
+        self.people, self.family = people, family
+
+    def __contains__(self, word: str) -> bool:
+        return f"g:{self.family}:{word}" in self.people
+
+    def initial(self, letter: str) -> bool:
+        return f"i:{self.family}:{letter}" in self.people
+
+
 class Names:
-    """Family name to the given names that go with it, folded."""
+    """Finds the people of a directory; ``people`` holds its ``name_entries``."""
 
-    def __init__(self, people: list[tuple[str | None, str | None]]) -> None:
-        self.given: dict[str, set[str]] = defaultdict(set)
-        for g, f in people:
-            if g and f and g.strip() and f.strip():
-                self.given[" ".join(fold(f)[0].split())].add(" ".join(fold(g)[0].split()))
-        self.families = frozenset(self.given)
+    def __init__(self, people: Container[str]) -> None:
+        self.people = people
 
     def spans(self, low: str) -> Iterator[tuple[int, int, str]]:
         words = None
         for m in _WORDS.finditer(low):
             fam = m.group(0)
-            if fam not in self.families:
+            if f"f:{fam}" not in self.people:
                 continue
             if words is None:
                 all_ = [(x.start(), x.end(), x.group(0)) for x in _WORDS.finditer(low)]
                 words = ({s: i for i, (s, _, _) in enumerate(all_)}, all_)
             place, all_ = words
             k = place[m.start()]
-            given = self.given[fam]
+            given = _Given(self.people, fam)
             got = self._before(low, all_, k, given) or self._after(low, all_, k, given)
             if got:
                 yield *got, fam
 
     @staticmethod
-    def _before(low: str, w: list, k: int, given: set[str]) -> tuple[int, int] | None:
+    def _before(low: str, w: list, k: int, given: _Given) -> tuple[int, int] | None:
         i = k - 1
         # initials between; the first of the run may be the given name's own
         while i >= 0 and k - i <= 4:
@@ -187,12 +221,12 @@ class Names:
                 # the first initial: it stands for the given name, unless that comes before it
                 if i > 0 and w[i - 1][2] in given and low[w[i - 1][1] : s].strip(" ") == "":
                     return w[i - 1][0], w[k][1]
-                return (s, w[k][1]) if any(g[0] == word for g in given) else None
+                return (s, w[k][1]) if given.initial(word) else None
             i -= 1
         return None
 
     @staticmethod
-    def _after(low: str, w: list, k: int, given: set[str]) -> tuple[int, int] | None:
+    def _after(low: str, w: list, k: int, given: _Given) -> tuple[int, int] | None:
         i = k + 1
         while i < len(w) and i - k <= 3:
             s, e, word = w[i]
@@ -208,7 +242,7 @@ class Names:
             nxt = w[i + 1] if i + 1 < len(w) else None
             if nxt and low[e : nxt[0]] in (". ", " ") and nxt[2] in given:
                 return w[k][0], nxt[1]
-            if i == k + 1 and any(g[0] == word for g in given) and dotted:
+            if i == k + 1 and given.initial(word) and dotted:
                 return w[k][0], e + 1
             i += 1
         return None
@@ -220,12 +254,12 @@ def _left(low: str, a: int) -> str:
 
 def candidates(text: str, low: str, at: list[int] | None, names: Names) -> list[Span]:
     out: list[Span] = []
-    taken: list[tuple[int, int]] = []
-    free = lambda a, b: all(b <= x or a >= y for x, y in taken)
+    taken = bytearray(len(low) + 1)
+    free = lambda a, b: 1 not in taken[a:b]
     if "@" in low or " at " in low or "at]" in low or "at)" in low or "at}" in low:
         for m in _EMAIL.finditer(low):
             a, b = m.span()
-            taken.append((a, b))
+            taken[a:b] = b"\1" * (b - a)
             feats = ["email", "email:at" if "@" in m.group(0) else "email:spelled"]
             if re.search(r"message-id\W*$|<mid:$", _left(low, a)):
                 feats.append("email:messageid")
@@ -267,8 +301,8 @@ def candidates(text: str, low: str, at: list[int] | None, names: Names) -> list[
             else:
                 feats.append("address:german")
                 # name and kind of the street both begin with a capital
-                feats.append("address:capital" if all(w[:1].isupper() or w in ("der", "den") for w in words[:2] if len(w) > 1) or not mixed else "address:small")
-            taken.append((a, b))
+                feats.append("address:capital" if all(w[:1].isupper() or w in _OF for w in words[:3] if len(w) > 1) or not mixed else "address:small")
+            taken[a:b] = b"\1" * (b - a)
             out.append(Span(a, b, ("street_address",), feats, low[a:b]))
         for m in _NUMBER.finditer(low):
             a, b = m.span()
@@ -278,292 +312,546 @@ def candidates(text: str, low: str, at: list[int] | None, names: Names) -> list[
             elif got.count("(") != got.count(")") or not free(a, b):
                 continue
             shapes = [n for n, p in _SHAPES if p.fullmatch(got)]
-            if not shapes:
-                continue
             n = sum(c.isdigit() for c in got)
-            if not 7 <= n <= 15:
+            if n < 6:
                 continue
+            shapes = shapes or ["other"]
             left = _left(low, a)
             label = next((n for n, p in _LABELS if p.search(left)), "none")
             alone = not left.strip() and low[b : b + 1] in ("", "\n", "\r")
             feats = ["number", *[f"shape:{s}" for s in shapes], f"left:{label}", *[f"shape:{s}&left:{label}" for s in shapes]]
             if alone:
                 feats.append("alone")
-            taken.append((a, b))
+            if n > 15:
+                feats.append("long")
+            taken[a:b] = b"\1" * (b - a)
             out.append(Span(a, b, ("phone", "id_number"), feats, re.sub(r"\D", "", got) if got[0] not in "abcdefghijklmnopqrstuvwxyz" else got.replace(" ", "")))
     for a, b, fam in names.spans(low):
         if not free(a, b):
             continue
-        taken.append((a, b))
+        taken[a:b] = b"\1" * (b - a)
         out.append(Span(a, b, ("person_name",), ["name", "name:initial" if re.match(r"[a-z]\b", low[a:b]) or re.search(r"\b[a-z]\.?$", low[a:b]) else "name:given"], fam))
     out.sort(key=lambda s: s.a)
     return out
 
 
-# ---------------------------------------------------------------- the field
-
-# labelled lines the unary weights are fitted on; people, places and numbers are invented
-_PEOPLE = [("Ada", "Quill"), ("Bruno", "Tessel"), ("Ines", "Varga")]
-_TRAIN: list[tuple[str, dict[str, str]]] = [
-    ("Write to ada.quill@mail.example or to b_tessel@post.test", {"ada.quill@mail.example": "email", "b_tessel@post.test": "email"}),
-    ("reach me under ines dot varga at mail dot post dot example today", {"ines dot varga at mail dot post dot example": "email"}),
-    ("or ada [at] quill.example", {"ada [at] quill.example": "email"}),
-    ("Message-ID: <17.aa@mx.host.example>", {}),
-    ("Tel. +44 7700 900111", {"+44 7700 900111": "phone"}),
-    ("T +1 212 555 0101", {"+1 212 555 0101": "phone"}),
-    ("M: (212) 555-0101", {"(212) 555-0101": "phone"}),
-    ("Phone: 212.555.0101", {"212.555.0101": "phone"}),
-    ("212-555-0101", {"212-555-0101": "phone"}),
-    ("0049-30-99999-111", {"0049-30-99999-111": "phone"}),
-    ("+33 1 99 00 11 22", {"+33 1 99 00 11 22": "phone"}),
-    ("01.99.00.11.22", {"01.99.00.11.22": "phone"}),
-    ("020 7946 0111", {"020 7946 0111": "phone"}),
-    ("(030) 99999-111", {"(030) 99999-111": "phone"}),
-    ("You can reach Ada Quill at 020 7946 0112 or write", {"020 7946 0112": "phone", "Ada Quill": "person_name"}),
-    ("Sie erreichen B. Tessel unter (030) 99999-112 oder", {"(030) 99999-112": "phone", "B. Tessel": "person_name"}),
-    ("Vous pouvez joindre Varga, Ines au 01.99.00.11.23 ou", {"01.99.00.11.23": "phone", "Varga, Ines": "person_name"}),
-    ("For stock matters contact Tom Blank, 415-555-0111.", {"415-555-0111": "phone"}),
-    ("and call +49 30 99999 113 first", {"+49 30 99999 113": "phone"}),
-    ("new mobile: 0049-30-99999-114", {"0049-30-99999-114": "phone"}),
-    ("Room 4 Street level is closed, use door 241-6300.", {}),
-    ("carries article no. 490-93-5278 and lot 0379.415.98.", {}),
-    ("carries article no. 050-78-73895 and lot 1379.415.98.", {}),
-    ("article no. 030 7946 0111", {}),
-    ("See slot @lamp-21 and row 0740 242 0221 of the form.", {}),
-    ("See slot @lamp-22 and row 0740 2420 0221 of the form.", {}),
-    ("row 01 99 00 11 22", {}),
-    ("row 0405 2420 221", {}),
-    ("lot 0405.242.2211", {}),
-    ("Barcode 021232654 was printed twice", {}),
-    ("Barcode 021-55-6540 was printed twice", {}),
-    ("code 212 555 0101", {}),
-    ("invoice no. 12 345 678 901", {}),
-    ("invoice 1234 5678 9012", {}),
-    ("order no. AB1234567", {}),
-    ("ticket AB1234567 is open", {}),
-    ("The numbers were 123456789 and 1234 5678 9012 at the end", {}),
-    ("we counted 123 45 6789 and 12 345 678 901 in all", {}),
-    ("Reference AB123456 stays.", {}),
-    ("ID QQ123456A", {}),
-    ("social security number 911-01-1838 on the form", {"911-01-1838": "id_number"}),
-    ("SSN 911 02 1838.", {"911 02 1838": "id_number"}),
-    ("the passport ZX1234567 on the", {"ZX1234567": "id_number"}),
-    ("passport no. X1234567", {"X1234567": "id_number"}),
-    ("NI number QQ 11 22 33 A", {"QQ 11 22 33 A": "id_number"}),
-    ("NI number QQ112233B", {"QQ112233B": "id_number"}),
-    ("citizen number 0123 4567 8901 again", {"0123 4567 8901": "id_number"}),
-    ("Steuer-ID 00 123 456 789", {"00 123 456 789": "id_number"}),
-    ("tax number 12 345 678 901", {"12 345 678 901": "id_number"}),
-    ("moved to 12 Elder Street, Suite 4, Oldtown", {"12 Elder Street": "street_address"}),
-    ("goes to 7b N Elder Road.", {"7b N Elder Road": "street_address"}),
-    ("11, rue des Tilleuls, Oldtown", {"11, rue des Tilleuls": "street_address"}),
-    ("Lange Ulmenallee 5a, 12345 Oldtown", {"Lange Ulmenallee 5a": "street_address"}),
-    ("It took 3 days to close the drawer", {}),
-    ("There are 41 spare items close to the door", {}),
-    ("we paid 12 for the drive and left", {}),
-    ("3 people on the road to success", {}),
-    ("Der Umzug 4 Wege weiter", {}),
-    ("an einem weg 3 und", {}),
-]
-#: agreement of spans with an equal surface, of similar surfaces, and of neighbours; in nats
-SKIP_EQUAL, SKIP_SIMILAR, CHAIN = 4.0, 0.8, 0.3
-#: the least unary potential of a number without a label before it
-UNLABELLED = -1.5
-_UNTOLD = frozenset({"left:none", "left:reach"})
-#: messages go on until none moves by more than ``_STILL``, halved steps from round ``_DAMPED`` on, ``_ROUNDS`` at most
-_STILL, _DAMPED, _ROUNDS = 1e-3, 20, 500
+# ---------------------------------------------------------------- tokens
+
+LABELS = ("O", *[f"{p}-{k}" for k in KINDS for p in "BI"])
+_NL = len(LABELS)
+_B = {k: LABELS.index(f"B-{k}") for k in KINDS}
+_TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\s\w]|_")
+#: words that tell what stands after or around them, by what they tell
+_TELL: dict[str, str] = {
+    w: c
+    for c, ws in {
+        "ID": "ssn ni passport reisepass passeport pasaporte passaporte nino insurance security citizen steuer steuernummer tax tin cpf nif dni nie ausweis identity identification",
+        "PHONE": "t m f tel telefon telefono telefone telephone phone mobile mob cell fax call ring handy mobil portable movil hotline office reach erreichen joindre fale llame contact",
+        "THING": "article item order part serial invoice batch ref reference case ticket lot row door room build version barcode code slot page seite isbn ean account iban claim total sum counted",
+        "NO": "no nr num number numbers nummer numero id",
+        "STREET": "street st road rd lane ln avenue ave boulevard blvd close crescent court ct square sq drive dr way place pl terrace parkway pkwy highway hwy gardens grove mews walk",
+        "RUE": "rue chemin allee quai impasse route cours calle avenida rua plaza praca paseo travessa alameda via viale piazza corso largo strasse str weg gasse platz",
+        "UNIT": "suite apt unit floor flat etage",
+        "SMALL": "a an and are as at be by for from had has have he her his i if in is it of on or our she so than that the their there they this to us was we who will with you your am im der die das den und zu unter le la les et est de des du el los las y es en o os e da do em por pelo",
+        "TIME": "uhr hours days minutes weeks people units boxes kisten montag mai",
+    }.items()
+    for w in ws.split()
+}
+_MEMORY = {"ID": 1, "PHONE": 2, "THING": 3}
+_MARKS = ".,:;-/()+@#<>[]'|_*&"
+_CLASSES = ("PAD", *sorted(set(_TELL.values())), "WORD", "CAP", "LETTER", *[f"D{k}" for k in range(1, 9)], "STRASSE", *_MARKS, "MARK")
+_CLASS = {c: i for i, c in enumerate(_CLASSES)}
+_SUFFIX = re.compile(r"(?:strasse|str|weg|pfad|allee|gasse|platz|teich|ufer|ring|damm|hof|markt|steig|graben|stieg|tor|winkel|chaussee)$")
+_WINDOW = 2
+
+
+class _Kinds(dict):
+    """Class of a token, kept (bounded)."""
+
+    def __missing__(self, t: str) -> int:
+        if t[0].isdigit():
+            c = f"D{min(len(t), 8)}"
+        elif t[0].isalpha():
+            c = _TELL.get(t) or ("LETTER" if len(t) == 1 else "STRASSE" if len(t) > 5 and _SUFFIX.search(t) else "WORD")
+        else:
+            c = t if t in _MARKS else "MARK"
+        if len(self) > 200_000:
+            self.clear()
+        got = self[t] = _CLASS[c]
+        return got
+
+
+_KIND = _Kinds()
+_WORD_ID, _CAP_ID = _CLASS["WORD"], _CLASS["CAP"]
+_MEMORY_OF = {_CLASS[c]: m for c, m in _MEMORY.items()}
+
+
+class Read:
+    """Lines of texts as arrays of tokens. A padding token parts the lines."""
+
+    def __init__(self, features: dict[str, int] | None) -> None:
+        self.features = features  # None: every feature met gets a number
+        self.known: dict[str, int] = {} if features is None else features
+        self.combos: dict[tuple, int] = {(): 0}
+        self.cls, self.combo, self.place, self.memory = [], [], [], []
+        self.at: list[tuple[int, int]] = []  # begin and end of each token in the folded text
+        self.lines: list[tuple[int, int, int]] = []  # text, first token, end
+        self.heads: list[tuple[int, tuple, int, bool]] = []  # text, surface, token, whether a label is before it
+        self.gold: list[int] = []
+
+    def add(self, k: int, text: str, low: str, at: list[int] | None, spans: list[Span], gold: list[tuple[int, int, str]] | None = None) -> None:
+        i = 0
+        while i < len(spans):
+            start = low.rfind("\n", 0, spans[i].a) + 1
+            j = i
+            end = low.find("\n", spans[i].a)
+            end = len(low) if end < 0 else end
+            while j < len(spans) and spans[j].a < end:
+                end = max(end, spans[j].b)
+                j += 1
+            self._line(k, text, low, at, start, end, spans[i:j], gold)
+            i = j
+
+    def _line(self, k: int, text: str, low: str, at: list[int] | None, start: int, end: int, spans: list[Span], gold: list[tuple[int, int, str]] | None) -> None:
+        first = len(self.cls)
+        memory, s = 0, 0
+        for m in _TOKEN.finditer(low, start, end):
+            a, b = m.span()
+            c = _KIND[m.group(0)]
+            while s < len(spans) and spans[s].b <= a:
+                s += 1
+            combo = place = 0
+            if s < len(spans) and spans[s].a <= a:
+                span = spans[s]
+                combo = self.combos.setdefault(tuple(span.feats), len(self.combos))
+                place = 1 if a == span.a else 2
+                if b == span.b:
+                    place += 2  # the last token
+                if a == span.a and span.labels[0] == "phone":
+                    self.heads.append((k, ("=", span.key), len(self.cls), memory != 0))
+            elif c in _MEMORY_OF:
+                memory = _MEMORY_OF[c]
+            if c == _WORD_ID and text[a if at is None else at[a]].isupper():
+                c = _CAP_ID
+            self.cls.append(c)
+            self.combo.append(combo)
+            self.place.append(place)
+            self.memory.append(memory)
+            self.at.append((a, b))
+            if gold is not None:
+                g = next(((x, y, kind) for x, y, kind in gold if x <= a < y), None)
+                self.gold.append(0 if g is None else _B[g[2]] + (a != g[0]))
+        self.lines.append((k, first, len(self.cls)))
+        for _ in range(_WINDOW):
+            self.cls.append(0)
+            self.combo.append(0)
+            self.place.append(0)
+            self.memory.append(0)
+            self.at.append((0, 0))
+            if gold is not None:
+                self.gold.append(0)
+
+    def rows(self) -> list[list[int]]:
+        """Numbers of the features of each combination."""
+        out = []
+        for feats in self.combos:
+            for f in feats:
+                if self.features is None:
+                    self.known.setdefault(f, len(self.known))
+            out.append([self.known[f] for f in feats if f in self.known])
+        return out
 
 
-@lru_cache(maxsize=1)
-def weights() -> dict[tuple[str, str], float]:
-    """Unary weights by (feature, label): ridge logistic regression, fitted on the labelled lines."""
-    names = Names(_PEOPLE)
-    rows: list[tuple[list[str], str, int]] = []
-    for text, gold in _TRAIN:
-        low, at = fold(text)
-        for s in candidates(text, low, at, names):
-            real = gold.get(_cut(text, at, s.a, s.b))
-            rows += [(s.feats, label, int(real == label)) for label in s.labels]
-    index = {k: i for i, k in enumerate(sorted({(f, lb) for fs, lb, _ in rows for f in fs}))}
-    x = np.zeros((len(rows), len(index)))
-    y = np.array([r[2] for r in rows], float)
-    for i, (fs, lb, _) in enumerate(rows):
-        for f in fs:
-            x[i, index[f, lb]] = 1
-    w = np.zeros(len(index))
-    for _ in range(40):  # Newton steps
-        p = 1 / (1 + np.exp(-x @ w))
-        h = x.T @ (x * (p * (1 - p))[:, None]) + 0.15 * np.eye(len(w))
-        w -= np.linalg.solve(h, x.T @ (p - y) + 0.15 * w)
-    return {k: float(w[i]) for k, i in index.items()}
-
-
-def _message(pre: list[float], size: int, same: bool, c: float) -> list[float]:
-    """What a variable with the potentials ``pre`` says to a neighbour with ``size`` states, relative to nothing."""
-    top = max(pre)
-    e = [math.exp(p - top) for p in pre]
-    whole, some, gain = sum(e), sum(e[1:]), math.exp(c) - 1
-    # agreement: both nothing, both something, and for equal kinds the same label
-    res = [math.log(whole + gain * (e[b] if same else some if b else e[0])) for b in range(size)]
-    return [r - res[0] for r in res]
-
-
-def decide(spans: list[Span]) -> list[str | None]:
-    """The label of each span, or None: loopy sum-product over chain and skip edges.
-
-    Two equal spans share an edge; three or more share a variable of their surface. Places of one
-    surface after one kind of label say one thing together: their messages to the surface are
-    averaged, and places without a label speak only where no place has one. So a label in one place
-    is not outvoted by repeats, however many.
+class Weights:
+    """``window[offset, class]``, ``inside[feature, place]``, ``told[feature, memory]``, ``memory``, ``step[label, label]``, ``skip``."""
+
+    def __init__(self, features: dict[str, int]) -> None:
+        n = len(features)
+        self.features = features
+        self.window = np.zeros((2 * _WINDOW + 1, len(_CLASSES), _NL))
+        self.inside = np.zeros((n, 5, _NL))
+        self.told = np.zeros((n, 4, _NL))
+        self.memory = np.zeros((4, _NL))
+        self.step = np.zeros((_NL + 1, _NL))  # the last row begins a line
+        self.skip = 0.0
+
+    def arrays(self) -> list[np.ndarray]:
+        return [self.window, self.inside, self.told, self.memory, self.step]
+
+    def tables(self, rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        """Summed weights of each combination of features, by place and by memory."""
+        a, b = np.zeros((len(rows), 5, _NL)), np.zeros((len(rows), 4, _NL))
+        for i, r in enumerate(rows):
+            if r:
+                a[i], b[i] = self.inside[r].sum(0), self.told[r].sum(0)
+        return a, b
+
+    def unary(self, read: Read) -> np.ndarray:
+        cls = np.array(read.cls, np.int64)
+        e = self.memory[np.array(read.memory, np.int64)].copy()
+        pad = np.concatenate([np.zeros(_WINDOW, np.int64), cls, np.zeros(_WINDOW, np.int64)])
+        for o in range(2 * _WINDOW + 1):
+            e += self.window[o][pad[o : o + len(cls)]]
+        a, b = self.tables(read.rows())
+        combo, place = np.array(read.combo, np.int64), np.array(read.place, np.int64)
+        hit = np.flatnonzero(combo)
+        e[hit] += a[combo[hit], place[hit]]
+        heads = hit[(place[hit] == 1) | (place[hit] == 3)]
+        e[heads] += b[combo[heads], np.array(read.memory, np.int64)[heads]]
+        # a name is one of the directory: only what the index proposes
+        named = np.array([bool(feats) and feats[0] == "name" for feats in read.combos])
+        e[~named[combo], _B["person_name"] : _B["person_name"] + 2] = _NEVER
+        return e
+
+
+#: what may follow what: inside a kind only after its begin or inside
+_ALLOWED = np.array([[not (t.startswith("I-") and f[2:] != t[2:]) for t in LABELS] for f in (*LABELS, "start")])
+_NEVER = -1e3
+
+
+def _blocks(lines: list[tuple[int, int]], most: int = 60_000) -> Iterator[np.ndarray]:
+    """Token numbers of lines of about one length, padded with -1, in blocks of bounded size."""
+    order = sorted(lines, key=lambda x: x[1] - x[0])
+    i = 0
+    while i < len(order):
+        n = order[i][1] - order[i][0]
+        j = i
+        while j < len(order) and order[j][1] - order[j][0] <= n + 2 + n // 8 and (j - i + 1) * (order[j][1] - order[j][0]) <= most or j == i:
+            j += 1
+        width = max(b - a for a, b in order[i:j])
+        idx = np.full((j - i, width), -1, np.int64)
+        for r, (a, b) in enumerate(order[i:j]):
+            idx[r, : b - a] = np.arange(a, b)
+        yield idx
+        i = j
+
+
+def _forward_backward(e: np.ndarray, idx: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log partition of each line, token marginals, and summed marginals of the steps (the last row: line beginnings)."""
+    rows, width = idx.shape
+    live = idx >= 0
+    p = np.where(live[:, :, None], e[np.maximum(idx, 0)], 0.0)
+    top = p.max(2, keepdims=True)
+    p = np.exp(p - top)
+    t = np.exp(np.where(_ALLOWED, step, _NEVER))
+    trans, start = t[:-1], t[-1]
+    alpha, scale = np.empty((rows, width, _NL)), np.ones((rows, width))
+    x = p[:, 0] * start
+    for k in range(width):
+        if k:
+            x = np.where(live[:, k, None], (alpha[:, k - 1] @ trans) * p[:, k], alpha[:, k - 1])
+        scale[:, k] = x.sum(1)
+        alpha[:, k] = x / scale[:, k, None]
+    logz = np.log(scale).sum(1) + np.where(live, top[:, :, 0], 0.0).sum(1)
+    beta = np.ones((rows, _NL))
+    marg = np.empty((rows, width, _NL))
+    steps = np.zeros((_NL + 1, _NL))
+    for k in range(width - 1, -1, -1):
+        m = alpha[:, k] * beta
+        marg[:, k] = m / m.sum(1, keepdims=True)
+        if k:
+            q = p[:, k] * beta / scale[:, k, None]
+            q = np.where(live[:, k, None], q, 0.0)
+            steps[:-1] += trans * (alpha[:, k - 1].T @ q)
+            beta = np.where(live[:, k, None], q @ trans.T, beta)
+    steps[-1] = marg[:, 0].sum(0)
+    return logz, marg, steps
+
+
+def _viterbi(e: np.ndarray, idx: np.ndarray, step: np.ndarray) -> np.ndarray:
+    rows, width = idx.shape
+    live = idx >= 0
+    s = np.where(_ALLOWED, step, _NEVER)
+    x = e[np.maximum(idx[:, 0], 0)] + s[-1]
+    back = np.zeros((rows, width, _NL), np.int8)
+    stay = np.arange(_NL, dtype=np.int8)
+    for k in range(1, width):
+        y = x[:, :, None] + s[None, :-1]
+        arg = y.argmax(1).astype(np.int8)
+        new = np.take_along_axis(y, arg[:, None, :].astype(np.int64), 1)[:, 0] + e[np.maximum(idx[:, k], 0)]
+        x = np.where(live[:, k, None], new, x)
+        back[:, k] = np.where(live[:, k, None], arg, stay)
+    out = np.zeros((rows, width), np.int8)
+    best = x.argmax(1)
+    for k in range(width - 1, -1, -1):
+        out[:, k] = best
+        best = back[np.arange(rows), k, best]
+    return out
+
+
+#: messages go on until none moves by more than ``_STILL``, halved steps, ``_ROUNDS`` at most; similar surfaces are tied by this part of the weight
+_STILL, _ROUNDS, _SIMILAR = 1e-3, 60, 0.25
+
+
+def _groups(heads: list[tuple[int, tuple, int, bool]]) -> list[tuple[float, list[int]]]:
+    """Places of equal and of similar surfaces of one text, as numbers of heads."""
+    by: dict[tuple, list[int]] = defaultdict(list)
+    like: dict[tuple, list[int]] = defaultdict(list)
+    for n, (k, key, _, _) in enumerate(heads):
+        by[k, key].append(n)
+    for (k, key), ns in by.items():
+        like[k, key[1][:5], len(key[1])].append(ns[0])
+    return [(1.0, ns) for ns in by.values() if len(ns) > 1] + [(_SIMILAR, ns) for ns in like.values() if len(ns) > 1]
+
+
+def _skip_messages(e: np.ndarray, read: Read, w: Weights) -> np.ndarray:
+    """Unary potentials with what the other places of each surface say: loopy sum-product between chains.
+
+    The places of a surface speak through one variable. Those after a label say one thing together:
+    their messages are averaged, and places without a label speak only where no place has one. So a label
+    in one place is not outvoted by repeats, however many.
     """
-    w = weights()
-    unary = [[0.0, *[sum(w.get((f, lb), 0.0) for f in s.feats) for lb in s.labels]] for s in spans]
-    for u, s in zip(unary, spans, strict=True):
-        if _UNTOLD.intersection(s.feats):  # a missing label says little against a number
-            u[1:] = [max(x, UNLABELLED) for x in u[1:]]
-    n = len(spans)
-    labels = [s.labels for s in spans]
-    edges: list[tuple[int, int, float]] = []
-    part: dict[int, str | None] = {}  # the label by which a span speaks to the variable of its surface; None if it only listens
-    if n > 1:
-        by: dict[tuple, list[int]] = defaultdict(list)
-        like: dict[tuple, list[int]] = defaultdict(list)
-        for i, s in enumerate(spans):
-            by[s.labels, s.key].append(i)
-            if s.labels[0] == "phone":
-                like[s.key[:5], len(s.key)].append(i)
-        for (kinds, _), group in by.items():
-            if len(group) == 2:
-                edges.append((*group, SKIP_EQUAL))
-            elif len(group) > 2:
-                labels.append(kinds)
-                unary.append([0.0] * (len(kinds) + 1))
-                told = {i: next((f for f in spans[i].feats if f.startswith("left:") and f not in _UNTOLD), None) for i in group}
-                for i in group:
-                    part[i] = told[i] if any(told.values()) else ""
-                    # over two such edges the agreement is that of one skip edge
-                    edges.append((i, len(labels) - 1, SKIP_EQUAL + math.log(2)))
-        for group in like.values():
-            edges += [(i, j, SKIP_SIMILAR) for i, j in zip(group, group[1:]) if spans[i].key != spans[j].key]
-        edges += [(i, i + 1, CHAIN) for i in range(n - 1) if spans[i + 1].a - spans[i].b < 80]
-    belief = unary
-    # message 2e goes from i to j, 2e + 1 from j to i
-    ends = [p for i, j, _ in edges for p in ((i, j), (j, i))]
-    msg = [[0.0] * len(unary[to]) for _, to in ends]
-    alike = [labels[i] == labels[j] for i, j, _ in edges]
-    for k in range(_ROUNDS if edges else 0):
-        new, moved = [], 0.0
-        means = _means(ends, msg, n, part)
-        for m, (src, to) in enumerate(ends):
-            back = msg[m ^ 1]
-            if src < n:
-                pre = [p - q for p, q in zip(belief[src], back, strict=True)]
-            elif part[to] is None:
-                pre = belief[src]
-            else:
-                size, total = means[src, part[to]]
-                rest = [(t - q) / (size - 1) if size > 1 else 0.0 for t, q in zip(total, back, strict=True)]
-                pre = [p - t / size + r for p, t, r in zip(belief[src], total, rest, strict=True)]
-            got = _message(pre, len(unary[to]), alike[m // 2], edges[m // 2][2])
-            if k >= _DAMPED:
-                got = [(p + q) / 2 for p, q in zip(got, msg[m], strict=True)]
-            moved = max(moved, *[abs(p - q) for p, q in zip(got, msg[m], strict=True)])
-            new.append(got)
-        msg = new
-        belief = [list(u) for u in unary]
-        for (_, to), x in zip(ends, msg, strict=True):
-            if to < n:
-                belief[to] = [p + q for p, q in zip(belief[to], x, strict=True)]
-        for (to, _), (size, total) in _means(ends, msg, n, part).items():
-            belief[to] = [p + t / size for p, t in zip(belief[to], total, strict=True)]
+    groups = _groups(read.heads) if w.skip else []
+    if not groups:
+        return e
+    spans = sorted({n for _, ns in groups for n in ns})
+    token = np.array([read.heads[n][2] for n in spans])
+    at = {n: i for i, n in enumerate(spans)}
+    starts = np.array([a for _, a, _ in read.lines])
+    mine = sorted({int(np.searchsorted(starts, t, "right") - 1) for t in token})
+    blocks = list(_blocks([read.lines[x][1:] for x in mine]))
+    base = e
+    e = e.copy()
+    heads = np.array([_B["phone"], _B["id_number"]])
+    message = np.zeros((len(spans), _NL))
+    marg = np.zeros_like(e)
+    for _ in range(_ROUNDS):
+        for idx in blocks:
+            _, m, _ = _forward_backward(e, idx, w.step)
+            live = idx >= 0
+            marg[idx[live]] = m[live]
+        own = np.log(np.maximum(marg[token][:, heads], 1e-12))
+        rest = np.log(np.maximum(1 - marg[token][:, heads].sum(1), 1e-12))
+        # cavity: what a place thinks without what it was told
+        own = own - message[:, heads]
+        rest = rest - message[:, 0]
+        top = np.maximum(own.max(1), rest)
+        p = np.exp(np.column_stack([rest, own]) - top[:, None])
+        p /= p.sum(1, keepdims=True)
+        new = np.zeros_like(message)
+        for part, ns in groups:
+            ii = np.array([at[n] for n in ns])
+            told = np.array([read.heads[n][3] for n in ns])
+            speak = told if told.any() else np.ones(len(ns), bool)
+            total, count = p[ii[speak]].sum(0), int(speak.sum())
+            gain = np.exp(w.skip * part) - 1
+            for i, s in zip(ii, speak):
+                n = count - int(s)
+                if n:
+                    q = np.log1p(gain * (total - p[i] * s) / n)
+                    new[i] += q[0]
+                    new[i, heads] += q[1:] - q[0]
+        moved = np.abs(new - message).max()
+        message = (new + message) / 2
+        e[token] = base[token] + message
         if moved < _STILL:
             break
-    out: list[str | None] = []
-    for s, b in zip(spans, belief, strict=False):  # without the variables of surfaces
-        k = max(range(len(b)), key=b.__getitem__)
-        out.append(s.labels[k - 1] if k else None)
+    return e
+
+
+def label(read: Read, w: Weights) -> list[tuple[int, int, int, str]]:
+    """``(text, begin, end, kind)`` in the folded texts, by the best labelling of every line."""
+    if not read.lines:
+        return []
+    e = _skip_messages(w.unary(read), read, w)
+    best = np.zeros(len(read.cls), np.int8)
+    for idx in _blocks([x[1:] for x in read.lines]):
+        live = idx >= 0
+        best[idx[live]] = _viterbi(e, idx, w.step)[live]
+    out = []
+    for k, a, b in read.lines:
+        got = best[a:b]
+        i = 0
+        hits = np.flatnonzero(got)
+        while i < len(hits):
+            x = int(hits[i])
+            j = i + 1
+            while j < len(hits) and hits[j] == hits[j - 1] + 1 and got[hits[j]] == got[x] + 1:
+                j += 1
+            out.append((k, read.at[a + x][0], read.at[a + int(hits[j - 1])][1], LABELS[got[x]][2:]))
+            i = j
     return out
 
 
-def _means(ends: list[tuple[int, int]], msg: list[list[float]], n: int, part: dict[int, str | None]) -> dict[tuple[int, str], tuple[int, list[float]]]:
-    """Number and sum of the messages to the variable of a surface, by the label before the place."""
-    got: dict[tuple[int, str], tuple[int, list[float]]] = {}
-    for (src, to), x in zip(ends, msg, strict=True):
-        if to >= n and part[src] is not None:
-            size, total = got.get((to, part[src]), (0, [0.0] * len(x)))
-            got[to, part[src]] = (size + 1, [p + q for p, q in zip(total, x, strict=True)])
-    return got
+# ---------------------------------------------------------------- fitting
+
+
+def _gold(parts: list) -> tuple[str, list[tuple[int, int, str]]]:
+    text, gold = "", []
+    for p in parts:
+        if isinstance(p, tuple):
+            gold.append((len(text), len(text) + len(p[1]), p[0]))
+            p = p[1]
+        text += p
+    return text, gold
+
+
+def _sampled(texts: list[tuple[str, list[tuple[int, int, str]]]], features: dict[str, int] | None) -> Read:
+    names = Names(frozenset(e for p in PEOPLE for e in name_entries(*p)))
+    read = Read(features)
+    for k, (text, gold) in enumerate(texts):
+        low, at = fold(text)
+        if at is not None:  # a folded text of another length: its places are found again
+            back = {x: i for i, x in reversed(list(enumerate(at)))}
+            gold = [(back[a], back.get(b, len(low)), kind) for a, b, kind in gold]
+        read.add(k, text, low, at, candidates(text, low, at, names), gold)
+    return read
+
+
+@lru_cache(maxsize=1)
+def weights(n: int = SAMPLES) -> Weights:
+    """Weights of the largest conditional likelihood (ridge), and the best weight of the skip edges."""
+    read = _sampled([_gold(p) for p in samples(n)], None)
+    rows = read.rows()
+    w = Weights(read.known)
+    gold = np.array(read.gold)
+    cls, memory, combo, place = (np.array(x, np.int64) for x in (read.cls, read.memory, read.combo, read.place))
+    pad = np.concatenate([np.zeros(_WINDOW, np.int64), cls, np.zeros(_WINDOW, np.int64)])
+    blocks = list(_blocks([x[1:] for x in read.lines]))
+    hot = np.eye(_NL)[gold]
+    before = np.full(len(gold), _NL)
+    seen = np.zeros(len(gold), bool)
+    for _, a, b in read.lines:
+        before[a + 1 : b] = gold[a : b - 1]
+        seen[a:b] = True
+    wanted = np.zeros((_NL + 1, _NL))
+    np.add.at(wanted, (before[seen], gold[seen]), 1)
+    pairs = [(i, f) for i, r in enumerate(rows) for f in r]
+    pi, pf = (np.array(x) for x in zip(*pairs))
+    head = np.flatnonzero((place == 1) | (place == 3))
+    state = [[np.zeros_like(x), np.zeros_like(x)] for x in w.arrays()]
+    for it in range(1, 151):
+        e = w.unary(read)
+        marg, steps = np.zeros_like(e), np.zeros((_NL + 1, _NL))
+        for idx in blocks:
+            _, m, st = _forward_backward(e, idx, w.step)
+            live = idx >= 0
+            marg[idx[live]] = m[live]
+            steps += st
+        d = np.where(seen[:, None], hot - marg, 0.0)
+        grads = [np.zeros_like(x) for x in w.arrays()]
+        for o in range(2 * _WINDOW + 1):
+            np.add.at(grads[0][o], pad[o : o + len(cls)], d)
+        by_place, by_memory = np.zeros((len(rows), 5, _NL)), np.zeros((len(rows), 4, _NL))
+        np.add.at(by_place, (combo, place), np.where((combo > 0)[:, None], d, 0.0))
+        np.add.at(by_memory, (combo[head], memory[head]), d[head])
+        np.add.at(grads[1], pf, by_place[pi])
+        np.add.at(grads[2], pf, by_memory[pi])
+        np.add.at(grads[3], memory, d)
+        grads[4] = np.where(_ALLOWED, wanted - steps, 0.0)
+        rate = 0.15 * (1 - it / 200)
+        for x, g, st in zip(w.arrays(), grads, state):
+            g = g - 0.1 * x
+            st[0] = 0.9 * st[0] + 0.1 * g
+            st[1] = 0.99 * st[1] + 0.01 * g * g
+            x += rate * (st[0] / (1 - 0.9**it)) / (np.sqrt(st[1] / (1 - 0.99**it)) + 1e-6)
+    # the weight of the skip edges: repeats of a labelled number are likeliest
+    texts = []
+    for lines in repeated(200):
+        text, gold_ = "", []
+        for parts in lines:
+            t, g = _gold(parts)
+            gold_ += [(a + len(text), b + len(text), k) for a, b, k in g]
+            text += t + "\n"
+        texts.append((text, gold_))
+    again = _sampled(texts, w.features)
+    truth = np.array(again.gold)
+    unary = w.unary(again)
+    best = (-np.inf, 0.0)
+    token = [t for _, _, t, _ in again.heads]
+    for skip in (0.0, 1.0, 2.0, 3.0, 4.0, 6.0, 8.0):
+        w.skip = skip
+        e = _skip_messages(unary, again, w)
+        marg = np.zeros_like(e)
+        for idx in _blocks([x[1:] for x in again.lines]):
+            live = idx >= 0
+            marg[idx[live]] = _forward_backward(e, idx, w.step)[1][live]
+        fit = float(np.log(np.maximum(marg[token, truth[token]], 1e-9)).sum())
+        best = max(best, (fit, skip))
+    w.skip = best[1]
+    return w
+
+
+# ---------------------------------------------------------------- use
+
+
+def find_all(texts: list[str | None], names: Names, w: Weights) -> list[list[tuple[str, int, int]]]:
+    """For each text ``(kind, begin, end)`` in order of place."""
+    read = Read(w.features)
+    forms: dict[int, tuple[str, list[int] | None]] = {}
+    for k, text in enumerate(texts):
+        if not text:
+            continue
+        low, at = fold(text)
+        spans = candidates(text, low, at, names)
+        if spans:
+            forms[k] = low, at
+            read.add(k, text, low, at, spans)
+    out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
+    for k, a, b, kind in label(read, w):
+        _, at = forms[k]
+        begin = a if at is None else at[a]
+        out[k].append((kind, begin, begin + len(_cut(texts[k], at, a, b))))
+    return out
 
 
 def find(text: str, names: Names) -> list[tuple[str, int, int]]:
     """``(kind, begin, end)`` in ``text``, in order of place."""
-    low, at = fold(text)
-    spans = candidates(text, low, at, names)
-    if not spans:
-        return []
-    out = []
-    for s, kind in zip(spans, decide(spans), strict=True):
-        if kind:
-            real = _cut(text, at, s.a, s.b)
-            begin = s.a if at is None else at[s.a]
-            out.append((kind, begin, begin + len(real)))
-    return out
+    return find_all([text], names, weights())[0]
 
 
-def redact(text: str, names: Names) -> str:
-    """``text`` with typed placeholders, the rest unchanged."""
+def _replaced(text: str, found: list[tuple[str, int, int]]) -> str:
     parts, last = [], 0
-    for kind, a, b in find(text, names):
+    for kind, a, b in found:
         parts += [text[last:a], f"[{kind.upper()}]"]
         last = b
     return "".join(parts) + text[last:]
 
 
+def redact(text: str, names: Names) -> str:
+    """``text`` with typed placeholders, the rest unchanged."""
+    return _replaced(text, find(text, names))
+
+
 # ---------------------------------------------------------------- operators
 
+_SLICE = 512
+
 
-def _people(directory: DataFrame) -> list[list[tuple[str | None, str | None]]]:
-    """The directory in blocks of bounded size."""
-    rows = directory.select("given_name", "family_name").where("given_name is not null and family_name is not null").distinct()
-    n = rows.count()
-    if n <= DIRECTORY_BLOCK:
-        return [[(r[0], r[1]) for r in rows.collect()]]
-    blocks = -(-n // DIRECTORY_BLOCK)
-    cut = rows.withColumn("__b", F.pmod(F.xxhash64("family_name"), F.lit(blocks)))
-    return [[(r[0], r[1]) for r in cut.where(F.col("__b") == b).collect()] for b in range(blocks)]
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for lo in range(0, b.num_rows, _SLICE):
+            yield b.slice(lo, _SLICE)
 
 
 def personal_spans(df: DataFrame, directory: DataFrame, key: str = "row_idx", text: str = "cleaned_body") -> DataFrame:
     """``(key, kind, surface)``, each different surface of a row once."""
-    out: DataFrame | None = None
-    rows = df.where(F.col(text).isNotNull() & (F.length(text) > 0)).select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    for people in _people(directory):
+    share_look_alikes(df.sparkSession)
+    people, w = field(directory, name_entries), weights()
 
-        def run(batches: Iterator[pa.RecordBatch], people: list = people) -> Iterator[pa.RecordBatch]:
-            names = Names(people)
-            for b in batches:
-                got: list[tuple[int, str, str]] = []
-                for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                    got += {(i, kind, t[x:y]): None for kind, x, y in find(t, names)}
-                cols = list(zip(*got, strict=True)) if got else [(), (), ()]
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.string())], names=["key", "kind", "surface"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = Names(people)
+        for b in _slices(batches):
+            texts = b.column(1).to_pylist()
+            got = {(i, kind, t[x:y]): None for i, t, found in zip(b.column(0).to_pylist(), texts, find_all(texts, names, w), strict=True) for kind, x, y in found}
+            cols = list(zip(*got, strict=True)) if got else [(), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.string())], names=["key", "kind", "surface"])
 
-        part = rows.mapInArrow(run, "key long, kind string, surface string")
-        out = part if out is None else out.union(part).distinct()
-    assert out is not None
-    return out.withColumnRenamed("key", key)
+    rows = df.where(F.col(text).isNotNull() & (F.length(text) > 0)).select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+    return rows.mapInArrow(run, "key long, kind string, surface string").withColumnRenamed("key", key)
 
 
 def redacted(df: DataFrame, directory: DataFrame, key: str = "row_idx", text: str = "cleaned_body", out: str = "redacted_body") -> DataFrame:
-    """``(key, out)`` for every row; a null text stays null. For directories of up to ``DIRECTORY_BLOCK`` people."""
-    blocks = _people(directory)
-    if len(blocks) > 1:
-        raise ValueError("redact in blocks: call redacted once for each block of the directory")
+    """``(key, out)`` for every row; a null text stays null."""
+    share_look_alikes(df.sparkSession)
+    people, w = field(directory, name_entries), weights()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = Names(blocks[0])
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([t and redact(t, names) for t in b.column(1).to_pylist()], pa.string())], names=["key", "t"])
+        names = Names(people)
+        for b in _slices(batches):
+            texts = b.column(1).to_pylist()
+            done = [t and _replaced(t, found) for t, found in zip(texts, find_all(texts, names, w), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(done, pa.string())], names=["key", "t"])
 
     rows = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     return rows.mapInArrow(run, "key long, t string").select(F.col("key").alias(key), F.col("t").alias(out))
