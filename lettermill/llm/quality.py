@@ -14,13 +14,15 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Container, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lettermill.llm.names import field
 from lettermill.llm.text import share_look_alikes, skeleton
 
 STATS = (
@@ -141,7 +143,24 @@ def _period(lines: list[str]) -> tuple[int, float]:
     return p + 1, float(marked[p + 1] / pairs[p])
 
 
-def statistics(text: str | None, common: dict[str, frozenset[str]], lang: str | None = None) -> dict[str, float]:
+class CommonWords(dict):
+    """Word to the languages in which it is common; kept (bounded)."""
+
+    def __init__(self, langs: Iterable[str], entries: Container[str]) -> None:
+        self.langs, self.entries = tuple(langs), entries
+
+    def __missing__(self, w: str) -> tuple[str, ...]:
+        if len(self) > 200_000:
+            self.clear()
+        got = self[w] = tuple(x for x in self.langs if f"{x}:{w}" in self.entries)
+        return got
+
+
+def word_entries(lang: str | None, word: str | None) -> Iterable[str]:
+    return (f"{lang}:{word.lower()}",) if lang is not None and word is not None else ()
+
+
+def statistics(text: str | None, common: CommonWords) -> dict[str, float]:
     s: dict[str, float] = dict.fromkeys(STATS, 0.0)
     if text is None:
         return s
@@ -166,7 +185,7 @@ def statistics(text: str | None, common: dict[str, frozenset[str]], lang: str |
     s["upper_ratio"] = sum(map(str.isupper, text)) / letters if letters else 0.0
     if nw:
         # a wrong or missing lang must not hurt: the best of the languages counts
-        s["common_share"] = max((sum(w in c for w in low) / nw for c in common.values()), default=0.0)
+        s["common_share"] = max(Counter(chain.from_iterable(map(common.__getitem__, low))).values(), default=0) / nw
         counts = Counter(low)
         s["top_word_share"] = counts.most_common(1)[0][1] / nw
         s["repeat_share"] = 1 - len(counts) / nw
@@ -228,19 +247,14 @@ def kind(s: dict[str, float]) -> str:
 def text_statistics(df: DataFrame, common_words: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(key, <statistics>, kind)`` for every row.
 
-    ``common_words`` is a word list by language of a bounded size (checked: at most 100,000 words).
+    ``common_words`` is a word list by language, of any size (``llm/names.py``).
     """
     share_look_alikes(df.sparkSession)
-    bound = 100_000
-    rows = common_words.where("lang is not null and word is not null").limit(bound + 1).collect()
-    if len(rows) > bound:
-        raise ValueError(f"common_words has over {bound} rows; it is meant to be a short list of function words")
-    by: dict[str, set[str]] = {}
-    for r in rows:
-        by.setdefault(r["lang"], set()).add(r["word"].lower())
-    common = {k: frozenset(v) for k, v in by.items()}
+    langs = [r[0] for r in common_words.where("lang is not null").select("lang").distinct().collect()]  # a handful of names
+    entries = field(common_words, word_entries, "lang", "word")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common = CommonWords(langs, entries)
         for b in batches:
             got = [statistics(t, common) for t in b.column(1).to_pylist()]
             cols = [pa.array([int(s[k]) for s in got], pa.int64()) if k in COUNTS else pa.array([round(float(s[k]), 6) for s in got], pa.float64()) for k in STATS]

@@ -413,7 +413,7 @@ def test_quotas_of_shards_are_met(spark):
 
 # ---------------------------------------------------------------- 10
 
-COMMON = {"en": frozenset("the of and to is in".split())}
+COMMON = quality.CommonWords(["en"], frozenset(f"en:{w}" for w in "the of and to is in".split()))
 
 
 @pytest.mark.parametrize(
