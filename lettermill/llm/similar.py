@@ -23,7 +23,10 @@ How it is laid out:
   (about one pair in a million).
 
 At similarity 0.7, the threshold, a pair has no agreeing segment with
-probability 0.004, at 0.75 with 0.0003, and below 1e-5 from 0.8 on.
+probability 0.0008, at 0.75 with 0.00005, and below 1e-6 from 0.8 on; the sketch
+drops another 0.00001 at 0.7. There is no exact way beside it: a segment of the
+word sets themselves that is exact at 0.7 holds five words or so, and about 1 %
+of random pairs would become candidates.
 
 Defined results: null and blank texts and texts with fewer than ``least`` words
 are in no pair; null ids are left out; an empty table gives no pair.
@@ -41,7 +44,7 @@ from pyspark.sql import functions as F
 
 from lettermill.session import Scratch
 
-SEGMENTS, WIDTH, SKETCH, SLACK = 10, 6, 192, 3.7
+SEGMENTS, WIDTH, SKETCH, SLACK = 13, 6, 192, 4.3
 #: runs of word characters that are wholly a-z, three letters or more
 WORDS = re.compile(r"(?<!\w)[a-z]{3,}(?!\w)", re.ASCII)
 _WIDE = re.compile(r"(?<!\w)[a-z]{3,}(?!\w)")
@@ -163,14 +166,25 @@ def _pairs_of_runs(start: np.ndarray, length: np.ndarray) -> Iterator[tuple[np.n
             yield np.full(len(j), s + i), j
 
 
-def _match(rows: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Candidates among the rows of some halves: variants of the other half are made here."""
+#: pairs a task holds before it hands them on
+_HELD = 500_000
+
+
+def _match(rows: list[np.ndarray], threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Candidates among the rows of some halves, in parts of bounded size: variants of the other half are made here."""
     half, rest, cls, n = rows[:4]
     sketch = np.stack([c.view(np.uint64) for c in rows[4:]], axis=1)
     p = (1 + threshold) / 2
     agree = SKETCH * p - SLACK * (SKETCH * p * (1 - p)) ** 0.5
     found: list[np.ndarray] = []
+    held = 0
     key = _fold(half[:, None].view(np.uint64))
+
+    def out() -> tuple[np.ndarray, np.ndarray]:
+        u = np.unique(np.concatenate(found), axis=0)
+        found.clear()
+        return u[:, 0], u[:, 1]
+
     for wild in range(WIDTH // 2):
         mask = np.int64(~(0x1FFFFF << (21 * wild)))
         v = (key ^ (rest & mask).view(np.uint64) * np.uint64(0xA24BAED4963EE407)) * np.uint64(0x9FB21C651E98DF25)
@@ -190,19 +204,21 @@ def _match(rows: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.nda
             ok = a != b
             if ok.any():
                 found.append(np.stack([np.minimum(a[ok], b[ok]), np.maximum(a[ok], b[ok])], axis=1))
-    if not found:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    u = np.unique(np.concatenate(found), axis=0)
-    return u[:, 0], u[:, 1]
+                held += int(ok.sum())
+                if held >= _HELD:
+                    yield out()
+                    held = 0
+    if found:
+        yield out()
 
 
 def _candidates(threshold: float):  # noqa: ANN202
     """Reads rows sorted by half; holds the rows of whole halves, about 64k at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(rows: list[np.ndarray]) -> pa.RecordBatch:
-            a, b = _match(rows, threshold)
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+        def out(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            for a, b in _match(rows, threshold):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
         held: list[list[np.ndarray]] = []
         count = 0
@@ -216,10 +232,10 @@ def _candidates(threshold: float):  # noqa: ANN202
             last = rows[0][-1]
             done = int(np.searchsorted(rows[0], last, "left"))  # the last half may go on
             if done:
-                yield out([c[:done] for c in rows])
+                yield from out([c[:done] for c in rows])
             held, count = [[c[done:] for c in rows]], len(rows[0]) - done
         if count:
-            yield out([np.concatenate(c) for c in zip(*held, strict=True)])
+            yield from out([np.concatenate(c) for c in zip(*held, strict=True)])
 
     return run
 
@@ -229,7 +245,7 @@ def similar_classes(df: DataFrame, key: str, text: str, threshold: float = 0.7,
     scratch = Scratch(df.sparkSession, "similar")
     texts = df.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).cast("string").alias("id"), F.col(text).alias("t"))
     rows = scratch.cut(texts.mapInArrow(_sets(least), "id string, cls long, words array<int>"))
-    members = rows.select("id", "cls").distinct()
+    members = scratch.cut(rows.select("id", "cls").distinct())
     sets = scratch.cut(rows.groupBy("cls").agg(F.first("words").alias("words")))
     scratch_sketch = ", ".join(f"s{k} long" for k in range(SKETCH // 64))
     index = sets.mapInArrow(_index, f"half long, rest long, cls long, n int, {scratch_sketch}")
@@ -238,15 +254,14 @@ def similar_classes(df: DataFrame, key: str, text: str, threshold: float = 0.7,
     right = sets.select(F.col("cls").alias("b"), F.col("words").alias("wb"))
     both = near.join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("wa", "wb"))
-    links = both.where(common >= F.lit(threshold) * (F.size("wa") + F.size("wb") - common) - 1e-9).select("a", "b")
+    links = scratch.cut(both.where(common >= F.lit(threshold) * (F.size("wa") + F.size("wb") - common) - 1e-9).select("a", "b"))
+    scratch.keep_only(members, links)
     return members, links
 
 
 def similar_pairs(df: DataFrame, key: str, text: str, threshold: float = 0.7, least: int = 20) -> DataFrame:
     """``(eid_a, eid_b)``, the smaller first: records of one class and of two similar classes."""
     members, links = similar_classes(df, key, text, threshold, least)
-    scratch = Scratch(df.sparkSession, "similar-pairs")
-    members, links = scratch.cut(members), scratch.cut(links)
     a, b = members.select(F.col("cls").alias("a"), F.col("id").alias("x")), members.select(F.col("cls").alias("b"), F.col("id").alias("y"))
     across = links.join(a, "a").join(b, "b").where("x <> y")
     shared = members.groupBy("cls").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("cls")
