@@ -2,18 +2,18 @@
 
 Method: low-diameter decomposition. At each level every vertex draws a start
 shift from an exponential law (by hash of vertex, level and seed, so a retried
-task draws the same); clusters grow from the vertices over a bounded number of
-rounds, each vertex joining the cluster that reaches it first; clusters
-contract to super-vertices, and the level repeats on the distinct edges between
-clusters. The assignments of all levels are composed. Growing stops after
-``rounds`` rounds at each level; a cluster is connected whenever it stops, so
-the result does not depend on it.
+task draws the same); clusters grow from the vertices, each vertex joining the
+cluster that reaches it first, until no vertex changes (a cluster's radius is
+at most the largest shift, about ``ln(n) / beta``); clusters contract to
+super-vertices, and the level repeats on the distinct edges between clusters.
+The assignments of all levels are composed.
 
 A vertex that hears an earlier start takes that start's centre, so every
 super-vertex with an edge either absorbs a neighbour or is absorbed with
 constant probability, and the edges shrink geometrically from level to level.
-Hot vertices cost nothing special: messages are reduced by a map-side combined
-``min_by``; no group is collected.
+Messages to a hot vertex are reduced map-side before the exchange; its edges meet
+its state in a join whose skewed partitions the engine splits at run time; no
+group is collected.
 """
 
 from __future__ import annotations
@@ -30,19 +30,24 @@ def _shift(v: Column, level: int, seed: int, beta: float) -> Column:
     return -F.log(u) / F.lit(beta)
 
 
-def _level(edges: DataFrame, level: int, seed: int, beta: float, rounds: int, scratch: Scratch) -> DataFrame:
+def _level(edges: DataFrame, level: int, seed: int, beta: float, scratch: Scratch) -> DataFrame:
     """``(v, c)``: vertex and the centre of its cluster; ``edges`` hold both directions."""
     # the first round needs no join: each end of an edge knows the other's shift
-    own = -_shift(F.col("v"), level, seed, beta)
+    own = F.struct((-_shift(F.col("v"), level, seed, beta)).alias("t"), F.col("v").alias("c"))
     state = edges.groupBy("v").agg(F.min(F.struct((1 - _shift(F.col("w"), level, seed, beta)).alias("t"), F.col("w").alias("c"))).alias("n"))
-    state = state.select("v", F.least(F.struct(own.alias("t"), F.col("v").alias("c")), F.col("n")).alias("s"))
-    for _ in range(rounds - 1):
-        told = edges.join(state.withColumnRenamed("v", "w"), "w").groupBy("v").agg(F.min(F.struct((F.col("s.t") + 1).alias("t"), F.col("s.c").alias("c"))).alias("n"))
-        state = state.join(told, "v").select("v", F.least("s", "n").alias("s"))
-    return scratch.cut(state.select("v", F.col("s.c").alias("c")))
+    state = scratch.cut(state.select("v", F.least(own, F.col("n")).alias("s"), (F.col("n") < own).alias("moved")))
+    while True:
+        # only vertices that moved have news
+        news = state.where("moved").select(F.col("v").alias("w"), "s")
+        told = edges.join(news, "w").groupBy("v").agg(F.min(F.struct((F.col("s.t") + 1).alias("t"), F.col("s.c").alias("c"))).alias("n"))
+        new = scratch.cut(state.join(told, "v", "left").select("v", F.least("s", "n").alias("s"), F.coalesce(F.col("n") < F.col("s"), F.lit(False)).alias("moved")))
+        scratch.drop(state)
+        state = new
+        if state.where("moved").isEmpty():
+            return state.select("v", F.col("s.c").alias("c"))
 
 
-def components(edges: DataFrame, seed: int = 7, beta: float = 0.4, rounds: int = 2, name: str = "groups") -> DataFrame:
+def components(edges: DataFrame, seed: int = 7, beta: float = 0.4, name: str = "groups") -> DataFrame:
     """``(v, group)`` for every vertex of ``edges (v, w)`` (long ids, any direction, repeats and loops allowed).
 
     ``group`` is the id of one vertex of the component. Vertices with loops only are left out.
@@ -54,21 +59,16 @@ def components(edges: DataFrame, seed: int = 7, beta: float = 0.4, rounds: int =
     found: DataFrame | None = None
     level = 0
     while not e.isEmpty():
-        at = _level(e, level, seed, beta, rounds, scratch)
+        at = _level(e, level, seed, beta, scratch)
         if found is None:
-            found = at.select("v", F.col("c").alias("group"))
+            found = scratch.cut(at.select("v", F.col("c").alias("group")))
         else:
-            old = found
-            found = scratch.cut(old.join(at.select(F.col("v").alias("group"), "c"), "group", "left").select("v", F.coalesce("c", "group").alias("group")))
-            scratch.drop(old)
+            found = scratch.cut(found.join(at.select(F.col("v").alias("group"), "c"), "group", "left").select("v", F.coalesce("c", "group").alias("group")))
         new = e.join(at, "v").select("w", F.col("c").alias("cv")).join(at.select(F.col("v").alias("w"), F.col("c").alias("cw")), "w")
-        new = scratch.cut(new.where("cv <> cw").select(F.col("cv").alias("v"), F.col("cw").alias("w")).distinct())
-        scratch.drop(e)
-        e = new
+        e = scratch.cut(new.where("cv <> cw").select(F.col("cv").alias("v"), F.col("cw").alias("w")).distinct())
+        scratch.keep_only(found, e)
         level += 1
-    if found is None:
-        return e.select("v", F.col("w").alias("group"))
-    return found
+    return e.select("v", F.col("w").alias("group")) if found is None else found
 
 
 def mail_groups(mails: DataFrame, pairs: DataFrame, low: float = 0.35, high: float = 0.99, forced: str = "message_id") -> DataFrame:
@@ -95,4 +95,6 @@ def mail_groups(mails: DataFrame, pairs: DataFrame, low: float = 0.35, high: flo
     got = components(stars.union(links))
     named = known.select("v", "e").distinct().join(got, "v")
     least = named.groupBy("group").agg(F.min("e").alias("g"))
-    return named.join(least, "group").select(F.col("e").alias("eid"), F.col("g").alias("group_eid"))
+    out = scratch.cut(named.join(least, "group").select(F.col("e").alias("eid"), F.col("g").alias("group_eid")))
+    scratch.keep_only(out)
+    return out
