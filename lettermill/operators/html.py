@@ -40,6 +40,8 @@ class _Renderer(HTMLParser):
         self.links: list[str] = []
         self.depth = 0
         self.lists: list[int | None] = []
+        self.pre = 0
+        self.cells: list[list[int]] = []  # of each open table: rows done, cells of the row
 
     def _gone(self, tag: str, attrs: dict[str, str | None]) -> bool:
         return tag in _SKIP or (self.quotes and tag == "blockquote") or bool(self.drop & set((attrs.get("class") or "").split()))
@@ -88,9 +90,13 @@ class _Renderer(HTMLParser):
                 self.out.append(f"{indent}- ")
         elif tag == "tr":
             self._break(1)
+            if self.cells:
+                self.cells[-1][1] = 0
         elif tag in ("td", "th"):
             if self.out and not self.out[-1].endswith("\n"):
                 self.out.append("| ")
+            if self.cells:
+                self.cells[-1][1] += 1
         elif tag == "blockquote":
             self._break(2)
             self.depth += 1
@@ -98,6 +104,10 @@ class _Renderer(HTMLParser):
             self._break(1)
         elif tag in _BLOCK:
             self._break(2)
+            if tag == "pre":
+                self.pre += 1
+            elif tag == "table":
+                self.cells.append([0, 0])
             if re.fullmatch(r"h[1-6]", tag):
                 self.out.append("#" * int(tag[1]) + " ")
 
@@ -123,14 +133,29 @@ class _Renderer(HTMLParser):
         elif tag == "blockquote":
             self.depth = max(0, self.depth - 1)
             self._break(2)
-        elif tag in ("div", "tr", "li"):
+        elif tag == "tr":
+            self._break(1)
+            if self.cells:
+                rows, cells = self.cells[-1]
+                if rows == 0 and cells > 1:  # the first row is the heading
+                    self.out.append("|".join(["---"] * cells))
+                    self._break(1)
+                self.cells[-1][0] += 1
+        elif tag in ("div", "li"):
             self._break(1)
         elif tag in _BLOCK:
+            if tag == "pre":
+                self.pre = max(0, self.pre - 1)
+            elif tag == "table" and self.cells:
+                self.cells.pop()
             self._break(2)
 
     def handle_data(self, data: str) -> None:
         if self.dead:
             return
+        if self.pre:
+            self.out.append(data.replace("\r\n", "\n"))
+            return
         text = re.sub(r"[ \t\r\n]+", " ", data)
         if not self.out or self.out[-1].endswith("\n"):
             text = text.lstrip(" ")

@@ -19,11 +19,6 @@ def anchored(*alternatives: str) -> str:
     return "^(?:" + "|".join(alternatives) + ")"
 
 
-def word(*alternatives: str) -> str:
-    """Whole words, anywhere."""
-    return LB + "(?:" + "|".join(alternatives) + ")" + RB
-
-
 def ci(pattern: str) -> str:
     """Case does not count; in Java."""
     return "(?iud)" + pattern
@@ -71,57 +66,102 @@ DISCLAIMER_TRIGGERS = LB + "(?:" + "|".join(
         rf"notify{S}+the{S}+(?:sender|author){S}+immediately",
     )
 ) + ")"
-# fixed values: words that keep a disclaimer going
-DISCLAIMER_VOCABULARY = word(
+
+def entries(*lines: str) -> str:
+    """The entries as alternatives, in their order; a blank in an entry stands for one or more blanks, ``_*`` for any number."""
+    return "|".join(x.replace("_*", f"{S}*").replace(" ", f"{S}+") for x in lines)
+
+
+# fixed values: words that keep a disclaimer going (whole words); only blanks and word boundaries are written
+# for both engines
+DISCLAIMER_VOCABULARY = LB + "(?:" + entries(
     "confidential|privileged|proprietary|classified",
-    rf"unauthorized|unintended|intended{S}+recipient",
-    "prohibited|illegal|unlawful",
-    rf"please{S}+(?:delete|destroy|notify|disregard)",
-    rf"(?:notify|contact){S}+the{S}+sender",
-    rf"all{S}+copies|this{S}+(?:message|email|communication|transmission)",
-    rf"(?:disclosure|dissemination|distribution|copying){S}+(?:is|are|of{S}+this)",
-    rf"virus|malware|scanned|security{S}+software",
-    rf"legal|legally{S}+binding|attorney|solicitor|counsel|jurisdiction",
-    rf"tax{S}+advice|regulated{S}+(?:activity|firm)|financial{S}+conduct|authority",
-)
-_THANKS = rf"(?:thanks?|thank{S}+you)"
+    "unauthorized|unintended|intended recipient",
+    "prohibited|strictly prohibited|illegal|unlawful",
+    "please (?:delete|destroy|notify|disregard)",
+    "notify the sender|contact the sender",
+    "all copies|this (?:message|email|communication|transmission)",
+    "(?:disclosure|dissemination|distribution|copying) (?:is|are|of this)",
+    "virus|malware|scanned|security software",
+    "legal|legally binding|attorney|solicitor|counsel|jurisdiction",
+    "tax advice|regulated (?:activity|firm)|financial conduct|authority",
+) + ")" + RB
 # fixed values: closing formulas (the whole stripped line)
-SALUTATIONS = (
-    rf"^{S}*(?:"
-    + "|".join(
-        (
-            rf"best{S}*(?:regards?|wishes?)?|(?:kind|warm){S}+regards?|regards?|sincerely|cheers",
-            rf"{_THANKS}{S}+(?:again|a{S}+lot|so{S}+much|a{S}+bunch|a{S}+ton|very{S}+much|in{S}+advance|for{S}+everything)",
-            rf"many{S}+thanks(?:{S}+again)?|{_THANKS}|yours?{S}+(?:truly|faithfully|sincerely)?",
-            rf"(?:speak|talk|chat|catch{S}+up){S}+soon|looking{S}+forward(?:{S}+to{S}+(?:hearing|connecting|speaking|chatting))?",
-            rf"have{S}+a{S}+(?:great|good|wonderful|nice){S}+(?:day|week|weekend)|all{S}+the{S}+best|with{S}+(?:regards?|appreciation|gratitude)",
-            rf"cordially|respectfully|faithfully|{_THANKS}{S}+and{S}+(?:best{S}+)?(?:regards?|wishes?)|with{S}+thanks{S}+and{S}+(?:best{S}+)?(?:regards?|wishes?)",
-            rf"thank{S}+you{S}+for{S}+(?:your{S}+)?(?:time|support|understanding|help|patience)",
-        )
-    )
-    + rf"){S}*[,.!]?{S}*$"
-)
-INLINE_SIGNATURE = rf"^{S}*(?:best|regards?|{_THANKS}|cheers|sincerely|warm{S}+regards?){S}*[,.]{S}*\*{{0,2}}[a-z]"
+SALUTATIONS = f"^{S}*(?:" + entries(
+    "best_*(?:regards?|wishes?)?",
+    "kind regards?",
+    "warm regards?",
+    "regards?",
+    "sincerely",
+    "cheers",
+    "(?:thanks?|thank you) (?:again|a lot|so much|a bunch|a ton|very much|in advance|for everything)",
+    "many thanks(?: again)?",
+    "thanks?",
+    "thank you",
+    "yours? (?:truly|faithfully|sincerely)?",
+    "speak soon",
+    "talk soon",
+    "chat soon",
+    "catch up soon",
+    "looking forward(?: to (?:hearing|connecting|speaking|chatting))?",
+    "have a (?:great|good|wonderful|nice) (?:day|week|weekend)",
+    "all the best",
+    "with (?:regards?|appreciation|gratitude)",
+    "cordially",
+    "respectfully",
+    "faithfully",
+    "(?:thanks?|thank you) and (?:best )?(?:regards?|wishes?)",
+    "with thanks and (?:best )?(?:regards?|wishes?)",
+    "thank you for (?:your )?(?:time|support|understanding|help|patience)",
+) + rf"){S}*[,.!]?{S}*$"
+# fixed values: a closing formula that goes on in its line
+INLINE_SIGNATURE = f"^{S}*(?:" + entries(
+    "best",
+    "regards?",
+    "thanks?",
+    "thank you",
+    "cheers",
+    "sincerely",
+    "warm regards?",
+) + rf"){S}*[,.]{S}*\*{{0,2}}[a-z]"
 # fixed values: footers of mail programs (the whole line)
-FOOTERS = (
-    rf"^{S}*(?:sent{S}+from{S}+(?:my{S}+)?(?:iphone|ipad|android|samsung|blackberry|galaxy|pixel|huawei|oneplus|xiaomi|motorola|nokia)"
-    rf"|get{S}+(?:outlook|gmail){S}+for{S}+(?:ios|android)|sent{S}+from{S}+(?:outlook|yahoo{S}+mail|mail){S}+for{S}+(?:windows|mac|ios|android)"
-    rf"|sent{S}+from{S}+(?:protonmail|zoho{S}+mail|aol{S}+mail|thunderbird)|sent{S}+via{S}+(?:yahoo|zoho|aol)|\[cid:{A}*\]){S}*$"
-)
+FOOTERS = f"^{S}*(?:" + entries(
+    "sent from (?:my )?(?:iphone|ipad|android|samsung|blackberry|galaxy|pixel|huawei|oneplus|xiaomi|motorola|nokia)",
+    "get (?:outlook|gmail) for (?:ios|android)",
+    "sent from (?:outlook|yahoo mail|mail) for (?:windows|mac|ios|android)",
+    "sent from (?:protonmail|zoho mail|aol mail|thunderbird)",
+    "sent via (?:yahoo|zoho|aol)",
+    rf"\[cid:{A}*\]",
+) + f"){S}*$"
 # fixed values: contact lines; the first group minds case, the second does not
-CONTACT_CASED = (
-    rf"{LB}\d{{3}}[{WS}\-.]\d{{3}}[{WS}\-.]\d{{4}}{RB}|\+\d[\d{WS}\-().]{{6,}}|\*\+?\d[\d{WS}\-().]{{5,}}\*"
-    rf"|{LB}[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{{2,}}{RB}|https?://{NS}+"
-)
-CONTACT = (
-    rf"{LB}www\.[a-z0-9\-]+\.[a-z]{{2,}}|linkedin\.com|twitter\.com|facebook\.com|"
-    + word(
-        "vp|svp|evp|ceo|cto|cmo|cfo|coo|cio|ciso|director|manager|president|chairman|analyst|consultant|consulting|engineer|executive|specialist|architect|coordinator",
-        rf"administrator|advisor|advisory|representative|strategist|evangelist|principal|customer{S}+success|technical{S}+lead",
-        "suite|ste|floor|blvd|ave|road|drive",
-        "inc|llc|ltd|corp|co|gmbh|plc|pvt|pte",
+CONTACT_CASED = "|".join(
+    (
+        rf"{LB}\d{{3}}[{WS}\-.]\d{{3}}[{WS}\-.]\d{{4}}{RB}",
+        rf"\+\d[\d{WS}\-().]{{6,}}",
+        rf"\*\+?\d[\d{WS}\-().]{{5,}}\*",
+        rf"{LB}[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{{2,}}{RB}",
+        rf"https?://{NS}+",
     )
 )
+CONTACT = "|".join(
+    (
+        rf"{LB}www\.[a-z0-9\-]+\.[a-z]{{2,}}",
+        r"linkedin\.com|twitter\.com|facebook\.com",
+        LB + "(?:" + entries(
+            "vp|svp|evp|ceo|cto|cmo|cfo|coo|cio|ciso",
+            "director|manager|president|chairman",
+            "analyst|consultant|consulting|engineer|executive|specialist",
+            "architect|coordinator|administrator|advisor|advisory",
+            "representative|strategist|evangelist|principal",
+            "account executive|customer success|sales engineer",
+            "solutions? (?:architect|engineer|consultant)",
+            "technical (?:lead|director|manager|advisor)",
+            "enterprise (?:architect|consultant|representative)",
+        ) + ")" + RB,
+        LB + "(?:suite|ste|floor|blvd|ave|road|drive)" + RB,
+        LB + "(?:inc|llc|ltd|corp|co|gmbh|plc|pvt|pte)" + RB,
+    )
+)
 # fixed values: header fields of quoted mails
 HEADER_FIELDS = rf"^[{WS}>]*\*{{0,2}}(?:from|sent|to|cc|bcc|subject|date|von|gesendet|an|betreff|datum|de|envoyé|à|objet|enviado|para|asunto|fecha|data)\*{{0,2}}{S}*:"
 ON_WROTE = rf"^[{WS}>]*on{S}+{A}{{5,180}}{S}+wrote{S}*:{S}*$"

@@ -98,3 +98,11 @@ def test_blanks_and_quotes(spark):
     df = spark.createDataFrame([("a\n\n\n\n\nb  \n",)], "t string")
     assert df.select(L.collapse_blanks(F.col("t"))).first()[0] == "a\n\n\nb"
     assert apply(spark, L.strip_quotes, ["> > hi\n  hi"]) == ["hi\n  hi"]
+
+
+def test_tables_and_preformatted_text():
+    from lettermill.operators.html import html_to_text
+
+    t = html_to_text("<table><tr><th>a</th><th>b</th></tr><tr><td>1</td><td>2</td></tr></table><pre>x\n  y\nz</pre>")
+    lines = [x.rstrip() for x in t.split("\n")]
+    assert lines[0].startswith("a") and "---|---" in lines and lines.index("---|---") == 1 and "  y" in lines and lines[lines.index("  y") - 1] == "x"
