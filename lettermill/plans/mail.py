@@ -35,9 +35,10 @@ def dedup_stats(spark: SparkSession, d: str) -> DataFrame:
 
 
 def point_lookup(spark: SparkSession, d: str) -> DataFrame:
-    """Clean text of the mail with the smallest id."""
-    raw = dedup.keep_first(_raw(spark, d), last=True)
-    one = raw.orderBy("eid").limit(1)
+    """Clean text of one mail by its id (here the smallest): the id is compared in the scan, before anything is cleaned."""
+    raw = _raw(spark, d)
+    wanted = raw.agg(F.min("eid")).first()[0]
+    one = dedup.keep_first(raw.where(F.col("eid") == F.lit(wanted)), last=True)
     return clean.clean_bodies(one, truncate=None).select("eid", "body_text")
 
 
@@ -129,6 +130,15 @@ def extract_timestamp(spark: SparkSession, d: str) -> DataFrame:
     return meta.with_metadata(_raw(spark, d)).select("row_idx", "date", "timestamp", "participants_str")
 
 
+def signature_parts(spark: SparkSession, d: str) -> DataFrame:
+    raw = _raw(spark, d).where("raw_body is not null").select("row_idx", F.posexplode(lines.split_lines(F.col("raw_body"))).alias("pos", "line"))
+    return raw.where(lines.is_signature_part(F.col("line"))).select("row_idx", "pos")
+
+
+def corpus_titles(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").where("source is not null").select("source", meta.corpus_title(F.col("source")).alias("title")).distinct()
+
+
 def line_classes(spark: SparkSession, d: str) -> DataFrame:
     raw = _raw(spark, d).where("raw_body is not null").select("row_idx", F.posexplode(lines.split_lines(F.col("raw_body"))).alias("pos", "line"))
     return raw.select("row_idx", "pos", lines.line_class(F.col("line")).alias("class"))
@@ -390,13 +400,19 @@ def label_confusion(spark: SparkSession, d: str) -> DataFrame:
     return bulk.confusion(lab.withColumn("predicted", (bulk.weak_category(F.col("text")) != "genuine").cast("int")), "label", "predicted")
 
 
+def label_report(spark: SparkSession, d: str) -> DataFrame:
+    """Precision, recall and F1 of the weak labels against the given ones."""
+    r = bulk.class_report(label_confusion(spark, d))
+    return r.select("class", F.round("precision", 6).alias("precision"), F.round("recall", 6).alias("recall"), F.round("f1", 6).alias("f1"), "support")
+
+
 _NAMES = (
     "dedup_keep_first dedup_keep_last dedup_stats point_lookup first_sample reply_chain_cut disclaimer_removal signature_removal signature_removal_truncate line_noise quote_strip "
     "inline_signatures blank_collapse link_cleanup html_sniff header_lines header_blocks line_classes clean_body_keep clean_body_truncate html_to_text clean_length_stats body_length_counts "
     "extract_sender extract_recipients extract_cc extract_addresses extract_subject extract_date reply_depth token_sets token_doc_freq jaccard_pairs jaccard_near_identical tfidf_weights "
     "tfidf_bulk_terms cosine_pairs message_id_links thread_components thread_duplicate_split thread_ids grouping_method thread_summary thread_top10 thread_metrics thread_flagship "
     "thread_size_stats thread_export thread_method_metrics header_block_metadata header_lines_dropped stitched_headers finished_text layers_truncate first_address field_counts extract_timestamp "
-    "bulk_fixed_scores filtered_split weak_label_rows weak_label_counts bulk_features ml_text_normalize two_gate_filter bulk_report label_confusion"
+    "bulk_fixed_scores filtered_split weak_label_rows weak_label_counts bulk_features ml_text_normalize two_gate_filter bulk_report label_confusion label_report signature_parts corpus_titles"
 )
 QUERIES = {n: globals()[n] for n in _NAMES.split()}
 

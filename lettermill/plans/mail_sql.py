@@ -338,3 +338,12 @@ SQL["bulk_fixed_scores"] = f"""WITH texts AS (SELECT row_idx, {strip(_NB)} AS cl
  dots AS (SELECT k, sum(w * (length(term) % 7 - 3)) AS dot FROM wt GROUP BY k),
  z AS (SELECT row_idx, clean_text, -0.25 + coalesce(dot, 0) + {' + '.join(f'{w} * {x}' for w, x in _SCORED)} AS z FROM texts LEFT JOIN dots ON k = row_idx)
  SELECT row_idx, round(1 / (1 + exp(-z)), 6) AS p, CASE WHEN {_category('clean_text')} <> 'genuine' OR 1 / (1 + exp(-z)) >= 0.95 THEN 1 ELSE 0 END AS is_filtered FROM z"""
+_S0 = strip("line")
+_NAME = r"^\p{Lu}[\p{L}'.\-]*(?: \p{Lu}[\p{L}'.\-]*){0,3}$"
+SQL["signature_parts"] = f"""WITH {LINES} SELECT row_idx, CAST(pos AS INT) AS pos FROM (SELECT *, {_S0} AS s FROM l) WHERE s <> '' AND ({contact('s')} OR regexp_matches(s, {q(_NAME)})
+ OR {m('s', rf'^{rx.W}{rx.A}{{0,40}}{rx.S}team$')} OR regexp_matches(s, '^[-_=*~|]{{2,}}$') OR regexp_matches(s, {q(r'^\*\*[^*]+\*\*$')}) OR regexp_matches(s, {q(r'^\p{Lu}[^|\n]*\|[^|\n]+$')}))"""
+SQL["corpus_titles"] = "SELECT DISTINCT source, array_to_string(list_transform(string_split(replace(source, '_', ' '), ' '), lambda w: upper(left(w, 1)) || lower(substr(w, 2))), ' ') AS title FROM documents WHERE source IS NOT NULL"
+SQL["label_report"] = f"""WITH c AS ({SQL['label_confusion']}), r AS (SELECT label AS class, sum(n) AS support FROM c GROUP BY 1), p AS (SELECT predicted AS class, sum(n) AS said FROM c GROUP BY 1), h AS (SELECT label AS class, n AS hit FROM c WHERE label = predicted),
+ x AS (SELECT coalesce(r.class, p.class) AS class, coalesce(support, 0) AS support, coalesce(said, 0) AS said, coalesce(hit, 0) AS hit FROM r FULL JOIN p ON r.class = p.class LEFT JOIN h ON h.class = coalesce(r.class, p.class)),
+ y AS (SELECT *, CASE WHEN said > 0 THEN hit / said ELSE 0.0 END AS pr, CASE WHEN support > 0 THEN hit / support ELSE 0.0 END AS re FROM x)
+ SELECT CAST(class AS INT) AS class, round(pr, 6) AS precision, round(re, 6) AS recall, round(CASE WHEN pr + re > 0 THEN 2 * pr * re / (pr + re) ELSE 0.0 END, 6) AS f1, CAST(support AS BIGINT) AS support FROM y"""
