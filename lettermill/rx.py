@@ -29,9 +29,6 @@ def ci2(pattern: str) -> str:
     return "(?i)" + pattern
 
 
-#: blanks at both ends
-STRIP = f"^{S}+|{S}+$"
-
 # fixed values: where a reply chain begins (start of a stripped line)
 REPLY_TRIGGERS = anchored(
     rf"on{S}+{A}{{5,120}}{S}+wrote{S}*:{S}*$",

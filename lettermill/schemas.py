@@ -2,7 +2,5 @@
 
 from __future__ import annotations
 
-EMAILS = "eid string, raw_body string, row_idx long"
 LIST_ITEM = "eid string, id string, message_id string, raw_body string, body string, html string"
-METADATA = ("from_addr", "to_addr", "cc_addr", "subject", "date", "reply_depth", "participants", "participant_count")
 EXPORT = ("eid", "thread_id", "grouping_method", "from_addr", "to_addr", "cc_addr", "subject", "date", "timestamp", "reply_depth", "participant_count", "participants_str", "cleaned_body", "body_text")

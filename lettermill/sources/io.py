@@ -66,10 +66,6 @@ def write_threads_csv(df: DataFrame, path: str) -> None:
     write_csv(df.select(*[c for c in schemas.EXPORT if c in df.columns]), path, ("body_text", "cleaned_body"))
 
 
-def write_json(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
-
-
 def write_text_dump(df: DataFrame, path: str, key: str = "email_id", text: str = "text") -> None:
     """Each text under a ruled heading with its id."""
     rule = "=" * 80

@@ -7,7 +7,7 @@ import json
 import pytest
 
 from lettermill.__main__ import main
-from lettermill.operators import dedup
+from lettermill.operators import bulk, dedup
 from lettermill.sources import io
 from lettermill.streaming import mails as stream
 
@@ -56,6 +56,17 @@ def test_stream(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).first()["body_text"] == "Hello there, all.\n\nBob"
 
 
+def test_filter_on_a_stream(spark, tmp_path):
+    rows = [(i, int(i % 2), "please unsubscribe from the weekly digest offer" if i % 2 else f"can we meet about the budget draft {i}") for i in range(40)]
+    model = bulk.train(spark.createDataFrame(rows, "row_idx long, label int, clean_text string"))
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.json").write_text("\n".join(json.dumps(x) for x in ({"eid": "a", "raw_body": "Please unsubscribe from this list of lamps."}, {"eid": "b", "raw_body": "Can we meet about the budget draft?"}, {"eid": "c"})))
+    s = stream.filter_stream(stream.mail_stream(spark, str(tmp_path / "in")), model)
+    stream.to_parquet(s, str(tmp_path / "out"), str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination(90)
+    got = {r["eid"]: r["is_filtered"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {"a": 1, "b": 0, "c": 0}
+
+
 def test_command_line(spark, tmp_path, capsys):
     f = tmp_path / "c.json"
     f.write_text(json.dumps({"a": "Hello there, all.\n\nThanks,\nBob", "b": ""}))
