@@ -49,15 +49,6 @@ class Field:
         return got
 
 
-def field_of(entries: Iterable[str]) -> Field:
-    """A field of entries at hand; ``field`` makes it from a table."""
-    bits = bytearray(BITS >> 3)
-    for e in entries:
-        for p in _places(e):
-            bits[p >> 3] |= 1 << (p & 7)
-    return Field(zlib.compress(bytes(bits), 1))
-
-
 def field(directory: DataFrame, entries: Callable[[str | None, str | None], Iterable[str]], given: str = "given_name", family: str = "family_name") -> Field:
     """The field of ``entries(given, family)`` of every row."""
 

@@ -10,10 +10,10 @@ alignment, and inherited spans are removed.
 2. A reference header without marks names the sender of the quoted mail. The
    shingles (rolling hashes of two lines on end) below it are looked up among
    those of that sender's mails; of those known there the rarest and the first
-   pick the candidates. Lines below the header and lines of a candidate, quoted history
-   of its own included, are aligned; a quote begins where its mail begins; the
-   candidate with most aligned lines is the ancestor. Aligned lines, and edited
-   ones between them, are inherited.
+   pick the candidates. Lines below the header and lines of a candidate, quoted
+   history of its own included, are aligned; a quote begins where its mail
+   begins; the candidate with most aligned lines is the ancestor. Aligned lines,
+   and edited ones between them, are inherited.
 3. Lines that a tenth of a site's mails hold (the rule of problem 4) are
    notices; others are told by two general marks of such lines (``CUES``).
 4. One pass over the flags of each mail decides: marked lines, inherited lines
@@ -21,14 +21,14 @@ alignment, and inherited spans are removed.
    or a delimiter to the first line that belongs to none.
 
 So below an unmarked header a line is history because it aligns with an
-ancestor, and a reply below or inside the quote stays. Only below a header
-whose sender has no mail in the collection (or that names no address) nothing
-can be aligned, and its span runs to the next header.
+ancestor, and a reply below or inside the quote stays. Only where no mail of the
+named sender in the collection says any of what follows (or no address is named)
+nothing can be aligned, and the span runs to the next header.
 
-Hot keys: mails of one sender with equal lines are one candidate; a shingle
-shared by many of them is taken only where it comes first or no rarer one is known; notices are
-counted map-side by line. Mails that merely resemble each other are no
-ancestors: without a reference nothing is removed.
+Hot keys: mails of one sender with equal lines are one candidate; a shingle shared
+by many of them is taken only where it comes first or no rarer one is known;
+notices are counted map-side by line. Mails that merely resemble each other are
+no ancestors: without a reference nothing is removed.
 
 Defined results: null, empty and blank texts have no lines; lines are elements
 split at ``\\n`` and numbered from 0; rows with a null id are read, but are no
@@ -43,7 +43,6 @@ from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Container, Iterable, Iterator, Sequence
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -69,7 +68,7 @@ _WROTE_ONE = re.compile(
     re.I,
 )
 #: the first half of a header that was broken before the address
-_WROTE_HALF = re.compile(r"^(?:on|am|le|el|em)\b.*\b(?:\d{4}|\d{1,2}:\d{2})\b.*[^.!?:]$", re.I)
+_WROTE_HALF = re.compile(r"^(?:on|am|le|el|em)\b.*\b(?:\d{4}|\d{1,2}:\d{2})\b", re.I)
 #: a chat-like header: name and time
 _SAID = re.compile(r"^[^\W\d_][^\n<>@:]+ \(\d{1,2}[:.]\d{2}\):$")
 _FORWARD = re.compile(r"^[-_*=\s]{2,}\s*(?:original|forwarded|ursprüngliche|weitergeleitete|message|mensaje|mensagem|nachricht|begin forwarded)\b[^.]{0,40}[-_*=\s]{2,}$|^begin forwarded message:?$", re.I)
@@ -84,7 +83,6 @@ _CLOSE = re.compile(
     r"|abraços|um abraço|obrigad[oa]|muito obrigad[oa]|atenciosamente|cumprimentos|com os melhores cumprimentos|saudações)\s*[,.!]*$",
     re.I,
 )
-_DELIM = re.compile(r"^(?:--|—|__+|-{2,}|={3,}|\*(?: ?\*)+|~{2,})$")
 _DASHNAME = re.compile(r"^[-–—]\s?[^\W\d_]+(?:[ \-][^\W\d_]+)?$")
 _DEVICE = re.compile(
     r"^(?:sent (?:from|via) .{2,40}|get (?:outlook|gmail) for .{2,20}|envoyé de(?:puis)? mon .{2,30}|von meinem .{2,30} gesendet|gesendet (?:von|mit) .{2,30}|enviado (?:desde|do|de) (?:mi|meu|minha) .{2,30}|diese nachricht wurde von meinem .{2,40})$",
@@ -208,6 +206,10 @@ def _views(lines: list[str]) -> tuple[list[str], list[int], list[int], list[bool
     return seen, marks, boxes, sig
 
 
+def _half(s: str) -> bool:
+    return s[-1:] not in ".!?:" and bool(_WROTE_HALF.match(s))
+
+
 def _header_lines(seen: list[str], marks: list[int]) -> list[bool]:
     n = len(seen)
     head = [False] * n
@@ -220,9 +222,9 @@ def _header_lines(seen: list[str], marks: list[int]) -> list[bool]:
             if s[0] == "<" or "@" in s.split(" ")[0]:
                 # the first half stands on the line before
                 k = pos[i]
-                if k and _WROTE_HALF.match(seen[filled[k - 1]]):
+                if k and _half(seen[filled[k - 1]]):
                     head[filled[k - 1]] = True
-        elif s[-1] == ":" and _WROTE_END.search(s) and pos[i] and _WROTE_HALF.match(seen[filled[pos[i] - 1]]) and "@" in s:
+        elif s[-1] == ":" and _WROTE_END.search(s) and pos[i] and _half(seen[filled[pos[i] - 1]]) and "@" in s:
             head[i] = head[filled[pos[i] - 1]] = True
         elif _FORWARD.match(s):
             head[i] = True

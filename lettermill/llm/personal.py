@@ -137,8 +137,6 @@ _SMALL = frozenset(
     "so than that the there they this to us was we were who will with you your were week weeks hours minutes pages units".split()
 )
 _OF = frozenset("der den dem del della dei delle de da do dos das la los".split())
-_GAP_BEFORE = re.compile(r"[ ]+(?:[a-z]\.? ?)?[ ]*|[ ]+(?:[a-z]\. ?)+")
-_GAP_AFTER = re.compile(r",?[ ]+(?:[a-z]\. )*")
 
 _LABELS: tuple[tuple[str, re.Pattern], ...] = tuple(
     (n, re.compile(p))

@@ -110,7 +110,6 @@ class _Prototypes(dict):
 
 PROTOTYPES = _Prototypes()
 _LINE_TAIL = re.compile(r"[ \r]+(?=\n)|[ \r\n]+\Z")
-_TAB_OR_CR = re.compile(r"[\t\r]| \n")
 
 
 def skeleton(text: str) -> str:
