@@ -396,6 +396,7 @@ class Read:
         self.lines: list[tuple[int, int, int]] = []  # text, first token, end
         self.heads: list[tuple[int, tuple, int, bool]] = []  # text, surface, token, whether a label is before it
         self.gold: list[int] = []
+        self._arrays: list[np.ndarray] | None = None
 
     def add(self, k: int, text: str, low: str, at: list[int] | None, spans: list[Span], gold: list[tuple[int, int, str]] | None = None) -> None:
         i = 0
@@ -449,6 +450,12 @@ class Read:
             if gold is not None:
                 self.gold.append(0)
 
+    def arrays(self) -> list[np.ndarray]:
+        """Class, combination, place and memory of the tokens; asked for when all lines are read."""
+        if self._arrays is None or len(self._arrays[0]) != len(self.cls):
+            self._arrays = [np.array(x, np.int64) for x in (self.cls, self.combo, self.place, self.memory)]
+        return self._arrays
+
     def rows(self) -> list[list[int]]:
         """Numbers of the features of each combination."""
         out = []
@@ -485,17 +492,16 @@ class Weights:
         return a, b
 
     def unary(self, read: Read) -> np.ndarray:
-        cls = np.array(read.cls, np.int64)
-        e = self.memory[np.array(read.memory, np.int64)].copy()
+        cls, combo, place, memory = read.arrays()
+        e = self.memory[memory].copy()
         pad = np.concatenate([np.zeros(_WINDOW, np.int64), cls, np.zeros(_WINDOW, np.int64)])
         for o in range(2 * _WINDOW + 1):
             e += self.window[o][pad[o : o + len(cls)]]
         a, b = self.tables(read.rows())
-        combo, place = np.array(read.combo, np.int64), np.array(read.place, np.int64)
         hit = np.flatnonzero(combo)
         e[hit] += a[combo[hit], place[hit]]
         heads = hit[(place[hit] == 1) | (place[hit] == 3)]
-        e[heads] += b[combo[heads], np.array(read.memory, np.int64)[heads]]
+        e[heads] += b[combo[heads], memory[heads]]
         # a name is one of the directory: only what the index proposes
         named = np.array([bool(feats) and feats[0] == "name" for feats in read.combos])
         e[~named[combo], _B["person_name"] : _B["person_name"] + 2] = _NEVER
@@ -696,6 +702,21 @@ def _sampled(texts: list[tuple[str, list[tuple[int, int, str]]]], features: dict
     return read
 
 
+def _summing(keys: np.ndarray, shape: tuple[int, ...]):  # noqa: ANN202
+    """Sums of rows by key; the keys are sorted once."""
+    order = np.argsort(keys, kind="stable")
+    begin = np.flatnonzero(np.diff(keys[order], prepend=-1))
+    at = keys[order][begin]
+
+    def run(d: np.ndarray) -> np.ndarray:
+        out = np.zeros((int(np.prod(shape)), d.shape[1]))
+        if len(order):
+            out[at] = np.add.reduceat(d[order], begin)
+        return out.reshape(*shape, d.shape[1])
+
+    return run
+
+
 @lru_cache(maxsize=1)
 def weights(n: int = SAMPLES) -> Weights:
     """Weights of the largest conditional likelihood (ridge), and the best weight of the skip edges."""
@@ -703,7 +724,7 @@ def weights(n: int = SAMPLES) -> Weights:
     rows = read.rows()
     w = Weights(read.known)
     gold = np.array(read.gold)
-    cls, memory, combo, place = (np.array(x, np.int64) for x in (read.cls, read.memory, read.combo, read.place))
+    cls, combo, place, memory = read.arrays()
     pad = np.concatenate([np.zeros(_WINDOW, np.int64), cls, np.zeros(_WINDOW, np.int64)])
     blocks = list(_blocks([x[1:] for x in read.lines]))
     hot = np.eye(_NL)[gold]
@@ -717,8 +738,11 @@ def weights(n: int = SAMPLES) -> Weights:
     pairs = [(i, f) for i, r in enumerate(rows) for f in r]
     pi, pf = (np.array(x) for x in zip(*pairs))
     head = np.flatnonzero((place == 1) | (place == 3))
+    per_class = [_summing(pad[o : o + len(cls)], (len(_CLASSES),)) for o in range(2 * _WINDOW + 1)]
+    per_place, per_told = _summing(combo * 5 + place, (len(rows), 5)), _summing(combo[head] * 4 + memory[head], (len(rows), 4))
+    per_memory, per_feature = _summing(memory, (4,)), _summing(pf, (len(read.known),))
     state = [[np.zeros_like(x), np.zeros_like(x)] for x in w.arrays()]
-    for it in range(1, 151):
+    for it in range(1, 121):
         e = w.unary(read)
         marg, steps = np.zeros_like(e), np.zeros((_NL + 1, _NL))
         for idx in blocks:
@@ -728,16 +752,14 @@ def weights(n: int = SAMPLES) -> Weights:
             steps += st
         d = np.where(seen[:, None], hot - marg, 0.0)
         grads = [np.zeros_like(x) for x in w.arrays()]
-        for o in range(2 * _WINDOW + 1):
-            np.add.at(grads[0][o], pad[o : o + len(cls)], d)
-        by_place, by_memory = np.zeros((len(rows), 5, _NL)), np.zeros((len(rows), 4, _NL))
-        np.add.at(by_place, (combo, place), np.where((combo > 0)[:, None], d, 0.0))
-        np.add.at(by_memory, (combo[head], memory[head]), d[head])
-        np.add.at(grads[1], pf, by_place[pi])
-        np.add.at(grads[2], pf, by_memory[pi])
-        np.add.at(grads[3], memory, d)
+        for o, per in enumerate(per_class):
+            grads[0][o] = per(d)
+        by_place, by_memory = per_place(d), per_told(d[head])
+        grads[1] = per_feature(by_place[pi].reshape(len(pi), -1)).reshape(-1, 5, _NL)
+        grads[2] = per_feature(by_memory[pi].reshape(len(pi), -1)).reshape(-1, 4, _NL)
+        grads[3] = per_memory(d)
         grads[4] = np.where(_ALLOWED, wanted - steps, 0.0)
-        rate = 0.15 * (1 - it / 200)
+        rate = 0.15 * (1 - it / 160)
         for x, g, st in zip(w.arrays(), grads, state):
             g = g - 0.1 * x
             st[0] = 0.9 * st[0] + 0.1 * g
