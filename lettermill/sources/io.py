@@ -1,7 +1,7 @@
 """Readers and writers of message corpora and results.
 
-Corpora come as one JSON object of id to body, as a JSON array of objects, or
-as Parquet. Results go to distributed formats; single-file forms that need one
+Corpora come as one JSON object of id to body or a JSON array of objects (small
+ones: a single document is one task), as JSON lines, or as Parquet. Results go to distributed formats; single-file forms that need one
 process (a JSON dictionary, a BOM) are written from an iterator over
 partitions, never from one collected list.
 """
@@ -32,18 +32,41 @@ def read_dict(spark: SparkSession, path: str) -> DataFrame:
     return last.select("eid", "r.raw_body", "r.row_idx")
 
 
+def _mails(objects: DataFrame) -> DataFrame:
+    """``eid, raw_body, row_idx`` of ``(pos, o)``: the first id and the first body of each object that is not empty."""
+    pick = lambda *names: F.coalesce(*[F.nullif(F.col(f"o.{n}"), F.lit("")) for n in names], F.lit(""))
+    return objects.select(pick("eid", "id", "message_id").alias("eid"), pick("raw_body", "body", "html").alias("raw_body"), F.col("pos").cast("long").alias("row_idx"))
+
+
 def read_list(spark: SparkSession, path: str) -> DataFrame:
     """Objects with an id in ``eid``, ``id`` or ``message_id`` and a body in ``raw_body``, ``body`` or ``html``; other items are skipped."""
     items = spark.read.text(path, wholetext=True).select(F.posexplode(F.from_json("value", "array<string>")).alias("pos", "item"))
-    objects = items.where(F.substring(F.ltrim("item"), 1, 1) == "{").select("pos", F.from_json("item", schemas.LIST_ITEM).alias("o"))
-    pick = lambda *names: F.coalesce(*[F.nullif(F.col(f"o.{n}"), F.lit("")) for n in names], F.lit(""))
-    return objects.select(pick("eid", "id", "message_id").alias("eid"), pick("raw_body", "body", "html").alias("raw_body"), F.col("pos").cast("long").alias("row_idx"))
+    return _mails(items.where(F.substring(F.ltrim("item"), 1, 1) == "{").select("pos", F.from_json("item", schemas.LIST_ITEM).alias("o")))
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """As ``read_list``, one object a line (a file or a folder of files): the form for large corpora, since the engine splits it.
+
+    ``row_idx`` grows with file and line, but not by ones.
+    """
+    lines = spark.read.text(path).where(F.substring(F.ltrim("value"), 1, 1) == "{")
+    return _mails(lines.select(F.monotonically_increasing_id().alias("pos"), F.from_json("value", schemas.LIST_ITEM).alias("o")))
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table with ``eid`` and ``raw_body``; ``row_idx`` is made where it is missing."""
+    df = spark.read.parquet(path)
+    return df.select("eid", "raw_body", (F.col("row_idx") if "row_idx" in df.columns else F.monotonically_increasing_id()).cast("long").alias("row_idx"))
 
 
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
-    """``eid, raw_body, row_idx`` of a dictionary or a list; anything else is a ``ValueError``, a missing file a ``FileNotFoundError``."""
+    """``eid, raw_body, row_idx`` of a dictionary, a list, lines (``.jsonl``) or a table (``.parquet``); anything else is a ``ValueError``, a missing file a ``FileNotFoundError``."""
     if "://" not in path and not Path(path).exists():
         raise FileNotFoundError(path)
+    if path.rstrip("/").endswith(".parquet"):
+        return read_table(spark, path)
+    if path.rstrip("/").endswith(".jsonl"):
+        return read_lines(spark, path)
     first = _first_char(spark, path)
     if first == "{":
         return read_dict(spark, path)

@@ -35,6 +35,15 @@ def test_other_input(spark, tmp_path):
         io.read_corpus(spark, str(tmp_path / "missing.json"))
 
 
+def test_lines_and_tables(spark, tmp_path):
+    f = tmp_path / "m.jsonl"
+    f.write_text('{"eid":"a","body":"1"}\n\n{"id":"b","raw_body":"2"}\nno object\n{"message_id":"c"}\n')
+    rows = io.read_corpus(spark, str(f)).orderBy("row_idx").collect()
+    assert [(r["eid"], r["raw_body"]) for r in rows] == [("a", "1"), ("b", "2"), ("c", "")] and len({r["row_idx"] for r in rows}) == 3
+    spark.createDataFrame([("a", "x", 5), ("b", None, 6)], "eid string, raw_body string, extra int").write.parquet(str(tmp_path / "t.parquet"))
+    assert {(r["eid"], r["raw_body"]) for r in io.read_corpus(spark, str(tmp_path / "t.parquet")).collect()} == {("a", "x"), ("b", None)}
+
+
 def test_writers(spark, tmp_path):
     df = spark.createDataFrame([("<a/b@c>", 'line "one"\nline two'), ("_a_b_c_", "collides"), ("e", "")], "eid string, body_text string")
     assert io.write_single_json(df, str(tmp_path / "o.json")) == 3 and json.loads((tmp_path / "o.json").read_text())["e"] == ""
