@@ -8,7 +8,7 @@ until the very end.
 from __future__ import annotations
 
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from lettermill.config import DEFAULT
 from lettermill.functions.stopwords import STOP_WORDS
+from lettermill.operators import blocks
 from lettermill.operators.lines import let
 from lettermill.session import Scratch
 
@@ -33,8 +34,155 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(inter / union)
 
 
-def jaccard_join(df: DataFrame, key: str, text: str, threshold: float = DEFAULT.jaccard_threshold) -> DataFrame:
-    """``(i, j, sim)``, ``i < j``, for all pairs with Jaccard similarity of at least ``threshold``.
+#: tokens that have a row of bits of their own, and rows that the others share; thresholds from ``STEEP`` on are joined by prefixes
+COMMON, SHARED, STEEP = 8_192, 4_096, 0.8
+
+
+def jaccard_join(df: DataFrame, key: str, text: str, threshold: float = DEFAULT.jaccard_threshold, below: float | None = None) -> DataFrame:
+    """``(i, j, sim)``, ``i < j``, for all pairs with Jaccard similarity of at least ``threshold`` (and under ``below``).
+
+    Rows with one set are one class. Classes are joined by prefixes at high thresholds, and in pairs of
+    blocks (``operators/blocks.py``) at low ones, where prefixes would keep most pairs; both are exact.
+    """
+    if threshold >= STEEP:
+        pairs = _prefix_join(df, key, text, threshold)
+        return pairs if below is None else pairs.where(F.col("sim") < below)
+    scratch = Scratch(df.sparkSession, "jaccard")
+    classes, common = set_classes(df, key, text, scratch)
+    across = blocks.pair_up(classes, classes.count()).mapInArrow(_near_sets(threshold, below, common), "i long, j long, sim double")
+    if below is not None and below <= 1.0:
+        return across
+    m = classes.where(F.size("ks") > 1).select("c", F.explode("ks").alias("k"))
+    same = m.select("c", F.col("k").alias("i")).join(m.select("c", F.col("k").alias("j")), "c").where("i < j").select("i", "j", F.lit(1.0).alias("sim"))
+    return across.union(same)
+
+
+def set_classes(df: DataFrame, key: str, text: str, scratch: Scratch) -> tuple[DataFrame, int]:
+    """``(c, often, seldom, ks)`` of each token set with its rows, and how many tokens have numbers.
+
+    ``often`` holds the numbers of the most frequent tokens, ``seldom`` the hashes of the others.
+    """
+    rows = df.select(F.col(key).cast("long").alias("k"), F.array_sort(F.transform(tokens(F.col(text)), lambda w: F.xxhash64(w))).alias("h")).where(F.size("h") > 0)
+    rows = scratch.cut(rows)
+    freq = rows.select(F.explode("h").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("df"))
+    known = np.array(sorted(r["w"] for r in freq.orderBy(F.desc("df"), "w").limit(COMMON).collect()), np.int64)  # of bounded length
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            h, off = blocks.lists(pa.chunked_array([b.column(2)]))
+            at = np.minimum(np.searchsorted(known, h), max(0, len(known) - 1))
+            hit = known[at] == h
+            to = lambda kept: np.concatenate(([0], np.cumsum(kept)))[off].astype(np.int32)
+            often = pa.ListArray.from_arrays(pa.array(to(hit)), pa.array(at[hit].astype(np.int16)))
+            seldom = pa.ListArray.from_arrays(pa.array(to(~hit)), pa.array(h[~hit]))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), often, seldom], names=["k", "c", "often", "seldom"])
+
+    packed = rows.select("k", F.xxhash64("h").alias("c"), "h").mapInArrow(numbered, "k long, c long, often array<short>, seldom array<long>")
+    classes = packed.groupBy("c").agg(F.first("often").alias("often"), F.first("seldom").alias("seldom"), F.array_sort(F.collect_list("k")).alias("ks"))
+    return scratch.cut(classes), len(known)
+
+
+class _Sets:
+    """Sets of one block in order of size, with the shared rows of seldom tokens behind the common ones."""
+
+    def __init__(self, t: pa.Table, common: int) -> None:
+        (o, oo), (s, so) = blocks.lists(t.column("often")), blocks.lists(t.column("seldom"))
+        size = np.diff(oo) + np.diff(so)
+        order = np.argsort(size, kind="stable")
+        self.n = size[order]
+        o, oo = blocks.reordered(o.astype(np.int64), oo, order)
+        self.seldom, self.at = blocks.reordered(s, so, order)
+        row = np.concatenate((np.repeat(np.arange(len(order)), np.diff(oo)), np.repeat(np.arange(len(order)), np.diff(self.at))))
+        tok = np.concatenate((o, self.bucket(common)))
+        self.tok, self.off = tok[np.argsort(row, kind="stable")], np.concatenate(([0], np.cumsum(self.n)))
+        if "ks" in t.column_names:
+            self.ks, self.kat = blocks.reordered(*blocks.lists(t.column("ks")), order)
+        self.order = order
+
+    def bucket(self, common: int) -> np.ndarray:
+        return common + (self.seldom & (SHARED - 1))
+
+
+def exact_counts(a: _Sets, b: _Sets, cols: blocks.Bits, common: int) -> Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]:
+    """Takes from a count what only shares a row of bits with a seldom token."""
+    ids = np.unique(b.seldom)
+    own = np.sort(np.repeat(np.arange(len(b.n)), np.diff(b.at)) * (len(ids) + 1) + np.searchsorted(ids, b.seldom))
+
+    def run(i: np.ndarray, j: np.ndarray, count: np.ndarray) -> np.ndarray:
+        size = np.diff(a.at)[i]
+        pair = np.repeat(np.arange(len(i)), size)
+        h = a.seldom[blocks.spans(a.at[:-1][i], size)]
+        hit = cols.has(common + (h & (SHARED - 1)), j[pair])
+        pair, h = pair[hit], h[hit]
+        if not len(pair):
+            return count
+        at = np.minimum(np.searchsorted(ids, h), len(ids) - 1)
+        want = j[pair] * (len(ids) + 1) + at
+        true = (ids[at] == h) & (own[np.minimum(np.searchsorted(own, want), len(own) - 1)] == want)
+        return count - np.bincount(pair[~true], minlength=len(i))
+
+    return run
+
+
+def _near_sets(threshold: float, below: float | None, common: int):  # noqa: ANN202
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for i, j, sim, a, b in near_sets(batches, threshold, below, common):
+            x, y = np.diff(a.kat)[i], np.diff(b.kat)[j]
+            if (x > 1).any() or (y > 1).any():
+                many = x * y
+                nth = blocks.spans(np.zeros(len(i), np.int64), many)
+                wide = np.repeat(y, many)
+                left, right = a.ks[np.repeat(a.kat[i], many) + nth // wide], b.ks[np.repeat(b.kat[j], many) + nth % wide]
+                sim = np.repeat(sim, many)
+            else:
+                left, right = a.ks[a.kat[i]], b.ks[b.kat[j]]
+            for at in range(0, len(left), 1 << 18):
+                p, q = left[at : at + (1 << 18)], right[at : at + (1 << 18)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q)), pa.array(sim[at : at + (1 << 18)])], names=["i", "j", "sim"])
+
+    return run
+
+
+def near_sets(batches: Iterator[pa.RecordBatch], threshold: float, below: float | None, common: int) -> Iterator[tuple]:
+    """``(i, j, sim, a, b)``: positions in the two blocks' sets of the pairs that reach the threshold, in parts of bounded size."""
+    two = blocks.halves(batches)
+    if two is None:
+        return
+    same = two[0] is two[1]
+    a = _Sets(two[0], common)
+    b = a if same else _Sets(two[1], common)
+    cols = blocks.Bits(b.tok, b.off, common + SHARED)
+    exact = exact_counts(a, b, cols, common)
+
+    def need(n: int) -> tuple[int, int, np.ndarray]:
+        lo, hi = np.searchsorted(b.n, threshold * n - 1e-9), np.searchsorted(b.n, n / threshold + 1e-9, "right")
+        return int(lo), int(hi), np.maximum(1, np.ceil(threshold / (1 + threshold) * (n + b.n[lo:hi]) - 1e-9).astype(np.int64))
+
+    held: list[tuple] = []
+
+    def out() -> tuple:
+        i, j, count = map(np.concatenate, zip(*held, strict=True))
+        held.clear()
+        count = exact(i, j, count)
+        sim = count / (a.n[i] + b.n[j] - count)
+        ok = sim >= threshold
+        if below is not None:
+            ok &= sim < below
+        return i[ok], j[ok], sim[ok], a, b
+
+    n = 0
+    for got in blocks.meeting(a.tok, a.off, a.n, cols, need, same):
+        held.append(got)
+        n += len(got[0])
+        if n >= 200_000:
+            yield out()
+            n = 0
+    if held:
+        yield out()
+
+
+def _prefix_join(df: DataFrame, key: str, text: str, threshold: float) -> DataFrame:
+    """All pairs of at least ``threshold``.
 
     Exact prefix filter: two sets that reach the threshold share one of the rarest
     ``n - ceil(t n) + 1`` tokens of each, and their sizes are within ``t``. Classes of equal sets are

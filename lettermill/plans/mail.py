@@ -207,7 +207,7 @@ def token_doc_freq(spark: SparkSession, d: str) -> DataFrame:
 
 
 def jaccard_pairs(spark: SparkSession, d: str) -> DataFrame:
-    p = similarity.jaccard_join(_mails(spark, d), "row_idx", "body_text")
+    p = similarity.jaccard_join(_mails(spark, d), "row_idx", "body_text", below=DEFAULT.near_identical)
     return similarity.edges_between(p).select("i", "j", F.round("sim", 6).alias("sim"))
 
 
