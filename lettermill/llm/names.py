@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lettermill.llm.text import share_look_alikes
+
 BITS, PROBES, CHUNK = 1 << 27, 4, 1 << 12
 _KEPT = 200_000
 
@@ -51,6 +53,7 @@ class Field:
 
 def field(directory: DataFrame, entries: Callable[[str | None, str | None], Iterable[str]], given: str = "given_name", family: str = "family_name") -> Field:
     """The field of ``entries(given, family)`` of every row."""
+    share_look_alikes(directory.sparkSession)  # entries may read visible text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -54,20 +54,25 @@ def look_alikes(spark: SparkSession) -> dict[str, str]:
 
 
 def share_look_alikes(spark: SparkSession) -> None:
-    """Gives this process and the workers the larger table, once an application; without the library the fixed one stays."""
+    """Gives this process and the workers the larger table, once an application.
+
+    Without the library letters would be compared by the short fixed table and pairs be missed, so that
+    is an error; so is a worker without the table.
+    """
     app = spark.sparkContext.applicationId
     if app in _shared:
         return
-    _shared.add(app)
     try:
-        LOOKALIKES.update({k: v for k, v in look_alikes(spark).items() if k not in LOOKALIKES})
-    except TypeError:  # no such class
-        return
+        more = look_alikes(spark)
+    except TypeError as e:  # no such class
+        raise RuntimeError("the confusables data are missing: put the ICU library (com.ibm.icu:icu4j) on Spark's class path") from e
+    LOOKALIKES.update({k: v for k, v in more.items() if k not in LOOKALIKES})
     PROTOTYPES.clear()
     path = os.path.join(tempfile.mkdtemp(prefix="lettermill-"), _FILE)
     with open(path, "w", encoding="utf-8") as f:
         json.dump(LOOKALIKES, f)
     spark.sparkContext.addFile(path)
+    _shared.add(app)
 
 
 class _Prototypes(dict):
@@ -76,13 +81,14 @@ class _Prototypes(dict):
     read = False
 
     def _read(self) -> None:
-        """In a worker: the table that the driver sent, if it sent one."""
+        """In a worker: the table that the driver sent. The driver has it already."""
+        if SparkFiles._is_running_on_worker:
+            try:
+                with open(SparkFiles.get(_FILE), encoding="utf-8") as f:
+                    LOOKALIKES.update(json.load(f))
+            except OSError as e:
+                raise RuntimeError("this worker has no table of look-alike letters: call share_look_alikes before the query") from e
         self.read = True
-        try:
-            with open(SparkFiles.get(_FILE), encoding="utf-8") as f:
-                LOOKALIKES.update(json.load(f))
-        except Exception:  # noqa: BLE001  no session here, or no file
-            pass
 
     def __missing__(self, cp: int) -> str | None:
         if not self.read:

@@ -509,3 +509,29 @@ def test_statistics_frame(spark):
     assert (r[1]["n_words"], r[1]["common_share"], r[2]["n_chars"]) == (2, 0.5, 0)
     assert quality.text_statistics(df.limit(0), words).count() == 0
     assert quality.text_statistics(df.withColumn("kind", F.lit(1)), words).count() == 2
+
+
+def test_missing_look_alikes_are_an_error(spark, monkeypatch):
+    """Before, the short table was used without a word, also by every later query of the application."""
+    from lettermill.llm import text
+
+    def gone(_):
+        raise TypeError("'JavaPackage' object is not callable")
+
+    monkeypatch.setattr(text, "_shared", set())
+    monkeypatch.setattr(text, "look_alikes", gone)
+    for _ in range(2):
+        with pytest.raises(RuntimeError, match="confusables"):
+            text.share_look_alikes(spark)
+
+
+def test_worker_without_look_alikes_is_an_error(monkeypatch):
+    from lettermill.llm import text
+
+    def missing(_):
+        raise FileNotFoundError
+
+    monkeypatch.setattr(text.SparkFiles, "_is_running_on_worker", True)
+    monkeypatch.setattr(text.SparkFiles, "get", missing)
+    with pytest.raises(RuntimeError, match="worker"):
+        text._Prototypes()[0x430]
