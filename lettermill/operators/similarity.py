@@ -8,6 +8,7 @@ until the very end.
 from __future__ import annotations
 
 
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -36,6 +37,8 @@ def jaccard(a: Column, b: Column) -> Column:
 
 #: tokens that have a row of bits of their own, and rows that the others share; thresholds from ``STEEP`` on are joined by prefixes
 COMMON, SHARED, STEEP = 8_192, 4_096, 0.8
+#: sums of squared weights that bound the number of shared terms, and rows that are bounded together
+LEVELS, TOGETHER = 9, 64
 
 
 def jaccard_join(df: DataFrame, key: str, text: str, threshold: float = DEFAULT.jaccard_threshold, below: float | None = None) -> DataFrame:
@@ -220,15 +223,21 @@ def edges_between(pairs: DataFrame, threshold: float = DEFAULT.jaccard_threshold
     return pairs.where((F.col("sim") >= threshold) & (F.col("sim") < near_identical))
 
 
-def _terms(text: Column) -> Column:
+def _kept(text: Column) -> Column:
     words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}_]{2,}"), F.lit(0))
-    kept = F.filter(words, lambda w: ~w.isin(*STOP_WORDS))
+    return F.filter(words, lambda w: ~w.isin(*STOP_WORDS))
+
 
-    def with_pairs(k: Column) -> Column:
+def _with_pairs(kept: Column) -> Column:
+    def joined(k: Column) -> Column:
         pairs = F.transform(F.sequence(F.lit(0), F.size(k) - 2), lambda i: F.concat(F.get(k, i), F.lit(" "), F.get(k, i + 1)))
         return F.when(F.size(k) > 1, F.concat(k, pairs)).otherwise(k)
 
-    return let(kept, with_pairs)
+    return let(kept, joined)
+
+
+def _terms(text: Column) -> Column:
+    return _with_pairs(_kept(text))
 
 
 def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -239,7 +248,10 @@ def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
 
 def fit_vocabulary(counts: DataFrame, n: int, vocabulary: int, max_df: float, min_df: int) -> DataFrame:
     """``(term, df, idf)`` of the ``vocabulary`` most frequent terms (ties: by term) that are in at most ``max_df`` of the ``n`` rows and in ``min_df`` rows."""
-    freq = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
+    return top_terms(counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total")), n, vocabulary, max_df, min_df)
+
+
+def top_terms(freq: DataFrame, n: int, vocabulary: int, max_df: float, min_df: int) -> DataFrame:
     top = freq.where((F.col("df") <= max_df * n) & (F.col("df") >= min_df)).orderBy(F.desc("total"), F.asc("term")).limit(vocabulary)
     return top.select("term", "df", (F.log((1.0 + n) / (1 + F.col("df"))) + 1).alias("idf"))
 
@@ -262,6 +274,141 @@ def tfidf(df: DataFrame, key: str, text: str, vocabulary: int = DEFAULT.thread_v
     return unit_weights(counts, fit_vocabulary(counts, df.select(key).count(), vocabulary, max_df, min_df), sublinear)
 
 
+def term_rows(df: DataFrame, key: str, text: str, scratch: Scratch, vocabulary: int = DEFAULT.thread_vocabulary, max_df: float = DEFAULT.max_df) -> tuple[DataFrame, np.ndarray]:
+    """``(k, t, tf)``: numbers and counts of the terms of ``tfidf``'s vocabulary, a row a text, and the terms' idf.
+
+    The weights of ``tfidf`` follow from them (``_Weighted``). Terms outside the vocabulary never leave
+    their text but as sums.
+    """
+    rows = scratch.cut(df.select(F.col(key).cast("long").alias("k"), _kept(F.col(text)).alias("words")))
+
+    def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: Counter[str] = Counter()
+        once: Counter[str] = Counter()
+
+        def out() -> pa.RecordBatch:
+            terms = list(total)
+            cols = [pa.array(terms, pa.string()), pa.array([once[t] for t in terms], pa.int64()), pa.array(list(total.values()), pa.int64())]
+            total.clear()
+            once.clear()
+            return pa.RecordBatch.from_arrays(cols, names=["term", "one", "tf"])
+
+        for b in batches:
+            for words in b.column(0).to_pylist():
+                words += [f"{x} {y}" for x, y in zip(words, words[1:])]  # noqa: B905, RUF007
+                total.update(words)
+                once.update(set(words))
+                if len(total) > 200_000:
+                    yield out()
+        yield out()
+
+    freq = rows.select("words").mapInArrow(seen, "term string, one long, tf long").groupBy("term").agg(F.sum("one").alias("df"), F.sum("tf").alias("total"))
+    n = rows.count()
+    top = top_terms(freq, n, vocabulary, max_df, 1).collect()  # of bounded length
+    number = {r["term"]: k for k, r in enumerate(top)}
+
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            size, terms, often = [0], [], []
+            for words in b.column(1).to_pylist():
+                got: dict[int, int] = {}
+                last = None
+                for w in words:
+                    for t in (w,) if last is None else (w, f"{last} {w}"):
+                        if (k := number.get(t)) is not None:
+                            got[k] = got.get(k, 0) + 1
+                    last = w
+                terms += got
+                often += got.values()
+                size.append(len(terms))
+            off = pa.array(size, pa.int32())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(off, pa.array(terms, pa.int32())), pa.ListArray.from_arrays(off, pa.array(often, pa.int32()))], names=["k", "t", "tf"])
+
+    return scratch.cut(rows.mapInArrow(counts, "k long, t array<int>, tf array<int>").where(F.size("t") > 0)), np.array([r["idf"] for r in top], np.float64)
+
+
+def cosine_texts(terms: DataFrame, idf: np.ndarray, threshold: float = DEFAULT.tfidf_threshold, below: float | None = None) -> DataFrame:
+    """``(i, j, sim)``, ``i < j``: pairs of texts with cosine of at least ``threshold`` (and under ``below``); arguments of ``term_rows``. In pairs of blocks, exact."""
+    run = _pairs_out(lambda batches: near_weights(batches, idf, threshold, below))
+    return blocks.pair_up(terms, terms.count()).mapInArrow(run, "i long, j long, sim double")
+
+
+class _Weighted:
+    """Unit rows of one block; neighbours have their weight in about as many terms."""
+
+    def __init__(self, t: pa.Table, idf: np.ndarray, threshold: float) -> None:
+        (tok, off), (tf, _) = blocks.lists(t.column("t")), blocks.lists(t.column("tf"))
+        tok = tok.astype(np.int64)
+        w = tf * idf[tok]
+        size = np.diff(off)
+        row = np.repeat(np.arange(len(size)), size)
+        w /= np.sqrt(np.bincount(row, w * w, len(size)))[row]
+        # how many of a row's largest squared weights reach a sum, for each sum of a scale from the threshold's square to 1
+        down = np.lexsort((-w, row))
+        sums = np.cumsum((w * w)[down])
+        sums -= np.concatenate(([0.0], sums))[off[:-1]][row]
+        low = max(threshold * threshold, 1e-6)
+        self.scale = low ** (1 - np.arange(LEVELS) / (LEVELS - 1))
+        reach = np.stack([np.bincount(row, sums < x - 1e-9, len(size)).astype(np.int64) + 1 for x in self.scale])
+        order = np.lexsort((reach[0], reach[-2], reach[LEVELS // 2]))
+        self.reach, self.k = reach[:, order], t.column("k").to_numpy()[order]
+        self.kind = np.arange(len(size)) // TOGETHER
+        self.tok, self.off = blocks.reordered(tok, off, order)
+        self.w, _ = blocks.reordered(w, off, order)
+
+
+def near_weights(batches: Iterator[pa.RecordBatch], idf: np.ndarray, threshold: float, below: float | None) -> Iterator[tuple]:
+    """``(i, j, sim, a, b)``: positions in the two blocks' rows of the pairs that reach the threshold.
+
+    A cosine is at most the root of the product of the squared weights that either row has in shared
+    terms (Cauchy and Schwarz). With fewer shared terms than one row needs to hold ``s`` of its squared
+    weight, and than the other needs for ``threshold ** 2 / s``, no pair reaches the threshold: this
+    bounds the number of shared terms from below, for each ``s`` of a scale, and they are counted first.
+    """
+    two = blocks.halves(batches)
+    if two is None:
+        return
+    same = two[0] is two[1]
+    a = _Weighted(two[0], idf, threshold)
+    b = a if same else _Weighted(two[1], idf, threshold)
+    cols = blocks.Bits(b.tok, b.off, len(idf))
+
+    def need(kind: int) -> tuple[int, int, np.ndarray]:
+        own = a.reach[:, kind * TOGETHER : (kind + 1) * TOGETHER].min(axis=1)
+        least = np.full(len(b.k), max(1, own[0]))
+        for x, other in zip(own[1:-1], b.reach[-2:0:-1], strict=True):
+            np.maximum(least, np.minimum(x, other), out=least)
+        return 0, len(b.k), np.maximum(least, b.reach[0])
+
+    wide = np.zeros(len(idf))
+    for i, j, _ in blocks.meeting(a.tok, a.off, a.kind, cols, need, same):
+        order = np.argsort(i, kind="stable")
+        i, j = i[order], j[order]
+        sim = np.empty(len(i))
+        cut = [0, *(np.flatnonzero(np.diff(i)) + 1), len(i)]
+        for lo, hi in zip(cut[:-1], cut[1:], strict=True):
+            own = slice(a.off[i[lo]], a.off[i[lo] + 1])
+            wide[a.tok[own]] = a.w[own]
+            size = b.off[j[lo:hi] + 1] - b.off[j[lo:hi]]
+            at = blocks.spans(b.off[j[lo:hi]], size)
+            sim[lo:hi] = np.add.reduceat(wide[b.tok[at]] * b.w[at], np.cumsum(size) - size)
+            wide[a.tok[own]] = 0
+        ok = sim >= threshold
+        if below is not None:
+            ok &= sim < below
+        if ok.any():
+            yield i[ok], j[ok], sim[ok], a, b
+
+
+def _pairs_out(near):  # noqa: ANN001, ANN202
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for i, j, sim, a, b in near(batches):
+            p, q = a.k[i], b.k[j]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q)), pa.array(sim)], names=["i", "j", "sim"])
+
+    return run
+
+
 def cosine_join(weights: DataFrame, threshold: float = DEFAULT.tfidf_threshold) -> DataFrame:
     """``(i, j, sim)``, ``i < j``: pairs of unit rows with cosine of at least ``threshold``.
 

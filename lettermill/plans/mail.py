@@ -226,7 +226,7 @@ def tfidf_bulk_terms(spark: SparkSession, d: str) -> DataFrame:
 
 
 def cosine_pairs(spark: SparkSession, d: str) -> DataFrame:
-    p = similarity.cosine_join(similarity.tfidf(_mails(spark, d), "row_idx", "body_text"))
+    p = similarity.cosine_texts(*similarity.term_rows(_mails(spark, d), "row_idx", "body_text", Scratch(spark, "cosine")))
     return p.select("i", "j", F.round("sim", 6).alias("sim"))
 
 

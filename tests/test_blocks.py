@@ -63,3 +63,31 @@ def test_no_rows_and_one_row(spark):
     for rows in ([], [(1, "one two three")], [(1, None), (2, "")]):
         df = spark.createDataFrame(rows, "k long, t string")
         assert similarity.jaccard_join(df, "k", "t", 0.35).isEmpty()
+
+
+def test_cosine_in_blocks(spark, small_blocks):
+    """As the weights of ``tfidf``, pair by pair."""
+    from lettermill.session import Scratch
+
+    df = spark.createDataFrame(texts(230, 5), "k long, t string")
+    for vocabulary in (40, 5_000):
+        rows: dict[int, dict[str, float]] = {}
+        for r in similarity.tfidf(df, "k", "t", vocabulary).collect():
+            rows.setdefault(r.k, {})[r.term] = r.w
+        sims = {(i, j): sum(w * b.get(t, 0.0) for t, w in a.items()) for i, a in rows.items() for j, b in rows.items() if i < j}
+        want = {p: s for p, s in sims.items() if s >= 0.59}
+        found = similarity.cosine_texts(*similarity.term_rows(df, "k", "t", Scratch(spark, "t"), vocabulary), 0.59)
+        got = {(r.i, r.j): r.sim for r in found.collect()}
+        assert got.keys() == want.keys() and want and all(abs(got[p] - s) < 1e-9 for p, s in want.items())
+        assert "Join" not in plan(found)
+    empty = spark.createDataFrame([(1, None), (2, "")], "k long, t string")
+    assert similarity.cosine_texts(*similarity.term_rows(empty, "k", "t", Scratch(spark, "t"))).isEmpty()
+
+
+def test_cosine_pairs_make_no_pair_in_the_engine(spark, tmp_path):
+    """The registered query: before, every candidate carried two vectors through an exchange."""
+    import __spark_entry__ as e
+
+    rows = [(k, f"m{k // 2}", t) for k, t in texts(60, 9)]
+    spark.createDataFrame(rows, "row_idx long, eid string, body_text string").write.parquet(str(tmp_path / "thread_grouper.parquet"))
+    assert "Join" not in plan(e.queries()["cosine_pairs"](spark, str(tmp_path)))
