@@ -1,9 +1,9 @@
 """Problem 4: lines repeated across one source's documents.
 
-Method: numbers, dates and names of a line are masked, and the masked lines of
-one source are clustered by locality-sensitive hashing (min-hash of the words,
-``BANDS`` bands of ``ROWS``). A bucket's most frequent masked line leads it;
-lines that share ``similarity`` of their words with a leader join its cluster.
+Method: numbers, dates and names of a line are masked, and two masked lines of
+one source are linked if they share ``similarity`` of their words (Jaccard).
+Every such link is found (an exact join by prefixes), and a cluster is all that
+links connect, directly or over others; its most frequent masked line names it.
 Clusters that occur in many documents of their source are removed
 (``repeated_clusters``). ``repeated_lines`` is the case of lines whose own text
 is that frequent: it takes the lines of such clusters and an exact document
@@ -11,9 +11,11 @@ frequency of each line follows, which no line outside them can reach.
 
 How it is laid out: one pass over the texts writes a narrow table of hashes.
 Everything that follows works on the distinct masked lines of a source, combined
-map-side; buckets whose occurrences, an upper bound of their documents, do not
-reach the limit go no further. A hot source is split by its lines; sizes of
-sources come from a two-step distinct count.
+map-side; masked lines meet at the words of their prefixes, where a task decides
+their pairs and sends on what they connect, never the pairs. Clusters whose
+occurrences, an upper bound of their documents, do not reach the limit go no
+further. A hot source is split by its lines; sizes of sources come from a
+two-step distinct count.
 
 Defined results: rows with a null source are left out; null, empty and blank
 bodies have no lines but count as documents of their source; a null id counts
@@ -33,16 +35,19 @@ from pyspark.sql import functions as F
 
 from lettermill.llm.names import Field, field
 from lettermill.llm.text import share_look_alikes, visible_line
+from lettermill.operators import blocks
+from lettermill.operators.components import connected_components
 from lettermill.session import Scratch
 
-BANDS, ROWS, SIMILARITY = 4, 2, 0.8
+SIMILARITY = 0.8
+#: words with a rank by frequency; words up to which a line travels with its prefix; pairs that a task decides at a time
+_RANKED, _WIDE, _AT_ONCE = 32_768, 64, 1_000_000
 _KEPT = 200_000
 #: hashes of masked lines have so many bits, so that a frequency fits above them
 _FORM_BITS = 56
 _DATE = re.compile(r"\b(?:\d{1,4}[./-]\d{1,2}(?:[./-]\d{1,4})?|(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?)\b")
 _NUMBER = re.compile(r"\d[\d.,:]*")
 _WORD = re.compile(r"\w+")
-_LAWS = np.array([(0x9E3779B97F4A7C15 ^ (k * 0xD6E8FEB86659FD93) | 1) & ((1 << 64) - 1) for k in range(1, BANDS * ROWS + 1)], np.uint64)
 
 
 def mask(seen: str, names: Container[str] = frozenset()) -> list[str]:
@@ -93,20 +98,14 @@ class _Prints:
         return got
 
 
-def _bands(sets: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each set, and of its min-hash symbols band by band."""
+def _whole(sets: list[list[int]]) -> np.ndarray:
+    """Hash of each set."""
     size = np.fromiter(map(len, sets), np.int64, len(sets))
     at = np.concatenate(([0], np.cumsum(size)[:-1]))
     x = np.fromiter((w for s in sets for w in s), np.uint64, int(size.sum())) * np.uint64(0x9E3779B97F4A7C15)
     x ^= x >> np.uint64(29)
-    sym = np.stack([np.minimum.reduceat((x * m) >> np.uint64(20), at) for m in _LAWS])
-    key = np.zeros((BANDS, len(sets)), np.uint64)
-    for k in range(BANDS):
-        for r in range(ROWS):
-            key[k] = (key[k] ^ sym[k * ROWS + r]) * np.uint64(0xD6E8FEB86659FD93)
-            key[k] ^= key[k] >> np.uint64(31)
     whole = np.add.reduceat(x * (x >> np.uint64(7) | np.uint64(1)), at) * np.uint64(0x9FB21C651E98DF25)
-    return (whole >> np.uint64(64 - _FORM_BITS)).view(np.int64), key.view(np.int64)
+    return (whole >> np.uint64(64 - _FORM_BITS)).view(np.int64)
 
 
 def name_words(given: str | None, family: str | None) -> Iterable[str]:
@@ -120,17 +119,17 @@ def directory_names(directory: DataFrame) -> Field:
 
 
 def line_prints(df: DataFrame, key: str, source: str, text: str, doc: str, least: int = 20, names: Container[str] = frozenset()) -> DataFrame:
-    """``(row, src, doc, line_no, line, form, b0.., words)`` for each line with at least ``least`` letters or digits.
+    """``(row, src, doc, line_no, line, form, words)`` for each line with at least ``least`` letters or digits.
 
-    ``words`` stands beside a masked form where a batch meets it first only.
+    ``words`` stands beside a masked form where a batch meets it first in a source only.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prints = _Prints(least, names)
         for b in batches:
             take, no, line, forms, place = [], [], [], [], {}
-            which = []
-            for i, t in enumerate(b.column(3).to_pylist()):
+            which, first, told = [], [], set()
+            for i, (t, src) in enumerate(zip(b.column(3).to_pylist(), b.column(1).to_pylist(), strict=True)):
                 for k, ln in enumerate(t.split("\n")):
                     # joined letters may stand for two
                     if (len(ln) >= least or not ln.isascii()) and (p := prints(ln)) is not None:
@@ -142,25 +141,20 @@ def line_prints(df: DataFrame, key: str, source: str, text: str, doc: str, least
                             at = place[id(p[1])] = len(forms)
                             forms.append(p[1])
                         which.append(at)
-            which_ = np.array(which, np.int64)
+                        first.append((src, at) not in told)
+                        told.add((src, at))
             idx = pa.array(take, pa.int64())
-            if forms:
-                whole, keys = _bands(forms)
-                first = np.zeros(len(which), bool)
-                first[np.unique(which_, return_index=True)[1]] = True
-                words = pa.array([np.array(forms[w], np.uint32).view(np.int32) if f else None for w, f in zip(which, first)], pa.list_(pa.int32()))
-                cols = [pa.array(whole[which_]), *[pa.array(k[which_]) for k in keys], words]
-            else:
-                cols = [pa.array([], pa.int64())] * (1 + BANDS) + [pa.array([], pa.list_(pa.int32()))]
+            whole = _whole(forms)[np.array(which, np.int64)] if forms else np.zeros(0, np.int64)
+            words = pa.array([np.array(forms[w], np.uint32).view(np.int32) if f else None for w, f in zip(which, first, strict=True)], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(idx), b.column(1).take(idx), b.column(2).take(idx), pa.array(no, pa.int32()), pa.array(line, pa.int64()), *cols],
-                names=["row", "src", "doc", "line_no", "line", "form", *[f"b{k}" for k in range(BANDS)], "words"],
+                [b.column(0).take(idx), b.column(1).take(idx), b.column(2).take(idx), pa.array(no, pa.int32()), pa.array(line, pa.int64()), pa.array(whole), words],
+                names=["row", "src", "doc", "line_no", "line", "form", "words"],
             )
 
     share_look_alikes(df.sparkSession)
     rows = df.where(F.col(source).isNotNull() & F.col(text).isNotNull())
     rows = rows.select(F.col(key).cast("long").alias("row"), F.xxhash64(F.col(source).cast("string")).alias("src"), F.when(F.col(doc).isNotNull(), F.xxhash64(doc)).alias("doc"), F.col(text).alias("t"))
-    return rows.mapInArrow(run, "row long, src long, doc long, line_no int, line long, form long, " + ", ".join(f"b{k} long" for k in range(BANDS)) + ", words array<int>")
+    return rows.mapInArrow(run, "row long, src long, doc long, line_no int, line long, form long, words array<int>")
 
 
 def needed(df: DataFrame, source: str, doc: str, least_docs: int, share: float) -> DataFrame:
@@ -170,32 +164,161 @@ def needed(df: DataFrame, source: str, doc: str, least_docs: int, share: float)
     return sizes.select("src", F.greatest(F.lit(float(least_docs)), F.lit(share) * F.col("docs") - 1e-9).alias("need"))
 
 
+def _prefixes(similarity: float, ranked: np.ndarray):  # noqa: ANN202
+    """``(src, t, pos, m, v, s0, s1, words)`` for each word of a set's prefix: rarest words first, as many as two sets that are similar enough must share one of.
+
+    ``m`` is the set's size, ``pos`` the word's place, ``s0, s1`` a bit for each word's hash. Sets of more
+    than ``_WIDE`` words travel without their words.
+    """
+    known = np.sort(ranked)
+    rank = np.empty(len(ranked), np.int64)
+    rank[np.searchsorted(known, ranked)] = np.arange(len(ranked), 0, -1)  # the most frequent comes first and goes last
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            words, off = blocks.lists(pa.chunked_array([b.column(2)]))
+            m = np.diff(off)
+            row = np.repeat(np.arange(len(m)), m)
+            own = words.astype(np.int64) - (1 << 32)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, words), len(known) - 1)
+                own = np.where(known[at] == words, rank[at], own)
+            bit = (words.view(np.uint32).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(57)
+            sketch = [np.bitwise_or.reduceat(np.where(bit // 64 == k, np.uint64(1) << (bit % 64), np.uint64(0)), off[:-1]).view(np.int64) for k in (np.uint64(0), np.uint64(1))] if len(m) else [np.zeros(0, np.int64)] * 2
+            order = np.lexsort((own, row))
+            pos = np.arange(len(words)) - np.repeat(off[:-1], m)
+            take = pos < (m - np.ceil(similarity * m - 1e-9).astype(np.int64) + 1)[row]
+            r = row[take]
+            idx = pa.array(r)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(1).take(idx), pa.array(words[order][take]), pa.array(pos[take].astype(np.int32)), pa.array(m[r].astype(np.int32)), b.column(0).take(idx), *[pa.array(s[r]) for s in sketch], b.column(2).take(pa.array(r, mask=m[r] > _WIDE))],
+                names=["src", "t", "pos", "m", "v", "s0", "s1", "words"],
+            )
+
+    return run
+
+
+def _whole_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows in order of ``(src, t)``, cut between these only."""
+    held, n, wait = [], 0, 20_000
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n < wait:
+            continue
+        t = pa.Table.from_batches(held)
+        src, word = t.column("src").to_numpy(), t.column("t").to_numpy()
+        last = int(np.flatnonzero((src != src[-1]) | (word != word[-1]))[-1:].sum() + 1) if src[0] != src[-1] or word[0] != word[-1] else 0
+        if last:
+            yield t.slice(0, last)
+        held = t.slice(last).to_batches()
+        n -= last
+        wait = max(20_000, 2 * n)
+    if n:
+        yield pa.Table.from_batches(held)
+
+
+def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What the links ``a, b`` connect, each node with the smallest of its component."""
+    node, at = np.unique(np.concatenate((a, b)), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    label = np.arange(len(node))
+    while True:
+        new = label.copy()
+        np.minimum.at(new, label[x], label[y])
+        np.minimum.at(new, label[y], label[x])
+        while not np.array_equal(new[new], new):
+            new = new[new]
+        new = new[label]
+        if np.array_equal(new, label):
+            break
+        label = new
+    other = label != np.arange(len(node))
+    return node[other], node[label[other]]
+
+
+def _meet(similarity: float):  # noqa: ANN202
+    """``(i, j, sure)``: what similar sets of a bucket connect; pairs of wide sets that come into question are not sure."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _whole_buckets(batches):
+            src, word, v = (t.column(c).to_numpy() for c in ("src", "t", "v"))
+            once = np.ones(len(v), bool)
+            once[1:] = (src[1:] != src[:-1]) | (word[1:] != word[:-1]) | (v[1:] != v[:-1])
+            t, src, word, v = t.filter(pa.array(once)), src[once], word[once], v[once]
+            m, pos = t.column("m").to_numpy().astype(np.int64), t.column("pos").to_numpy()
+            s0, s1 = (t.column(c).to_numpy().view(np.uint64) for c in ("s0", "s1"))  # bits are counted of absolute values
+            flat, off = blocks.lists(t.column("words"))
+            flat = flat.view(np.uint32).astype(np.uint64)
+            held = (np.repeat(np.arange(len(v), dtype=np.uint64), np.diff(off)) << np.uint64(32)) | flat  # sorted
+            bucket = np.concatenate(([0], np.cumsum((src[1:] != src[:-1]) | (word[1:] != word[:-1]))))
+            far = 2 * int(m.max()) + 2
+            to = np.searchsorted(bucket * far + m, bucket * far + np.minimum((m / similarity + 1e-9).astype(np.int64), far - 1), "right")
+            many = to - np.arange(len(v)) - 1
+            upto = np.cumsum(many)
+            lo = 0
+            while lo < len(v):
+                hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + _AT_ONCE, "right")))
+                i, j = np.repeat(np.arange(lo, hi), many[lo:hi]), blocks.spans(np.arange(lo, hi) + 1, many[lo:hi])
+                lo = hi
+                both = m[i] + m[j]
+                need = np.ceil(similarity / (1 + similarity) * both - 1e-9).astype(np.int64)
+                ok = np.minimum(m[i] - pos[i], m[j] - pos[j]) >= need
+                ok &= np.bitwise_count(s0[i] ^ s0[j]).astype(np.int64) + np.bitwise_count(s1[i] ^ s1[j]) <= both - 2 * need
+                i, j, both = i[ok], j[ok], both[ok]
+                wide = np.maximum(m[i], m[j]) > _WIDE
+                if wide.any():
+                    yield pa.RecordBatch.from_arrays([pa.array(v[i[wide]]), pa.array(v[j[wide]]), pa.array(np.zeros(int(wide.sum()), bool))], names=["i", "j", "sure"])
+                    i, j, both = i[~wide], j[~wide], both[~wide]
+                if not len(i):
+                    continue
+                want = (np.repeat(j.astype(np.uint64), m[i]) << np.uint64(32)) | flat[blocks.spans(off[i], m[i])]
+                hit = held[np.minimum(np.searchsorted(held, want), len(held) - 1)] == want
+                common = np.add.reduceat(hit.astype(np.int64), np.cumsum(m[i]) - m[i])
+                ok = common >= similarity * (both - common) - 1e-9
+                if ok.any():
+                    a, b = _stars(v[i[ok]], v[j[ok]])
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.ones(len(a), bool))], names=["i", "j", "sure"])
+
+    return run
+
+
+def _links(lines: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """``(i, j)``: links that connect what the pairs of similar masked lines of a source connect; exact.
+
+    Prefix filter: two sets that are similar enough share one of the rarest ``m - ceil(similarity m) + 1``
+    words of each, in any one order of words. Sizes, places and sketches bound the shared words of a
+    pair from above; the rest is compared in full.
+    """
+    sets = lines.where("words is not null").select(F.xxhash64("src", "form").alias("v"), "src", "words")
+    often = sets.select(F.explode("words").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "w").limit(_RANKED)
+    ranked = np.array([r["w"] for r in often.collect()], np.int32)  # of bounded length
+    met = sets.select("v", "src", "words").mapInArrow(_prefixes(similarity, ranked), "src long, t int, pos int, m int, v long, s0 long, s1 long, words array<int>")
+    met = met.repartition("src", "t").sortWithinPartitions("src", "t", "m", "v").mapInArrow(_meet(similarity), "i long, j long, sure boolean")
+    met = scratch.cut(met.distinct())
+    links, open_ = met.where("sure").select("i", "j"), met.where("not sure").select("i", "j")
+    if open_.isEmpty():
+        return links
+    asked = open_.select(F.col("i").alias("v")).union(open_.select("j")).distinct()
+    words = scratch.cut(sets.select("v", "words").join(asked, "v", "left_semi").dropDuplicates(["v"]))
+    both = open_.join(words.select(F.col("v").alias("i"), F.col("words").alias("a")), "i").join(words.select(F.col("v").alias("j"), F.col("words").alias("b")), "j")
+    common = F.size(F.array_intersect("a", "b"))
+    return links.union(both.where(common >= similarity * (F.size("a") + F.size("b") - common) - 1e-9).select("i", "j"))
+
+
 def _clusters(lines: DataFrame, need: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
     """``(src, form, cluster)`` of the masked lines in clusters whose occurrences reach the limit.
 
-    A form's rank is its frequency (in powers of two) above its own bits, one long, so that the leader
-    of a bucket and the best leader of a form come from a hashed maximum.
+    A form's rank is its frequency (in powers of two) above its own bits, one long, so that the form
+    that names a cluster comes from a hashed maximum.
     """
-    bands = [f"b{k}" for k in range(BANDS)]
-    forms = lines.groupBy("src", "form").agg(F.count(F.lit(1)).alias("n"), *[F.min(b).alias(b) for b in bands])
-    forms = scratch.cut(forms.withColumn("rank", F.shiftleft(F.floor(F.log2("n")), _FORM_BITS) + F.col("form")))
-    keyed = forms.select("src", "form", "rank", "n", F.posexplode(F.array(*bands)).alias("band", "key"))
-    lead = keyed.groupBy("src", "band", "key").agg(F.sum("n").alias("all"), F.max("rank").alias("lead"))
-    lead = lead.join(need, "src").where(F.col("all") >= F.col("need")).select("src", "band", "key", "lead")
-    near = scratch.cut(keyed.select("src", "form", "rank", "band", "key").join(lead, ["src", "band", "key"]).select("src", "form", "rank", "lead").distinct())
-    of = lambda c: F.col(c).bitwiseAND(F.lit((1 << _FORM_BITS) - 1))
-    # the words of forms in heavy buckets only
-    other = near.where("rank <> lead").select("src", "form", "lead", of("lead").alias("lead_form"))
-    asked = other.select("form").union(other.select("lead_form")).distinct()
-    words = scratch.cut(lines.where("words is not null").select("form", "words").join(asked, "form", "left_semi").dropDuplicates(["form"]))
-    both = other.join(words.select("form", F.col("words").alias("w")), "form").join(words.select(F.col("form").alias("lead_form"), F.col("words").alias("lw")), "lead_form")
-    common = F.size(F.array_intersect("w", "lw"))
-    joined = both.where(common >= similarity * (F.size("w") + F.size("lw") - common) - 1e-9).select("src", "form", "lead")
-    # the most frequent leader counts; a leader may itself have joined a larger one
-    best = joined.union(near.select("src", "form", F.col("rank").alias("lead"))).groupBy("src", "form").agg(F.max("lead").alias("lead"))
-    best = scratch.cut(best.select("src", "form", of("lead").alias("lead")))
-    up = best.select("src", F.col("form").alias("lead"), F.col("lead").alias("upper"))
-    return best.join(up, ["src", "lead"], "left").select("src", "form", F.coalesce("upper", "lead").alias("cluster"))
+    comps = connected_components(_links(lines, similarity, scratch))
+    forms = lines.groupBy("src", "form").agg(F.count(F.lit(1)).alias("n")).withColumn("v", F.xxhash64("src", "form"))
+    forms = scratch.cut(forms.join(comps, "v", "left").select("src", "form", "n", F.coalesce("comp", "v").alias("comp")))
+    rank = F.shiftleft(F.floor(F.log2("n")), _FORM_BITS) + F.col("form")
+    heavy = forms.groupBy("src", "comp").agg(F.sum("n").alias("all"), F.max(rank).bitwiseAND(F.lit((1 << _FORM_BITS) - 1)).alias("cluster"))
+    heavy = heavy.join(need, "src").where(F.col("all") >= F.col("need")).select("src", "comp", "cluster")
+    return scratch.cut(forms.join(heavy, ["src", "comp"]).select("src", "form", "cluster"))
 
 
 def repeated_clusters(

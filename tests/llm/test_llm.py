@@ -108,6 +108,16 @@ def test_clusters_of_lines_that_differ_in_masked_or_few_words(spark):
     assert boilerplate.repeated_lines(df, names=boilerplate.directory_names(people), share=0.05).count() == 0
 
 
+@pytest.mark.parametrize(("words", "step"), [(10, 1), (90, 4)])
+def test_clusters_follow_every_link(spark, words, step):
+    # each line is similar to its neighbours only, none to a line in the middle; ninety words are more than travel with a prefix
+    rows = [(i, f"e{i}", "site", " ".join(f"word{'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10 % 10]}{'uvwxyzabcd'[k // 100]}" for k in range(i * step, i * step + words))) for i in range(30)]
+    rows += [(100 + i, f"o{i}", "other", rows[i][3]) for i in range(9)]
+    df = spark.createDataFrame(rows, "row_idx long, eid string, site string, raw_body string")
+    got = boilerplate.repeated_clusters(df)[0].collect()
+    assert {(r["row"], r["line_no"]) for r in got} == {(i, 0) for i in range(30)} and len({r["cluster"] for r in got}) == 1
+
+
 def test_field_of_names(spark):
     df = spark.createDataFrame([(f"g{i}", f"f{i}") for i in range(3000)] + [(None, None)], "given_name string, family_name string")
     f = boilerplate.directory_names(df)
