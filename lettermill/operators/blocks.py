@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 #: rows of a block, blocks at least (for tasks enough), words of columns that are counted at a time
 BLOCK, LEAST, AT_ONCE = 60_000, 5, 2_048
+#: cells up to which a cluster's shared tokens are counted by a product
+DENSE = 1 << 22
 
 
 def pair_up(items: DataFrame, rows: int, block: int = BLOCK, least: int = LEAST) -> DataFrame:
@@ -130,12 +132,13 @@ def at_least(count: list[np.ndarray], need: np.ndarray) -> np.ndarray:
     return ge
 
 
-def meeting(flat: np.ndarray, off: np.ndarray, kind: np.ndarray, cols: Bits, need: Callable[[int], tuple[int, int, np.ndarray]], same: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def meeting(flat: np.ndarray, off: np.ndarray, kind: np.ndarray, cols: Bits, need: Callable[[int], tuple[int, int, np.ndarray]], same: bool, skip: Callable[[np.ndarray, slice], np.ndarray] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """``(rows, columns, count)`` of the pairs that share as many tokens as they need.
 
     Rows are in order of ``kind``; ``need(kind)`` gives the first and last column that come into
     question and the least count with each of them (one or more). ``same``: rows and columns are one
-    block, and the pairs above the diagonal are wanted.
+    block, and the pairs above the diagonal are wanted. ``skip(rows, words)`` has bits of columns that a
+    row need not meet.
     """
     n = len(off) - 1
     edges = np.flatnonzero(np.diff(kind)) + 1
@@ -162,6 +165,8 @@ def meeting(flat: np.ndarray, off: np.ndarray, kind: np.ndarray, cols: Bits, nee
                 tok[: m[g], g] = flat[off[r] : off[r + 1]]
             count = counted(cols.bits[:, z0:w1][tok])
             ge = at_least(count, planes[:, z0 - w0 :])
+            if skip is not None:
+                ge &= ~skip(rows, slice(z0, w1))
             g, w = np.nonzero(ge)
             if not len(g):
                 continue
@@ -179,3 +184,109 @@ def meeting(flat: np.ndarray, off: np.ndarray, kind: np.ndarray, cols: Bits, nee
             for p, plane in enumerate(count):
                 k |= (plane[g, w] >> bit & np.uint64(1)).astype(np.int64) << p
             yield row[ok], col[ok], k
+
+
+class Joined:
+    """What pairs of rows ``0 .. a`` and columns ``a .. a + b`` have connected so far; one block's rows are its columns (``same``)."""
+
+    #: columns from which a component has a row of bits
+    MANY = 256
+
+    def __init__(self, a: int, b: int, same: bool) -> None:
+        self.shift = 0 if same else a
+        self.n, self.words = b, -(-b // 64)
+        self.label = np.arange(a if same else a + b)
+        self.members: dict[int, list[int]] = {}
+        self.bits: dict[int, tuple[int, np.ndarray]] = {}
+        self.none = np.zeros(self.words, np.uint64)
+
+    def apart(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        return self.label[i] != self.label[j + self.shift]
+
+    def join(self, i: np.ndarray, j: np.ndarray) -> None:
+        for x, y in zip(i.tolist(), (j + self.shift).tolist(), strict=True):
+            p, q = int(self.label[x]), int(self.label[y])
+            if p == q:
+                continue
+            few, most = self.members.pop(p, [p]), self.members.pop(q, [q])
+            if len(few) > len(most):
+                few, most, q = most, few, p
+            self.label[few] = q
+            most += few
+            self.members[q] = most
+
+    def skip(self, rows: np.ndarray, words: slice) -> np.ndarray:
+        out = []
+        for x in self.label[rows].tolist():
+            size = len(self.members.get(x, ()))
+            if size < self.MANY:
+                out.append(self.none[words])
+                continue
+            if x not in self.bits or size > 1.05 * self.bits[x][0]:
+                of = np.zeros(self.words * 64, bool)
+                of[: self.n] = self.label[self.shift :] == x
+                self.bits[x] = size, np.packbits(of, bitorder="little").view(np.uint64)
+            out.append(self.bits[x][1][words])
+        return np.stack(out)
+
+    def stars(self) -> tuple[np.ndarray, np.ndarray]:
+        """Every member of a component with one of them."""
+        got = [np.array(m) for m in self.members.values()]
+        if not got:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.repeat([m.min() for m in got], list(map(len, got))), np.concatenate(got)
+
+
+def connected(met: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], joined: Joined, linked: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]) -> None:
+    """Joins the pairs that ``linked`` confirms; those that are connected by then are not asked about. Few are asked first, as they often connect the others."""
+    for i, j, count in met:
+        step = 64
+        while True:
+            open_ = joined.apart(i, j)
+            i, j, count = i[open_], j[open_], count[open_]
+            if not len(i):
+                break
+            p, q = i[:step], j[:step]
+            ok = linked(p, q, count[:step])
+            joined.join(p[ok], q[ok])
+            i, j, count = i[step:], j[step:], count[step:]
+            step *= 4
+
+
+def jaccard_sum(h: np.ndarray, off: np.ndarray, first: int, same: bool) -> float:
+    """Sum of the Jaccard similarities of all pairs of lists (``same``), or of those under ``first`` with the others. Empty lists are similar to none."""
+    n = np.diff(off)
+    token, tok, often = np.unique(h, return_inverse=True, return_counts=True)
+    keep = often[tok] > 1  # a token of one list is shared by no pair
+    row = np.repeat(np.arange(len(n)), n)[keep]
+    number = np.cumsum(often > 1) - 1
+    tok, tokens = number[tok[keep]], int((often > 1).sum())
+    at = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=len(n)))))
+    rows, c0 = (np.arange(len(n)), 0) if same else (np.arange(first), first)
+    if not tokens or not len(rows) or c0 == len(n):
+        return 0.0
+    if len(n) * tokens <= DENSE:
+        has = np.zeros((len(n), tokens), np.float32)
+        has[row, tok] = 1
+        count = (has[rows] @ has[c0:].T).astype(np.float64)
+        sim = count / np.maximum(1, n[rows, None] + n[None, c0:] - count)
+        return float(np.triu(sim, 1).sum() if same else sim.sum())
+    cols = Bits(tok[at[c0] :], at[c0:] - at[c0], tokens)
+    m = np.diff(at)
+    rows = rows[np.argsort(m[rows], kind="stable")]
+    step, total = max(1, AT_ONCE // cols.words), 0.0
+    size, place = n[c0:].astype(np.float64), np.arange(c0, len(n))
+    for i in range(0, len(rows), step):
+        r = rows[i : i + step]
+        deep = int(m[r].max())
+        if not deep:
+            continue
+        got = np.full((deep, len(r)), tokens, np.int64)
+        for g, x in enumerate(r):
+            got[: m[x], g] = tok[at[x] : at[x + 1]]
+        count = np.zeros((len(r), len(size)))
+        for p, plane in enumerate(counted(cols.bits[got])):
+            count += np.unpackbits(plane.view(np.uint8), axis=1, bitorder="little")[:, : len(size)] * float(1 << p)
+        sim = count / (n[r, None] + size - count + (count == 0))
+        total += float((sim * (place > r[:, None])).sum() if same else sim.sum())
+    return total

@@ -65,8 +65,16 @@ def set_classes(df: DataFrame, key: str, text: str, scratch: Scratch) -> tuple[D
 
     ``often`` holds the numbers of the most frequent tokens, ``seldom`` the hashes of the others.
     """
-    rows = df.select(F.col(key).cast("long").alias("k"), F.array_sort(F.transform(tokens(F.col(text)), lambda w: F.xxhash64(w))).alias("h")).where(F.size("h") > 0)
-    rows = scratch.cut(rows)
+    return classes_of(scratch.cut(hashed_sets(df, key, text)), scratch)
+
+
+def hashed_sets(df: DataFrame, key: str, text: str) -> DataFrame:
+    """``(k, h)``: sorted hashes of the tokens of each row that has some."""
+    return df.select(F.col(key).cast("long").alias("k"), F.array_sort(F.transform(tokens(F.col(text)), lambda w: F.xxhash64(w))).alias("h")).where(F.size("h") > 0)
+
+
+def classes_of(rows: DataFrame, scratch: Scratch) -> tuple[DataFrame, int]:
+    """``set_classes`` of hashed sets."""
     freq = rows.select(F.explode("h").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("df"))
     known = np.array(sorted(r["w"] for r in freq.orderBy(F.desc("df"), "w").limit(COMMON).collect()), np.int64)  # of bounded length
 
@@ -146,6 +154,14 @@ def _near_sets(threshold: float, below: float | None, common: int):  # noqa: ANN
     return run
 
 
+def _words_needed(a: _Sets, b: _Sets, threshold: float) -> Callable[[int], tuple[int, int, np.ndarray]]:
+    def need(n: int) -> tuple[int, int, np.ndarray]:
+        lo, hi = np.searchsorted(b.n, threshold * n - 1e-9), np.searchsorted(b.n, n / threshold + 1e-9, "right")
+        return int(lo), int(hi), np.maximum(1, np.ceil(threshold / (1 + threshold) * (n + b.n[lo:hi]) - 1e-9).astype(np.int64))
+
+    return need
+
+
 def near_sets(batches: Iterator[pa.RecordBatch], threshold: float, below: float | None, common: int) -> Iterator[tuple]:
     """``(i, j, sim, a, b)``: positions in the two blocks' sets of the pairs that reach the threshold, in parts of bounded size."""
     two = blocks.halves(batches)
@@ -157,10 +173,6 @@ def near_sets(batches: Iterator[pa.RecordBatch], threshold: float, below: float
     cols = blocks.Bits(b.tok, b.off, common + SHARED)
     exact = exact_counts(a, b, cols, common)
 
-    def need(n: int) -> tuple[int, int, np.ndarray]:
-        lo, hi = np.searchsorted(b.n, threshold * n - 1e-9), np.searchsorted(b.n, n / threshold + 1e-9, "right")
-        return int(lo), int(hi), np.maximum(1, np.ceil(threshold / (1 + threshold) * (n + b.n[lo:hi]) - 1e-9).astype(np.int64))
-
     held: list[tuple] = []
 
     def out() -> tuple:
@@ -174,7 +186,7 @@ def near_sets(batches: Iterator[pa.RecordBatch], threshold: float, below: float
         return i[ok], j[ok], sim[ok], a, b
 
     n = 0
-    for got in blocks.meeting(a.tok, a.off, a.n, cols, need, same):
+    for got in blocks.meeting(a.tok, a.off, a.n, cols, _words_needed(a, b, threshold), same):
         held.append(got)
         n += len(got[0])
         if n >= 200_000:
@@ -357,6 +369,37 @@ class _Weighted:
         self.w, _ = blocks.reordered(w, off, order)
 
 
+def _weighted(two: tuple[pa.Table, pa.Table], idf: np.ndarray, threshold: float) -> tuple[_Weighted, _Weighted, bool]:
+    same = two[0] is two[1]
+    a = _Weighted(two[0], idf, threshold)
+    return a, a if same else _Weighted(two[1], idf, threshold), same
+
+
+def _terms_needed(a: _Weighted, b: _Weighted) -> Callable[[int], tuple[int, int, np.ndarray]]:
+    def need(kind: int) -> tuple[int, int, np.ndarray]:
+        own = a.reach[:, kind * TOGETHER : (kind + 1) * TOGETHER].min(axis=1)
+        least = np.full(len(b.k), max(1, own[0]))
+        for x, other in zip(own[1:-1], b.reach[-2:0:-1], strict=True):
+            np.maximum(least, np.minimum(x, other), out=least)
+        return 0, len(b.k), np.maximum(least, b.reach[0])
+
+    return need
+
+
+def _dot(a: _Weighted, b: _Weighted, wide: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Cosines of rows in order of ``i``; ``wide`` holds zeros, one a term."""
+    sim = np.empty(len(i))
+    cut = [0, *(np.flatnonzero(np.diff(i)) + 1), len(i)]
+    for lo, hi in zip(cut[:-1], cut[1:], strict=True):
+        own = slice(a.off[i[lo]], a.off[i[lo] + 1])
+        wide[a.tok[own]] = a.w[own]
+        size = b.off[j[lo:hi] + 1] - b.off[j[lo:hi]]
+        at = blocks.spans(b.off[j[lo:hi]], size)
+        sim[lo:hi] = np.add.reduceat(wide[b.tok[at]] * b.w[at], np.cumsum(size) - size)
+        wide[a.tok[own]] = 0
+    return sim
+
+
 def near_weights(batches: Iterator[pa.RecordBatch], idf: np.ndarray, threshold: float, below: float | None) -> Iterator[tuple]:
     """``(i, j, sim, a, b)``: positions in the two blocks' rows of the pairs that reach the threshold.
 
@@ -368,31 +411,12 @@ def near_weights(batches: Iterator[pa.RecordBatch], idf: np.ndarray, threshold:
     two = blocks.halves(batches)
     if two is None:
         return
-    same = two[0] is two[1]
-    a = _Weighted(two[0], idf, threshold)
-    b = a if same else _Weighted(two[1], idf, threshold)
-    cols = blocks.Bits(b.tok, b.off, len(idf))
-
-    def need(kind: int) -> tuple[int, int, np.ndarray]:
-        own = a.reach[:, kind * TOGETHER : (kind + 1) * TOGETHER].min(axis=1)
-        least = np.full(len(b.k), max(1, own[0]))
-        for x, other in zip(own[1:-1], b.reach[-2:0:-1], strict=True):
-            np.maximum(least, np.minimum(x, other), out=least)
-        return 0, len(b.k), np.maximum(least, b.reach[0])
-
-    wide = np.zeros(len(idf))
+    a, b, same = _weighted(two, idf, threshold)
+    cols, need, wide = blocks.Bits(b.tok, b.off, len(idf)), _terms_needed(a, b), np.zeros(len(idf))
     for i, j, _ in blocks.meeting(a.tok, a.off, a.kind, cols, need, same):
         order = np.argsort(i, kind="stable")
         i, j = i[order], j[order]
-        sim = np.empty(len(i))
-        cut = [0, *(np.flatnonzero(np.diff(i)) + 1), len(i)]
-        for lo, hi in zip(cut[:-1], cut[1:], strict=True):
-            own = slice(a.off[i[lo]], a.off[i[lo] + 1])
-            wide[a.tok[own]] = a.w[own]
-            size = b.off[j[lo:hi] + 1] - b.off[j[lo:hi]]
-            at = blocks.spans(b.off[j[lo:hi]], size)
-            sim[lo:hi] = np.add.reduceat(wide[b.tok[at]] * b.w[at], np.cumsum(size) - size)
-            wide[a.tok[own]] = 0
+        sim = _dot(a, b, wide, i, j)
         ok = sim >= threshold
         if below is not None:
             ok &= sim < below
@@ -409,6 +433,60 @@ def _pairs_out(near):  # noqa: ANN001, ANN202
     return run
 
 
+def cosine_links(terms: DataFrame, idf: np.ndarray, threshold: float, below: float) -> DataFrame:
+    """``(i, j)``: links that connect what the pairs of ``cosine_texts`` connect. A task sends on its components, never its pairs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        two = blocks.halves(batches)
+        if two is None:
+            return
+        a, b, same = _weighted(two, idf, threshold)
+        wide, joined = np.zeros(len(idf)), blocks.Joined(len(a.k), len(b.k), same)
+
+        def linked(i: np.ndarray, j: np.ndarray, _: np.ndarray) -> np.ndarray:
+            order = np.argsort(i, kind="stable")
+            sim = np.empty(len(i))
+            sim[order] = _dot(a, b, wide, i[order], j[order])
+            return (sim >= threshold) & (sim < below)
+
+        met = blocks.meeting(a.tok, a.off, a.kind, blocks.Bits(b.tok, b.off, len(idf)), _terms_needed(a, b), same, joined.skip)
+        blocks.connected(met, joined, linked)
+        key = a.k if same else np.concatenate((a.k, b.k))
+        x, y = joined.stars()
+        yield pa.RecordBatch.from_arrays([pa.array(key[x]), pa.array(key[y])], names=["i", "j"])
+
+    return blocks.pair_up(terms, terms.count()).mapInArrow(run, "i long, j long").where("i <> j")
+
+
+def jaccard_links(classes: DataFrame, common: int, threshold: float, below: float) -> DataFrame:
+    """``(i, j)``: links that connect what the pairs of ``jaccard_join`` connect; arguments of ``set_classes``. Rows of one set are no pair (their similarity is not below), but what links their set links them all."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        two = blocks.halves(batches)
+        if two is None:
+            return
+        same = two[0] is two[1]
+        a = _Sets(two[0], common)
+        b = a if same else _Sets(two[1], common)
+        cols, joined = blocks.Bits(b.tok, b.off, common + SHARED), blocks.Joined(len(a.n), len(b.n), same)
+        exact = exact_counts(a, b, cols, common)
+
+        def linked(i: np.ndarray, j: np.ndarray, count: np.ndarray) -> np.ndarray:
+            count = exact(i, j, count)
+            sim = count / (a.n[i] + b.n[j] - count)
+            return (sim >= threshold) & (sim < below)
+
+        blocks.connected(blocks.meeting(a.tok, a.off, a.n, cols, _words_needed(a, b, threshold), same, joined.skip), joined, linked)
+        x, y = joined.stars()
+        ks, kat = a.ks, a.kat
+        if not same:
+            ks, kat = np.concatenate((a.ks, b.ks)), np.concatenate((a.kat, b.kat[1:] + a.kat[-1]))
+        size = kat[y + 1] - kat[y]
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ks[kat[x]], size)), pa.array(ks[blocks.spans(kat[y], size)])], names=["i", "j"])
+
+    return blocks.pair_up(classes, classes.count()).mapInArrow(run, "i long, j long").where("i <> j")
+
+
 def cosine_join(weights: DataFrame, threshold: float = DEFAULT.tfidf_threshold) -> DataFrame:
     """``(i, j, sim)``, ``i < j``: pairs of unit rows with cosine of at least ``threshold``.
 

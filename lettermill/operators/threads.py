@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lettermill.config import DEFAULT, Config
+from lettermill.operators import blocks
 from lettermill.operators.components import connected_components
 
 #: ids of the shape ``<local@host>``: a text that contains one shows it to this pattern whole
@@ -99,9 +104,14 @@ def cohesion(comps: DataFrame, pairs: DataFrame, key: str = "row_idx") -> DataFr
     Only non-zero similarities are joined; the pairs that share nothing count by the size of the
     cluster. ``pairs`` must hold every pair with a similarity above zero that lies in one cluster.
     """
-    size = comps.groupBy("comp").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     a, b = comps.select(F.col(key).alias("i"), F.col("comp").alias("ca")), comps.select(F.col(key).alias("j"), F.col("comp").alias("cb"))
-    inside = pairs.join(a, "i").join(b, "j").where("ca = cb").groupBy(F.col("ca").alias("comp")).agg(F.sum("sim").alias("s"))
+    return mean_of(comps, pairs.join(a, "i").join(b, "j").where("ca = cb").select(F.col("ca").alias("comp"), F.col("sim").alias("s")))
+
+
+def mean_of(comps: DataFrame, sums: DataFrame) -> DataFrame:
+    """``(comp, cohesion)`` from sums ``(comp, s)`` of similarities, one or more a cluster."""
+    size = comps.groupBy("comp").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    inside = sums.groupBy("comp").agg(F.sum("s").alias("s"))
     return size.join(inside, "comp", "left").select("comp", (F.coalesce("s", F.lit(0.0)) / (F.col("n") * (F.col("n") - 1) / 2)).alias("cohesion"))
 
 
@@ -120,16 +130,111 @@ def pairs_inside(rows: DataFrame, comps: DataFrame, tokens: str, key: str = "row
     return met.select("i", "j", (F.col("c") / (F.col("si") + F.col("sj") - F.col("c"))).alias("sim"))
 
 
-def cosine_inside(weights: DataFrame, comps: DataFrame, key: str = "row_idx") -> DataFrame:
-    """``(i, j, sim)`` cosine of the pairs of one cluster that share a term; ``weights (k, term, w)`` are unit rows."""
-    many = comps.groupBy("comp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("comp")
-    r = weights.join(comps.join(many, "comp", "left_semi").withColumnRenamed(key, "k"), "k")
-    a, b = r.select("comp", "term", F.col("k").alias("i"), F.col("w").alias("a")), r.select("comp", "term", F.col("k").alias("j"), F.col("w").alias("b"))
-    return a.join(b, ["comp", "term"]).where("i < j").groupBy("i", "j").agg(F.sum(F.col("a") * F.col("b")).alias("sim"))
+#: rows of a cluster that a task meets with as many others
+_PART = 8_192
+
+
+def _parts(rows: DataFrame, comps: DataFrame, pairs: bool, key: str) -> DataFrame:
+    """``rows (k, ..)`` of clusters of two or more, with ``comp``, ``own`` and ``part``, a part in one partition and in order.
+
+    A cluster of over ``_PART`` rows has more parts: every two of its blocks (``pairs``), or each block.
+    """
+    size = comps.groupBy("comp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("comp", F.ceil(F.col("n") / _PART).cast("int").alias("b"))
+    r = rows.join(comps.join(size, "comp").withColumnRenamed(key, "k"), "k").withColumn("own", F.pmod(F.xxhash64(F.lit("part"), "k"), F.col("b")).cast("int"))
+    if pairs:
+        r = r.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("b") - 1)))
+        lo, hi = F.least("own", "other"), F.greatest("own", "other")
+        r = r.withColumn("part", (hi * (hi + 1) / 2 + lo).cast("int")).drop("other")
+    else:
+        r = r.withColumn("part", F.col("own"))
+    return r.repartition("comp", "part").sortWithinPartitions("comp", "part", "own")
+
+
+def _each_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of whole parts."""
+    held, n, wait = [], 0, 4_096
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n < wait:
+            continue
+        t = pa.Table.from_batches(held)
+        at = _starts(t)
+        if len(at) > 1:
+            yield t.slice(0, int(at[-1]))
+            t = t.slice(int(at[-1]))
+        held, n = t.to_batches(), t.num_rows
+        wait = max(4_096, 2 * n)
+    if n:
+        yield pa.Table.from_batches(held)
+
+
+def _starts(t: pa.Table) -> np.ndarray:
+    comp, part = t.column("comp").to_numpy(), t.column("part").to_numpy()
+    return np.concatenate(([0], np.flatnonzero((comp[1:] != comp[:-1]) | (part[1:] != part[:-1])) + 1))
+
+
+def jaccard_sums(sets: DataFrame, comps: DataFrame, key: str = "row_idx") -> DataFrame:
+    """``(comp, s)``: sums of the Jaccard similarities of all pairs of a cluster; ``sets (k, h)`` have hashes of tokens. No pair leaves its task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _each_part(batches):
+            h, off = blocks.lists(t.column("h"))
+            comp, own, start = t.column("comp").to_numpy(), t.column("own").to_numpy(), _starts(t)
+            sums = []
+            for lo, hi in zip(start, [*start[1:], t.num_rows], strict=True):
+                o = off[lo : hi + 1] - off[lo]
+                first = int(np.searchsorted(own[lo:hi], own[hi - 1]))
+                part = int(t.column("part")[int(lo)].as_py())
+                last = int(own[hi - 1])
+                if part == last * (last + 3) // 2:
+                    first = 0  # a block with itself
+                elif not first:
+                    first = hi - lo  # the other block is empty
+                sums.append(blocks.jaccard_sum(h[off[lo] : off[hi]], o, first, part == last * (last + 3) // 2))
+            yield pa.RecordBatch.from_arrays([pa.array(comp[start]), pa.array(np.array(sums, np.float64))], names=["comp", "s"])
+
+    return _parts(sets, comps, True, key).select("comp", "part", "own", "h").mapInArrow(run, "comp long, s double")
+
+
+def cosine_sums(terms: DataFrame, idf: np.ndarray, comps: DataFrame, key: str = "row_idx") -> DataFrame:
+    """``(comp, s)``: sums of the cosines of all pairs of a cluster; arguments of ``similarity.term_rows``.
+
+    The cosines of all ordered pairs, each row with itself too, add up to the square of the sum of the
+    unit rows, so no pair is made.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _each_part(batches):
+            (tok, off), (tf, _) = blocks.lists(t.column("t")), blocks.lists(t.column("tf"))
+            row = np.repeat(np.arange(t.num_rows), np.diff(off))
+            w = tf * idf[tok]
+            w /= np.sqrt(np.bincount(row, w * w, t.num_rows))[row]
+            part = np.repeat(np.arange(len(start := _starts(t))), np.diff([*start, t.num_rows]))
+            # one sum a part and term
+            cell, at = np.unique(part[row] * len(idf) + tok, return_inverse=True)
+            total = np.bincount(at, w, len(cell))
+            own = np.bincount(at, w * w, len(cell))
+            comp = t.column("comp").to_numpy()[start][cell // len(idf)]
+            b = t.column("b").to_numpy()[start][cell // len(idf)]
+            whole = b == 1
+            c, n = np.unique(comp[whole], return_inverse=True)
+            s = np.bincount(n, (total * total - own)[whole], len(c)) / 2
+            yield pa.RecordBatch.from_arrays([pa.array(c), pa.array(np.full(len(c), -1, np.int32)), pa.array(s), pa.array(np.zeros(len(c)))], names=["comp", "t", "a", "b"])
+            o = ~whole
+            yield pa.RecordBatch.from_arrays([pa.array(comp[o]), pa.array((cell % len(idf))[o].astype(np.int32)), pa.array(total[o]), pa.array(own[o])], names=["comp", "t", "a", "b"])
+
+    sums = _parts(terms, comps, False, key).select("comp", "part", "b", "t", "tf").mapInArrow(run, "comp long, t int, a double, b double")
+    sums = sums.groupBy("comp", "t").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    return sums.select("comp", F.when(F.col("t") < 0, F.col("a")).otherwise((F.col("a") * F.col("a") - F.col("b")) / 2).alias("s"))
 
 
 def metrics(comps: DataFrame, pairs: DataFrame, method: str, threshold: float, key: str = "row_idx") -> DataFrame:
     """One row: sizes, shares and mean cohesion of a clustering; rounded half to even. No rows give zeros."""
+    return metrics_of(comps, cohesion(comps, pairs, key), method, threshold)
+
+
+def metrics_of(comps: DataFrame, means: DataFrame, method: str, threshold: float) -> DataFrame:
     sizes = comps.groupBy("comp").agg(F.count(F.lit(1)).alias("n"))
     many = F.col("n") > 1
     s = sizes.agg(
@@ -140,7 +245,7 @@ def metrics(comps: DataFrame, pairs: DataFrame, method: str, threshold: float, k
         F.coalesce(F.max("n"), F.lit(0)).alias("max_thread_size"),
         F.coalesce(F.sum(F.when(many, F.col("n"))), F.lit(0)).alias("emails_in_threads"),
     )
-    c = cohesion(comps, pairs, key).agg(F.coalesce(F.avg("cohesion"), F.lit(0.0)).alias("c"))
+    c = means.agg(F.coalesce(F.avg("cohesion"), F.lit(0.0)).alias("c"))
     share = lambda x: F.bround(F.coalesce(F.try_divide(F.col(x) * 100, F.col("emails")), F.lit(0.0)), 1)
     one = s.withColumn("one", F.lit(1)).join(c.withColumn("one", F.lit(1)), "one")  # two one-row tables
     return one.select(
@@ -161,15 +266,18 @@ def evaluate(rows: DataFrame, links: DataFrame | None = None, config: Config = D
 
     scratch = Scratch(rows.sparkSession, "evaluate")
     rows = scratch.cut(rows.select(key, text))
-    weights = scratch.cut(similarity.tfidf(rows, key, text, config.thread_vocabulary, config.max_df))
-    toks = scratch.cut(rows.select(key, similarity.tokens(F.col(text)).alias("toks")))
     out = {}
     for method, threshold in (("tfidf", config.tfidf_threshold), ("jaccard", config.jaccard_threshold)):
-        pairs = similarity.cosine_join(weights, threshold) if method == "tfidf" else similarity.jaccard_join(rows, key, text, threshold)
-        edges = similarity.edges_between(pairs, threshold, config.near_identical).select("i", "j")
-        comps = scratch.cut(clusters(rows, edges if links is None else edges.union(links).distinct(), key, text))
-        inside = cosine_inside(weights, comps, key) if method == "tfidf" else pairs_inside(toks, comps, "toks", key)
-        out[method] = comps, scratch.cut(metrics(comps, inside, "TF-IDF" if method == "tfidf" else "Jaccard", threshold, key))
+        if method == "tfidf":
+            terms, idf = similarity.term_rows(rows, key, text, scratch, config.thread_vocabulary, config.max_df)
+            edges = similarity.cosine_links(terms, idf, threshold, config.near_identical)
+        else:
+            sets = scratch.cut(similarity.hashed_sets(rows, key, text))
+            edges = similarity.jaccard_links(*similarity.classes_of(sets, scratch), threshold, config.near_identical)
+        edges = scratch.cut(edges if links is None else edges.union(links))
+        comps = scratch.cut(clusters(rows, edges, key, text))
+        sums = cosine_sums(terms, idf, comps, key) if method == "tfidf" else jaccard_sums(sets, comps, key)
+        out[method] = comps, scratch.cut(metrics_of(comps, mean_of(comps, sums), "TF-IDF" if method == "tfidf" else "Jaccard", threshold))
     return out
 
 

@@ -91,3 +91,67 @@ def test_cosine_pairs_make_no_pair_in_the_engine(spark, tmp_path):
     rows = [(k, f"m{k // 2}", t) for k, t in texts(60, 9)]
     spark.createDataFrame(rows, "row_idx long, eid string, body_text string").write.parquet(str(tmp_path / "thread_grouper.parquet"))
     assert "Join" not in plan(e.queries()["cosine_pairs"](spark, str(tmp_path)))
+
+
+def components(pairs) -> dict[int, int]:
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for i, j in pairs:
+        parent[max(find(i), find(j))] = min(find(i), find(j))
+    return {x: find(x) for x in parent}
+
+
+@pytest.mark.parametrize("many", [4, 256])
+def test_links_connect_what_pairs_connect(spark, small_blocks, monkeypatch, many):
+    """Before, every pair left its task and was grouped again."""
+    from lettermill.session import Scratch
+
+    monkeypatch.setattr(blocks.Joined, "MANY", many)
+    scratch = Scratch(spark, "t")
+    df = spark.createDataFrame(texts(230, 11), "k long, t string")
+    links = similarity.jaccard_links(*similarity.set_classes(df, "k", "t", scratch), 0.35, 0.99)
+    want = components((r.i, r.j) for r in similarity.jaccard_join(df, "k", "t", 0.35, below=0.99).collect())
+    assert components((r.i, r.j) for r in links.collect()) == want and "Join" not in plan(links)
+    terms = similarity.term_rows(df, "k", "t", scratch)
+    links = similarity.cosine_links(*terms, 0.59, 0.99)
+    want = components((r.i, r.j) for r in similarity.cosine_texts(*terms, 0.59, 0.99).collect())
+    assert components((r.i, r.j) for r in links.collect()) == want and "Join" not in plan(links)
+
+
+@pytest.mark.parametrize(("part", "dense"), [(8_192, True), (16, True), (16, False)])
+def test_sums_of_clusters(spark, monkeypatch, part, dense):
+    """All pairs of a cluster, those that share nothing too; no pair is a row."""
+    from lettermill.operators import threads
+    from lettermill.session import Scratch
+
+    monkeypatch.setattr(threads, "_PART", part)
+    if not dense:
+        monkeypatch.setattr(blocks, "DENSE", 0)
+    rows = texts(120, 13)
+    comp = {k: k % 7 if k < 100 else k for k, _ in rows}
+    df = spark.createDataFrame(rows, "k long, t string")
+    comps = spark.createDataFrame(list(comp.items()), "row_idx long, comp long")
+    inside = [(i, j) for i in comp for j in comp if i < j and comp[i] == comp[j]]
+    for jaccard in (True, False):
+        if jaccard:
+            vec = {r.k: set(r.h) for r in similarity.hashed_sets(df, "k", "t").collect()}
+            sim = lambda i, j: len(vec[i] & vec[j]) / len(vec[i] | vec[j]) if i in vec and j in vec else 0.0  # noqa: B023, E731
+            sums = threads.jaccard_sums(similarity.hashed_sets(df, "k", "t"), comps)
+        else:
+            vec = {}
+            for r in similarity.tfidf(df, "k", "t").collect():
+                vec.setdefault(r.k, {})[r.term] = r.w
+            sim = lambda i, j: sum(w * vec.get(j, {}).get(t, 0.0) for t, w in vec.get(i, {}).items())  # noqa: B023, E731
+            sums = threads.cosine_sums(*similarity.term_rows(df, "k", "t", Scratch(spark, "t")), comps)
+        want: dict[int, float] = {}
+        for i, j in inside:
+            want[comp[i]] = want.get(comp[i], 0.0) + sim(i, j)
+        got: dict[int, float] = {}
+        for r in sums.collect():
+            got[r.comp] = got.get(r.comp, 0.0) + r.s
+        assert got == pytest.approx(want)
