@@ -121,14 +121,16 @@ def directory_names(directory: DataFrame) -> Field:
 def line_prints(df: DataFrame, key: str, source: str, text: str, doc: str, least: int = 20, names: Container[str] = frozenset()) -> DataFrame:
     """``(row, src, doc, line_no, line, form, words)`` for each line with at least ``least`` letters or digits.
 
-    ``words`` stands beside a masked form where a batch meets it first in a source only.
+    ``words`` stands beside a masked form where a task meets it first in a source only (or again, when it has met many).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        prints = _Prints(least, names)
+        prints, told = _Prints(least, names), set()
         for b in batches:
             take, no, line, forms, place = [], [], [], [], {}
-            which, first, told = [], [], set()
+            which, first = [], []
+            if len(told) >= _KEPT:
+                told.clear()
             for i, (t, src) in enumerate(zip(b.column(3).to_pylist(), b.column(1).to_pylist(), strict=True)):
                 for k, ln in enumerate(t.split("\n")):
                     # joined letters may stand for two
@@ -141,10 +143,12 @@ def line_prints(df: DataFrame, key: str, source: str, text: str, doc: str, least
                             at = place[id(p[1])] = len(forms)
                             forms.append(p[1])
                         which.append(at)
-                        first.append((src, at) not in told)
-                        told.add((src, at))
+                        first.append(src)
             idx = pa.array(take, pa.int64())
             whole = _whole(forms)[np.array(which, np.int64)] if forms else np.zeros(0, np.int64)
+            for n, of in enumerate(zip(first, whole.tolist(), strict=True)):
+                first[n] = of not in told
+                told.add(of)
             words = pa.array([np.array(forms[w], np.uint32).view(np.int32) if f else None for w, f in zip(which, first, strict=True)], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(idx), b.column(1).take(idx), b.column(2).take(idx), pa.array(no, pa.int32()), pa.array(line, pa.int64()), pa.array(whole), words],
@@ -164,11 +168,35 @@ def needed(df: DataFrame, source: str, doc: str, least_docs: int, share: float)
     return sizes.select("src", F.greatest(F.lit(float(least_docs)), F.lit(share) * F.col("docs") - 1e-9).alias("need"))
 
 
+def _bit(codes: np.ndarray) -> np.ndarray:
+    """One of 128 bits for each 32-bit word."""
+    return ((codes.astype(np.int64) & 0xFFFFFFFF).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(57)
+
+
+def _sketches(row: np.ndarray, bit: np.ndarray, n: int) -> np.ndarray:
+    """``n`` rows of two longs with the bits of their words."""
+    out = np.zeros((n, 2), np.uint64)
+    np.bitwise_or.at(out.reshape(-1), row * 2 + (bit // np.uint64(64)).astype(np.int64), np.uint64(1) << (bit % np.uint64(64)))
+    return out
+
+
+def _shared(flat: np.ndarray, off: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """How many values the lists ``i`` and ``j`` share; values are under 2 ** 32 and lists hold each once."""
+    if not len(flat):
+        return np.zeros(len(i), np.int64)
+    flat = flat.astype(np.uint64)
+    held = np.sort((np.repeat(np.arange(len(off) - 1, dtype=np.uint64), np.diff(off)) << np.uint64(32)) | flat)
+    size = (off[1:] - off[:-1])[i]
+    want = (np.repeat(j.astype(np.uint64), size) << np.uint64(32)) | flat[blocks.spans(off[i], size)]
+    hit = held[np.minimum(np.searchsorted(held, want), len(held) - 1)] == want
+    return np.bincount(np.repeat(np.arange(len(i)), size)[hit], minlength=len(i))
+
+
 def _prefixes(similarity: float, ranked: np.ndarray):  # noqa: ANN202
-    """``(src, t, pos, m, v, s0, s1, words)`` for each word of a set's prefix: rarest words first, as many as two sets that are similar enough must share one of.
+    """``(src, t, pos, m, v, often, seldom)`` for each word of a set's prefix: rarest words first, as many as two sets that are similar enough must share one of.
 
-    ``m`` is the set's size, ``pos`` the word's place, ``s0, s1`` a bit for each word's hash. Sets of more
-    than ``_WIDE`` words travel without their words.
+    ``m`` is the set's size, ``pos`` the word's place; ``often`` holds the ranks of its words that have
+    one, ``seldom`` the other words. Sets of more than ``_WIDE`` words travel with their sketch instead.
     """
     known = np.sort(ranked)
     rank = np.empty(len(ranked), np.int64)
@@ -179,20 +207,29 @@ def _prefixes(similarity: float, ranked: np.ndarray):  # noqa: ANN202
             words, off = blocks.lists(pa.chunked_array([b.column(2)]))
             m = np.diff(off)
             row = np.repeat(np.arange(len(m)), m)
-            own = words.astype(np.int64) - (1 << 32)
+            own, hit = words.astype(np.int64) - (1 << 32), np.zeros(len(words), bool)
             if len(known):
                 at = np.minimum(np.searchsorted(known, words), len(known) - 1)
-                own = np.where(known[at] == words, rank[at], own)
-            bit = (words.view(np.uint32).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(57)
-            sketch = [np.bitwise_or.reduceat(np.where(bit // 64 == k, np.uint64(1) << (bit % 64), np.uint64(0)), off[:-1]).view(np.int64) for k in (np.uint64(0), np.uint64(1))] if len(m) else [np.zeros(0, np.int64)] * 2
+                hit = known[at] == words
+                own = np.where(hit, rank[at], own)
             order = np.lexsort((own, row))
             pos = np.arange(len(words)) - np.repeat(off[:-1], m)
             take = pos < (m - np.ceil(similarity * m - 1e-9).astype(np.int64) + 1)[row]
             r = row[take]
             idx = pa.array(r)
+            wide = m > _WIDE
+            narrow = ~wide[row]
+            at = np.concatenate(([0], np.cumsum(hit & narrow)))[off].astype(np.int32)
+            often = pa.ListArray.from_arrays(pa.array(at), pa.array((own[hit & narrow] - 1).astype(np.int16)))
+            rest, size = words[~hit & narrow], np.bincount(row[~hit & narrow], minlength=len(m))
+            if wide.any():
+                sketch = _sketches(row, _bit(words), len(m)).view(np.int32).reshape(len(m), 4)[wide].reshape(-1)
+                rest = np.insert(rest, np.repeat(np.cumsum(size)[wide], 4), sketch)
+                size[wide] = 4
+            seldom = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(size))).astype(np.int32)), pa.array(rest))
             yield pa.RecordBatch.from_arrays(
-                [b.column(1).take(idx), pa.array(words[order][take]), pa.array(pos[take].astype(np.int32)), pa.array(m[r].astype(np.int32)), b.column(0).take(idx), *[pa.array(s[r]) for s in sketch], b.column(2).take(pa.array(r, mask=m[r] > _WIDE))],
-                names=["src", "t", "pos", "m", "v", "s0", "s1", "words"],
+                [b.column(1).take(idx), pa.array(words[order][take]), pa.array(pos[take].astype(np.int32)), pa.array(m[r].astype(np.int32)), b.column(0).take(idx), often.take(idx), seldom.take(idx)],
+                names=["src", "t", "pos", "m", "v", "often", "seldom"],
             )
 
     return run
@@ -247,10 +284,12 @@ def _meet(similarity: float):  # noqa: ANN202
             once[1:] = (src[1:] != src[:-1]) | (word[1:] != word[:-1]) | (v[1:] != v[:-1])
             t, src, word, v = t.filter(pa.array(once)), src[once], word[once], v[once]
             m, pos = t.column("m").to_numpy().astype(np.int64), t.column("pos").to_numpy()
-            s0, s1 = (t.column(c).to_numpy().view(np.uint64) for c in ("s0", "s1"))  # bits are counted of absolute values
-            flat, off = blocks.lists(t.column("words"))
-            flat = flat.view(np.uint32).astype(np.uint64)
-            held = (np.repeat(np.arange(len(v), dtype=np.uint64), np.diff(off)) << np.uint64(32)) | flat  # sorted
+            (of, oo), (se, so) = blocks.lists(t.column("often")), blocks.lists(t.column("seldom"))
+            of, se, row = of.astype(np.int64), se.view(np.uint32).astype(np.int64), np.arange(len(v))
+            sketch = _sketches(np.concatenate((np.repeat(row, np.diff(oo)), np.repeat(row, np.diff(so)))), np.concatenate((_bit(of + 1), _bit(se))), len(v))
+            wide = m > _WIDE
+            if wide.any():
+                sketch[wide] = se[blocks.spans(so[:-1][wide], np.full(int(wide.sum()), 4))].astype(np.uint32).view(np.uint64).reshape(-1, 2)
             bucket = np.concatenate(([0], np.cumsum((src[1:] != src[:-1]) | (word[1:] != word[:-1]))))
             far = 2 * int(m.max()) + 2
             to = np.searchsorted(bucket * far + m, bucket * far + np.minimum((m / similarity + 1e-9).astype(np.int64), far - 1), "right")
@@ -264,17 +303,16 @@ def _meet(similarity: float):  # noqa: ANN202
                 both = m[i] + m[j]
                 need = np.ceil(similarity / (1 + similarity) * both - 1e-9).astype(np.int64)
                 ok = np.minimum(m[i] - pos[i], m[j] - pos[j]) >= need
-                ok &= np.bitwise_count(s0[i] ^ s0[j]).astype(np.int64) + np.bitwise_count(s1[i] ^ s1[j]) <= both - 2 * need
+                apart = np.bitwise_count(sketch[i] ^ sketch[j]).astype(np.int64).sum(axis=1)
+                ok &= (apart <= both - 2 * need) | (wide[i] != wide[j])  # these have sketches of two kinds
                 i, j, both = i[ok], j[ok], both[ok]
-                wide = np.maximum(m[i], m[j]) > _WIDE
-                if wide.any():
-                    yield pa.RecordBatch.from_arrays([pa.array(v[i[wide]]), pa.array(v[j[wide]]), pa.array(np.zeros(int(wide.sum()), bool))], names=["i", "j", "sure"])
-                    i, j, both = i[~wide], j[~wide], both[~wide]
+                later = wide[i] | wide[j]
+                if later.any():
+                    yield pa.RecordBatch.from_arrays([pa.array(v[i[later]]), pa.array(v[j[later]]), pa.array(np.zeros(int(later.sum()), bool))], names=["i", "j", "sure"])
+                    i, j, both = i[~later], j[~later], both[~later]
                 if not len(i):
                     continue
-                want = (np.repeat(j.astype(np.uint64), m[i]) << np.uint64(32)) | flat[blocks.spans(off[i], m[i])]
-                hit = held[np.minimum(np.searchsorted(held, want), len(held) - 1)] == want
-                common = np.add.reduceat(hit.astype(np.int64), np.cumsum(m[i]) - m[i])
+                common = _shared(of, oo, i, j) + _shared(se, so, i, j)
                 ok = common >= similarity * (both - common) - 1e-9
                 if ok.any():
                     a, b = _stars(v[i[ok]], v[j[ok]])
@@ -293,7 +331,7 @@ def _links(lines: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
     sets = lines.where("words is not null").select(F.xxhash64("src", "form").alias("v"), "src", "words")
     often = sets.select(F.explode("words").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "w").limit(_RANKED)
     ranked = np.array([r["w"] for r in often.collect()], np.int32)  # of bounded length
-    met = sets.select("v", "src", "words").mapInArrow(_prefixes(similarity, ranked), "src long, t int, pos int, m int, v long, s0 long, s1 long, words array<int>")
+    met = sets.select("v", "src", "words").mapInArrow(_prefixes(similarity, ranked), "src long, t int, pos int, m int, v long, often array<short>, seldom array<int>")
     met = met.repartition("src", "t").sortWithinPartitions("src", "t", "m", "v").mapInArrow(_meet(similarity), "i long, j long, sure boolean")
     met = scratch.cut(met.distinct())
     links, open_ = met.where("sure").select("i", "j"), met.where("not sure").select("i", "j")
