@@ -155,3 +155,16 @@ def test_sums_of_clusters(spark, monkeypatch, part, dense):
         for r in sums.collect():
             got[r.comp] = got.get(r.comp, 0.0) + r.s
         assert got == pytest.approx(want)
+
+
+def test_evaluate_makes_no_pairs(spark, monkeypatch):
+    """The way of ``thread_flagship``: before, candidates of the cosine join and pairs of clusters were rows."""
+    from lettermill.operators import threads
+
+    def none(*_):
+        raise AssertionError("pairs are made")
+
+    for module, name in ((similarity, "cosine_join"), (similarity, "jaccard_join"), (threads, "pairs_inside"), (threads, "cohesion")):
+        monkeypatch.setattr(module, name, none)
+    both = threads.evaluate(spark.createDataFrame(texts(40, 17), "row_idx long, body_text string"))
+    assert threads.choose(both) in ("jaccard", "tfidf") and both["jaccard"][1].first()["total_threads"] > 1
