@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: rows of a block, blocks at least (for tasks enough), words of columns that are counted at a time
-BLOCK, LEAST, AT_ONCE = 60_000, 5, 2_048
+BLOCK, LEAST, AT_ONCE = 60_000, 5, 4_096
 #: cells up to which a cluster's shared tokens are counted by a product
 DENSE = 1 << 22
 
@@ -93,21 +93,26 @@ class Bits:
 
 
 def counted(x: np.ndarray) -> list[np.ndarray]:
-    """Planes of the binary count of set bits over the first axis, lowest first."""
+    """Planes of the binary count of set bits over the first axis, lowest first. ``x`` is written over."""
     out = []
+    room = np.empty((len(x) // 3, *x.shape[1:]), x.dtype)
     while len(x):
         carry = []
         while len(x) > 2:
             k = len(x) // 3
-            a, b, c = x[:k], x[k : 2 * k], x[2 * k : 3 * k]
-            u = a ^ b
-            carry.append((a & b) | (u & c))
-            s = u ^ c
-            x = np.concatenate((s, x[3 * k :])) if 3 * k < len(x) else s
+            a, b, c, u = x[:k], x[k : 2 * k], x[2 * k : 3 * k], room[:k]
+            np.bitwise_xor(a, b, out=u)
+            np.bitwise_and(a, b, out=a)
+            np.bitwise_and(u, c, out=b)
+            np.bitwise_or(a, b, out=a)
+            np.bitwise_xor(u, c, out=c)
+            carry.append(a)
+            x = x[2 * k :]
         if len(x) == 2:
             carry.append(x[:1] & x[1:])
-            x = x[:1] ^ x[1:]
-        out.append(x[0])
+            out.append(x[0] ^ x[1])
+        else:
+            out.append(x[0])
         x = np.concatenate(carry) if carry else x[:0]
     return out
 
@@ -132,13 +137,13 @@ def at_least(count: list[np.ndarray], need: np.ndarray) -> np.ndarray:
     return ge
 
 
-def meeting(flat: np.ndarray, off: np.ndarray, kind: np.ndarray, cols: Bits, need: Callable[[int], tuple[int, int, np.ndarray]], same: bool, skip: Callable[[np.ndarray, slice], np.ndarray] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def meeting(flat: np.ndarray, off: np.ndarray, kind: np.ndarray, cols: Bits, need: Callable[[int], tuple[int, int, np.ndarray]], same: bool, skip: Callable[[np.ndarray, slice], np.ndarray] | None = None, counts: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """``(rows, columns, count)`` of the pairs that share as many tokens as they need.
 
     Rows are in order of ``kind``; ``need(kind)`` gives the first and last column that come into
     question and the least count with each of them (one or more). ``same``: rows and columns are one
     block, and the pairs above the diagonal are wanted. ``skip(rows, words)`` has bits of columns that a
-    row need not meet.
+    row need not meet. Without ``counts`` they are given as 0.
     """
     n = len(off) - 1
     edges = np.flatnonzero(np.diff(kind)) + 1
@@ -181,7 +186,7 @@ def meeting(flat: np.ndarray, off: np.ndarray, kind: np.ndarray, cols: Bits, nee
             if not len(g):
                 continue
             k = np.zeros(len(g), np.int64)
-            for p, plane in enumerate(count):
+            for p, plane in enumerate(count if counts else ()):
                 k |= (plane[g, w] >> bit & np.uint64(1)).astype(np.int64) << p
             yield row[ok], col[ok], k
 

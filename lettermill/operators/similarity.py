@@ -336,7 +336,9 @@ def term_rows(df: DataFrame, key: str, text: str, scratch: Scratch, vocabulary:
             off = pa.array(size, pa.int32())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(off, pa.array(terms, pa.int32())), pa.ListArray.from_arrays(off, pa.array(often, pa.int32()))], names=["k", "t", "tf"])
 
-    return scratch.cut(rows.mapInArrow(counts, "k long, t array<int>, tf array<int>").where(F.size("t") > 0)), np.array([r["idf"] for r in top], np.float64)
+    out = scratch.cut(rows.mapInArrow(counts, "k long, t array<int>, tf array<int>").where(F.size("t") > 0))
+    scratch.drop(rows)
+    return out, np.array([r["idf"] for r in top], np.float64)
 
 
 def cosine_texts(terms: DataFrame, idf: np.ndarray, threshold: float = DEFAULT.tfidf_threshold, below: float | None = None) -> DataFrame:
@@ -390,13 +392,18 @@ def _dot(a: _Weighted, b: _Weighted, wide: np.ndarray, i: np.ndarray, j: np.ndar
     """Cosines of rows in order of ``i``; ``wide`` holds zeros, one a term."""
     sim = np.empty(len(i))
     cut = [0, *(np.flatnonzero(np.diff(i)) + 1), len(i)]
+    size = b.off[j + 1] - b.off[j]
+    end = np.cumsum(size)
+    at = blocks.spans(b.off[j], size)
+    tok, w = b.tok.take(at), b.w.take(at)
+    start = end - size
     for lo, hi in zip(cut[:-1], cut[1:], strict=True):
         own = slice(a.off[i[lo]], a.off[i[lo] + 1])
         wide[a.tok[own]] = a.w[own]
-        size = b.off[j[lo:hi] + 1] - b.off[j[lo:hi]]
-        at = blocks.spans(b.off[j[lo:hi]], size)
-        sim[lo:hi] = np.add.reduceat(wide[b.tok[at]] * b.w[at], np.cumsum(size) - size)
+        w[start[lo] : end[hi - 1]] *= wide.take(tok[start[lo] : end[hi - 1]])
         wide[a.tok[own]] = 0
+    if len(i):
+        np.add.reduceat(w, start, out=sim)
     return sim
 
 
@@ -413,7 +420,7 @@ def near_weights(batches: Iterator[pa.RecordBatch], idf: np.ndarray, threshold:
         return
     a, b, same = _weighted(two, idf, threshold)
     cols, need, wide = blocks.Bits(b.tok, b.off, len(idf)), _terms_needed(a, b), np.zeros(len(idf))
-    for i, j, _ in blocks.meeting(a.tok, a.off, a.kind, cols, need, same):
+    for i, j, _ in blocks.meeting(a.tok, a.off, a.kind, cols, need, same, counts=False):
         order = np.argsort(i, kind="stable")
         i, j = i[order], j[order]
         sim = _dot(a, b, wide, i, j)
@@ -449,7 +456,7 @@ def cosine_links(terms: DataFrame, idf: np.ndarray, threshold: float, below: flo
             sim[order] = _dot(a, b, wide, i[order], j[order])
             return (sim >= threshold) & (sim < below)
 
-        met = blocks.meeting(a.tok, a.off, a.kind, blocks.Bits(b.tok, b.off, len(idf)), _terms_needed(a, b), same, joined.skip)
+        met = blocks.meeting(a.tok, a.off, a.kind, blocks.Bits(b.tok, b.off, len(idf)), _terms_needed(a, b), same, joined.skip, counts=False)
         blocks.connected(met, joined, linked)
         key = a.k if same else np.concatenate((a.k, b.k))
         x, y = joined.stars()

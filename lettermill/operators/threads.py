@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from threading import Event
 
 import numpy as np
 import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -264,21 +267,40 @@ def evaluate(rows: DataFrame, links: DataFrame | None = None, config: Config = D
     from lettermill.operators import similarity
     from lettermill.session import Scratch
 
-    scratch = Scratch(rows.sparkSession, "evaluate")
+    spark = rows.sparkSession
+    scratch = Scratch(spark, "evaluate")
     rows = scratch.cut(rows.select(key, text))
-    out = {}
-    for method, threshold in (("tfidf", config.tfidf_threshold), ("jaccard", config.jaccard_threshold)):
+
+    linked = Event()
+
+    def run(method: str, threshold: float) -> tuple[DataFrame, DataFrame]:
+        scratch = Scratch(spark, method)
         if method == "tfidf":
             terms, idf = similarity.term_rows(rows, key, text, scratch, config.thread_vocabulary, config.max_df)
+            scratch.settle()
             edges = similarity.cosine_links(terms, idf, threshold, config.near_identical)
         else:
             sets = scratch.cut(similarity.hashed_sets(rows, key, text))
-            edges = similarity.jaccard_links(*similarity.classes_of(sets, scratch), threshold, config.near_identical)
+            classes, common = similarity.classes_of(sets, scratch)
+            scratch.settle()
+            edges = similarity.jaccard_links(classes, common, threshold, config.near_identical)
         edges = scratch.cut(edges if links is None else edges.union(links))
+        if method == "jaccard":
+            scratch.drop(classes)
+        scratch.settle()
+        if method == "tfidf":
+            linked.set()
         comps = scratch.cut(clusters(rows, edges, key, text))
+        scratch.settle()
+        linked.wait()  # the sets of whole clusters take as much disk as the cosine links' blocks
         sums = cosine_sums(terms, idf, comps, key) if method == "tfidf" else jaccard_sums(sets, comps, key)
-        out[method] = comps, scratch.cut(metrics_of(comps, mean_of(comps, sums), "TF-IDF" if method == "tfidf" else "Jaccard", threshold))
-    return out
+        return comps, scratch.cut(metrics_of(comps, mean_of(comps, sums), "TF-IDF" if method == "tfidf" else "Jaccard", threshold))
+
+    # neither needs the other: the small jobs of one run beside the long tasks of the other
+    with ThreadPoolExecutor(2) as pool:
+        both = {m: pool.submit(inheritable_thread_target(spark)(run), m, t) for m, t in (("tfidf", config.tfidf_threshold), ("jaccard", config.jaccard_threshold))}
+        both["tfidf"].add_done_callback(lambda _: linked.set())
+        return {m: f.result() for m, f in both.items()}
 
 
 def choose(evaluated: dict[str, tuple[DataFrame, DataFrame]], ratio: float = DEFAULT.cohesion_ratio) -> str:

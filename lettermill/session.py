@@ -66,6 +66,10 @@ class Scratch:
         for path in [p for p in self.paths if p not in still]:
             self._delete(path)
 
+    def settle(self) -> None:
+        """Shuffle files of writes that are over go now, not when the driver next collects its garbage."""
+        self.spark.sparkContext._jvm.System.gc()
+
     def _delete(self, path: str | None) -> None:
         if path in self.paths:
             self.paths.remove(path)

@@ -168,3 +168,24 @@ def test_evaluate_makes_no_pairs(spark, monkeypatch):
         monkeypatch.setattr(module, name, none)
     both = threads.evaluate(spark.createDataFrame(texts(40, 17), "row_idx long, body_text string"))
     assert threads.choose(both) in ("jaccard", "tfidf") and both["jaccard"][1].first()["total_threads"] > 1
+
+
+def test_evaluate_runs_both_methods_at_once(spark, monkeypatch):
+    """The time of ``thread_flagship``: before, the Jaccard links began when all of the other method had ended."""
+    import threading
+
+    from lettermill.operators import threads
+
+    both = threading.Barrier(2, timeout=90)
+    for name in ("cosine_links", "jaccard_links"):
+
+        def met(*args, f=getattr(similarity, name)):
+            both.wait()
+            return f(*args)
+
+        monkeypatch.setattr(similarity, name, met)
+    df = spark.createDataFrame(texts(40, 19), "row_idx long, body_text string")
+    got = threads.evaluate(df)
+    assert list(got) == ["tfidf", "jaccard"]
+    for comps, row in got.values():
+        assert comps.count() == 43 and row.first()["emails_in_threads"] > 1
