@@ -30,11 +30,12 @@ from collections.abc import Container, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lettermill.llm.names import Field, field
-from lettermill.llm.text import share_look_alikes, visible_line
+from lettermill.llm.text import share_look_alikes, visible_line, visible_lines
 from lettermill.operators import blocks
 from lettermill.operators.components import connected_components
 from lettermill.session import Scratch
@@ -43,11 +44,16 @@ SIMILARITY = 0.8
 #: words with a rank by frequency; words up to which a line travels with its prefix; pairs that a task decides at a time
 _RANKED, _WIDE, _AT_ONCE = 32_768, 64, 1_000_000
 _KEPT = 200_000
+#: bytes of text that are worked on at a time, unless one text has more
+_AT_A_TIME = 1 << 23
 #: hashes of masked lines have so many bits, so that a frequency fits above them
 _FORM_BITS = 56
 _DATE = re.compile(r"\b(?:\d{1,4}[./-]\d{1,2}(?:[./-]\d{1,4})?|(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?)\b")
 _NUMBER = re.compile(r"\d[\d.,:]*")
 _WORD = re.compile(r"\w+")
+#: of each byte: whether it is a letter or digit, part of a word; no byte of other than ASCII text is
+_ALNUM = np.array([chr(c).isalnum() and c < 128 for c in range(256)])
+_IN_WORD = _ALNUM | (np.arange(256) == ord("_"))
 
 
 def mask(seen: str, names: Container[str] = frozenset()) -> list[str]:
@@ -74,40 +80,79 @@ class _Words(dict):
         return got
 
 
+def _bytes(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes and where each text begins, and the end."""
+    _, off, data = texts.buffers()
+    off = np.frombuffer(off, np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    return np.frombuffer(data if data is not None else b"", np.uint8)[off[0] : off[-1]], (off - off[0]).astype(np.int64)
+
+
 class _Prints:
-    """Hash of the visible text of a line and the distinct word hashes of its masked text; repeated lines are kept (bounded)."""
+    """Of many lines: hash of the visible text and the distinct word hashes of the masked text."""
 
     def __init__(self, least: int, names: Container[str]) -> None:
         import xxhash
 
-        self.least, self.words, self.kept = least, _Words(names), {}
+        self.least, self.words = least, _Words(names)
         self.h64 = xxhash.xxh3_64_intdigest
 
-    def __call__(self, line: str) -> tuple[int, list[int]] | None:
-        got = self.kept.get(line, 0)
-        if got != 0:
-            return got
-        seen = visible_line(line)
-        got = None
-        if len(seen) >= self.least and sum(map(str.isalnum, seen)) >= self.least:
-            words = mask(seen) or [seen]
-            got = (self.h64(seen.encode("utf-8", "surrogatepass")) - (1 << 63), sorted({self.words[w] for w in words}))
-        if len(self.kept) >= _KEPT:
-            self.kept.clear()
-        self.kept[line] = got
-        return got
-
-
-def _whole(sets: list[list[int]]) -> np.ndarray:
+    def __call__(self, lines: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``(which, line, sets, off)``: for each line the place of its visible text, or -1 if that is too short; hash and words of each such text."""
+        got = visible_lines(lines).dictionary_encode()
+        seen = got.dictionary
+        data, off = _bytes(seen)
+        alnum = np.concatenate(([0], np.cumsum(_ALNUM[data], dtype=np.int32)))[off]
+        alnum = alnum[1:] - alnum[:-1]
+        plain = pc.string_is_ascii(seen).to_numpy(zero_copy_only=False)
+        enough = alnum >= self.least
+        odd = np.flatnonzero(~plain & (np.diff(off) >= self.least))
+        texts = seen.take(pa.array(odd)).to_pylist()
+        enough[odd] |= np.fromiter((len(x) >= self.least and sum(map(str.isalnum, x)) >= self.least for x in texts), bool, len(texts))
+        to = np.where(enough, np.cumsum(enough) - 1, -1)
+        view, at = memoryview(data), np.flatnonzero(enough)
+        line = np.fromiter((self.h64(view[i:j]) for i, j in zip(off[:-1][at].tolist(), off[1:][at].tolist(), strict=True)), np.uint64, len(at))
+        plain &= enough & (alnum > 0)
+        row, code = self._masked(seen.take(pa.array(np.flatnonzero(plain))))
+        held = [np.flatnonzero(plain)[row] << 32 | code]
+        for i in np.flatnonzero(enough & ~plain).tolist():
+            text = seen[i].as_py()
+            held.append(np.array([i << 32 | self.words[w] for w in mask(text) or [text]]))
+        sets = np.sort(np.concatenate(held))
+        sets = sets[np.concatenate(([True], sets[1:] != sets[:-1]))[: len(sets)]]
+        size = np.bincount(to[sets >> 32], minlength=len(at))
+        return to[got.indices.to_numpy()], (line - np.uint64(1 << 63)).view(np.int64), (sets & 0xFFFFFFFF).astype(np.uint32), np.concatenate(([0], np.cumsum(size)))
+
+    def _masked(self, seen: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """``(row, code)`` of the words of masked ASCII texts; as ``mask`` has them."""
+        data, off = _bytes(pc.replace_substring_regex(pc.replace_substring_regex(seen, _DATE.pattern, "0"), _NUMBER.pattern, "0"))
+        inside = _IN_WORD[data]
+        first = inside.copy()
+        first[1:] &= ~inside[:-1]
+        first[off[:-1]] = inside[off[:-1]]  # no text is empty
+        at = np.append(np.cumsum(inside, dtype=np.int32)[first] - 1, inside.sum()).astype(np.int32)
+        words = pa.StringArray.from_buffers(len(at) - 1, pa.py_buffer(at), pa.py_buffer(data[inside])).dictionary_encode()
+        code = np.fromiter((self.words[w] for w in words.dictionary.to_pylist()), np.int64, len(words.dictionary))
+        return np.searchsorted(off, np.flatnonzero(first), "right") - 1, code[words.indices.to_numpy()]
+
+
+def _whole(sets: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Hash of each set."""
-    size = np.fromiter(map(len, sets), np.int64, len(sets))
-    at = np.concatenate(([0], np.cumsum(size)[:-1]))
-    x = np.fromiter((w for s in sets for w in s), np.uint64, int(size.sum())) * np.uint64(0x9E3779B97F4A7C15)
+    x = sets.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     x ^= x >> np.uint64(29)
-    whole = np.add.reduceat(x * (x >> np.uint64(7) | np.uint64(1)), at) * np.uint64(0x9FB21C651E98DF25)
+    whole = np.add.reduceat(x * (x >> np.uint64(7) | np.uint64(1)), off[:-1]) * np.uint64(0x9FB21C651E98DF25)
     return (whole >> np.uint64(64 - _FORM_BITS)).view(np.int64)
 
 
+def _parts(b: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
+    """The rows in parts of bounded text."""
+    upto = np.cumsum(pc.binary_length(b.column(text)).to_numpy())
+    lo = 0
+    while lo < b.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + _AT_A_TIME, "right")))
+        yield b.slice(lo, hi - lo)
+        lo = hi
+
+
 def name_words(given: str | None, family: str | None) -> Iterable[str]:
     """Words of a person's name as they stand in a visible line."""
     return (w for x in (given, family) if x for w in _WORD.findall(visible_line(x)))
@@ -126,32 +171,33 @@ def line_prints(df: DataFrame, key: str, source: str, text: str, doc: str, least
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prints, told = _Prints(least, names), set()
-        for b in batches:
-            take, no, line, forms, place = [], [], [], [], {}
-            which, first = [], []
+        for b in (part for whole in batches for part in _parts(whole, 3)):
             if len(told) >= _KEPT:
                 told.clear()
-            for i, (t, src) in enumerate(zip(b.column(3).to_pylist(), b.column(1).to_pylist(), strict=True)):
-                for k, ln in enumerate(t.split("\n")):
-                    # joined letters may stand for two
-                    if (len(ln) >= least or not ln.isascii()) and (p := prints(ln)) is not None:
-                        take.append(i)
-                        no.append(k)
-                        line.append(p[0])
-                        at = place.get(id(p[1]))
-                        if at is None:
-                            at = place[id(p[1])] = len(forms)
-                            forms.append(p[1])
-                        which.append(at)
-                        first.append(src)
-            idx = pa.array(take, pa.int64())
-            whole = _whole(forms)[np.array(which, np.int64)] if forms else np.zeros(0, np.int64)
-            for n, of in enumerate(zip(first, whole.tolist(), strict=True)):
-                first[n] = of not in told
-                told.add(of)
-            words = pa.array([np.array(forms[w], np.uint32).view(np.int32) if f else None for w, f in zip(which, first, strict=True)], pa.list_(pa.int32()))
+            lines = pc.split_pattern(b.column(3).cast(pa.string()), "\n")
+            size = pc.list_value_length(lines).to_numpy()
+            lines = lines.flatten()
+            # joined letters may stand for two
+            take = pc.or_(pc.greater_equal(pc.binary_length(lines), least), pc.invert(pc.string_is_ascii(lines))).to_numpy(zero_copy_only=False)
+            text = lines.filter(pa.array(take)).dictionary_encode()
+            which, line, sets, off = prints(text.dictionary)
+            which = which[text.indices.to_numpy()]
+            row, no = np.repeat(np.arange(len(size)), size)[take], blocks.spans(np.zeros(len(size), np.int64), size)[take]
+            row, no, which = (x[which >= 0] for x in (row, no, which))
+            form = _whole(sets, off)[which] if len(which) else np.zeros(0, np.int64)
+            src = b.column(1).to_numpy()[row]
+            # where a source and a form meet first
+            order = np.lexsort((form, src))
+            new = np.ones(len(row), bool)
+            new[1:] = (np.diff(src[order]) != 0) | (np.diff(form[order]) != 0)
+            first = np.zeros(len(row), bool)
+            at = order[new]
+            first[at] = [x not in told for x in zip(src[at].tolist(), form[at].tolist(), strict=True)]
+            told.update(zip(src[at].tolist(), form[at].tolist(), strict=True))
+            words = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(sets.view(np.int32))).take(pa.array(which, mask=~first))
+            idx = pa.array(row)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(idx), b.column(1).take(idx), b.column(2).take(idx), pa.array(no, pa.int32()), pa.array(line, pa.int64()), pa.array(whole), words],
+                [b.column(0).take(idx), pa.array(src), b.column(2).take(idx), pa.array(no.astype(np.int32)), pa.array(line[which]), pa.array(form), words],
                 names=["row", "src", "doc", "line_no", "line", "form", "words"],
             )
 

@@ -10,6 +10,9 @@ import string
 import tempfile
 import unicodedata
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import SparkSession
 
@@ -133,8 +136,10 @@ def skeleton(text: str) -> str:
 
 
 _TAG = re.compile(r"<!--.*?-->|</?[A-Za-z][^<>]*>|<![A-Za-z][^<>]*>", re.S)
-_QUOTES = re.compile(r"^[\s>|]+")
-_BLANKS = re.compile(r"\s+")
+#: what ``\s`` matches
+_SPACE = "".join(filter(str.isspace, map(chr, range(0x3001))))
+_PLAIN_SPACE = "".join(filter(str.isascii, _SPACE))
+_BLANKS = rf"[{_PLAIN_SPACE}]{{2,}}|[{_PLAIN_SPACE.replace(' ', '')}]"
 
 
 def strip_tags(line: str) -> str:
@@ -150,5 +155,18 @@ def visible_line(line: str) -> str:
     """What a reader sees of one line: no tags or leading quote marks, entities resolved, one case, single blanks, one form of each character."""
     line = strip_tags(line)
     if not line.isascii():
-        line = unicodedata.normalize("NFC", skeleton(line))
-    return _BLANKS.sub(" ", _QUOTES.sub("", line)).strip().casefold()
+        line = unicodedata.normalize("NFC", unicodedata.normalize("NFD", line).translate(PROTOTYPES))
+    return " ".join(line.lstrip(_SPACE + ">|").split()).casefold()
+
+
+def visible_lines(lines: pa.StringArray) -> pa.StringArray:
+    """``visible_line`` of each, without nulls; ASCII lines become Python strings only if they have an entity or an address among tags."""
+    tagged = pc.match_substring(lines, "<")
+    odd = pc.or_(pc.or_(pc.invert(pc.string_is_ascii(lines)), pc.match_substring(lines, "&")), pc.and_(tagged, pc.match_substring(lines, "@")))
+    tagged = pc.and_not(tagged, odd)
+    at = [np.flatnonzero(x.to_numpy(zero_copy_only=False)) for x in (odd, tagged, pc.invert(pc.or_(odd, tagged)))]
+    plain = pa.concat_arrays([pc.replace_substring_regex(lines.take(pa.array(at[1])), "(?s)" + _TAG.pattern, " "), lines.take(pa.array(at[2]))])
+    plain = pc.ascii_rtrim(pc.ascii_ltrim(plain, _PLAIN_SPACE + ">|"), _PLAIN_SPACE)
+    plain = pc.ascii_lower(pc.replace_substring_regex(plain, _BLANKS, " "))
+    both = pa.concat_arrays([pa.array(map(visible_line, lines.take(pa.array(at[0])).to_pylist()), pa.string()), plain])
+    return both.take(pa.array(np.argsort(np.concatenate(at))))

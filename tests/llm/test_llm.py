@@ -6,6 +6,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,6 +125,32 @@ def test_field_of_names(spark):
     assert all(f"g{i}" in f and f"f{i}" in f for i in range(3000)) and not any(f"x{i}" in f for i in range(3000))
 
 
+def test_lines_at_once_are_as_one_by_one(monkeypatch):
+    pieces = ["jan", "mar.", "may.x", "dec5", "d\u00e9c", "12/3/24", "1.2.", "3:45", "1,000.5", "<b>", "</p>", "<a@b.co>", "<!-- x -->", "<!--", "<", ">", "| ", "&amp;", "&#10;", "&", "\xa0", "\t", "\r", "\x1c", "\u200b", "\u0455ingle"]
+    pieces += ["e\u0301", "\xb2", "\u0663", "x_y", "_", "Hello", "the", "Ada", "...", ",", "-", "=", "@", "\U0001f389", "\xdf", "\u212a"]
+    rng = random.Random(4)
+    lines = ["", *("".join(rng.choice(pieces) + rng.choice(["", " ", " ", "  "]) for _ in range(rng.randrange(14))) for _ in range(5000))]
+    for least in (0, 1, 20):
+        prints = boilerplate._Prints(least, {"ada"})
+        which, _, words, off = prints(pa.array(lines))
+        seen = [visible_line(x) for x in lines]
+        assert [k >= 0 for k in which] == [len(x) >= least and sum(map(str.isalnum, x)) >= least for x in seen]
+        assert all(set(words[off[k] : off[k + 1]]) == {prints.words[w] for w in boilerplate.mask(x) or [x]} for x, k in zip(seen, which) if k >= 0)
+        assert len({(x, int(k)) for x, k in zip(seen, which) if k >= 0}) == off.size - 1
+    # plain lines take no step in Python each, which is most of the time of this problem
+    monkeypatch.setattr("lettermill.llm.text.visible_line", None)
+    monkeypatch.setattr(boilerplate, "visible_line", None)
+    monkeypatch.setattr(boilerplate, "mask", None)
+    which, _, words, off = boilerplate._Prints(20, {"ada"})(pa.array([f"> <b>Plain</b>  line number {i} of 4 May" for i in range(100)]))
+    assert sorted(which) == list(range(100)) and (words.reshape(100, 5) == words[:5]).all() and (np.diff(off) == 5).all()
+
+
+def test_texts_in_parts(monkeypatch):
+    b = pa.record_batch([pa.array(["a" * k for k in (5, 0, 7, 30, 1, 1)])], names=["t"]).slice(1)
+    monkeypatch.setattr(boilerplate, "_AT_A_TIME", 8)
+    assert [p.num_rows for p in boilerplate._parts(b, 0)] == [2, 1, 2]
+
+
 def test_visible_line():
     assert visible_line("> > <b>Hello</b>&amp; <a@b.co>  X") == "hello & <a@b.co> x"
 
